@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("books",)
+MODULES = ("books", "joins", "quality")
 
 
 def _load():

@@ -40,7 +40,7 @@ def _agg_sql(var: str, agg: str, n: int) -> str:
         "min": f"CAST(min({hit}) AS DOUBLE)",
         "count": f"count({hit})",
         "std": f"round(stddev_samp(CAST({hit} AS DOUBLE)), 4)",
-        "variance": f"round(var_samp(CAST({hit} AS DOUBLE)), 0)",
+        "variance": f"round(var_samp(CAST({hit} AS DOUBLE)), -3)",
         "median": f"round(quantile_cont(CAST({hit} AS DOUBLE), 0.5), 4)",
     }[agg]
     return f"{sql} AS {var}_{agg}_{n}m"
@@ -87,7 +87,7 @@ for _key, _agg, _digits in (
     [_agg_sql(V, a, n) for n in WINDOWS for a in ("variance", "median")]))
 def book_extra_agg(spark: SparkSession, sf: str) -> DataFrame:
     spec = _spec(numeric=[V], aggregations=["variance", "median"])
-    book = plain(feature_book(tx(spark, sf), spec, REF), 0,
+    book = plain(feature_book(tx(spark, sf), spec, REF), -3,
                  tuple(f"{V}_variance_{n}m" for n in WINDOWS))
     return plain(book, 4, tuple(f"{V}_median_{n}m" for n in WINDOWS))
 

@@ -34,7 +34,8 @@ TX = """tx AS (SELECT o_custkey AS cpf, strftime(o_orderdate, '%Y%m') AS anomes,
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     # Both sides of this join grow with the data; it is left to adaptive execution.
     lines = table(spark, sf, "lineitem")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
@@ -76,3 +77,99 @@ CARTAO = """cartao AS (SELECT o_custkey AS cpf, strftime(l_shipdate, '%Y%m') AS
   greatest(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)), 0)
     AS dias_atraso
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def main_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Population: one row per customer and month, all months."""
+    orders = table(spark, sf, "orders")
+    return orders.groupBy(F.col("o_custkey").cast("string").alias("document_id"),
+                          month_of("o_orderdate").alias("date_yyyymm")).agg(
+        F.max(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("y"))
+
+
+MAIN_DOCUMENTS = """main_documents AS (SELECT CAST(o_custkey AS VARCHAR) AS document_id,
+  strftime(o_orderdate, '%Y%m') AS date_yyyymm,
+  max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS y FROM orders GROUP BY ALL)"""
+
+
+def feature_table_1(spark: SparkSession, sf: str) -> DataFrame:
+    """Order features per customer and month; text keys."""
+    return table(spark, sf, "orders").groupBy(
+        F.col("o_custkey").cast("string").alias("doc"),
+        month_of("o_orderdate").alias("mes")).agg(
+        F.sum(money("o_totalprice")).alias("score"),
+        F.max(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("flag"),
+        F.count(F.lit(1)).alias("amount"), F.max("o_orderpriority").alias("category"))
+
+
+FEATURE_TABLE_1 = """feature_table_1 AS (SELECT CAST(o_custkey AS VARCHAR) AS doc,
+  strftime(o_orderdate, '%Y%m') AS mes, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS score,
+  max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS flag, count(*) AS amount,
+  max(o_orderpriority) AS category FROM orders GROUP BY ALL)"""
+
+
+def feature_table_2(spark: SparkSession, sf: str) -> DataFrame:
+    """Line-item features per customer and ship month; number keys."""
+    return _lines(spark, sf).groupBy(
+        F.col("o_custkey").alias("id_cliente"),
+        month_of("l_shipdate").cast("int").alias("safra")).agg(
+        F.max("l_discount").alias("risk_level"), F.max("l_linenumber").alias("priority"),
+        F.max("l_returnflag").alias("status"))
+
+
+FEATURE_TABLE_2 = """feature_table_2 AS (SELECT o_custkey AS id_cliente,
+  CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS safra, max(l_discount) AS risk_level,
+  max(l_linenumber) AS priority, max(l_returnflag) AS status
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)"""
+
+
+def feature_table_3(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order: several per customer and month."""
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("doc"), month_of("o_orderdate").alias("mes"),
+        money("o_totalprice").alias("value"), F.col("o_orderpriority").alias("rating"),
+        F.col("o_orderstatus").alias("type"))
+
+
+FEATURE_TABLE_3 = """feature_table_3 AS (SELECT CAST(o_custkey AS VARCHAR) AS doc,
+  strftime(o_orderdate, '%Y%m') AS mes, CAST(o_totalprice AS DECIMAL(18,2)) AS value,
+  o_orderpriority AS rating, o_orderstatus AS type FROM orders)"""
+
+
+def target_cpf(spark: SparkSession, sf: str) -> DataFrame:
+    """Population with an 11-digit document per order."""
+    return table(spark, sf, "orders").select(
+        (F.lit(10_000_000_000) + F.col("o_custkey") * 1000 + F.col("o_orderkey") % 1000)
+        .alias("cpf"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
+        month_of("o_orderdate").cast("int").alias("anomes"))
+
+
+TARGET_CPF = """target_cpf AS (SELECT 10000000000 + o_custkey * 1000 + o_orderkey % 1000 AS cpf,
+  CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+  CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS anomes FROM orders)"""
+
+
+def feat_root(spark: SparkSession, sf: str) -> DataFrame:
+    """Features by the first eight digits of the document; one text column."""
+    return table(spark, sf, "orders").groupBy(
+        (F.lit(10_000_000) + F.col("o_custkey")).alias("raiz"),
+        month_of("o_orderdate").cast("int").alias("safra")).agg(
+        F.sum(money("o_totalprice")).alias("total"), F.count(F.lit(1)).alias("pedidos"),
+        F.max("o_orderpriority").alias("prioridade"))
+
+
+FEAT_ROOT = """feat_root AS (SELECT 10000000 + o_custkey AS raiz,
+  CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS safra,
+  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS pedidos,
+  max(o_orderpriority) AS prioridade FROM orders GROUP BY ALL)"""
+
+
+def feat_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Features by the whole document."""
+    return target_cpf(spark, sf).groupBy("cpf", F.col("anomes").alias("safra")).agg(
+        F.max("y").alias("y_max"), F.count(F.lit(1)).alias("linhas"))
+
+
+FEAT_FULL = """feat_full AS (SELECT cpf, anomes AS safra, max(y) AS y_max, count(*) AS linhas
+  FROM target_cpf GROUP BY ALL)"""
