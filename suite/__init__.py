@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("books", "joins", "quality")
+MODULES = ("books", "joins", "quality", "models")
 
 
 def _load():

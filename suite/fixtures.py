@@ -173,3 +173,54 @@ def feat_full(spark: SparkSession, sf: str) -> DataFrame:
 
 FEAT_FULL = """feat_full AS (SELECT cpf, anomes AS safra, max(y) AS y_max, count(*) AS linhas
   FROM target_cpf GROUP BY ALL)"""
+
+
+def model_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their customer as a model table; month int, target 0/1."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
+        month_of("o_orderdate").cast("int").alias("month"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("target"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("price"),
+        "c_acctbal", "c_nationkey", money("o_totalprice").alias("price_decimal"),
+        "o_orderpriority", "c_mktsegment", "o_orderdate")
+
+
+MODEL_TABLE = """model_table AS (SELECT
+  CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month,
+  CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price,
+  c_acctbal, c_nationkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price_decimal,
+  o_orderpriority, c_mktsegment, o_orderdate
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""
+
+CUTOFF = 199912
+
+
+def scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with a score, a label, and a train part by time."""
+    return table(spark, sf, "events").select(
+        "event_id", F.col("value").alias("score"), "event_type",
+        (F.col("event_type") == "purchase").alias("label"),
+        (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")).alias("is_train"))
+
+
+SCORES = """scores AS (SELECT event_id, value AS score, event_type,
+  event_type = 'purchase' AS label, ts < TIMESTAMP '2024-01-20' AS is_train FROM events)"""
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with their true status, a rule's prediction and a score, per nation."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    price = F.col("o_totalprice")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        F.col("c_nationkey").cast("bigint").alias("table"),
+        F.col("o_orderstatus").alias("actual"),
+        F.when(price > 300000, "F").when(price > 150000, "O").otherwise("P").alias("predicted"),
+        price.alias("score"))
+
+
+PREDICTIONS = """predictions AS (SELECT CAST(c_nationkey AS BIGINT) AS "table",
+  o_orderstatus AS actual, CASE WHEN o_totalprice > 300000 THEN 'F'
+    WHEN o_totalprice > 150000 THEN 'O' ELSE 'P' END AS predicted, o_totalprice AS score
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
