@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("books", "joins", "quality", "models")
+MODULES = ("books", "joins", "quality", "models", "causals")
 
 
 def _load():

@@ -224,3 +224,57 @@ PREDICTIONS = """predictions AS (SELECT CAST(c_nationkey AS BIGINT) AS "table",
   o_orderstatus AS actual, CASE WHEN o_totalprice > 300000 THEN 'F'
     WHEN o_totalprice > 150000 THEN 'O' ELSE 'P' END AS predicted, o_totalprice AS score
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def causal(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as loans: discount as treatment, price and tax as outcomes."""
+    def mean(c: str) -> F.Column:
+        return F.sum(F.col(c).cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))
+
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        (mean("l_discount") * 100).alias("t"), mean("l_tax").alias("y2"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"),
+        F.count(F.lit(1)).cast("double").alias("lines"))
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    return (lines.join(orders, lines.id == orders.o_orderkey)
+            .join(customer, orders.o_custkey == customer.c_custkey)
+            .select("id", (F.col("o_totalprice") / 1000).alias("y"), "t", "y2",
+                    F.col("c_acctbal").alias("balance"), "quantity", "lines",
+                    F.col("c_mktsegment").alias("segment"),
+                    F.col("o_orderdate").alias("time")))
+
+
+CAUSAL = """causal AS (SELECT id, o_totalprice / 1000 AS y, t, y2, c_acctbal AS balance,
+  quantity, lines, c_mktsegment AS segment, o_orderdate AS time
+  FROM (SELECT l_orderkey AS id,
+      CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*) * 100 AS t,
+      CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS y2,
+      CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+      CAST(count(*) AS DOUBLE) AS lines FROM lineitem GROUP BY l_orderkey) l
+  JOIN orders ON id = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
+
+
+def effects(spark: SparkSession, sf: str) -> DataFrame:
+    """The causal table with an effect per row, as a formula of its columns."""
+    return causal(spark, sf).withColumn(
+        "effect", F.col("t") * 0.3 - F.col("balance") / 1000 + F.col("quantity") / 50)
+
+
+EFFECTS = CAUSAL + """, effects AS (SELECT *,
+  t * 0.3::DOUBLE - balance / 1000 + quantity / 50 AS effect FROM causal)"""
+
+
+def loans(spark: SparkSession, sf: str) -> DataFrame:
+    """The causal table in the units of a housing loan."""
+    return causal(spark, sf).select(
+        "id", (F.col("balance") / 20 + 350).alias("score"), (F.col("t") + 3.5).alias("rate"),
+        (F.col("y") * 20 + 2000).alias("income"), (F.col("y") * 1000 + 80000).alias("price"),
+        (F.col("y2") * 5 + 0.05).alias("down_payment"), (F.col("lines") * 50).alias("savings"),
+        (F.col("y2") * 7).alias("debt_ratio"), (F.col("quantity") + 60).alias("months"),
+        (F.col("lines") / 10 + 4).alias("base_rate"))
+
+
+LOANS = CAUSAL + """, loans AS (SELECT id, balance / 20 + 350 AS score, t + 3.5::DOUBLE AS rate,
+  y * 20 + 2000 AS income, y * 1000 + 80000 AS price, y2 * 5 + 0.05::DOUBLE AS down_payment,
+  lines * 50 AS savings, y2 * 7 AS debt_ratio, quantity + 60 AS months,
+  lines / 10 + 4 AS base_rate FROM causal)"""
