@@ -253,7 +253,8 @@ def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -
     for factory in spec.extra:
         for w in windows:
             features += factory(w.inside & is_raw, w.months)
-    book = source.groupBy(spec.key).agg(*features)
+    book = (source.groupBy(spec.key).agg(*features) if features
+            else rows.select(spec.key).distinct())
     if "median" in spec.aggregations:
         medians = _medians(rows, spec, ref).withColumnRenamed(spec.key, "__key")
         same = F.col(spec.key).eqNullSafe(F.col("__key"))

@@ -15,11 +15,12 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -303,25 +304,42 @@ def silverman_bandwidth(df: DataFrame, features: Sequence[str]) -> dict[str, flo
     return {c: (row[f"s{i}"] or 1.0) * factor for i, c in enumerate(features)}
 
 
-def kernel_dml(residuals: DataFrame, spec: CausalSpec, size: int = 20,
+def kernel_dml(residuals: DataFrame, spec: CausalSpec, size: int = 100,
                ridge: float = 1e-3) -> Estimate:
-    """Effect as a smooth function of the features: random Fourier features, ridge fit."""
+    """Effect as a smooth function of the features: random Fourier features, ridge fit.
+
+    Features of the kernel are made batch by batch; the normal equations are summed up in
+    one pass.
+    """
     width = silverman_bandwidth(residuals, spec.features)
     rng = np.random.default_rng(spec.seed)
-    direction = rng.normal(size=(size, len(spec.features)))
+    scale = np.array([width[c] for c in spec.features])
+    direction = (rng.normal(size=(size, len(spec.features))) / scale).T
     phase = rng.uniform(0.0, 2 * np.pi, size)
-    basis = [F.lit(1.0)]
-    for w, b in zip(direction, phase):
-        angle = F.lit(float(b))
-        for c, v in zip(spec.features, w):
-            angle = angle + F.col(c).cast("double") * F.lit(float(v) / width[c])
-        basis.append(F.cos(angle) * F.lit(float(np.sqrt(2.0 / size))))
-    matrix = gram(residuals, [*[F.col("t_res") * p for p in basis], F.col("y_res")])[()]
-    scale = float(np.trace(matrix[:-1, :-1])) / len(basis)
-    beta = solve(matrix, range(len(basis)), len(basis), ridge * scale)
-    effect = reduce(lambda x, y: x + y, [p * F.lit(float(b)) for p, b in zip(basis, beta)])
-    return _mean_effect("kernel_dml", residuals.withColumn("effect", effect),
-                        predict=lambda other: other.withColumn("effect", effect))
+
+    def basis(columns: tuple[pd.Series, ...]) -> np.ndarray:
+        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+        waves = np.cos(x @ direction + phase) * np.sqrt(2.0 / size)
+        return np.column_stack([np.ones(len(x)), waves])
+
+    @F.pandas_udf("array<double>")
+    def crossed(t: pd.Series, *columns: pd.Series) -> pd.Series:
+        return pd.Series(list(basis(columns) * t.to_numpy()[:, None]))
+
+    inputs = [F.col(c).cast("double") for c in spec.features]
+    model = LinearRegression(
+        featuresCol=_VECTOR, labelCol="y_res", fitIntercept=False, standardization=False,
+        regParam=ridge, solver="normal").fit(residuals.select(
+            array_to_vector(crossed(F.col("t_res"), *inputs)).alias(_VECTOR), "y_res"))
+    weights = model.coefficients.toArray()
+
+    @F.pandas_udf("double")
+    def effect(*columns: pd.Series) -> pd.Series:
+        return pd.Series(basis(columns) @ weights)
+
+    def predict(other: DataFrame) -> DataFrame:
+        return other.withColumn("effect", effect(*inputs))
+    return _mean_effect("kernel_dml", predict(residuals), predict=predict)
 
 
 # --- learners for a two-valued treatment ------------------------------------------------
