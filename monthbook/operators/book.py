@@ -1,15 +1,21 @@
 """Feature books: one row per customer, conditional aggregates over trailing month windows.
 
 All windows end at the reference month, so they are nested and one filtered scan serves
-them all.  A book is a single ``groupBy(key).agg(...)``: partial aggregates reduce each
-task's rows to one row per key before the only shuffle, so a hot customer costs no more
-than any other.
+them all.  A book is made in two steps:
+
+1. a rollup to one row per (key, month) with the few parts every feature is made of: sums,
+   counts, extremes, centred squares, hits of counted values.  Partial aggregates reduce
+   each task's rows before the shuffle, so a hot customer costs no more than any other;
+2. the windows, over at most as many rows per key as the widest window has months.  The
+   several hundred feature columns only exist here, after the last shuffle.
 
 Distinct counts would make Spark copy every row once per (column, window).  Instead the
-rows are first reduced to the latest month in which each (key, column, value) was seen; a
-value counts for a window when that month lies inside.  The reduced rows join the raw rows
-by ``union`` in front of the same final aggregate, so no join (and no trouble with NULL
-keys) is needed.
+rows are reduced to the smallest window in which each (key, column, value) was seen.  The
+number of such values per (key, window) joins the rollup by ``union``, as of the first month
+of that window, so no join (and no trouble with NULL keys) is needed.
+
+Features that cannot be put together from months (your own factories, skewness) are
+aggregated straight from the rows, with the same results.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.months import month_literal, window_start
 from monthbook.functions.scalars import safe_divide
@@ -193,21 +199,37 @@ def _ratios(spec: BookSpec, windows: list[_Window]) -> list[Column]:
     return out
 
 
-def _with_distinct_rows(rows: DataFrame, spec: BookSpec) -> DataFrame:
-    """Raw rows plus, per (key, column, value), one row in the latest month of the value.
+def _last_seen(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+               ref: str) -> DataFrame:
+    """Per (key, column number, value) the first month of the smallest window it was seen in.
 
-    The added rows hold NULL in every measured column, so they touch no other feature:
-    they fall outside a window only if a raw row of the same key and month does too.
+    A whole number stands for the window while rows are reduced, which text could not do
+    in a hash aggregate.
     """
+    by_size = sorted(windows, key=lambda w: w.months)
+    smallest = F.lit(len(by_size) - 1)
+    for i in reversed(range(len(by_size) - 1)):
+        smallest = F.when(by_size[i].inside, i).otherwise(smallest)
     values = [F.struct(F.lit(i).alias(_WHICH), F.col(c).cast("string").alias("__value"))
               for i, c in enumerate(spec.categorical)]
-    seen = (rows.select(spec.key, spec.month, F.inline(F.array(*values)))
+    dtype = rows.schema[spec.month].dataType
+    starts = [month_literal(window_start(ref, w.months), dtype) for w in by_size]
+    return (rows.select(spec.key, smallest.alias("__w"), F.inline(F.array(*values)))
             .where(F.col("__value").isNotNull())
-            .groupBy(spec.key, _WHICH, "__value")
-            .agg(F.max(spec.month).alias(spec.month))
-            .drop("__value"))
+            .groupBy(spec.key, _WHICH, "__value").agg(F.min("__w").alias("__w"))
+            .select(spec.key, _WHICH,
+                    F.element_at(F.array(*starts), F.col("__w") + 1).alias(spec.month)))
+
+
+def _with_distinct_rows(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                        ref: str) -> DataFrame:
+    """Raw rows plus one row per (key, column, value), inside the windows that saw it.
+
+    The added rows hold NULL in every measured column, so they touch no other feature:
+    they fall outside a window only if a raw row of the same key does too.
+    """
     return (rows.withColumn(_RAW, F.lit(1))
-            .unionByName(seen, allowMissingColumns=True))
+            .unionByName(_last_seen(rows, spec, windows, ref), allowMissingColumns=True))
 
 
 def _stamps(spec: BookSpec, ref: str) -> list[Column]:
@@ -242,25 +264,174 @@ def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -
     check_aggregations(spec.aggregations, also=("median",))
     rows = windowed_rows(df, spec, ref)
     windows = _windows(df, spec, ref)
-    is_raw = F.lit(True)
-    source = rows
+    by_month = set(spec.aggregations) <= {*_FROM_MONTHS, "median"}
+    if by_month and not spec.extra and not spec.approx_distinct:
+        book = _book_from_months(rows, spec, windows, flags, ref)
+    else:
+        book = _book_from_rows(rows, spec, windows, flags, ref)
+    if "median" in spec.aggregations:
+        medians = _medians(rows, spec, ref).withColumnRenamed(spec.key, "__key")
+        same = F.col(spec.key).eqNullSafe(F.col("__key"))
+        book = book.join(medians, same, "left").drop("__key")
+    made = [F.col(c) for c in book.columns if c != spec.key]
+    return book.select(spec.key, *_stamps(spec, ref), *made)
+
+
+def _book_from_rows(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                    flags: bool, ref: str) -> DataFrame:
+    """All features in one aggregate over the rows themselves."""
+    is_raw, source = F.lit(True), rows
     if spec.categorical and not spec.approx_distinct:
-        source = _with_distinct_rows(rows, spec)
+        source = _with_distinct_rows(rows, spec, windows, ref)
         is_raw = F.col(_RAW).isNotNull()
-
     features = [*_numeric(spec, windows), *_categorical(spec, windows),
                 *_value_features(spec, windows, is_raw, flags), *_ratios(spec, windows)]
     for factory in spec.extra:
         for w in windows:
             features += factory(w.inside & is_raw, w.months)
-    book = (source.groupBy(spec.key).agg(*features) if features
-            else rows.select(spec.key).distinct())
-    if "median" in spec.aggregations:
-        medians = _medians(rows, spec, ref).withColumnRenamed(spec.key, "__key")
-        same = F.col(spec.key).eqNullSafe(F.col("__key"))
-        book = book.join(medians, same, "left").drop("__key")
-    made = [F.col(c) for c in book.columns if c != spec.key]
-    return book.select(spec.key, *_stamps(spec, ref), *made)
+    if not features:
+        return rows.select(spec.key).distinct()
+    return source.groupBy(spec.key).agg(*features)
+
+
+# --- from monthly parts -----------------------------------------------------------------
+
+_SPREADS = {"std": (1, True), "stddev": (1, True), "variance": (1, False),
+            "var_samp": (1, False), "stddev_pop": (0, True), "var_pop": (0, False)}
+_FROM_MONTHS = ("sum", "avg", "max", "min", "count", *_SPREADS)
+
+
+class _Parts:
+    """Monthly parts, each made once however many features ask for it."""
+
+    def __init__(self) -> None:
+        self.made: dict[tuple, Column] = {}
+        self.names: dict[tuple, Column] = {}
+
+    def __call__(self, kind: str, what: object, make: Callable[[], Column]) -> Column:
+        if (kind, what) not in self.made:
+            name = f"__{kind}_{what}"
+            self.made[kind, what] = make().alias(name)
+            self.names[kind, what] = F.col(f"`{name}`")
+        return self.names[kind, what]
+
+    def sum(self, v: str) -> Column:
+        return self("s", v, lambda: F.sum(v))
+
+    def count(self, v: str) -> Column:
+        return self("n", v, lambda: F.count(v))
+
+    def low(self, v: str) -> Column:
+        return self("lo", v, lambda: F.min(v))
+
+    def high(self, v: str) -> Column:
+        return self("hi", v, lambda: F.max(v))
+
+    def squares(self, v: str) -> Column:
+        """Squared distances from the mean of the month."""
+        return self("m2", v, lambda: F.var_pop(F.col(v).cast("double")) * F.count(v))
+
+    def mean(self, v: str) -> Column:
+        return self("mean", v, lambda: F.avg(F.col(v).cast("double")))
+
+    def rows(self) -> Column:
+        return self("rows", "", lambda: F.count(F.lit(1)))
+
+    def hits(self, v: str, value: object) -> Column:
+        return self("hit", f"{v}={value}", lambda: F.count_if(F.col(v) == F.lit(value)))
+
+
+def _total(w: _Window, part: Column) -> Column:
+    """Sum of a count over the months of a window, 0 if there are none."""
+    return F.sum(F.when(w.inside, part).otherwise(0))
+
+
+def _book_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                      flags: bool, ref: str) -> DataFrame:
+    parts = _Parts()
+    centres: dict[str, Column] = {}
+    features: list[Column] = []
+    whole_key = Window.partitionBy(spec.key)
+
+    def spread(v: str, w: _Window, less: int, root: bool) -> Column:
+        # Two passes over the months of a key: the mean of the window, then the distances.
+        centre = f"__centre_{v}_{w.months}"
+        n, mean = parts.count(v), parts.mean(v)
+        centres[centre] = safe_divide(F.sum(w.value(n * mean)).over(whole_key),
+                                      F.sum(F.when(mean.isNotNull(), w.value(n)))
+                                      .over(whole_key))
+        away = mean - F.col(f"`{centre}`")
+        squares = F.sum(w.value(parts.squares(v) + n * away * away))
+        total = _total(w, n)
+        value = F.when(total > less, squares / (total - less))
+        return F.sqrt(value) if root else value
+
+    for v in spec.numeric:
+        for w in windows:
+            for agg in spec.aggregations:
+                if agg == "sum":
+                    made = F.sum(F.when(w.inside, parts.sum(v)).otherwise(0))
+                elif agg == "avg":
+                    made = safe_divide(F.sum(w.value(parts.sum(v))),
+                                       _total(w, parts.count(v)))
+                elif agg == "count":
+                    made = _total(w, parts.count(v))
+                elif agg == "max":
+                    made = F.max(w.value(parts.high(v)))
+                elif agg == "min":
+                    made = F.min(w.value(parts.low(v)))
+                elif agg in _SPREADS:
+                    made = spread(v, w, *_SPREADS[agg])
+                else:
+                    continue  # medians are joined on later
+                features.append(made.alias(feature_name(v, agg, w.months)))
+    for i, v in enumerate(spec.categorical):
+        for w in windows:
+            distinct = F.sum(F.when(w.inside, F.col(f"__distinct_{i}")).otherwise(0))
+            features += [
+                F.coalesce(distinct, F.lit(0)).alias(feature_name(v, "nunique", w.months)),
+                _total(w, parts.count(v)).alias(feature_name(v, "count", w.months))]
+    rows_in = {w.months: _total(w, parts.rows()) for w in windows if spec.value_counts}
+    for v, values in spec.value_counts.items():
+        for value in values:
+            stem = f"{normalize_text(v)}_{normalize_text(value)}"
+            for w in windows:
+                hits = _total(w, parts.hits(v, value))
+                share = safe_divide(hits * 100.0, rows_in[w.months])
+                features += [hits.alias(f"{stem}_count_{w.months}m"),
+                             share.alias(f"{stem}_pct_{w.months}m")]
+                if flags:
+                    features.append(F.when(hits > 0, 1).otherwise(0)
+                                    .alias(f"{stem}_flag_{w.months}m"))
+    for num, dens in spec.ratios.items():
+        for den in _denominators(dens):
+            stem = f"ratio_{normalize_text(num)}_{normalize_text(den)}"
+            for w in windows:
+                ratio = safe_divide(F.sum(w.value(parts.sum(num))),
+                                    F.sum(w.value(parts.sum(den))))
+                features.append(ratio.alias(f"{stem}_{w.months}m"))
+    if not features:
+        return rows.select(spec.key).distinct()
+
+    monthly = rows.groupBy(spec.key, spec.month).agg(
+        *(parts.made.values() or [F.lit(1).alias("__any")]))
+    if spec.categorical:
+        monthly = monthly.unionByName(_distinct_by_month(rows, spec, windows, ref),
+                                      allowMissingColumns=True)
+    # A key has few rows by now.  Moving them as they are keeps the wide features local.
+    monthly = monthly.repartition(F.col(spec.key))
+    if centres:
+        monthly = monthly.select("*", *[c.alias(name) for name, c in centres.items()])
+    return monthly.groupBy(spec.key).agg(*features)
+
+
+def _distinct_by_month(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                       ref: str) -> DataFrame:
+    """Per key and smallest window (as its first month): the values of each column."""
+    seen = _last_seen(rows, spec, windows, ref)
+    return seen.groupBy(spec.key, spec.month).agg(
+        *[F.count_if(F.col(_WHICH) == i).alias(f"__distinct_{i}")
+          for i in range(len(spec.categorical))])
 
 
 def category_book(df: DataFrame, spec: BookSpec, ref: str) -> DataFrame:

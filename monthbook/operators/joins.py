@@ -15,10 +15,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from monthbook.functions.months import month_literal, shift_month, shift_month_col
-from monthbook.operators.skew import left_join
+from monthbook.operators.skew import (
+    SALT, each_copy, hot_keys, is_one_of, left_join, repeat_rows, spread_rows)
 from monthbook.sources.tables import FeatureKeys, numeric_columns
 
 _KEYS = ["__doc", "__month"]
+SALTS = 64
 
 
 def _only_months(df: DataFrame, column: str, months: Sequence[str | int] | None,
@@ -53,7 +55,8 @@ def _feature_side(df: DataFrame, keys: FeatureKeys, months: Sequence[str | int]
 
 def _join_all(population: DataFrame, doc: str, month: str,
               tables: Iterable[tuple[DataFrame, FeatureKeys, Sequence[str]]],
-              months: Sequence[str | int] | None) -> DataFrame:
+              months: Sequence[str | int] | None, **skew: float) -> DataFrame:
+    """Left joins in a row; ``skew`` sets when a key is hot, see ``hot_keys``."""
     tables = list(tables)
     kinds = {population.schema[doc].dataType,
              *[df.schema[k.doc].dataType for df, k, _ in tables]}
@@ -61,30 +64,51 @@ def _join_all(population: DataFrame, doc: str, month: str,
     def key(c: str) -> Column:
         return F.col(c) if len(kinds) == 1 else F.col(c).cast("string")
 
-    joined = _only_months(population, month, months).select(
+    left = _only_months(population, month, months).select(
         key(doc).alias("__doc"), F.col(month).cast("string").alias("__month"), "*")
-    for df, keys, columns in tables:
-        side = _feature_side(df, keys, months, key(keys.doc), columns)
-        joined = left_join(joined, side, _KEYS, right_unique=keys.unique)
+    sides = [(_feature_side(df, keys, months, key(keys.doc), columns), keys.unique)
+             for df, keys, columns in tables]
     kept = [c for c in population.columns if c != month]
     added = [f"{k.table}_{c}" for _, k, columns in tables for c in columns]
-    return joined.select(*kept, *added, month)
+    return _join_sides(left, sides, [*kept, *added, month], skew)
+
+
+def _join_sides(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]],
+                out: Sequence[str], skew: Mapping[str, float]) -> DataFrame:
+    hot = hot_keys(left, _KEYS, **skew)
+    if not hot:
+        return _chain(left, sides, _KEYS, skew).select(*out)
+    # Hot documents of the population go their own way, shared out over salts.
+    cold = _chain(left.where(~is_one_of(left, _KEYS, hot)), sides, _KEYS, skew)
+    warm = _chain(
+        spread_rows(left.where(is_one_of(left, _KEYS, hot)), SALTS),
+        [(repeat_rows(side.where(is_one_of(side, _KEYS, hot)), SALTS), unique)
+         for side, unique in sides], [*_KEYS, SALT], skew)
+    return cold.select(*out).unionByName(each_copy(warm, out))
+
+
+def _chain(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]], keys: Sequence[str],
+           skew: Mapping[str, float]) -> DataFrame:
+    for side, unique in sides:
+        left = left_join(left, side, keys, right_unique=unique, **skew)
+    return left
 
 
 def lagged_join(population: DataFrame, features: DataFrame, keys: FeatureKeys, *,
                 doc: str, month: str, months: Sequence[str | int] | None = None,
-                columns: Sequence[str] | None = None) -> DataFrame:
+                columns: Sequence[str] | None = None, **skew: float) -> DataFrame:
     """The population with one feature table at its lag.
 
     Every population row is kept; several feature rows for one key give several rows.
     """
     chosen = feature_columns(features, keys, columns)
-    return _join_all(population, doc, month, [(features, keys, chosen)], months)
+    return _join_all(population, doc, month, [(features, keys, chosen)], months, **skew)
 
 
 def master_table(population: DataFrame, features: Mapping[str, DataFrame],
                  keys: Sequence[FeatureKeys], feature_map: Mapping[str, Sequence[str]], *,
-                 doc: str, month: str, months: Sequence[str | int] | None = None) -> DataFrame:
+                 doc: str, month: str, months: Sequence[str | int] | None = None,
+                 **skew: float) -> DataFrame:
     """The population with the listed features of many tables, each at its own lag.
 
     Tables that are not in both the control table and the feature map are skipped.
@@ -92,7 +116,7 @@ def master_table(population: DataFrame, features: Mapping[str, DataFrame],
     chosen = [(features[k.table], k, feature_columns(features[k.table], k,
                                                      feature_map[k.table]))
               for k in keys if k.table in feature_map]
-    return _join_all(population, doc, month, chosen, months)
+    return _join_all(population, doc, month, chosen, months, **skew)
 
 
 def document_root(document: Column, digits: int = 8, pad: bool = False) -> Column:
@@ -104,7 +128,7 @@ def document_root(document: Column, digits: int = 8, pad: bool = False) -> Colum
 def numeric_feature_join(population: DataFrame, features: DataFrame, keys: FeatureKeys, *,
                          doc: str = "cpf", target: str = "y", month: str = "anomes",
                          months: Sequence[str | int] | None = None,
-                         pad: bool = False) -> DataFrame:
+                         pad: bool = False, **skew: float) -> DataFrame:
     """Document, target and all number columns of a feature table as doubles.
 
     With ``doc_digits`` 8 the table is keyed by the first eight digits of the document,
@@ -126,6 +150,7 @@ def numeric_feature_join(population: DataFrame, features: DataFrame, keys: Featu
         right_key.alias("__doc"),
         shift_month_col(F.col(keys.month), keys.lag).alias("__month"),
         *[F.col(c).cast("double").alias(f"__f_{c}") for c in numbers])
-    joined = left_join(left, right, _KEYS, right_unique=keys.unique)
-    return joined.select("cpf_publico_target", target,
-                         *[F.col(f"__f_{c}").alias(c) for c in numbers], month)
+    made = [f"__f_{c}" for c in numbers]
+    joined = _join_sides(left, [(right, keys.unique)],
+                         ["cpf_publico_target", target, *made, month], skew)
+    return joined.withColumnsRenamed(dict(zip(made, numbers)))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from monthbook.functions.scalars import safe_divide
-from monthbook.operators.ranks import running_sums
+from monthbook.operators.ranks import cut_points, running_sums
 
 
 def class_distribution(df: DataFrame, target: str, is_train: Column) -> DataFrame:
@@ -59,12 +59,12 @@ def classification_metrics(df: DataFrame, label: str, prediction: str,
 def _score_curve(df: DataFrame, label: Column, score: str, by: Sequence[str],
                  buckets: int | None) -> DataFrame:
     """Positives and negatives per score, with their running sums and totals."""
-    counted = (df.select(*by, F.col(score).cast("double").alias("__score"), label.alias("__y"))
-               .where(F.col("__score").isNotNull() & F.col("__y").isNotNull())
-               .groupBy(*by, "__score")
-               .agg(F.count_if(F.col("__y")).alias("__pos"),
-                    F.count_if(~F.col("__y")).alias("__neg")))
-    return running_sums(counted, "__score", {"__cp": "__pos", "__cn": "__neg"}, by, buckets)
+    rows = (df.select(*by, F.col(score).cast("double").alias("__score"), label.alias("__y"))
+            .where(F.col("__score").isNotNull() & F.col("__y").isNotNull()))
+    counted = rows.groupBy(*by, "__score").agg(F.count_if(F.col("__y")).alias("__pos"),
+                                               F.count_if(~F.col("__y")).alias("__neg"))
+    return running_sums(counted, "__score", {"__cp": "__pos", "__cn": "__neg"}, by,
+                        cut_points(rows, "__score", buckets))
 
 
 def binary_curve_metrics(df: DataFrame, label: Column, score: str,

@@ -1,10 +1,11 @@
 """Exact ranks, running sums and quantiles without a one-task window.
 
-Rows are first reduced to one row per distinct value.  The values are cut into buckets at
-approximate quantiles (a few numbers, computed once and then fixed, so a retried task sees
-the same cut).  Running sums inside a bucket plus the totals of the buckets before it are
-the exact running sums.  A bucket holds about ``1 / buckets`` of the distinct values, also
-inside one hot group, because the cuts are taken over all rows.
+Rows are reduced to one row per distinct value.  The values are cut into buckets at
+approximate quantiles of all rows (a few numbers, found in one pass without a shuffle and
+then fixed, so a retried task sees the same cut).  Running sums inside a bucket plus the
+totals of the buckets before it are the exact running sums.  Between two cuts lie about
+``1 / buckets`` of all rows, so no bucket has more distinct values than that, not even
+inside one hot group; a hot value is a single row by then.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ def bucket_count(spark: SparkSession) -> int:
     return max(2, min(2000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
+def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
     """Up to ``buckets - 1`` increasing cuts, each an existing value of ``column``."""
+    buckets = buckets or bucket_count(df.sparkSession)
     probs = [i / buckets for i in range(1, buckets)]
     return sorted(set(df.approxQuantile(column, probs, 1.0 / (4 * buckets))))
 
@@ -38,23 +40,25 @@ def with_bucket(df: DataFrame, value: str, cuts: Sequence[float], name: str) ->
 
 
 def running_sums(df: DataFrame, value: str, sums: Mapping[str, str],
-                 by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                 by: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
     """Adds, per group, running sums in increasing order of ``value``.
 
     ``df`` has one row per (group, value), ``value`` is numeric and not NULL.  ``sums``
     maps new columns to the summed ones.  Each new column includes the row itself, and
-    ``{new}_total`` is the total of the group.
+    ``{new}_total`` is the total of the group.  ``cuts`` are those of the rows that ``df``
+    was reduced from; without them they are looked up in ``df``.
     """
     by = list(by)
-    buckets = buckets or bucket_count(df.sparkSession)
     keyed = df.withColumn("__at", F.col(value).cast("double"))
-    cut = with_bucket(keyed, "__at", cut_points(keyed, "__at", buckets), _BUCKET)
+    if cuts is None:
+        cuts = cut_points(keyed, "__at")
+    cut = with_bucket(keyed, "__at", cuts, _BUCKET)
 
     inside = (Window.partitionBy(*by, _BUCKET).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = cut.select("*", *[F.sum(c).over(inside).alias(new) for new, c in sums.items()])
 
-    # At most one row per (group, bucket), so this window never holds more than `buckets`.
+    # One row per (group, bucket): this window holds no more rows than there are cuts.
     before = (Window.partitionBy(*by).orderBy(_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
     totals = cut.groupBy(*by, _BUCKET).agg(
@@ -66,7 +70,7 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, str],
         *[F.sum(f"{n}_total").over(Window.partitionBy(*by)).alias(f"{n}_total")
           for n in sums])
     if not by:
-        offsets = F.broadcast(offsets)  # at most `buckets` rows
+        offsets = F.broadcast(offsets)  # one row per cut, and one more
     same = [rows[c].eqNullSafe(offsets[f"__{c}"]) for c in by]
     joined = rows.join(offsets, [rows[_BUCKET] == offsets[f"__{_BUCKET}"], *same])
     return joined.select(
@@ -79,10 +83,11 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float],
               by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: columns ``q0, q1, ...`` per group."""
     by = list(by)
-    counted = (df.select(*by, F.col(value).cast("double").alias("__v"))
-               .where(F.col("__v").isNotNull())
-               .groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n")))
-    ranked = running_sums(counted, "__v", {"__upto": "__n"}, by, buckets)
+    rows = (df.select(*by, F.col(value).cast("double").alias("__v"))
+            .where(F.col("__v").isNotNull()))
+    counted = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running_sums(counted, "__v", {"__upto": "__n"}, by,
+                          cut_points(rows, "__v", buckets))
     total = F.col("__upto_total")
     first, last = F.col("__upto") - F.col("__n"), F.col("__upto") - 1
     picked, made = [], []

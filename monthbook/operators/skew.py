@@ -1,11 +1,9 @@
 """Left joins that survive a hot key.
 
-A hot key on the left is split by adaptive execution (a left outer join may split its left
-side).  A hot key on the right cannot be split that way, so those keys get a join of their
-own: equal right rows are counted, each count is shared out over salts, and the left rows
-of the key are repeated once per salt.  A hot key does exist on the right, so this part is
-an inner join; the rest is the ordinary left join.  No row is lost and none is doubled, and
-salts depend on nothing but the row, so a retried task makes the same ones.
+Hot keys are few, and are found before the join.  They get a join of their own: on the side
+that is hot, equal rows are counted and each count is shared out over salts; the rows of
+those keys on the other side are repeated once per salt.  No row is lost and none is
+doubled, and salts depend on nothing but the row, so a retried task makes the same ones.
 """
 
 from __future__ import annotations
@@ -15,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+SALT, COPIES = "__salt", "__copies"
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01,
              min_rows: int = 1_000_000) -> list[tuple]:
@@ -53,6 +53,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     """``left`` with the columns of ``right``, every left row kept.
 
     ``right_unique`` says that no key repeats on the right; nothing is then looked up.
+    A hot key does exist on the right, so its part is an inner join.
     """
     keys = list(keys)
     hot = [] if right_unique else hot_keys(right, keys, share, min_rows)
@@ -62,20 +63,33 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     columns = [*left.columns, *payload]
     cold = (left.where(~is_one_of(left, keys, hot))
             .join(right.where(~is_one_of(right, keys, hot)), keys, "left"))
+    warm = repeat_rows(left.where(is_one_of(left, keys, hot)), salts).join(
+        spread_rows(right.where(is_one_of(right, keys, hot)), salts), [*keys, SALT])
+    return cold.select(*columns).unionByName(each_copy(warm, columns))
+
+
+def repeat_rows(df: DataFrame, salts: int) -> DataFrame:
+    """Every row once per salt."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(SALT))
+
 
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
-    repeated = left.where(is_one_of(left, keys, hot)).select("*", every_salt)
-    # n equal rows become up to `salts` rows that stand for n // salts copies, or one more.
+def spread_rows(df: DataFrame, salts: int) -> DataFrame:
+    """Rows shared out over salts.
+
+    ``n`` equal rows become up to ``salts`` rows that stand for ``n // salts`` copies, or
+    one more.  The salts depend on nothing but the row.
+    """
     copies = F.floor(F.col("__n") / salts) + F.when(
         F.col("__s") < F.col("__n") % salts, 1).otherwise(0)
-    spread = (right.where(is_one_of(right, keys, hot))
-              .groupBy(*right.columns).agg(F.count(F.lit(1)).alias("__n"))
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
-              .select(*right.columns, copies.alias("__copies"),
-                      F.pmod(F.xxhash64(*right.columns) + F.col("__s"), F.lit(salts))
-                      .cast("int").alias("__salt"))
-              .where(F.col("__copies") > 0))
-    warm = (repeated.join(spread, [*keys, "__salt"])
-            .select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .drop("col"))
-    return cold.select(*columns).unionByName(warm)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return (counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
+            .select(*df.columns, copies.alias(COPIES),
+                    F.pmod(F.xxhash64(*df.columns) + F.col("__s"), F.lit(salts))
+                    .cast("int").alias(SALT))
+            .where(F.col(COPIES) > 0))
+
+
+def each_copy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per copy again."""
+    return df.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES)))
+                     .alias("__copy")).drop("__copy")

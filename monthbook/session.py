@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Books have thousands of column expressions; do not record where each was written.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -100,6 +100,21 @@ def test_master_joins_shuffle_the_population_once(world, spark):
     assert plan.count("Exchange hashpartitioning") == 3  # population and two tables
 
 
+def test_hot_documents_on_both_sides(world, spark):
+    pop, tables, keys = world
+    many = pop.union(spark.createDataFrame([("2", "202401", 1)] * 300, pop.schema))
+    tables["ft1"] = tables["ft1"].union(
+        spark.createDataFrame([("2", "202312", float(i % 4), "q") for i in range(150)],
+                              tables["ft1"].schema))
+    args = dict(doc="document_id", month="date_yyyymm")
+    feature_map = {"ft1": ["score", "cat"], "ft2": ["level"]}
+    plain = master_table(many, tables, keys, feature_map, **args)
+    salted = master_table(many, tables, keys, feature_map, share=0.2, min_rows=100, **args)
+    assert "__copies" in salted._jdf.queryExecution().toString()
+    assert plain.count() == 301 * 152 + 3
+    assert plain.exceptAll(salted).count() == 0 == salted.exceptAll(plain).count()
+
+
 def test_join_pipeline_can_be_run_again(world, spark, tmp_path):
     pop, tables, keys = world
     args = dict(doc="document_id", month="date_yyyymm", months=["202401", "202402"],

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from monthbook.operators import bins, causal as c, effects as e, metrics as m, prep, quality, reports
 from monthbook.operators.linear import fit_groups
-from monthbook.operators.ranks import quantile_values, quantiles, row_index, running_sums
+from monthbook.operators.ranks import (
+    cut_points, quantile_values, quantiles, row_index, running_sums)
 from monthbook.operators.training import BoosterSettings
 from monthbook.plans.causal_report import causal_report
 from monthbook.plans.model_pipeline import run_models, save_runs
@@ -25,7 +26,8 @@ def test_running_sums_and_quantiles_equal_pandas(spark, buckets):
     pdf = _skewed()
     df = spark.createDataFrame(pdf)
     counted = df.groupBy("g", "v").agg(F.count("*").alias("n"))
-    got = running_sums(counted, "v", {"upto": "n"}, ["g"], buckets).toPandas()
+    cuts = cut_points(df, "v", buckets)
+    got = running_sums(counted, "v", {"upto": "n"}, ["g"], cuts).toPandas()
     got = got.sort_values(["g", "v"]).reset_index(drop=True)
     expected = pdf.groupby(["g", "v"]).size().groupby("g").cumsum()
     assert got["upto"].tolist() == expected.tolist()
