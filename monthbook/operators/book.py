@@ -341,50 +341,77 @@ class _Parts:
         return self("hit", f"{v}={value}", lambda: F.count_if(F.col(v) == F.lit(value)))
 
 
-def _total(w: _Window, part: Column) -> Column:
+def _total(w: _Window, part: Column, tag: Column | None = None) -> Column:
     """Sum of a count over the months of a window, 0 if there are none."""
-    return F.sum(F.when(w.inside, part).otherwise(0))
+    return F.sum(F.when(w.inside if tag is None else w.inside & tag, part).otherwise(0))
 
 
-def _book_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
-                      flags: bool, ref: str) -> DataFrame:
-    parts = _Parts()
-    centres: dict[str, Column] = {}
-    features: list[Column] = []
-    whole_key = Window.partitionBy(spec.key)
+class _Rollup:
+    """Numeric features put together from monthly parts.
+
+    ``group`` are the keys of the book.  A ``tag`` limits a feature to some of the parts.
+    """
 
-    def spread(v: str, w: _Window, less: int, root: bool) -> Column:
+    def __init__(self, group: Sequence[str]) -> None:
+        self.parts = _Parts()
+        self.centres: dict[str, Column] = {}
+        self.group = list(group)
+
+    def feature(self, v: str, agg: str, w: _Window, tag: Column | None = None,
+                zero_sum: bool = True) -> Column:
+        def only(part: Column) -> Column:
+            return part if tag is None else F.when(tag, part)
+
+        parts = self.parts
+        if agg == "sum" and zero_sum:
+            return F.sum(F.when(w.inside, only(parts.sum(v))).otherwise(0))
+        if agg == "sum":
+            return F.sum(w.value(only(parts.sum(v))))
+        if agg == "avg":
+            return safe_divide(F.sum(w.value(only(parts.sum(v)))),
+                               _total(w, parts.count(v), tag))
+        if agg == "count":
+            return _total(w, parts.count(v), tag)
+        if agg == "max":
+            return F.max(w.value(only(parts.high(v))))
+        if agg == "min":
+            return F.min(w.value(only(parts.low(v))))
+        less, root = _SPREADS[agg]
         # Two passes over the months of a key: the mean of the window, then the distances.
-        centre = f"__centre_{v}_{w.months}"
         n, mean = parts.count(v), parts.mean(v)
-        centres[centre] = safe_divide(F.sum(w.value(n * mean)).over(whole_key),
-                                      F.sum(F.when(mean.isNotNull(), w.value(n)))
-                                      .over(whole_key))
-        away = mean - F.col(f"`{centre}`")
-        squares = F.sum(w.value(parts.squares(v) + n * away * away))
-        total = _total(w, n)
+        total = _total(w, n, tag)
+        key = f"__centre_{v}_{w.months}_{tag}"
+        if key not in self.centres:
+            over = Window.partitionBy(*self.group)
+            known = F.when(mean.isNotNull(), n)
+            self.centres[key] = safe_divide(F.sum(w.value(only(n * mean))).over(over),
+                                            F.sum(w.value(only(known))).over(over))
+        away = mean - F.col(f"__centre_{list(self.centres).index(key)}")
+        squares = F.sum(w.value(only(parts.squares(v) + n * away * away)))
         value = F.when(total > less, squares / (total - less))
         return F.sqrt(value) if root else value
 
-    for v in spec.numeric:
-        for w in windows:
-            for agg in spec.aggregations:
-                if agg == "sum":
-                    made = F.sum(F.when(w.inside, parts.sum(v)).otherwise(0))
-                elif agg == "avg":
-                    made = safe_divide(F.sum(w.value(parts.sum(v))),
-                                       _total(w, parts.count(v)))
-                elif agg == "count":
-                    made = _total(w, parts.count(v))
-                elif agg == "max":
-                    made = F.max(w.value(parts.high(v)))
-                elif agg == "min":
-                    made = F.min(w.value(parts.low(v)))
-                elif agg in _SPREADS:
-                    made = spread(v, w, *_SPREADS[agg])
-                else:
-                    continue  # medians are joined on later
-                features.append(made.alias(feature_name(v, agg, w.months)))
+    def monthly(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The parts per key and month."""
+        return rows.groupBy(*keys).agg(
+            *(self.parts.made.values() or [F.lit(1).alias("__any")]))
+
+    def finish(self, monthly: DataFrame, features: Sequence[Column]) -> DataFrame:
+        """The features of each group; its few rows are moved as they are, once."""
+        local = monthly.repartition(*[F.col(c) for c in self.group])
+        if self.centres:
+            local = local.select("*", *[c.alias(f"__centre_{i}")
+                                        for i, c in enumerate(self.centres.values())])
+        return local.groupBy(*self.group).agg(*features)
+
+
+def _book_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                      flags: bool, ref: str) -> DataFrame:
+    rollup = _Rollup([spec.key])
+    parts = rollup.parts
+    features = [rollup.feature(v, agg, w).alias(feature_name(v, agg, w.months))
+                for v in spec.numeric for w in windows for agg in spec.aggregations
+                if agg != "median"]  # medians are joined on later
     for i, v in enumerate(spec.categorical):
         for w in windows:
             distinct = F.sum(F.when(w.inside, F.col(f"__distinct_{i}")).otherwise(0))
@@ -413,16 +440,11 @@ def _book_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
     if not features:
         return rows.select(spec.key).distinct()
 
-    monthly = rows.groupBy(spec.key, spec.month).agg(
-        *(parts.made.values() or [F.lit(1).alias("__any")]))
+    monthly = rollup.monthly(rows, [spec.key, spec.month])
     if spec.categorical:
         monthly = monthly.unionByName(_distinct_by_month(rows, spec, windows, ref),
                                       allowMissingColumns=True)
-    # A key has few rows by now.  Moving them as they are keeps the wide features local.
-    monthly = monthly.repartition(F.col(spec.key))
-    if centres:
-        monthly = monthly.select("*", *[c.alias(name) for name, c in centres.items()])
-    return monthly.groupBy(spec.key).agg(*features)
+    return rollup.finish(monthly, features)
 
 
 def _distinct_by_month(rows: DataFrame, spec: BookSpec, windows: list[_Window],
@@ -444,9 +466,14 @@ def category_book(df: DataFrame, spec: BookSpec, ref: str) -> DataFrame:
 def break_book(df: DataFrame, spec: BookSpec, ref: str, by: str) -> DataFrame:
     """One row per (key, value of ``by``); sums are NULL where the window has no row."""
     check_aggregations(spec.aggregations)
-    rows = windowed_rows(df, spec, ref)
-    features = _numeric(spec, _windows(df, spec, ref), zero_sum=False, prefix=by)
-    return rows.groupBy(spec.key, by).agg(*features)
+    rows, windows = windowed_rows(df, spec, ref), _windows(df, spec, ref)
+    if not set(spec.aggregations) <= set(_FROM_MONTHS):
+        features = _numeric(spec, windows, zero_sum=False, prefix=by)
+        return rows.groupBy(spec.key, by).agg(*features)
+    rollup = _Rollup([spec.key, by])
+    features = [rollup.feature(v, agg, w, zero_sum=False).alias(f"{by}_{v}_{agg}_{w.months}m")
+                for v in spec.numeric for w in windows for agg in spec.aggregations]
+    return rollup.finish(rollup.monthly(rows, [spec.key, by, spec.month]), features)
 
 
 def break_books(df: DataFrame, spec: BookSpec, ref: str, by: Sequence[str],
@@ -476,30 +503,57 @@ def break_books(df: DataFrame, spec: BookSpec, ref: str, by: Sequence[str],
         raise ValueError(f"shape must be 'wide' or 'joined', not {shape!r}")
 
     check_aggregations(spec.aggregations)
-    rows = windowed_rows(df, spec, ref)
-    windows = _windows(df, spec, ref)
-    features = _numeric(base_spec, windows)
-    for b in by:
-        known = (values or {}).get(b)
-        for value in known if known is not None else break_values(rows, b):
-            is_value = F.col(b).eqNullSafe(F.lit(value))
-            stem = f"{b}_{normalize_text(value)}"
-            for column in _wide_break(base_spec, windows, is_value, stem):
-                features.append(column)
-    book = rows.groupBy(spec.key).agg(*features)
+    rows, windows = windowed_rows(df, spec, ref), _windows(df, spec, ref)
+    known = {b: (values or {}).get(b) or break_values(rows, b) for b in by}
+    if set(spec.aggregations) <= set(_FROM_MONTHS):
+        book = _wide_from_months(rows, base_spec, windows, known)
+    else:
+        features = _numeric(base_spec, windows) + _wide_breaks(base_spec, windows, known)
+        book = rows.groupBy(spec.key).agg(*features)
     made = [F.col(c) for c in book.columns if c != spec.key]
     return book.select(spec.key, *_stamps(spec, ref), *made)
 
 
-def _wide_break(spec: BookSpec, windows: list[_Window], is_value: Column,
-                stem: str) -> list[Column]:
+def _wide_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                      known: Mapping[str, Sequence[object]]) -> DataFrame:
+    """Base and break features from one rollup.
+
+    Each row counts once for the base (break -1) and once per break, under the number of its
+    value.  A key has at most one part per month and value of a break, not per combination.
+    """
+    rollup = _Rollup([spec.key])
+    roles = [F.struct(F.lit(-1).alias("__break"), F.lit(-1).alias("__item"))]
+    base = F.col("__break") == -1
+    features = [rollup.feature(v, agg, w, base).alias(feature_name(v, agg, w.months))
+                for v in spec.numeric for w in windows for agg in spec.aggregations]
+    for i, (b, items) in enumerate(known.items()):
+        number = F.lit(None).cast("int")
+        for j, value in enumerate(items):
+            number = F.when(F.col(b).eqNullSafe(F.lit(value)), j).otherwise(number)
+            tag = (F.col("__break") == i) & (F.col("__item") == j)
+            features += [
+                rollup.feature(v, agg, w, tag, zero_sum=False)
+                .alias(f"{b}_{normalize_text(value)}_{v}_{agg}_{w.months}m")
+                for v in spec.numeric for w in windows for agg in spec.aggregations]
+        roles.append(F.struct(F.lit(i).alias("__break"), number.alias("__item")))
+    tagged = rows.select("*", F.inline(F.array(*roles))).where(F.col("__item").isNotNull())
+    keys = [spec.key, spec.month, "__break", "__item"]
+    return rollup.finish(rollup.monthly(tagged, keys), features)
+
+
+def _wide_breaks(spec: BookSpec, windows: list[_Window],
+                 known: Mapping[str, Sequence[object]]) -> list[Column]:
     out = []
-    for var in spec.numeric:
-        for w in windows:
-            inside = F.when(w.inside & is_value, F.col(var))
-            for agg in spec.aggregations:
-                made = F.sum(inside) if agg == "sum" else AGGREGATES[agg](inside)
-                out.append(made.alias(f"{stem}_{var}_{agg}_{w.months}m"))
+    for b, items in known.items():
+        for value in items:
+            is_value = F.col(b).eqNullSafe(F.lit(value))
+            for var in spec.numeric:
+                for w in windows:
+                    inside = F.when(w.inside & is_value, F.col(var))
+                    for agg in spec.aggregations:
+                        made = F.sum(inside) if agg == "sum" else AGGREGATES[agg](inside)
+                        out.append(made.alias(
+                            f"{b}_{normalize_text(value)}_{var}_{agg}_{w.months}m"))
     return out
 
 

@@ -160,3 +160,52 @@ def test_run_book_twice_keeps_one_snapshot(spark, tx, tmp_path):
     assert again.validation.first().qtd_total_registros == 4
     names = {r.column_name for r in again.mostly_null.collect()}
     assert "v_avg_1m" in names
+
+
+AGGS = ("sum", "avg", "max", "min", "count", "std", "var_pop")
+
+
+def _close(a, b):
+    assert a.columns == b.columns
+    key = lambda r: tuple(str(x) for x in (r[0], r[1]))
+    for x, y in zip(sorted(a.collect(), key=key), sorted(b.collect(), key=key), strict=True):
+        for c in a.columns:
+            assert x[c] == (pytest.approx(y[c], rel=1e-7, abs=1e-9)
+                            if isinstance(y[c], float) else y[c]), c
+
+
+@pytest.fixture()
+def many(spark):
+    rows = [("hot" if i % 3 == 0 else f"k{i % 40}", f"2023{i * 7 % 12 + 1:02d}",
+             None if i % 11 == 0 else 1e9 + (i * 7919) % 1000 / 7, "xyz"[i % 3] if i % 5 else None,
+             float(i % 4)) for i in range(3000)]
+    return spark.createDataFrame(rows, "cpf string, anomes string, v double, c string, w double")
+
+
+def test_months_and_rows_give_the_same_book(many, monkeypatch):
+    """The rollup against the plain one-pass aggregate.
+
+    Values near 1e9 test the spreads; doubles of that size carry about 8 digits of them.
+    """
+    from monthbook.operators import book as module
+
+    spec = BookSpec(numeric=["v", "w"], categorical=["c"], aggregations=AGGS, windows=(1, 3, 12),
+                    value_counts={"c": ["x", "q"]}, ratios={"v": ["w"]}, stamp_time=False,
+                    where="v IS NULL OR v > 0")
+    fast = feature_book(many, spec, "202312", flags=True)
+    assert "__centre_0" in fast._jdf.queryExecution().toString()
+    breaks = [module.break_book(many, spec, "202312", "c"),
+              break_books(many, spec, "202312", ["c", "w"])]
+    monkeypatch.setattr(module, "_FROM_MONTHS", ())
+    plain = [feature_book(many, spec, "202312", flags=True),
+             module.break_book(many, spec, "202312", "c"),
+             break_books(many, spec, "202312", ["c", "w"])]
+    for a, b in zip([fast, *breaks], plain, strict=True):
+        _close(a, b)
+
+
+def test_wide_books_shuffle_narrow_rows(many):
+    spec = BookSpec(numeric=["v", "w"], aggregations=AGGS, windows=(1, 3, 6, 12))
+    plan = feature_book(many, spec, "202312")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "Exchange hashpartitioning(cpf" in plan
