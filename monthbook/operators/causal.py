@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from monthbook.functions.scalars import clip, safe_divide
 from monthbook.operators.linear import fit_groups, gram, per_group, solve
 from monthbook.operators.ranks import quantile_values
+from monthbook.session import cut_lineage
 
 _VECTOR = "__features"
 
@@ -102,14 +103,14 @@ def _forest(spec: CausalSpec, label: str, depth: int | None = None,
     forest = RandomForestRegressor(
         featuresCol=_VECTOR, labelCol=label, predictionCol="__prediction",
         numTrees=spec.trees, maxDepth=depth or spec.treatment_depth,
-        minInstancesPerNode=spec.leaf, seed=spec.seed)
+        minInstancesPerNode=spec.leaf, seed=spec.seed, maxMemoryInMB=512)
     return forest.setWeightCol(weight) if weight else forest
 
 
 def _booster(spec: CausalSpec, label: str) -> GBTRegressor:
     return GBTRegressor(featuresCol=_VECTOR, labelCol=label, predictionCol="__prediction",
                         maxIter=spec.trees, maxDepth=spec.outcome_depth, stepSize=0.1,
-                        seed=spec.seed)
+                        seed=spec.seed, maxMemoryInMB=512)
 
 
 # --- residuals --------------------------------------------------------------------------
@@ -158,7 +159,7 @@ def _crossfit_trees(rows: DataFrame, spec: CausalSpec, models: list) -> DataFram
 
     ``models`` holds (name, estimator, condition on the training rows).
     """
-    ready = _vector(rows, spec.inputs).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = cut_lineage(_vector(rows, spec.inputs))
     parts = []
     for k in range(spec.folds):
         other, own = ready.where(F.col("fold") != k), ready.where(F.col("fold") == k)

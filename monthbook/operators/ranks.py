@@ -34,9 +34,10 @@ def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[f
 def with_bucket(df: DataFrame, value: str, cuts: Sequence[float], name: str) -> DataFrame:
     """Adds the bucket of a double column: 0 below the first cut, 1 from there on, ..."""
     if not cuts:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *map(float, cuts), float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=name).transform(df)
+    cut = Bucketizer(splits=splits, inputCol=value, outputCol=name).transform(df)
+    return cut.withColumn(name, F.col(name).cast("int"))
 
 
 def running_sums(df: DataFrame, value: str, sums: Mapping[str, str],
@@ -131,9 +132,9 @@ def row_index(df: DataFrame, time: str, tie: str, name: str = "row_index",
     if hot:
         cut = with_bucket(cut, "__id", sorted(set(at_tie)), "__b2")
     else:
-        cut = cut.withColumn("__b2", F.lit(0.0))
+        cut = cut.withColumn("__b2", F.lit(0))
     cut = (cut.withColumn("__b1", F.when(is_hot, 0).otherwise(1))
-           .withColumn("__b2", F.when(is_hot, F.col("__b2")).otherwise(0.0)))
+           .withColumn("__b2", F.when(is_hot, F.col("__b2")).otherwise(0)))
     names = ["__b0", "__b1", "__b2"]
     inside = Window.partitionBy(*names).orderBy("__t", tie)
     rows = cut.select("*", F.row_number().over(inside).alias("__pos"))
