@@ -1,11 +1,13 @@
 """Feature books: one row per customer, conditional aggregates over trailing month windows.
 
 All windows end at the reference month, so they are nested and one filtered scan serves
-them all.  A book is made in two steps:
+them all.  Up to about a hundred features a book is one ``groupBy(key).agg(...)``.  Wider
+aggregates fall out of generated code and shuffle wide partial rows, so they are made in two
+steps:
 
 1. a rollup to one row per (key, month) with the few parts every feature is made of: sums,
    counts, extremes, centred squares, hits of counted values.  Partial aggregates reduce
-   each task's rows before the shuffle, so a hot customer costs no more than any other;
+   each task's rows before a shuffle, so a hot customer costs no more than any other;
 2. the windows, over at most as many rows per key as the widest window has months.  The
    several hundred feature columns only exist here, after the last shuffle.
 
@@ -57,6 +59,8 @@ class BookSpec:
     month: str = "anomes"
     approx_distinct: bool = False
     stamp_time: bool = True
+    #: Whether to roll rows up by month first; by default only for wide books.
+    by_month: bool | None = None
 
 
 def _avg(v: Column) -> Column:
@@ -264,8 +268,11 @@ def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -
     check_aggregations(spec.aggregations, also=("median",))
     rows = windowed_rows(df, spec, ref)
     windows = _windows(df, spec, ref)
-    by_month = set(spec.aggregations) <= {*_FROM_MONTHS, "median"}
-    if by_month and not spec.extra and not spec.approx_distinct:
+    pieces = (len(spec.numeric) * len(spec.aggregations) + 2 * len(spec.categorical)
+              + sum((3 if flags else 2) * len(v) for v in spec.value_counts.values())
+              + sum(len(_denominators(d)) for d in spec.ratios.values()))
+    possible = not spec.extra and not spec.approx_distinct
+    if possible and _use_months(spec, pieces * len(windows)):
         book = _book_from_months(rows, spec, windows, flags, ref)
     else:
         book = _book_from_rows(rows, spec, windows, flags, ref)
@@ -277,6 +284,16 @@ def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -
     return book.select(spec.key, *_stamps(spec, ref), *made)
 
 
+#: Widest aggregate made straight from the rows; the default limit of generated code.
+WIDE = 100
+
+
+def _use_months(spec: BookSpec, width: int) -> bool:
+    """Whether a book of ``width`` features should be, and can be, made from months."""
+    wanted = spec.by_month if spec.by_month is not None else width > WIDE
+    return wanted and set(spec.aggregations) <= {*_FROM_MONTHS, "median"}
+
+
 def _book_from_rows(rows: DataFrame, spec: BookSpec, windows: list[_Window],
                     flags: bool, ref: str) -> DataFrame:
     """All features in one aggregate over the rows themselves."""
@@ -341,53 +358,44 @@ class _Parts:
         return self("hit", f"{v}={value}", lambda: F.count_if(F.col(v) == F.lit(value)))
 
 
-def _total(w: _Window, part: Column, tag: Column | None = None) -> Column:
+def _total(w: _Window, part: Column) -> Column:
     """Sum of a count over the months of a window, 0 if there are none."""
-    return F.sum(F.when(w.inside if tag is None else w.inside & tag, part).otherwise(0))
+    return F.sum(F.when(w.inside, part).otherwise(0))
 
 
 class _Rollup:
-    """Numeric features put together from monthly parts.
-
-    ``group`` are the keys of the book.  A ``tag`` limits a feature to some of the parts.
-    """
+    """Numeric features put together from monthly parts; ``group`` are the keys of the book."""
 
     def __init__(self, group: Sequence[str]) -> None:
         self.parts = _Parts()
-        self.centres: dict[str, Column] = {}
+        self.centres: dict[tuple, Column] = {}
         self.group = list(group)
 
-    def feature(self, v: str, agg: str, w: _Window, tag: Column | None = None,
-                zero_sum: bool = True) -> Column:
-        def only(part: Column) -> Column:
-            return part if tag is None else F.when(tag, part)
-
+    def feature(self, v: str, agg: str, w: _Window, zero_sum: bool = True) -> Column:
         parts = self.parts
         if agg == "sum" and zero_sum:
-            return F.sum(F.when(w.inside, only(parts.sum(v))).otherwise(0))
+            return F.sum(F.when(w.inside, parts.sum(v)).otherwise(0))
         if agg == "sum":
-            return F.sum(w.value(only(parts.sum(v))))
+            return F.sum(w.value(parts.sum(v)))
         if agg == "avg":
-            return safe_divide(F.sum(w.value(only(parts.sum(v)))),
-                               _total(w, parts.count(v), tag))
+            return safe_divide(F.sum(w.value(parts.sum(v))), _total(w, parts.count(v)))
         if agg == "count":
-            return _total(w, parts.count(v), tag)
+            return _total(w, parts.count(v))
         if agg == "max":
-            return F.max(w.value(only(parts.high(v))))
+            return F.max(w.value(parts.high(v)))
         if agg == "min":
-            return F.min(w.value(only(parts.low(v))))
+            return F.min(w.value(parts.low(v)))
         less, root = _SPREADS[agg]
         # Two passes over the months of a key: the mean of the window, then the distances.
         n, mean = parts.count(v), parts.mean(v)
-        total = _total(w, n, tag)
-        key = f"__centre_{v}_{w.months}_{tag}"
+        total, key = _total(w, n), (v, w.months)
         if key not in self.centres:
             over = Window.partitionBy(*self.group)
             known = F.when(mean.isNotNull(), n)
-            self.centres[key] = safe_divide(F.sum(w.value(only(n * mean))).over(over),
-                                            F.sum(w.value(only(known))).over(over))
+            self.centres[key] = safe_divide(F.sum(w.value(n * mean)).over(over),
+                                            F.sum(w.value(known)).over(over))
         away = mean - F.col(f"__centre_{list(self.centres).index(key)}")
-        squares = F.sum(w.value(only(parts.squares(v) + n * away * away)))
+        squares = F.sum(w.value(parts.squares(v) + n * away * away))
         value = F.when(total > less, squares / (total - less))
         return F.sqrt(value) if root else value
 
@@ -467,7 +475,7 @@ def break_book(df: DataFrame, spec: BookSpec, ref: str, by: str) -> DataFrame:
     """One row per (key, value of ``by``); sums are NULL where the window has no row."""
     check_aggregations(spec.aggregations)
     rows, windows = windowed_rows(df, spec, ref), _windows(df, spec, ref)
-    if not set(spec.aggregations) <= set(_FROM_MONTHS):
+    if not _use_months(spec, len(spec.numeric) * len(spec.aggregations) * len(windows)):
         features = _numeric(spec, windows, zero_sum=False, prefix=by)
         return rows.groupBy(spec.key, by).agg(*features)
     rollup = _Rollup([spec.key, by])
@@ -505,56 +513,62 @@ def break_books(df: DataFrame, spec: BookSpec, ref: str, by: Sequence[str],
     check_aggregations(spec.aggregations)
     rows, windows = windowed_rows(df, spec, ref), _windows(df, spec, ref)
     known = {b: (values or {}).get(b) or break_values(rows, b) for b in by}
-    if set(spec.aggregations) <= set(_FROM_MONTHS):
-        book = _wide_from_months(rows, base_spec, windows, known)
-    else:
-        features = _numeric(base_spec, windows) + _wide_breaks(base_spec, windows, known)
-        book = rows.groupBy(spec.key).agg(*features)
+    book = _wide_breaks(rows, base_spec, windows, known)
     made = [F.col(c) for c in book.columns if c != spec.key]
     return book.select(spec.key, *_stamps(spec, ref), *made)
 
 
-def _wide_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
-                      known: Mapping[str, Sequence[object]]) -> DataFrame:
-    """Base and break features from one rollup.
+def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
+                 known: Mapping[str, Sequence[object]]) -> DataFrame:
+    """Base and break features side by side.
 
-    Each row counts once for the base (break -1) and once per break, under the number of its
-    value.  A key has at most one part per month and value of a break, not per combination.
+    Each row counts once for the base (item 0) and once per break, under the number of its
+    value.  Features are made per (key, item); a pivot then sets the items of a key, no more
+    than there are values, next to each other.
     """
-    rollup = _Rollup([spec.key])
-    roles = [F.struct(F.lit(-1).alias("__break"), F.lit(-1).alias("__item"))]
-    base = F.col("__break") == -1
-    features = [rollup.feature(v, agg, w, base).alias(feature_name(v, agg, w.months))
-                for v in spec.numeric for w in windows for agg in spec.aggregations]
-    for i, (b, items) in enumerate(known.items()):
+    names = [(v, agg, w) for v in spec.numeric for w in windows for agg in spec.aggregations]
+    items, stems = [F.lit(0)], [""]
+    for b, values in known.items():
         number = F.lit(None).cast("int")
-        for j, value in enumerate(items):
-            number = F.when(F.col(b).eqNullSafe(F.lit(value)), j).otherwise(number)
-            tag = (F.col("__break") == i) & (F.col("__item") == j)
-            features += [
-                rollup.feature(v, agg, w, tag, zero_sum=False)
-                .alias(f"{b}_{normalize_text(value)}_{v}_{agg}_{w.months}m")
-                for v in spec.numeric for w in windows for agg in spec.aggregations]
-        roles.append(F.struct(F.lit(i).alias("__break"), number.alias("__item")))
-    tagged = rows.select("*", F.inline(F.array(*roles))).where(F.col("__item").isNotNull())
-    keys = [spec.key, spec.month, "__break", "__item"]
-    return rollup.finish(rollup.monthly(tagged, keys), features)
-
-
-def _wide_breaks(spec: BookSpec, windows: list[_Window],
-                 known: Mapping[str, Sequence[object]]) -> list[Column]:
+        for value in values:
+            number = F.when(F.col(b).eqNullSafe(F.lit(value)), len(stems)).otherwise(number)
+            stems.append(f"{b}_{normalize_text(value)}_")
+        items.append(number)
+    tagged = (rows.select("*", F.explode(F.array(*items)).alias("__item"))
+              .where(F.col("__item").isNotNull()))
+
+    group = [spec.key, "__item"]
+    rollup = _Rollup(group) if _use_months(spec, len(names)) else None
+    def feature(v: str, agg: str, w: _Window, zero_sum: bool) -> Column:
+        if rollup is not None:
+            return rollup.feature(v, agg, w, zero_sum)
+        if agg != "sum":
+            return AGGREGATES[agg](w.value(F.col(v)))
+        return F.sum(F.when(w.inside, F.col(v)).otherwise(0) if zero_sum
+                     else w.value(F.col(v)))
+
+    made = [feature(*name, zero_sum=False).alias(f"f{i}") for i, name in enumerate(names)]
+    made += [feature(*name, zero_sum=True).alias(f"z{i}") for i, name in enumerate(names)
+             if name[1] == "sum"]
+    if rollup is not None:
+        long = rollup.finish(rollup.monthly(tagged, [*group, spec.month]), made)
+    else:
+        long = tagged.groupBy(*group).agg(*made)
+    columns = [c for c in long.columns if c not in group]
+    # The few items of a key are moved as they are; the wide rows are made in place.
+    wide = (long.repartition(F.col(spec.key)).groupBy(spec.key)
+            .pivot("__item", list(range(len(stems))))
+            .agg(*[F.first(c).alias(c) for c in [*columns, "__item"]]))
     out = []
-    for b, items in known.items():
-        for value in items:
-            is_value = F.col(b).eqNullSafe(F.lit(value))
-            for var in spec.numeric:
-                for w in windows:
-                    inside = F.when(w.inside & is_value, F.col(var))
-                    for agg in spec.aggregations:
-                        made = F.sum(inside) if agg == "sum" else AGGREGATES[agg](inside)
-                        out.append(made.alias(
-                            f"{b}_{normalize_text(value)}_{var}_{agg}_{w.months}m"))
-    return out
+    for j, stem in enumerate(stems):
+        for i, (v, agg, w) in enumerate(names):
+            source = "z" if agg == "sum" and j == 0 else "f"
+            value = F.col(f"`{j}_{source}{i}`")
+            if agg in ("count", "approx_count_distinct"):
+                value = F.coalesce(value, F.lit(0))
+            name = f"{stem}{v}_{agg}_{w.months}m" if stem else feature_name(v, agg, w.months)
+            out.append(value.alias(name))
+    return wide.select(spec.key, *out)
 
 
 def break_values(rows: DataFrame, by: str, most: int = 1000) -> list[object]:

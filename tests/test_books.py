@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from monthbook.operators.book import (
-    BookSpec, break_books, category_book, cross_ratios, feature_book)
+    BookSpec, break_book, break_books, category_book, cross_ratios, feature_book)
 from monthbook.plans.book_pipeline import reference_month, run_book
 from monthbook.plans.presets import BEHAVIOUR_PRESETS, MODEL_PRESETS, preset_book
 
@@ -182,30 +182,49 @@ def many(spark):
     return spark.createDataFrame(rows, "cpf string, anomes string, v double, c string, w double")
 
 
-def test_months_and_rows_give_the_same_book(many, monkeypatch):
+def test_months_and_rows_give_the_same_book(many):
     """The rollup against the plain one-pass aggregate.
 
     Values near 1e9 test the spreads; doubles of that size carry about 8 digits of them.
     """
-    from monthbook.operators import book as module
-
-    spec = BookSpec(numeric=["v", "w"], categorical=["c"], aggregations=AGGS, windows=(1, 3, 12),
-                    value_counts={"c": ["x", "q"]}, ratios={"v": ["w"]}, stamp_time=False,
-                    where="v IS NULL OR v > 0")
-    fast = feature_book(many, spec, "202312", flags=True)
-    assert "__centre_0" in fast._jdf.queryExecution().toString()
-    breaks = [module.break_book(many, spec, "202312", "c"),
-              break_books(many, spec, "202312", ["c", "w"])]
-    monkeypatch.setattr(module, "_FROM_MONTHS", ())
-    plain = [feature_book(many, spec, "202312", flags=True),
-             module.break_book(many, spec, "202312", "c"),
-             break_books(many, spec, "202312", ["c", "w"])]
-    for a, b in zip([fast, *breaks], plain, strict=True):
+    def books(by_month):
+        spec = BookSpec(numeric=["v", "w"], categorical=["c"], aggregations=AGGS,
+                        windows=(1, 3, 12), value_counts={"c": ["x", "q"]},
+                        ratios={"v": ["w"]}, stamp_time=False, by_month=by_month,
+                        where="v IS NULL OR v > 0")
+        return [feature_book(many, spec, "202312", flags=True),
+                break_book(many, spec, "202312", "c"),
+                break_books(many, spec, "202312", ["c", "w"])]
+
+    months, rows = books(True), books(False)
+    assert "__centre_0" in months[0]._jdf.queryExecution().toString()
+    assert "__centre_0" not in rows[0]._jdf.queryExecution().toString()
+    for a, b in zip(months, rows, strict=True):
         _close(a, b)
 
 
+def test_wide_breaks_equal_conditional_sums(many):
+    spec = BookSpec(numeric=["v"], aggregations=("sum", "count", "max"), windows=(1, 12),
+                    stamp_time=False)
+    got = break_books(many, spec, "202312", ["c"])
+    inside = {1: F.col("anomes") >= "202312", 12: F.lit(True)}
+    columns = []
+    for value in ("x", "y", "z", None):
+        hit = F.col("c").eqNullSafe(F.lit(value))
+        stem = f"c_{'none' if value is None else value}_v"
+        for n, w in inside.items():
+            v = F.when(w & hit, F.col("v"))
+            columns += [F.sum(v).alias(f"{stem}_sum_{n}m"), F.count(v).alias(f"{stem}_count_{n}m"),
+                        F.max(v).alias(f"{stem}_max_{n}m")]
+    base = feature_book(many, spec, "202312").drop("dt_referencia")
+    wanted = (many.where("anomes >= '202301'").groupBy("cpf").agg(*columns).join(base, "cpf"))
+    _close(got.select(*wanted.columns), wanted)
+
+
 def test_wide_books_shuffle_narrow_rows(many):
-    spec = BookSpec(numeric=["v", "w"], aggregations=AGGS, windows=(1, 3, 6, 12))
+    spec = BookSpec(numeric=["v", "w"], aggregations=AGGS, windows=(1, 3, 6, 9, 12, 24, 36, 48))
     plan = feature_book(many, spec, "202312")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
-    assert "Exchange hashpartitioning(cpf" in plan
+    narrow = feature_book(many, BookSpec(numeric=["v"], windows=(1, 3)), "202312")
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
