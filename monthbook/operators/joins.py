@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from monthbook.functions.months import month_literal, shift_month, shift_month_col
 from monthbook.operators.skew import (
-    SALT, each_copy, hot_keys, is_one_of, left_join, repeat_rows, spread_rows)
+    MIN_ROWS, SALT, each_copy, hot_keys, is_one_of, left_join, repeat_rows, spread_rows)
 from monthbook.sources.tables import FeatureKeys, numeric_columns
 
 _KEYS = ["__doc", "__month"]
@@ -75,6 +75,12 @@ def _join_all(population: DataFrame, doc: str, month: str,
 
 def _join_sides(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]],
                 out: Sequence[str], skew: Mapping[str, float]) -> DataFrame:
+    # Rows without a key match nothing.  Many of them must not meet in one task.
+    missing = F.col("__doc").isNull() | F.col("__month").isNull()
+    if left.where(missing).count() >= skew.get("min_rows", MIN_ROWS):
+        rest = _join_sides(left.where(~missing), sides, out, skew)
+        lost = left.where(missing).select(*[c for c in out if c in left.columns])
+        return rest.unionByName(lost, allowMissingColumns=True)
     hot = hot_keys(left, _KEYS, **skew)
     if not hot:
         return _chain(left, sides, _KEYS, skew).select(*out)

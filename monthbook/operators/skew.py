@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 SALT, COPIES = "__salt", "__copies"
+#: Fewer rows than this are no burden for one task.
+MIN_ROWS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01,
-             min_rows: int = 1_000_000) -> list[tuple]:
+             min_rows: int = MIN_ROWS) -> list[tuple]:
     """Keys with at least ``min_rows`` rows and ``share`` of all rows: under ``1 / share``.
 
     One pass finds every candidate (a frequent-items summary of bounded size misses none),
@@ -49,7 +51,7 @@ def is_one_of(df: DataFrame, keys: Sequence[str], values: Sequence[tuple]) -> Co
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
               right_unique: bool = False, share: float = 0.01,
-              min_rows: int = 1_000_000, salts: int = 64) -> DataFrame:
+              min_rows: int = MIN_ROWS, salts: int = 64) -> DataFrame:
     """``left`` with the columns of ``right``, every left row kept.
 
     ``right_unique`` says that no key repeats on the right; nothing is then looked up.

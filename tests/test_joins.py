@@ -115,6 +115,18 @@ def test_hot_documents_on_both_sides(world, spark):
     assert plain.exceptAll(salted).count() == 0 == salted.exceptAll(plain).count()
 
 
+def test_many_rows_without_a_document(world, spark):
+    pop, tables, keys = world
+    many = pop.union(spark.createDataFrame([(None, "202401", 1)] * 200, pop.schema))
+    args = dict(doc="document_id", month="date_yyyymm")
+    feature_map = {"ft1": ["score"], "ft2": ["level"]}
+    plain = master_table(many, tables, keys, feature_map, **args)
+    split = master_table(many, tables, keys, feature_map, min_rows=100, **args)
+    assert "Union" in split._jdf.queryExecution().toString()
+    assert split.columns == plain.columns and split.count() == 205
+    assert plain.exceptAll(split).count() == 0
+
+
 def test_join_pipeline_can_be_run_again(world, spark, tmp_path):
     pop, tables, keys = world
     args = dict(doc="document_id", month="date_yyyymm", months=["202401", "202402"],
