@@ -6,6 +6,7 @@ from monthbook.llm.chat import CHAT_SQL, chat_query
 from monthbook.llm.decontam import decontamination_query
 from monthbook.llm.langid import language_query
 from monthbook.llm.mixing import mixing_query
+from monthbook.llm.pii import pii_query
 from monthbook.llm.simhash import simhash_query
 from monthbook.llm.tokens import tokens_query
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_simhash": simhash_query,
     "op4_decontamination": decontamination_query,
     "op5_token_ids": tokens_query,
+    "op6_pii": pii_query,
     "op7_chat_format": chat_query,
     "op8_language_id": language_query,
     "op9_mixing": mixing_query,
