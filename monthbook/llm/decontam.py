@@ -24,6 +24,7 @@ fewer than ``SHORTEST`` words are not searched for; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -62,66 +63,94 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 7)
 
 
-class Canon:
-    """Template words of texts, with a bounded cache of word forms."""
-
-    def __init__(self, most: int = 300_000) -> None:
-        self.most, self.index = most, {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index.clear()
-        self.forms: list[tuple] = []
-        self.table = None
-
-    @staticmethod
-    def form(word: str) -> tuple[str, int, int, int, int]:
-        """The bare word; is it empty, a number, capitalised; does it end a sentence?"""
-        bare = _EDGES.sub("", word)
-        ends = int(word[-1] in ".!?:" if word else 0)
-        number = int(bool(_NUMBER.match(bare))) or 2 * int(
-            bool((m := _MEASURE.match(bare)) and m[2].lower() in UNITS))
-        titled = int(len(bare) > 1 and bare[0].isupper() and bare[1:].islower())
-        return bare, int(not bare), number, titled, ends
-
-    def words(self, texts: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray],
-                                               np.ndarray]:
-        """Hash of each template word; its form and whether it is a slot; the text it is of."""
-        if len(self.index) > self.most:
-            self._clear()
-        split = [t.split() for t in texts]
-        flat = [w for ws in split for w in ws]
-        for w in set(flat).difference(self.index):
-            bare, empty, number, titled, ends = self.form(w)
-            low = bare.lower()
-            self.index[w] = len(self.forms)
-            self.forms.append((_hash(low), empty, number, titled, ends, low in UNITS, bare, low))
-            self.table = None
-        if self.table is None:
-            self.table = (np.array([f[0] for f in self.forms], np.uint64),
-                          np.array([f[1:6] for f in self.forms], np.int8).reshape(-1, 5))
-        owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        kept = self.table[1][at, 0] == 0
-        first = np.diff(owner, prepend=-1) != 0
-        # a word begins a sentence if it begins the text or the word before it ends one
-        ended = np.concatenate([[1], self.table[1][at, 4]])[:-1].astype(bool) if len(at) else kept
-        opens = (first | ended)[kept]
-        at, owner = at[kept], owner[kept]
-        hashes, flags = self.table[0][at].copy(), self.table[1][at]
-        first = np.diff(owner, prepend=-1) != 0
-        number = flags[:, 1] > 0
-        behind = np.concatenate([[False], number[:-1]]) & ~first if len(at) else number
-        unit = behind & (flags[:, 4] > 0) & ~number
-        name = (flags[:, 2] > 0) & ~opens & ~unit & ~number
-        for mask, kind in ((number & (flags[:, 1] == 1), NUMBER), (unit, UNIT), (name, NAME),
-                           (flags[:, 1] == 2, NUMBER + UNIT)):
-            hashes[mask] = _hash(kind)
-        slot = number | unit | name
-        return hashes, (at, slot), owner
+_SPACE, _WORD, _LEFT, _RIGHT, _DIGIT, _UPPER, _LOWER, _STOP = (1 << k for k in range(8))
+_BASE = 0x9E3779B97F4A7C15
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of each code point below 65,535: its class bits, and its lower case."""
+    chars = [chr(c) for c in range(0xFFFF)]
+    bits = [(_SPACE * c.isspace() | _WORD * (c.isalnum() or c == "_") | _LEFT * (c in "$€£¥+-")
+             | _RIGHT * (c in "%°") | _DIGIT * c.isdigit() | _UPPER * c.isupper()
+             | _LOWER * c.islower() | _STOP * (c in ".!?:")) for c in chars]
+    low = [ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in chars]
+    # the last entry stands for all code points above: they are letters without case
+    return np.array([*bits, _WORD], np.uint8), np.array([*low, 0xFFFF], np.uint32)
+
+
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse."""
+    out = []
+    for x in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n + 1, x, np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return out[0], out[1]
+
+
+class Template:
+    """The template words of some texts.
+
+    ``hashes`` has the hash of each template word, ``slot`` whether it is a placeholder, ``owner``
+    the text it is of, and ``value(k)`` the word itself.
+    """
+
+    def __init__(self, texts: list[str]) -> None:
+        self.whole = "".join(t + "\n" for t in texts)
+        codes = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        classes, lower = _tables()
+        small = np.minimum(codes, 0xFFFF)
+        kind = classes[small]
+        ends_of = np.cumsum([len(t) + 1 for t in texts])
+        blank = np.concatenate([[True], (kind & _SPACE) > 0])
+        start = np.flatnonzero(blank[:-1] & ~blank[1:])
+        stop = np.flatnonzero(~blank[:-1] & blank[1:])
+        # without outer punctuation: from the first to the last character that may be an edge
+        left, right = (np.flatnonzero(kind & (_WORD | x)) for x in (_LEFT, _RIGHT))
+        pad = np.append(left, len(codes))
+        first = pad[np.searchsorted(left, start)]
+        last = np.concatenate([[-1], right])[np.searchsorted(right, stop)] + 1
+        owner = np.searchsorted(ends_of, start, side="right")
+        opens = np.concatenate([[True], (kind[stop[:-1] - 1] & _STOP) > 0])[:len(start)]
+        opens |= np.diff(owner, prepend=-1) != 0
+        some = last > first
+        first, last, owner, opens = first[some], last[some], owner[some], opens[some]
+        size = 1 << max(16, int(len(codes)).bit_length())
+        power, inverse = _powers(size)
+        letters = np.where(codes > 0xFFFE, codes, lower[small]).astype(np.uint64)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(letters * power[:len(codes)], out=sums[1:])
+        hashes = (sums[last] - sums[first]) * inverse[first]
+        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+        def inside(bit: int) -> np.ndarray:
+            seen = np.concatenate([[0], np.cumsum((kind & bit) > 0, dtype=np.int32)])
+            return seen[last] - seen[first]
+
+        name = ((last - first > 1) & ((kind[np.minimum(first, len(kind) - 1)] & _UPPER) > 0)
+                & (inside(_UPPER) == 1) & (inside(_LOWER) == last - first - 1) & ~opens)
+        self.first, self.last = first, last
+        number, unit, both = ([] for _ in range(3))
+        for k in np.flatnonzero(inside(_DIGIT)).tolist():
+            word = self.value(k)
+            if _NUMBER.match(word):
+                number.append(k)
+                if k + 1 < len(owner) and owner[k + 1] == owner[k] and (
+                        self.value(k + 1).lower() in UNITS):
+                    unit.append(k + 1)
+            elif (m := _MEASURE.match(word)) and m[2].lower() in UNITS:
+                both.append(k)
+        self.slot = name
+        hashes[name] = _hash(NAME)
+        for found, what in ((number, NUMBER), (unit, UNIT), (both, NUMBER + UNIT)):
+            hashes[found] = _hash(what)
+            self.slot[found] = True
+        self.hashes, self.owner = hashes, owner
 
     def value(self, k: int) -> str:
-        return self.forms[k][6]
+        return self.whole[self.first[k]: self.last[k]]
 
 
 def windows(hashes: np.ndarray, slot: np.ndarray, owner: np.ndarray, size: int
@@ -147,25 +176,26 @@ ROWS = "doc_id bigint, at bigint, hash bigint, size int, slots array<string>"
 def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
     """Windows of texts (doc_id, text) as rows; with a filter, only those that may match."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canon = Canon()
         bits = None if filter_ is None else np.frombuffer(filter_, np.uint8)
-        for batch in slices(batches, 2 << 20):
+        for batch in slices(batches, 1 << 20):
             ids = batch.column(0).to_pylist()
-            hashes, (form, slot), owner = canon.words(batch.column(1).to_pylist())
+            words = Template(batch.column(1).to_pylist())
+            owner, slot = words.owner, words.slot
             length = np.bincount(owner, minlength=len(ids))
             begin = np.cumsum(length) - length
             out = []
             for n in sizes:
-                at, found = windows(hashes, slot, owner, n)
+                at, found = windows(words.hashes, slot, owner, n)
                 if bits is None and n != size:  # a short item is one window
                     whole = length[owner[at]] == n
                     at, found = at[whole], found[whole]
                 if bits is not None:
-                    may = _test(bits, found)
-                    at, found = at[may], found[may]
+                    for place in range(2):
+                        may = _test(bits, found, place)
+                        at, found = at[may], found[may]
                 for k, h in zip(at.tolist(), found.view(np.int64).tolist()):
                     who = owner[k]
-                    values = [canon.value(form[j]) for j in range(k, k + n) if slot[j]]
+                    values = [words.value(j) for j in range(k, k + n) if slot[j]]
                     out.append((ids[who], int(k - begin[who]), h, n, values))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(
@@ -174,21 +204,22 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
     return run
 
 
-def _places(hashes: np.ndarray) -> np.ndarray:
-    """Two bit numbers of the filter for each hash."""
-    return np.concatenate([(hashes >> np.uint64(7)) % np.uint64(FILTER_BITS),
-                           (hashes >> np.uint64(33)) % np.uint64(FILTER_BITS)]).astype(np.int64)
+def _places(hashes: np.ndarray, place: int) -> np.ndarray:
+    """One of two bit numbers of the filter for each hash."""
+    return ((hashes >> np.uint64((7, 33)[place])) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def _test(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _places(hashes)
-    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).reshape(2, -1).all(axis=0)
+def _test(bits: np.ndarray, hashes: np.ndarray, place: int) -> np.ndarray:
+    at = _places(hashes, place)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def _bloom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(FILTER_BITS, bool)
     for batch in batches:
-        bits[_places(np.asarray(batch.column(0), dtype=np.int64).view(np.uint64))] = True
+        hashes = np.asarray(batch.column(0), dtype=np.int64).view(np.uint64)
+        for place in range(2):
+            bits[_places(hashes, place)] = True
     yield pa.RecordBatch.from_arrays(
         [pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
 
