@@ -10,10 +10,12 @@ from monthbook.llm.mixing import mixing_query
 from monthbook.llm.pii import pii_query
 from monthbook.llm.simhash import simhash_query
 from monthbook.llm.sketches import fingerprint_query
+from monthbook.llm.suffixes import suffix_query
 from monthbook.llm.tokens import tokens_query
 
 QUERIES = {
     "op1_simhash": simhash_query,
+    "op2_suffix_dedup": suffix_query,
     "op3_fingerprints": fingerprint_query,
     "op4_decontamination": decontamination_query,
     "op5_token_ids": tokens_query,
