@@ -17,8 +17,8 @@ the document, and two values never became one.  If no value changed it is ``verb
 
 Defined results: null and empty texts have no windows; repeated rows of a document count as one
 document, repeated items are represented by the least item_id among those with the same template
-and slots; documents with a null doc_id are reported under null, and a stage that drops reported
-documents drops all of them; an empty benchmark or table gives no rows; items of
+and slots; documents with a null doc_id are reported under null, and told apart by a hash of the
+text; an empty benchmark or table gives no rows; items of
 fewer than ``SHORTEST`` words are not searched for; other columns are ignored.
 """
 
@@ -170,16 +170,16 @@ def windows(hashes: np.ndarray, slot: np.ndarray, owner: np.ndarray, size: int
     return at, total[at]
 
 
-ROWS = "doc_id bigint, at bigint, hash bigint, size int, slots array<string>"
+ROWS = "doc_id bigint, version bigint, at bigint, hash bigint, size int, slots array<string>"
 
 
 def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
-    """Windows of texts (doc_id, text) as rows; with a filter, only those that may match."""
+    """Windows of texts (doc_id, version, text) as rows; with a filter, only those that may match."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filter_ is None else np.frombuffer(filter_, np.uint8)
         for batch in slices(batches, 1 << 20):
-            ids = batch.column(0).to_pylist()
-            words = Template(batch.column(1).to_pylist())
+            ids, versions, texts = (c.to_pylist() for c in batch.columns)
+            words = Template(texts)
             owner, slot = words.owner, words.slot
             length = np.bincount(owner, minlength=len(ids))
             begin = np.cumsum(length) - length
@@ -196,11 +196,11 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
                 for k, h in zip(at.tolist(), found.view(np.int64).tolist()):
                     who = owner[k]
                     values = [words.value(j) for j in range(k, k + n) if slot[j]]
-                    out.append((ids[who], int(k - begin[who]), h, n, values))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
+                    out.append((ids[who], versions[who], int(k - begin[who]), h, n, values))
+            kinds = [*[pa.int64()] * 4, pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)],
-                names=["doc_id", "at", "hash", "size", "slots"])
+                names=["doc_id", "version", "at", "hash", "size", "slots"])
     return run
 
 
@@ -226,12 +226,15 @@ def _bloom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  least: int = LEAST) -> DataFrame:
-    """doc_id, item_id, windows, kind for each document that holds an item of the benchmark."""
+    """doc_id, version, item_id, windows, kind for each document that holds an item.
+
+    ``version`` is a hash of the text: it tells rows with one doc_id apart.
+    """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("doc_id"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Items that are the same text are one; short items are windows of their own length.
     items = items.groupBy(F.xxhash64("text").alias("h"), "text").agg(
-        F.min("doc_id").alias("doc_id")).select("doc_id", "text")
+        F.min("doc_id").alias("doc_id")).select("doc_id", F.col("h").alias("version"), "text")
     sizes = tuple(range(min(SHORTEST, window), window + 1))
     all_windows = saved(items.mapInArrow(_windows(window, None, sizes), ROWS), "items")
     # A window of a long item is of full size; of a short item the whole is taken.
@@ -250,30 +253,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
              .mapInArrow(_bloom, "bits binary").collect()]  # at most eight filters of fixed size
     bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in blobs]).tobytes()
     used = tuple(r["size"] for r in known.select("size").distinct().collect())  # `window` at most
-    texts = doc_texts(docs)
+    texts = doc_texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
     found = texts.mapInArrow(_windows(window, bits, used), ROWS)
     met = found.join(known, ["hash", "size"]).select(
-        "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "n",
+        "doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "n",
         F.arrays_zip("item_slots", "slots").alias("pairs"))
     # Repeated rows of a document give equal windows: distinct ones count.
-    each = met.groupBy("doc_id", "item_id", "shift").agg(
+    each = met.groupBy("doc_id", "version", "item_id", "shift").agg(
         F.countDistinct("item_at").alias("windows"), F.max("n").alias("n"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one_to_one = ((F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")))
                   & (F.size("pairs") == F.size(F.array_distinct("pairs.slots"))))
     same_values = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     good = each.where((F.col("windows") >= F.least(F.lit(least), F.col("n"))) & one_to_one)
-    return good.groupBy("doc_id", "item_id").agg(
+    return good.groupBy("doc_id", "version", "item_id").agg(
         F.max("windows").alias("windows"),
         F.when(F.max(same_values), "verbatim").otherwise("reparameterised").alias("kind"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold an item of the benchmark."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(bad["__bad"]), "left_anti")
+    bad = contaminated(docs, benchmark).select(
+        F.col("doc_id").alias("__bad"), F.col("version").alias("__version")).distinct()
+    version = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(bad["__bad"])
+                     & (version == bad["__version"]), "left_anti")
 
 
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, and the item."""
-    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return contaminated(read(spark, sf_dir, "documents"),
+                        read(spark, sf_dir, "benchmark")).drop("version")

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from monthbook.llm.common import read, share, slices
 
@@ -180,12 +181,19 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     return LanguageModel(langs, code, weights.astype(np.float32), trust)
 
 
-def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """``docs`` with lang_pred, score and ambiguous."""
+OUT = ("lang_pred", "score", "ambiguous")
+
+
+def identify(docs: DataFrame, model: LanguageModel | None,
+             out: tuple[str, str, str] = OUT) -> DataFrame:
+    """``docs`` with the language, the score and whether it is ambiguous, in columns ``out``.
+
+    Columns of ``docs`` with one of these names are replaced.
+    """
+    docs = docs.drop(*out)
     names = docs.columns
     if model is None:
-        return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(False).alias("ambiguous"))
+        return docs.select("*", *[F.lit(v).alias(n) for v, n in zip((UNKNOWN, 0.0, False), out)])
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     known = pa.array([UNKNOWN, *model.langs])
 
@@ -199,19 +207,26 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             if rows:
                 best, sure, near = model.decode(model.margins([texts[k] for k in rows]))
                 lang[rows], score[rows], close[rows] = best + 1, sure, near
-            made = [known.take(pa.array(lang)), pa.array(score), pa.array(close)]
-            keep = [batch.column(k) for k, n in enumerate(names) if n in kept]
             yield pa.RecordBatch.from_arrays(
-                [*keep, *made], names=[*kept, "lang_pred", "score", "ambiguous"])
+                [*batch.columns, known.take(pa.array(lang)), pa.array(score), pa.array(close)],
+                names=[*names, *out])
 
-    clash = {"lang_pred", "score", "ambiguous"}
-    kept = [n for n in names if n not in clash]
-    schema = docs.drop(*clash).schema
-    for name, kind in (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")):
-        schema = schema.add(name, kind)
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(out, ("string", "double", "boolean")):
+        schema.add(name, kind)
     return docs.mapInArrow(predict, schema)
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents whose language is known and not ambiguous, with their own columns.
+
+    The model learns from the documents that are not held out.
+    """
+    out = ("__lang", "__score", "__close")
+    found = identify(docs, learn(docs.where(~held_out())), out)
+    return found.where((F.col("__lang") != UNKNOWN) & ~F.col("__close")).drop(*out)
+
+
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from those that are not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -226,7 +226,7 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-def mixing_stage(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns.
 
     Documents are matched by doc_id; where several rows share one, each is repeated as often as

@@ -72,13 +72,14 @@ def _signed(value: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number."""
+    """doc_id, version (a hash of the text) and fp, the fingerprint as a signed 64-bit number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [_signed(fingerprint(t, shingle)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())],
-                                             names=["doc_id", "fp"])
-    return doc_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+            found = [_signed(fingerprint(t, shingle)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())],
+                                             names=["doc_id", "version", "fp"])
+    rows = doc_texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, version bigint, fp bigint")
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,19 +233,52 @@ def links(nodes: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> Dat
     return pairs.union(hung.where("a != b").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
-                    dense: int = DENSE) -> DataFrame:
-    """doc_id, fp and component_id: the least doc_id that links of ``distance`` bits reach."""
+def _classes(docs: DataFrame, shingle: int, distance: int, dense: int
+             ) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and (fp, root, least) of all fingerprints.
+
+    ``least`` orders rows: those with a doc_id first, by doc_id, then by version.
+    """
     marked = saved(fingerprints(docs, shingle), "fingerprints")
-    nodes = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")
+    nodes = saved(marked.groupBy("fp").agg(F.min(row).alias("least")), "nodes")
     roots = components(links(nodes, distance, dense))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = saved(rooted.join(least, "root").select("fp", "component_id"), "classes")
+        "fp", F.coalesce("root", "fp").alias("root"), "least")
+    return marked, saved(rooted, "rooted")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                    dense: int = DENSE) -> DataFrame:
+    """doc_id, fp and component_id: the least doc_id that links of ``distance`` bits reach."""
+    marked, rooted = _classes(docs, shingle, distance, dense)
+    least = rooted.groupBy("root").agg(F.min("least.doc_id").alias("component_id"))
+    of = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
+                dense: int = DENSE) -> DataFrame:
+    """``docs`` with one row of each component: the least doc_id, then the least hash of the text."""
+    _, rooted = _classes(docs, shingle, distance, dense)
+    stay = saved(rooted.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("__id"), F.col("least.version").alias("__version")), "stay")
+    version = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.withColumn("__v", version)
+    same = rows["doc_id"].cast("bigint").eqNullSafe(stay["__id"]) & (
+        rows["__v"] == stay["__version"])
+    kept = rows.join(stay, same, "left_semi")
+    # Repeated rows of one document are left: one of them stays.
+    again = saved(kept.groupBy("doc_id", "__v").count().where("count > 1").drop("count"), "again")
+    if again.isEmpty():
+        return kept.drop("__v")
+    twice = rows["doc_id"].eqNullSafe(again["doc_id"]) & (rows["__v"] == again["__v"])
+    many = kept.join(again, twice, "left_semi")
+    one = many.groupBy("doc_id", "__v").agg(F.any_value(F.struct(*docs.columns)).alias("__row"))
+    return (kept.join(again, twice, "left_anti").drop("__v")
+            .unionByName(one.select("__row.*")))
+
+
 def hex16(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

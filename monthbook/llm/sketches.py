@@ -108,7 +108,7 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
 
 def in_ranges(texts: DataFrame) -> DataFrame:
     """``texts`` with ``part``: even ranges of doc_id, in order; -1 for a null doc_id."""
-    n = partitions(texts.sparkSession)
+    n = 4 * partitions(texts.sparkSession)  # several ranges a task, so that tasks come out even
     bounds = texts.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n) if n > 1 else []
     edges = [float("-inf"), *sorted(set(bounds)), float("inf")]
     ranged = texts.withColumn("__at", F.coalesce(F.col("doc_id"), F.lit(0)).cast("double"))
@@ -130,7 +130,7 @@ def with_next(texts: DataFrame, also: dict[str, Column]) -> DataFrame:
     firsts = placed.groupBy("part").agg(F.min("doc_id").alias("first"))
     heads = firsts.select("part", "first", F.coalesce(
         F.lag("part").over(order), F.max("part").over(Window.partitionBy())).alias("to"))
-    # Broadcast: one row per range, so no more than there are shuffle partitions.
+    # Broadcast: one row per range, so four times the shuffle partitions at most.
     copies = (placed.alias("p").join(F.broadcast(heads.alias("h")), F.expr(
         "p.part = h.part AND p.doc_id <=> h.first"))
         .groupBy(F.col("h.to").alias("part")).agg(F.min("p.text").alias("text")))
