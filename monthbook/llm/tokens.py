@@ -14,9 +14,7 @@ as little-endian unsigned numbers of ``width`` bytes; rule k is symbol ``FIRST +
 the number of ids that each rule stands for (4 bytes each).  Summing lengths over ``symbols`` finds
 any position, and only the symbols around it need to be expanded (:func:`decode_range`).
 
-Encoding is cached by word: a text whose blanks all stand between two other characters is cut at
-them, as the vocabulary's pattern never lets a token reach over such a cut; new words are encoded by
-the library, in one call for many.  All other texts go through the library whole.
+Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call.
 
 Defined results: null and empty texts are the end id alone; a null doc_id comes first; rows that
 share a doc_id follow by a hash of the text; an empty table gives no shards; other columns are
@@ -29,6 +27,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +39,30 @@ from monthbook.session import scratch_path
 
 END = 2
 FIRST = 50_257  # the vocabulary's size: the first nonterminal
-BLOCK_TOKENS = 4_000_000
-ROUNDS = 6
+BLOCK_TOKENS = 2_000_000
+ROUNDS = 4
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
 MOST_RULES = (1 << 16) - FIRST  # so that symbols fit into two bytes
-CACHED_WORDS = 500_000
+CACHED_WORDS = 700_000
+_SLOTS = 1 << 20
+_WHITE = re.compile(r"\s")
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
          "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary")
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, with a cache of words (bounded)."""
+    """Ids of texts by the tokenizers library, with a bounded cache of words.
+
+    A text is cut into words at single blanks; a newline, and a comma or full stop behind a letter
+    or digit, are words of their own.  The vocabulary's pattern cuts there too, so the ids of the
+    words, each encoded with the blank before it, are the ids of the text.  ``\0`` marks a word
+    without a blank before it.  Where a cut would not be one of the pattern's (two blanks, other
+    white space at a word's edge, more than two newlines, a comma behind other punctuation), the
+    library encodes the whole text.
+    """
 
-    _uncut = re.compile(r" \s|\s |\x00")
     _newline = 198  # the id of a newline; it separates words that are encoded together
 
     def __init__(self, path: str) -> None:
@@ -66,63 +74,83 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
-        self.n = self.used = 0
+        self.ids, self.begins = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.uncut, self.closed = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
+        self.used = 0
+        self._learn(["\0", "\0,", "\0."])
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.index)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.n + len(lengths) > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while n + len(words) + 1 > len(self.begins):
+            self.begins, self.uncut, self.closed = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.uncut, self.closed))
         self.ids[self.used: self.used + len(ids)] = ids
-        self.ends[self.n: self.n + len(lengths)] = self.used + np.cumsum(lengths)
+        self.begins[n + 1: n + len(words) + 1] = self.used + np.cumsum(lengths)
         self.used += len(ids)
-        self.n += len(lengths)
+        bare = [w.lstrip("\0") for w in words]
+        self.uncut[n: n + len(words)] = [
+            w != "\n" and w != "\0" and (not b or b[0].isspace() or b[-1].isspace())
+            for w, b in zip(words, bare)]
+        self.closed[n: n + len(words)] = [b[-1:].isalnum() for b in bare]
+        self.index.update(zip(words, range(n, n + len(words))))
 
     def _learn(self, words: list[str]) -> None:
-        """Adds words to the cache.  A word that starts a text begins with a zero byte."""
-        plain = [w for w in words if w and w[0] != "\0" and not re.search(r"\s", w)]
+        """Encodes new words, most of them in one call with newlines between."""
+        plain = [w for w in words if w and w[0] != "\0" and not _WHITE.search(w)]
         simple = set(plain)
         odd = [w for w in words if w not in simple]
-        for at in range(0, len(plain), 4096):
-            part = plain[at: at + 4096]
+        for at in range(0, len(plain), 1024):
+            part = plain[at: at + 1024]
             ids = np.array(self._batch(["".join(f" {w}\n" for w in part)])[0], np.uint32)
             cuts = np.flatnonzero(ids == self._newline)
-            lengths = np.diff(cuts, prepend=-1) - 1
-            self._add(np.delete(ids, cuts), lengths)
-        for ids in self._batch([w[1:] if w[:1] == "\0" else f" {w}" for w in odd]):
-            self._add(np.array(ids, np.uint32), np.array([len(ids)]))
-        at = len(self.index)
-        self.index.update(zip(plain + odd, range(at, at + len(words))))
+            self._add(part, np.delete(ids, cuts), np.diff(cuts, prepend=-1) - 1)
+        if odd:
+            found = self._batch([w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
+                                 for w in odd])
+            self._add(odd, np.array([x for ids in found for x in ids], np.uint32),
+                      np.array([len(ids) for ids in found]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, each with the end id, and their numbers."""
         if len(self.index) > CACHED_WORDS:
             self._clear()
         words: list[str] = []
-        counts, whole = np.zeros(len(texts), np.int64), {}
+        counts, whole = np.zeros(len(texts), np.int64), set()
         for k, text in enumerate(texts):
-            if self._uncut.search(text):
-                whole[k] = text
+            if "\0" in text or "\n\n\n" in text or "\n\n " in text or text[-2:] == "\n\n":
+                whole.add(k)
             elif text:
-                parts = text.split(" ")
-                parts[0] = "\0" + parts[0]
+                parts = (f"\0{text}".replace("\n", " \n \0").replace(", ", " \0, ")
+                         .replace(". ", " \0. ").split(" "))
                 words += parts
                 counts[k] = len(parts)
-        new = set(words).difference(self.index)
-        if new:
-            self._learn(sorted(new))
-        picked = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        begins = np.concatenate([[0], self.ends[: self.n]])
-        lengths = begins[picked + 1] - begins[picked]
-        cut_ids = self.ids[ragged(begins[picked], lengths)]
-        owner = np.repeat(np.arange(len(texts)), counts)
-        sizes = np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
-        others = dict(zip(whole, self._batch(list(whole.values()))))
-        taken = sizes.copy()
+        picked = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(picked < 0)
+        if len(new):
+            missing = [words[k] for k in new.tolist()]
+            self._learn(sorted(set(missing)))
+            picked[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
+        wrong = self.uncut[picked]
+        mark = (picked == self.index["\0,"]) | (picked == self.index["\0."])
+        wrong[1:] |= mark[1:] & ~self.closed[picked[:-1]]
+        if wrong.any():
+            owner = np.repeat(np.arange(len(texts)), counts)
+            bad = np.bincount(owner[wrong], minlength=len(texts)) > 0
+            whole.update(np.flatnonzero(bad).tolist())
+            picked, counts = picked[~bad[owner]], np.where(bad, 0, counts)
+        first = self.begins[picked]
+        lengths = self.begins[picked + 1] - first
+        cut_ids = self.ids[ragged(first, lengths)]
+        sums = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        taken = np.diff(sums)
+        sizes = taken.copy()
+        order = sorted(whole)
+        others = dict(zip(order, self._batch([texts[k] for k in order])))
         for k, ids in others.items():
             sizes[k] = len(ids)
         sizes += 1
@@ -136,61 +164,73 @@ class Encoder:
 
 def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS
            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The compressed sequence, the rules (n, 2) and the number of ids each rule stands for."""
+    """The compressed sequence, the rules (n, 2) and the number of ids each rule stands for.
+
+    Pairs are counted in hashed slots; in each round a slot works for the one pair it last saw, and
+    another pair of that slot has to wait for a later round.
+    """
     seq = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    lengths = np.zeros(0, np.int64)
-    made = 0
+    lengths = np.ones(FIRST, np.int64)
     for _ in range(rounds):
+        made = len(lengths) - FIRST
         if len(seq) < 2 or made >= MOST_RULES:
             break
         pairs = (seq[:-1] << 17) | seq[1:]
-        slot = ((pairs * 0x9E3779B97F4A7C1) >> 20) & ((1 << 20) - 1)
-        many = np.flatnonzero(np.bincount(slot, minlength=1 << 20)[slot] >= least)
-        found, back, often = np.unique(pairs[many], return_inverse=True, return_counts=True)
-        order = np.argsort(-often, kind="stable")[: MOST_RULES - made]
-        order = order[often[order] >= least]
-        if not len(order):
+        slot = (pairs * 0x9E3779B97F4A7C1 >> 30) & (_SLOTS - 1)
+        at = np.flatnonzero((np.bincount(slot, minlength=_SLOTS) >= least)[slot])
+        pairs, slot = pairs[at], slot[at]
+        owner = np.zeros(_SLOTS, np.int64)
+        owner[slot] = pairs
+        mine = owner[slot] == pairs
+        at, slot = at[mine], slot[mine]
+        often = np.bincount(slot, minlength=_SLOTS)
+        chosen = np.flatnonzero(often >= least)
+        chosen = chosen[np.argsort(-often[chosen], kind="stable")][: MOST_RULES - made]
+        if not len(chosen):
             break
-        symbol = np.full(len(found), -1, np.int64)
-        symbol[order] = FIRST + made + np.arange(len(order))
-        new = symbol[back]
-        at, new = many[new >= 0], new[new >= 0]
+        symbol = np.full(_SLOTS, -1, np.int64)
+        symbol[chosen] = len(lengths) + np.arange(len(chosen))
+        new = symbol[slot]
+        at, new = at[new >= 0], new[new >= 0]
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)  # matches that follow each other
         place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
         at, new = at[place % 2 == 0], new[place % 2 == 0]
-        fresh = np.stack([found[order] >> 17, found[order] & ((1 << 17) - 1)], axis=1)
-        known = np.concatenate([np.ones(FIRST, np.int64), lengths]) if made else None
-        lengths = np.concatenate([lengths, (known[fresh] if made else np.ones_like(fresh))
-                                  .sum(axis=1)])
+        fresh = np.stack([owner[chosen] >> 17, owner[chosen] & ((1 << 17) - 1)], axis=1)
+        lengths = np.concatenate([lengths, lengths[fresh].sum(axis=1)])
         rules.append(fresh)
-        made += len(order)
         seq[at] = new
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-    return seq, (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), lengths
+    return (seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[FIRST:])
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The ids that a sequence of symbols stands for."""
-    seq = symbols.astype(np.int64)
-    while True:
-        grown = seq >= FIRST
-        if not grown.any():
-            return seq.astype(np.uint32)
-        size = 1 + grown
-        out = np.repeat(seq, size)
-        first = np.cumsum(size)[grown] - 2
-        pair = rules[seq[grown] - FIRST]
-        out[first], out[first + 1] = pair[:, 0], pair[:, 1]
-        seq = out
+    # All rules written out, one after the other; a rule only uses symbols before it.
+    size = np.concatenate([np.ones(FIRST, np.int64), lengths])
+    begin = np.cumsum(size) - size
+    flat = np.zeros(int(size.sum()), np.uint32)
+    flat[:FIRST] = np.arange(FIRST)
+    done = 0
+    while done < len(rules):
+        # as many rules at once as use written ones only
+        late = np.flatnonzero((rules[done:] >= FIRST + done).any(axis=1))
+        to = done + (int(late[0]) if len(late) else len(rules) - done)
+        parts = rules[done:to].ravel()
+        flat[begin[FIRST + done]: begin[FIRST + to - 1] + size[FIRST + to - 1]] = (
+            flat[ragged(begin[parts], size[parts])])
+        done = to
+    symbols = symbols.astype(np.int64)
+    return flat[ragged(begin[symbols], size[symbols])]
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kind = f"<u{row['width']}"
-    return (np.frombuffer(row["symbols"], kind), np.frombuffer(row["rules"], kind).reshape(-1, 2),
-            np.frombuffer(row["lengths"], "<u4"))
+    return (np.frombuffer(row["symbols"], kind),
+            np.frombuffer(row["rules"], kind).reshape(-1, 2).astype(np.int64),
+            np.frombuffer(row["lengths"], "<u4").astype(np.int64))
 
 
 def decode_range(row: dict, start: int, stop: int) -> np.ndarray:
@@ -201,7 +241,7 @@ def decode_range(row: dict, start: int, stop: int) -> np.ndarray:
     size[grown] = lengths[symbols[grown].astype(np.int64) - FIRST]
     ends = np.cumsum(size)
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-    ids = expand(symbols[a:b], rules.astype(np.int64))
+    ids = expand(symbols[a:b], rules, lengths)
     skip = start - (int(ends[a - 1]) if a else 0)
     return ids[skip: skip + stop - start]
 
@@ -249,8 +289,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str) -> None:
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            symbols, rules, _ = _unpack(row)
-            raw = memoryview(expand(symbols, rules.astype(np.int64)).astype("<u4")).cast("B")
+            raw = memoryview(expand(*_unpack(row)).astype("<u4")).cast("B")
             ends = np.cumsum(row["doc_tokens"])
             starts = ends - row["doc_tokens"]
             sums = [zlib.crc32(raw[4 * a: 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
