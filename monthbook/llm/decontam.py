@@ -79,7 +79,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return np.array([*bits, _WORD], np.uint8), np.array([*low, 0xFFFF], np.uint32)
 
 
-@functools.cache
+@functools.lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2**64, and of its inverse."""
     out = []
@@ -117,8 +117,7 @@ class Template:
         opens |= np.diff(owner, prepend=-1) != 0
         some = last > first
         first, last, owner, opens = first[some], last[some], owner[some], opens[some]
-        size = 1 << max(16, int(len(codes)).bit_length())
-        power, inverse = _powers(size)
+        power, inverse = _powers(1 << max(20, int(len(codes)).bit_length()))
         letters = np.where(codes > 0xFFFE, codes, lower[small]).astype(np.uint64)
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(letters * power[:len(codes)], out=sums[1:])
@@ -177,7 +176,7 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
     """Windows of texts (doc_id, version, text) as rows; with a filter, only those that may match."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filter_ is None else np.frombuffer(filter_, np.uint8)
-        for batch in slices(batches, 1 << 20):
+        for batch in slices(batches, 1 << 19):
             ids, versions, texts = (c.to_pylist() for c in batch.columns)
             words = Template(texts)
             owner, slot = words.owner, words.slot

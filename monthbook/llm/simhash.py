@@ -40,6 +40,8 @@ DISTANCE = 4
 DENSE = 4096
 BITS = 64
 BLOCKS = 8
+#: Probes of one node in one group: thresholds that need more are not considered.
+MOST_PROBES = 5000
 #: What a shuffled probe costs against a compared pair.
 PROBE_COST = 4.0
 _SEED = 42
@@ -160,7 +162,7 @@ def allocate(near: list[np.ndarray], n: float, distance: int) -> list[tuple[list
             for spent, (cost, chosen) in table.items():
                 for t in range(-1, distance - spent + 1):
                     probes = 0.0 if t < 0 else 1 + sum(comb(width, r) for r in range(t + 1))
-                    if probes > 50_000:
+                    if probes > MOST_PROBES:
                         break
                     here = cost + n * probes * PROBE_COST + (n * n * dist[:t + 1].sum()
                                                              if t >= 0 else 0.0)
@@ -195,7 +197,7 @@ def plan(nodes: DataFrame, distance: int) -> list[tuple[list[int], int]]:
     for block, value, count in counts:
         near[block, value] = count
     return [([bit for b in group for bit in blocks[b]], t)
-            for group, t in allocate([_near(h) for h in near], n, distance)]
+            for group, t in allocate([_near(h) for h in near], max(n, 1), distance)]
 
 
 def links(nodes: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:

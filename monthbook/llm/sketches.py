@@ -111,6 +111,8 @@ def in_ranges(texts: DataFrame) -> DataFrame:
     n = 4 * partitions(texts.sparkSession)  # several ranges a task, so that tasks come out even
     bounds = texts.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n) if n > 1 else []
     edges = [float("-inf"), *sorted(set(bounds)), float("inf")]
+    if len(edges) < 3:
+        return texts.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(0))
     ranged = texts.withColumn("__at", F.coalesce(F.col("doc_id"), F.lit(0)).cast("double"))
     ranged = Bucketizer(splits=edges, inputCol="__at", outputCol="part").transform(ranged)
     return ranged.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(
