@@ -49,9 +49,9 @@ from monthbook.session import scratch_path
 
 LENGTH = 50
 GRAM = 16  # bytes of an anchor: two words of eight
-PACK = 8 << 20
+PACK = 4 << 20
 RANGE_BYTES = 8 << 20  # of text per hash range
-_SLICE = 1 << 21
+_SLICE = 1 << 19
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -512,7 +512,8 @@ def _covered(pack: Pack, answers: np.ndarray) -> np.ndarray:
     step = np.zeros(len(pack.data) + 1, np.int32)
     np.add.at(step, at - jhi[pick], 1)
     np.add.at(step, at - jlo[pick] + LENGTH, -1)
-    return np.cumsum(step[:-1], dtype=np.int32) > 0
+    np.cumsum(step, out=step)
+    return step[:-1] > 0
 
 
 def _cut(ranges: int):
@@ -531,7 +532,9 @@ def _cut(ranges: int):
             start, stop = np.flatnonzero(opens), np.flatnonzero(closes) + 1
             owner = np.searchsorted(pack.ends, start, side="right")
             lists = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(pack.ids)))])
-            left = np.concatenate([[0], np.cumsum(~gone)])[np.append(pack.starts, len(gone))]
+            left = np.zeros(len(gone) + 1, np.int32)
+            np.cumsum(~gone, out=left[1:])
+            left = left[np.append(pack.starts, len(gone))]
             base = pack.starts[owner]
             spans = pa.StructArray.from_arrays([pa.array(start - base), pa.array(stop - base)],
                                                fields=list(span))
