@@ -1,4 +1,4 @@
-"""Column arithmetic: safe division, clipping, logistic scores and loan economics."""
+"""Column arithmetic: safe division, clipping, linear and logistic scores, loan economics."""
 
 from __future__ import annotations
 
@@ -34,27 +34,6 @@ def linear_score(intercept: float, weights: Mapping[str, float],
     return z
 
 
-def approval_score(score: Column, rate: Column, income: Column, financed: Column,
-                   savings: Column, debt_ratio: Column, down_payment: Column) -> Column:
-    """Log-odds of approval: linear, log, quadratic and crossed terms."""
-    # Fixed values of the scoring formula.
-    return (F.lit(2.5) + (score - 500) * 0.008 - rate * 0.25
-            + F.log(income / 1000) * 0.4 - (financed / income - 30) * 0.03
-            + F.log(savings / 1000 + 1) * 0.1 - debt_ratio * 2
-            + (down_payment - 0.1) * 3
-            - F.pow(rate - 8, F.lit(2.0)) * 0.01 + (score - 700) * (rate - 8) * 0.005)
-
-
-def default_score(score: Column, rate: Column, income: Column, financed: Column,
-                  savings: Column, debt_ratio: Column, down_payment: Column) -> Column:
-    """Log-odds of default, with an extra rate effect for scores under 600."""
-    # Fixed values of the scoring formula.
-    high_risk = F.when(score < 600, rate * 0.1).otherwise(0.0)
-    return (F.lit(-4.0) + rate * 0.35 - (score - 500) * 0.012
-            + (financed / income - 30) * 0.08 - down_payment * 4 + debt_ratio * 3
-            - F.log(savings / 1000 + 1) * 0.15 + high_risk)
-
-
 def loan_economics(price: Column, down_payment: Column, rate: Column, base_rate: Column,
                    months: Column, default_rate: Column) -> dict[str, Column]:
     """Financed value, interest income, expected loss, cost of capital and NPV of a loan."""

@@ -64,10 +64,11 @@ def effect_by_bin(df: DataFrame, effect: str, by: str, n: int = 5) -> DataFrame:
 def temporal_index(df: DataFrame, time: str, tie: str, folds: int) -> DataFrame:
     """Adds ``row_index`` in time order and ``block``, 0 … ``folds - 1`` of equal length.
 
-    The remainder rows at the end have a NULL block: they belong to no fold.
+    The remainder rows at the end, and rows without a time, have a NULL block: they belong to
+    no fold.
     """
     indexed = row_index(df, time, tie)
-    size = df.count() // folds
+    size = df.where(F.col(time).isNotNull()).count() // folds
     block = F.floor(F.col("row_index") / F.lit(max(size, 1)))
     return indexed.withColumn("block", F.when(block < folds, block.cast("int")))
 
@@ -114,8 +115,16 @@ def _bin_number(value: Column, low: float, high: float, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
-    """Rows per bin of equal width, empty bins included."""
+    """Rows per bin of equal width, empty bins included.
+
+    Without any value all bins are empty and have no edges.
+    """
     (low, high), = _limits(df, [value])
+    if low is None:
+        none = F.lit(None).cast("double")
+        return df.sparkSession.range(bins).select(
+            F.col("id").alias("bin"), none.alias("lower"), none.alias("upper"),
+            F.lit(0).cast("bigint").alias("n_rows"))
     width = (high - low) / bins
     counted = (df.where(F.col(value).isNotNull())
                .groupBy(_bin_number(F.col(value), low, high, bins).alias("bin"))
@@ -129,26 +138,21 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 
 def density_2d(df: DataFrame, x: str, y: str, grid: int = 25) -> DataFrame:
     """Rows per cell of a grid over two columns; empty cells are left out."""
-    (x0, x1), (y0, y1) = _limits(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), [x, y])
-    return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    (x0, x1), (y0, y1) = _limits(both, [x, y])
+    if x0 is None:
+        x0, x1, y0, y1 = 0.0, 1.0, 0.0, 1.0  # no rows, so no cells
+    return (both
             .groupBy(_bin_number(F.col(x), x0, x1, grid).alias("x_bin"),
                      _bin_number(F.col(y), y0, y1, grid).alias("y_bin"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
-    """Quartiles, whiskers (last values within 1.5 times the box) and outliers per group.
-
-    ``by`` is a bin label; over a thousand groups are refused, so that the quartiles of
-    all groups can be sent to every task.
-    """
+    """Quartiles, whiskers (last values within 1.5 times the box) and outliers per group."""
     rows = df.where(F.col(by).isNotNull() & F.col(value).isNotNull()).select(
         by, F.col(value).cast("double").alias("__v"))
     box = quantiles(rows, "__v", [0.25, 0.5, 0.75], by=[by])
-    known = box.limit(1001).collect()
-    if len(known) > 1000:
-        raise ValueError(f"{by} has over 1000 groups")
-    box = F.broadcast(df.sparkSession.createDataFrame(known, box.schema))
     reach = (F.col("q2") - F.col("q0")) * 1.5
     inside = F.col("__v").between(F.col("q0") - reach, F.col("q2") + reach)
     return (rows.join(box, by).groupBy(by)

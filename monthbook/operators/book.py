@@ -366,17 +366,21 @@ def _total(w: _Window, part: Column) -> Column:
 class _Rollup:
     """Numeric features put together from monthly parts; ``group`` are the keys of the book."""
 
-    def __init__(self, group: Sequence[str]) -> None:
+    def __init__(self, group: Sequence[str], rows: DataFrame, numeric: Sequence[str]) -> None:
         self.parts = _Parts()
         self.centres: dict[tuple, Column] = {}
         self.group = list(group)
+        # A sum of monthly sums has the type of a sum of rows, whatever the width of the book.
+        plain = rows.select(*[F.sum(F.when(F.lit(True), F.col(v)).otherwise(0)).alias(f"s{i}")
+                              for i, v in enumerate(numeric)]) if numeric else None
+        self.sums = {v: plain.schema[f"s{i}"].dataType for i, v in enumerate(numeric)}
 
     def feature(self, v: str, agg: str, w: _Window, zero_sum: bool = True) -> Column:
         parts = self.parts
-        if agg == "sum" and zero_sum:
-            return F.sum(F.when(w.inside, parts.sum(v)).otherwise(0))
         if agg == "sum":
-            return F.sum(w.value(parts.sum(v)))
+            part = parts.sum(v)
+            total = F.sum(F.when(w.inside, part).otherwise(0) if zero_sum else w.value(part))
+            return total.cast(self.sums[v]) if v in self.sums else total
         if agg == "avg":
             return safe_divide(F.sum(w.value(parts.sum(v))), _total(w, parts.count(v)))
         if agg == "count":
@@ -415,7 +419,7 @@ class _Rollup:
 
 def _book_from_months(rows: DataFrame, spec: BookSpec, windows: list[_Window],
                       flags: bool, ref: str) -> DataFrame:
-    rollup = _Rollup([spec.key])
+    rollup = _Rollup([spec.key], rows, spec.numeric)
     parts = rollup.parts
     features = [rollup.feature(v, agg, w).alias(feature_name(v, agg, w.months))
                 for v in spec.numeric for w in windows for agg in spec.aggregations
@@ -478,7 +482,7 @@ def break_book(df: DataFrame, spec: BookSpec, ref: str, by: str) -> DataFrame:
     if not _use_months(spec, len(spec.numeric) * len(spec.aggregations) * len(windows)):
         features = _numeric(spec, windows, zero_sum=False, prefix=by)
         return rows.groupBy(spec.key, by).agg(*features)
-    rollup = _Rollup([spec.key, by])
+    rollup = _Rollup([spec.key, by], rows, spec.numeric)
     features = [rollup.feature(v, agg, w, zero_sum=False).alias(f"{by}_{v}_{agg}_{w.months}m")
                 for v in spec.numeric for w in windows for agg in spec.aggregations]
     return rollup.finish(rollup.monthly(rows, [spec.key, by, spec.month]), features)
@@ -486,11 +490,13 @@ def break_book(df: DataFrame, spec: BookSpec, ref: str, by: str) -> DataFrame:
 
 def break_books(df: DataFrame, spec: BookSpec, ref: str, by: Sequence[str],
                 shape: str = "wide",
-                values: Mapping[str, Sequence[object]] | None = None) -> DataFrame:
+                values: Mapping[str, Sequence[object]] | None = None,
+                most_values: int | None = None) -> DataFrame:
     """The book with further books broken down by category.
 
     ``wide``    one row per key; break values become columns (the default).  Without
-                ``values`` the distinct values of each break are looked up first.
+                ``values`` the distinct values of each break are looked up first: they are
+                column names, so all are known to the driver.  ``most_values`` refuses more.
     ``joined``  left joins on the key: a key with several break values gives several rows,
                 and several breaks multiply.
     """
@@ -512,7 +518,7 @@ def break_books(df: DataFrame, spec: BookSpec, ref: str, by: Sequence[str],
 
     check_aggregations(spec.aggregations)
     rows, windows = windowed_rows(df, spec, ref), _windows(df, spec, ref)
-    known = {b: (values or {}).get(b) or break_values(rows, b) for b in by}
+    known = {b: (values or {}).get(b) or break_values(rows, b, most_values) for b in by}
     book = _wide_breaks(rows, base_spec, windows, known)
     made = [F.col(c) for c in book.columns if c != spec.key]
     return book.select(spec.key, *_stamps(spec, ref), *made)
@@ -538,7 +544,8 @@ def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
               .where(F.col("__item").isNotNull()))
 
     group = [spec.key, "__item"]
-    rollup = _Rollup(group) if _use_months(spec, len(names)) else None
+    rollup = _Rollup(group, rows, spec.numeric) if _use_months(spec, len(names)) else None
+
     def feature(v: str, agg: str, w: _Window, zero_sum: bool) -> Column:
         if rollup is not None:
             return rollup.feature(v, agg, w, zero_sum)
@@ -571,9 +578,10 @@ def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
     return wide.select(spec.key, *out)
 
 
-def break_values(rows: DataFrame, by: str, most: int = 1000) -> list[object]:
-    """Distinct values of a break column, sorted; refuses a column that is no category."""
-    found = [r[0] for r in rows.select(by).distinct().limit(most + 1).collect()]
-    if len(found) > most:
+def break_values(rows: DataFrame, by: str, most: int | None = None) -> list[object]:
+    """Distinct values of a break column, sorted; more than ``most`` are refused."""
+    values = rows.select(by).distinct()
+    found = [r[0] for r in (values if most is None else values.limit(most + 1)).collect()]
+    if most is not None and len(found) > most:
         raise ValueError(f"{by} has over {most} values; use the 'joined' shape")
     return sorted(found, key=lambda v: (v is None, str(v)))

@@ -362,7 +362,15 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
     rows = binarise(complete_rows(df, spec), spec, threshold).withColumn(
         "fold", spec.fold_number())
     arm = F.col("treated") == 1
-    if spec.nuisance == "strata":
+    if spec.nuisance == "linear":
+        # A linear chance, held inside (trim, 1 - trim) below.
+        fits = {"p_hat": (rows, "treated"), "y1_hat": (rows.where(arm), spec.outcome),
+                "y0_hat": (rows.where(~arm), spec.outcome)}
+        fitted = rows.withColumns({
+            name: per_group({g: f[c] for g, f in fit_groups(
+                used, spec.inputs, [c], "fold", leave_out=True).items()}, "fold")
+            for name, (used, c) in fits.items()})
+    elif spec.nuisance == "strata":
         fitted = _out_of_fold_means(rows, spec, {
             "p_hat": (F.col("treated"), F.lit(True)),
             "y1_hat": (F.col(spec.outcome), arm), "y0_hat": (F.col(spec.outcome), ~arm)})
@@ -374,7 +382,7 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
             ("y1_hat", _booster(spec, spec.outcome), arm),
             ("y0_hat", _booster(spec, spec.outcome), ~arm), ("p_hat", chance, None)])
     else:
-        raise ValueError("dr_learner needs nuisance 'strata' or 'gbt'")
+        raise ValueError(f"unknown nuisance {spec.nuisance!r}")
     p, y = clip(F.col("p_hat"), trim, 1 - trim), F.col(spec.outcome)
     score = (F.col("y1_hat") - F.col("y0_hat")
              + F.col("treated") * (y - F.col("y1_hat")) / p

@@ -16,11 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from monthbook.functions.months import month_literal, shift_month, shift_month_col
 from monthbook.operators.skew import (
-    MIN_ROWS, SALT, each_copy, hot_keys, is_one_of, left_join, repeat_rows, spread_rows)
-from monthbook.sources.tables import FeatureKeys, numeric_columns
+    MIN_ROWS, each_copy, is_one_of, left_join, level, look, repeat_rows, salts_of, spread_rows)
+from monthbook.sources.tables import FeatureKeys, numeric_columns, resolve_keys
 
 _KEYS = ["__doc", "__month"]
-SALTS = 64
 
 
 def _only_months(df: DataFrame, column: str, months: Sequence[str | int] | None,
@@ -55,8 +54,8 @@ def _feature_side(df: DataFrame, keys: FeatureKeys, months: Sequence[str | int]
 
 def _join_all(population: DataFrame, doc: str, month: str,
               tables: Iterable[tuple[DataFrame, FeatureKeys, Sequence[str]]],
-              months: Sequence[str | int] | None, **skew: float) -> DataFrame:
-    """Left joins in a row; ``skew`` sets when a key is hot, see ``hot_keys``."""
+              months: Sequence[str | int] | None, **skew: int) -> DataFrame:
+    """Left joins in a row; ``min_rows`` sets when a key is hot, see ``look``."""
     tables = list(tables)
     kinds = {population.schema[doc].dataType,
              *[df.schema[k.doc].dataType for df, k, _ in tables]}
@@ -74,27 +73,37 @@ def _join_all(population: DataFrame, doc: str, month: str,
 
 
 def _join_sides(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]],
-                out: Sequence[str], skew: Mapping[str, float]) -> DataFrame:
-    # Rows without a key match nothing.  Many of them must not meet in one task.
-    missing = F.col("__doc").isNull() | F.col("__month").isNull()
-    if left.where(missing).count() >= skew.get("min_rows", MIN_ROWS):
-        rest = _join_sides(left.where(~missing), sides, out, skew)
+                out: Sequence[str], skew: Mapping[str, int]) -> DataFrame:
+    min_rows = skew.get("min_rows", MIN_ROWS)
+    seen = look(left, _KEYS, min_rows)
+    lost = None
+    if seen.without_key >= min_rows:
+        # Rows without a key match nothing.  Many of them must not meet in one task.
+        missing = F.col("__doc").isNull() | F.col("__month").isNull()
         lost = left.where(missing).select(*[c for c in out if c in left.columns])
-        return rest.unionByName(lost, allowMissingColumns=True)
-    hot = hot_keys(left, _KEYS, **skew)
-    if not hot:
-        return _chain(left, sides, _KEYS, skew).select(*out)
-    # Hot documents of the population go their own way, shared out over salts.
-    cold = _chain(left.where(~is_one_of(left, _KEYS, hot)), sides, _KEYS, skew)
-    warm = _chain(
-        spread_rows(left.where(is_one_of(left, _KEYS, hot)), SALTS),
-        [(repeat_rows(side.where(is_one_of(side, _KEYS, hot)), SALTS), unique)
-         for side, unique in sides], [*_KEYS, SALT], skew)
-    return cold.select(*out).unionByName(each_copy(warm, out))
+        left = left.where(~missing)
+    if not seen.hot:
+        joined = _chain(left, sides, _KEYS, skew).select(*out)
+    else:
+        # Hot documents of the population go their own way, shared out over salts.
+        hot, (salt, copies) = list(seen.hot), level(_KEYS)
+        def parts(df: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+            return (df.where(~is_one_of(df, _KEYS, hot)), df.where(is_one_of(df, _KEYS, hot)),
+                    salts_of(df, _KEYS, seen.hot, min_rows))
+        cold_left, warm_left, salts = parts(left)
+        cold = _chain(cold_left, sides, _KEYS, skew)
+        warm_sides = []
+        for side, unique in sides:
+            _, rows, of = parts(side)
+            warm_sides.append((repeat_rows(rows, of, salt), unique))
+        warm = _chain(spread_rows(warm_left, salts, salt, copies), warm_sides,
+                      [*_KEYS, salt], skew)
+        joined = cold.select(*out).unionByName(each_copy(warm, out, copies))
+    return joined if lost is None else joined.unionByName(lost, allowMissingColumns=True)
 
 
 def _chain(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]], keys: Sequence[str],
-           skew: Mapping[str, float]) -> DataFrame:
+           skew: Mapping[str, int]) -> DataFrame:
     for side, unique in sides:
         left = left_join(left, side, keys, right_unique=unique, **skew)
     return left
@@ -102,11 +111,12 @@ def _chain(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]], keys: Seque
 
 def lagged_join(population: DataFrame, features: DataFrame, keys: FeatureKeys, *,
                 doc: str, month: str, months: Sequence[str | int] | None = None,
-                columns: Sequence[str] | None = None, **skew: float) -> DataFrame:
+                columns: Sequence[str] | None = None, **skew: int) -> DataFrame:
     """The population with one feature table at its lag.
 
     Every population row is kept; several feature rows for one key give several rows.
     """
+    keys = resolve_keys(features, keys)
     chosen = feature_columns(features, keys, columns)
     return _join_all(population, doc, month, [(features, keys, chosen)], months, **skew)
 
@@ -114,14 +124,17 @@ def lagged_join(population: DataFrame, features: DataFrame, keys: FeatureKeys, *
 def master_table(population: DataFrame, features: Mapping[str, DataFrame],
                  keys: Sequence[FeatureKeys], feature_map: Mapping[str, Sequence[str]], *,
                  doc: str, month: str, months: Sequence[str | int] | None = None,
-                 **skew: float) -> DataFrame:
+                 **skew: int) -> DataFrame:
     """The population with the listed features of many tables, each at its own lag.
 
     Tables that are not in both the control table and the feature map are skipped.
     """
-    chosen = [(features[k.table], k, feature_columns(features[k.table], k,
-                                                     feature_map[k.table]))
-              for k in keys if k.table in feature_map]
+    chosen = []
+    for k in keys:
+        if k.table in feature_map:
+            table = features[k.table]
+            known = resolve_keys(table, k)
+            chosen.append((table, known, feature_columns(table, known, feature_map[k.table])))
     return _join_all(population, doc, month, chosen, months, **skew)
 
 
@@ -134,12 +147,13 @@ def document_root(document: Column, digits: int = 8, pad: bool = False) -> Colum
 def numeric_feature_join(population: DataFrame, features: DataFrame, keys: FeatureKeys, *,
                          doc: str = "cpf", target: str = "y", month: str = "anomes",
                          months: Sequence[str | int] | None = None,
-                         pad: bool = False, **skew: float) -> DataFrame:
+                         pad: bool = False, **skew: int) -> DataFrame:
     """Document, target and all number columns of a feature table as doubles.
 
     With ``doc_digits`` 8 the table is keyed by the first eight digits of the document,
     with 11 by the whole of it; any other length raises ``ValueError``.
     """
+    keys = resolve_keys(features, keys)
     numbers = numeric_columns(features, (keys.doc, keys.month))
     if keys.doc_digits == 8:
         left_key, right_key = document_root(F.col(doc), pad=pad), F.col(keys.doc).cast("string")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     DateType, DayTimeIntervalType, DecimalType, IntegralType, NumericType, StringType,
@@ -89,16 +88,14 @@ def model_frame(df: DataFrame, target: str, month: str) -> DataFrame:
 class Encoding:
     """Fitted encoding of a model table."""
 
-    indexers: PipelineModel
+    indexers: tuple[StringIndexerModel, ...]
     categorical: tuple[str, ...]
-    hashed: tuple[str, ...]
     numeric: tuple[str, ...]
-    max_bins: int
 
     @property
     def inputs(self) -> list[str]:
         """Encoded columns, in order."""
-        return ([f"{c}_index" for c in (*self.categorical, *self.hashed)]
+        return ([f"{c}_index" for c in self.categorical]
                 + [n for c in self.numeric for n in (f"{c}_filled", f"{c}_is_null")])
 
     @staticmethod
@@ -110,46 +107,57 @@ class Encoding:
         return encoded
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.indexers.transform(df)
-        hashed = {f"{c}_index": F.pmod(F.xxhash64(c), F.lit(self.max_bins)).cast("double")
-                  for c in self.hashed}
+        out = df.withColumns({f"__{c}": _category(c) for c in self.categorical})
+        for indexer in self.indexers:
+            out = indexer.transform(out)
+        out = out.drop(*[f"__{c}" for c in self.categorical])
         filled = {}
         for c in self.numeric:
             value = F.col(c).cast("double")
             missing = value.isNull() | F.isnan(value)
             filled[f"{c}_filled"] = F.when(missing, MISSING).otherwise(value)
             filled[f"{c}_is_null"] = F.when(missing, 1.0).otherwise(0.0)
-        return out.withColumns({**hashed, **filled})
+        return out.withColumns(filled)
+
+
+#: The category of missing values; all others begin with an equals sign.
+_NO_CATEGORY = "missing"
+
+
+def _category(column: str) -> Column:
+    value = F.col(column).cast("string")
+    return F.when(value.isNull(), _NO_CATEGORY).otherwise(F.concat(F.lit("="), value))
 
 
 def fit_encoding(train: DataFrame, columns: ModelColumns, max_bins: int = 256) -> Encoding:
-    """Category indexes by frequency, unseen and missing values in a bin of their own.
+    """Category indexes by frequency, the same way at any size.
 
-    A column with more categories than a tree can split on is hashed into bins instead, so
-    no unbounded list of categories reaches the driver.
+    The ``max_bins`` commonest categories of a column get an index each, ties in the order of
+    their text.  Missing values have the next index, and all rarer and unseen categories share
+    the one after it.  Indexes are nominal: trees split on sets of them, not on their order.
+    No more than ``max_bins`` categories of a column reach the driver.
     """
-    many: list[str] = []
-    if columns.categorical:
-        sizes = train.agg(*[F.approx_count_distinct(c).alias(c)
-                            for c in columns.categorical]).first()
-        many = [c for c in columns.categorical if sizes[c] > 0.8 * max_bins]
-    few = [c for c in columns.categorical if c not in many]
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep",
-                            stringOrderType="frequencyDesc") for c in few]
-    return Encoding(Pipeline(stages=stages).fit(train), tuple(few), tuple(many),
-                    columns.numeric, max_bins)
-
-
-def one_hot(df: DataFrame, columns: Sequence[str], most: int = 1000) -> DataFrame:
+    indexers = []
+    for c in columns.categorical:
+        common = (train.where(F.col(c).isNotNull()).groupBy(_category(c).alias("c")).count()
+                  .orderBy(F.desc("count"), "c").limit(max_bins).collect())
+        labels = [*[r["c"] for r in common], _NO_CATEGORY]
+        indexers.append(StringIndexerModel.from_labels(
+            labels, inputCol=f"__{c}", outputCol=f"{c}_index", handleInvalid="keep"))
+    return Encoding(tuple(indexers), columns.categorical, columns.numeric)
+
+
+def one_hot(df: DataFrame, columns: Sequence[str], most: int | None = None) -> DataFrame:
     """0/1 columns ``{column}_{value}`` for every sorted value but the first.
 
-    Refuses a column with more than ``most`` values.
+    The values become column names, so they are all known to the driver; ``most`` refuses a
+    column with more of them.
     """
     made: list[Column] = []
     for c in columns:
-        values = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct()
-                        .limit(most + 1).collect())
-        if len(values) > most:
+        found = df.select(c).where(F.col(c).isNotNull()).distinct()
+        values = sorted(r[0] for r in (found if most is None else found.limit(most + 1)).collect())
+        if most is not None and len(values) > most:
             raise ValueError(f"{c} has over {most} values")
         made += [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                  for v in values[1:]]

@@ -20,8 +20,8 @@ _BUCKET = "__bucket"
 
 
 def bucket_count(spark: SparkSession) -> int:
-    """As many buckets as shuffle partitions, within reason for a driver-side list."""
-    return max(2, min(2000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """As many buckets as shuffle partitions: those follow the cluster and its data."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
@@ -115,8 +115,11 @@ def row_index(df: DataFrame, time: str, tie: str, name: str = "row_index",
     """Adds the 0-based position of each row in the order of (``time``, ``tie``).
 
     ``tie`` is a numeric id, unique within one ``time``.  A moment that holds many rows is
-    cut again by ``tie``, so one hot moment does not end in one task.
+    cut again by ``tie``, so one hot moment does not end in one task.  Rows without a time
+    are kept; their position is NULL and they move no other row.
     """
+    timeless = df.where(F.col(time).isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    df = df.where(F.col(time).isNotNull())
     buckets = buckets or bucket_count(df.sparkSession)
     at = F.col(time)
     if not isinstance(df.schema[time].dataType, NumericType):
@@ -145,4 +148,5 @@ def row_index(df: DataFrame, time: str, tie: str, name: str = "row_index",
                        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")))
     joined = rows.join(offsets if hot else F.broadcast(offsets),
                        [rows[c] == offsets[f"_{c}"] for c in names])
-    return joined.select(*df.columns, (F.col("__pos") - 1 + F.col("__before")).alias(name))
+    return joined.select(
+        *df.columns, (F.col("__pos") - 1 + F.col("__before")).alias(name)).unionByName(timeless)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from monthbook.functions.scalars import safe_divide
 
@@ -52,8 +53,10 @@ def feature_dictionary(top: DataFrame, tables: DataFrame, table: str = "table",
 
 
 def top_rows(df: DataFrame, by: str, n: int) -> DataFrame:
-    """The ``n`` rows with the largest ``by``."""
-    return df.orderBy(F.desc(by)).limit(n)
+    """The ``n`` rows with the largest ``by``; ties follow by the other columns."""
+    rest = [f.name for f in df.schema.fields if f.name != by and not isinstance(
+        f.dataType, (MapType, VariantType))]
+    return df.orderBy(F.desc(by), *[F.col(f"`{c}`") for c in rest]).limit(n)
 
 
 def summary_report(results: DataFrame, top: DataFrame, table: str = "table",
@@ -63,7 +66,7 @@ def summary_report(results: DataFrame, top: DataFrame, table: str = "table",
         *[F.max(F.when(F.col("rank") == i, F.col(feature))).alias(f"top_feature_{i}")
           for i in (1, 2, 3)])
     return (results.where(F.col("status") == "done").drop("status", "error")
-            .join(best, table, "left").orderBy(F.desc("accuracy")))
+            .join(best, table, "left").orderBy(F.desc("accuracy"), table))
 
 
 def union_rows(parts: Sequence[DataFrame]) -> DataFrame:

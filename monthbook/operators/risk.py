@@ -42,9 +42,10 @@ def composite_score(widest: int):
     def make(inside: Column, months: int) -> list[Column]:
         if months != widest:
             return []
-        late = F.avg(F.when(F.col("fl_atraso") == 1, 1.0).otherwise(0.0))
-        use = F.avg(safe_divide(F.col("vl_utilizado"), F.col("vl_limite")))
-        days = F.max("dias_atraso") / DAYS_SCALE
+        flag = F.when(F.col("fl_atraso") == 1, 1.0).otherwise(0.0)
+        late = F.avg(F.when(inside, flag))
+        use = F.avg(F.when(inside, safe_divide(F.col("vl_utilizado"), F.col("vl_limite"))))
+        days = F.max(F.when(inside, F.col("dias_atraso"))) / DAYS_SCALE
         score = (F.coalesce(late, F.lit(0.0)) * LATE_WEIGHT
                  + F.coalesce(use, F.lit(0.0)) * USE_WEIGHT
                  + F.coalesce(days, F.lit(0.0)) * DAYS_WEIGHT)

@@ -2,96 +2,134 @@
 
 Hot keys are few, and are found before the join.  They get a join of their own: on the side
 that is hot, equal rows are counted and each count is shared out over salts; the rows of
-those keys on the other side are repeated once per salt.  No row is lost and none is
+those keys on the other side are repeated once per salt.  A key gets as many salts as its
+rows need, so that no salt holds many more than ``min_rows``.  No row is lost and none is
 doubled, and salts depend on nothing but the row, so a retried task makes the same ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
-SALT, COPIES = "__salt", "__copies"
 #: Fewer rows than this are no burden for one task.
 MIN_ROWS = 1_000_000
+#: How many of the commonest keys are looked at: rarer ones have under 1 / TRACKED of all rows.
+TRACKED = 4096
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01,
-             min_rows: int = MIN_ROWS) -> list[tuple]:
-    """Keys with at least ``min_rows`` rows and ``share`` of all rows: under ``1 / share``.
+@dataclass(frozen=True)
+class Look:
+    """What one pass over the keys of a table found."""
 
-    One pass finds every candidate (a frequent-items summary of bounded size misses none),
-    a second, filtered pass counts them.
+    rows: int
+    without_key: int
+    hot: Mapping[tuple, int]
+
+
+def look(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> Look:
+    """Rows, rows with a NULL in their key, and the keys with at least ``min_rows`` rows.
+
+    One aggregate gives both numbers and a bounded sketch of frequent keys that misses none of
+    the ``TRACKED`` commonest.  Only if the sketch names candidates are they counted.
     """
-    slim = df.select(*keys).dropna()
-    packed = slim.select(F.struct(*keys).alias("k"))
-    seen = packed.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if seen < min_rows:
-        return []
-    hashed = slim.select("*", F.xxhash64(*keys).alias("__h"))
-    often = hashed.freqItems(["__h"], share).first()[0]
-    if not often:
-        return []
-    least = max(min_rows, int(share * seen))
-    counted = (hashed.where(F.col("__h").isin(list(often))).groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least))
-    return [tuple(r[k] for k in keys) for r in counted.collect()]
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    hashed = df.select(*keys, F.when(~missing, F.xxhash64(*keys)).alias("__h"))
+    found = hashed.agg(
+        F.count(F.lit(1)).alias("n"), F.count("__h").alias("with_key"),
+        F.expr(f"approx_top_k(__h, {TRACKED}, {8 * TRACKED})").alias("top")).first()
+    often = [r["item"] for r in found["top"] if r["item"] is not None and r["count"] >= min_rows]
+    hot: dict[tuple, int] = {}
+    if often:
+        counted = (hashed.where(F.col("__h").isin(often)).groupBy(*keys)
+                   .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_rows))
+        hot = {tuple(r[k] for k in keys): r["__n"] for r in counted.collect()}  # TRACKED at most
+    return Look(found["n"], found["n"] - found["with_key"], hot)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> dict[tuple, int]:
+    """Keys with at least ``min_rows`` rows, and how many they have."""
+    return dict(look(df, keys, min_rows).hot)
+
+
+def _packed(schema: StructType, keys: Sequence[str], value: tuple) -> Column:
+    return F.struct(*[F.lit(v).cast(schema[k].dataType).alias(k) for k, v in zip(keys, value)])
 
 
 def is_one_of(df: DataFrame, keys: Sequence[str], values: Sequence[tuple]) -> Column:
     """Whether the key of a row is among the given ones."""
-    schema: StructType = df.schema
-    packed = [F.struct(*[F.lit(v).cast(schema[k].dataType).alias(k)
-                         for k, v in zip(keys, value)]) for value in values]
-    hit = F.struct(*[F.col(k) for k in keys]).isin(packed)
+    hit = F.struct(*[F.col(k) for k in keys]).isin(
+        [_packed(df.schema, keys, value) for value in values])
     return F.coalesce(hit, F.lit(False))
 
 
+def salts_of(df: DataFrame, keys: Sequence[str], hot: Mapping[tuple, int],
+             min_rows: int) -> Column:
+    """How many salts the key of a row gets: enough for about ``min_rows`` rows each."""
+    pairs = [c for value, n in hot.items()
+             for c in (_packed(df.schema, keys, value), F.lit(max(2, -(-n // min_rows))))]
+    return F.element_at(F.create_map(*pairs), F.struct(*[F.col(k) for k in keys]))
+
+
+def level(keys: Sequence[str]) -> tuple[str, str]:
+    """Names of the salt and the copies; a join inside a salted one gets its own."""
+    return f"__salt{len(keys)}", f"__copies{len(keys)}"
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
-              right_unique: bool = False, share: float = 0.01,
-              min_rows: int = MIN_ROWS, salts: int = 64) -> DataFrame:
+              right_unique: bool = False, min_rows: int = MIN_ROWS) -> DataFrame:
     """``left`` with the columns of ``right``, every left row kept.
 
     ``right_unique`` says that no key repeats on the right; nothing is then looked up.
     A hot key does exist on the right, so its part is an inner join.
     """
     keys = list(keys)
-    hot = [] if right_unique else hot_keys(right, keys, share, min_rows)
+    hot = {} if right_unique else hot_keys(right, keys, min_rows)
     if not hot:
         return left.join(right, keys, "left")
+    values, (salt, copies) = list(hot), level(keys)
     payload = [c for c in right.columns if c not in keys]
     columns = [*left.columns, *payload]
-    cold = (left.where(~is_one_of(left, keys, hot))
-            .join(right.where(~is_one_of(right, keys, hot)), keys, "left"))
-    warm = repeat_rows(left.where(is_one_of(left, keys, hot)), salts).join(
-        spread_rows(right.where(is_one_of(right, keys, hot)), salts), [*keys, SALT])
-    return cold.select(*columns).unionByName(each_copy(warm, columns))
+    cold = (left.where(~is_one_of(left, keys, values))
+            .join(right.where(~is_one_of(right, keys, values)), keys, "left"))
+    mine, other = (df.where(is_one_of(df, keys, values)) for df in (left, right))
+    warm = repeat_rows(mine, salts_of(mine, keys, hot, min_rows), salt).join(
+        spread_rows(other, salts_of(other, keys, hot, min_rows), salt, copies), [*keys, salt])
+    return cold.select(*columns).unionByName(each_copy(warm, columns, copies))
 
 
-def repeat_rows(df: DataFrame, salts: int) -> DataFrame:
+def repeat_rows(df: DataFrame, salts: Column, salt: str) -> DataFrame:
     """Every row once per salt."""
-    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(SALT))
+    return df.select("*", F.explode(F.sequence(F.lit(0), salts - 1)).alias(salt))
 
 
-def spread_rows(df: DataFrame, salts: int) -> DataFrame:
+def spread_rows(df: DataFrame, salts: Column, salt: str, copies: str) -> DataFrame:
     """Rows shared out over salts.
 
     ``n`` equal rows become up to ``salts`` rows that stand for ``n // salts`` copies, or
-    one more.  The salts depend on nothing but the row.
+    one more.  The salts depend on nothing but the row.  Maps, which cannot be compared, are
+    compared as sorted lists of their entries.
     """
-    copies = F.floor(F.col("__n") / salts) + F.when(
-        F.col("__s") < F.col("__n") % salts, 1).otherwise(0)
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return (counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__s"))
-            .select(*df.columns, copies.alias(COPIES),
-                    F.pmod(F.xxhash64(*df.columns) + F.col("__s"), F.lit(salts))
-                    .cast("int").alias(SALT))
-            .where(F.col(COPIES) > 0))
-
-
-def each_copy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    flat = df.withColumns({c: F.array_sort(F.map_entries(c)) for c in maps}) if maps else df
+    counted = (flat.withColumn("__salts", salts).groupBy(*df.columns, "__salts")
+               .agg(F.count(F.lit(1)).alias("__n")))
+    share = F.floor(F.col("__n") / F.col("__salts")) + F.when(
+        F.col("__s") < F.col("__n") % F.col("__salts"), 1).otherwise(0)
+    out = (counted.select("*", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__s"))
+           .select(*df.columns, share.alias(copies),
+                   F.pmod(F.xxhash64(*df.columns) + F.col("__s"), F.col("__salts"))
+                   .cast("int").alias(salt))
+           .where(F.col(copies) > 0))
+    return out.withColumns({c: F.map_from_entries(c) for c in maps}) if maps else out
+
+
+def each_copy(df: DataFrame, columns: Sequence[str], copies: str) -> DataFrame:
     """One row per copy again."""
-    return df.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES)))
+    return df.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
                      .alias("__copy")).drop("__copy")

@@ -35,10 +35,8 @@ def causal_report(df: DataFrame, spec: causal.CausalSpec, bin_by: str,
     linear = causal.linear_dml(residuals, spec, replicates=replicates)
     forest = causal.forest_dml(residuals, spec)
     found = [linear, forest, causal.kernel_dml(residuals, spec)]
-    if spec.nuisance != "linear":
-        found.append(causal.dr_learner(df, spec))
-    found += [learner(df, spec)
-              for learner in (causal.s_learner, causal.t_learner, causal.x_learner)]
+    found += [learner(df, spec) for learner in (
+        causal.dr_learner, causal.s_learner, causal.t_learner, causal.x_learner)]
     estimates = {e.name: e for e in found}
     rows = cut_lineage(forest.rows)
     by_bin = effect_by_bin(rows, "effect", bin_by)
@@ -51,6 +49,6 @@ def causal_report(df: DataFrame, spec: causal.CausalSpec, bin_by: str,
                                    replicates=replicates)
     judged = second or linear
     return CausalReport(
-        estimates, by_bin, drivers, policy, effects.scenarios(forest, spec),
+        estimates, by_bin, drivers, policy, effects.scenarios(replace(forest, rows=rows), spec),
         effects.compare_ate(found),
         effects.effect_summary(by_bin, drivers, judged.ate, judged.low, judged.high), second)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from monthbook.operators.joins import lagged_join, master_table, numeric_feature_join
 from monthbook.operators.quality import master_validation
 from monthbook.sources.tables import (
-    FeatureKeys, numeric_columns, read_written, write_partitions)
+    FeatureKeys, numeric_columns, read_written, replace_partitions, resolve_keys,
+    write_partitions)
 
 
 def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
@@ -44,22 +45,27 @@ def output_name(population: str, table: str) -> str:
 
 
 def numeric_join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
-                          keys: Sequence[FeatureKeys], *, months: Sequence[str | int],
-                          out: str, name: str, doc: str = "cpf", target: str = "y",
+                          keys: Sequence[FeatureKeys], *,
+                          months: Sequence[str | int] | None, out: str, name: str, doc: str = "cpf", target: str = "y",
                           month: str = "anomes") -> DataFrame:
     """Numeric feature joins of many tables; a failure stops neither month nor table.
 
     Returns one row per table and month: ``table, output, month, status, rows, error``.
-    Each table is one job.  Only if that fails are its months tried one at a time.
+    Each table is one job.  Only if that fails are its months tried one at a time.  Without
+    ``months`` all months of the population are joined.  A month that comes out empty has 0
+    rows, and loses what an earlier run wrote for it.
     """
     spark = population.sparkSession
+    if months is None:
+        months = sorted(r[0] for r in population.select(F.col(month).cast("string")).distinct()
+                        .collect() if r[0] is not None)
     reports = []
     for k in keys:
         path = f"{out}/{output_name(name, k.table)}"
         groups, note = [list(months)], None
         if k.table not in features:
             note = ("failed", "no such table")
-        elif not numeric_columns(features[k.table], (k.doc, k.month)):
+        elif not numeric_columns(features[k.table], _key_columns(features[k.table], k)):
             note = ("skipped", "no numeric column")
         elif k.doc_digits not in (8, 11):
             note = ("skipped", f"documents of {k.doc_digits} digits")
@@ -78,7 +84,7 @@ def numeric_join_pipeline(population: DataFrame, features: Mapping[str, DataFram
                                                  path, doc, target, month))
                     continue
                 except Exception as error:  # noqa: BLE001 - reported, not raised
-                    state = ("failed", str(error)[:500])
+                    state = ("failed", str(error))
             rows = [(k.table, path, str(m), state[0], None, state[1]) for m in group]
             reports.append(spark.createDataFrame(rows, _STATUS))
     status = reports[0]
@@ -87,6 +93,11 @@ def numeric_join_pipeline(population: DataFrame, features: Mapping[str, DataFram
     return status
 
 
+def _key_columns(df: DataFrame, keys: FeatureKeys) -> tuple[str, str]:
+    known = resolve_keys(df, keys)
+    return known.doc, known.month
+
+
 _STATUS = "table string, output string, month string, status string, rows long, error string"
 
 
@@ -95,7 +106,7 @@ def _write_months(population: DataFrame, features: DataFrame, k: FeatureKeys,
                   month: str) -> DataFrame:
     joined = numeric_feature_join(population, features, k, doc=doc, target=target,
                                   month=month, months=months)
-    write_partitions(joined, path, month)
+    replace_partitions(joined, path, month, [str(m) for m in months])
     spark = population.sparkSession
     counted = (read_written(spark, path, joined.schema)
                .where(F.col(month).cast("string").isin([str(m) for m in months]))

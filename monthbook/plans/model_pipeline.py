@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.operators.metrics import GAP_LIMITS, overfit_gap
 from monthbook.operators.prep import model_columns, split_by_date
-from monthbook.operators.reports import feature_dictionary, summary_report, topk_features
+from monthbook.operators.reports import (
+    compare_models, feature_dictionary, summary_report, topk_features)
 from monthbook.operators.training import (
     BoosterSettings, evaluate, feature_importance, score, train)
-from monthbook.sources.tables import write_csv, write_json
+from monthbook.sources.tables import read_table, table_stem, write_csv, write_json
 
 _RESULTS = ("table string, status string, error string, train_samples long, "
             "test_samples long, total_features int, n_categorical int, n_classes int, "
@@ -38,21 +40,25 @@ class ModelRuns:
         return summary_report(self.results, self.top)
 
 
-def run_models(spark: SparkSession, tables: Mapping[str, DataFrame], *, target: str, month: str,
-               cutoff: int, top_k: int = 10,
+def run_models(spark: SparkSession, tables: Mapping[str, DataFrame] | Sequence[str], *,
+               target: str, month: str, cutoff: int, top_k: int = 10,
                settings: BoosterSettings = BoosterSettings()) -> ModelRuns:
     """Trains and judges a model per table; a failing table is reported, not raised.
 
-    Only metrics and importances come back to the driver: a few numbers per table.
+    ``tables`` are DataFrames by name, or paths (CSV or Parquet) that are named by their file
+    and read here, so that a file that cannot be read is reported too.  Only metrics and importances come back to the driver: a few numbers per table.
     """
     rows, importances = [], []
-    for name, df in tables.items():
+    named = (tables if isinstance(tables, Mapping)
+             else {table_stem(path): path for path in tables})
+    for name, source in named.items():
         try:
+            df = read_table(spark, source) if isinstance(source, str) else source
             row, found = _run_one(df, target, month, cutoff, settings)
             rows.append({"table": name, "status": "done", "error": None, **row})
             importances += [(name, feature, value) for feature, value in found]
         except Exception as error:  # noqa: BLE001 - one table must not stop the rest
-            rows.append({"table": name, "status": "failed", "error": str(error)[:500]})
+            rows.append({"table": name, "status": "failed", "error": str(error)})
     names = [part.split()[0] for part in _RESULTS.split(", ")]
     results = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], _RESULTS)
     for metric in ("roc_auc", "ks"):
@@ -81,7 +87,16 @@ def _run_one(df: DataFrame, target: str, month: str, cutoff: int,
 
 
 def save_runs(runs: ModelRuns, out: str) -> None:
-    """Results and feature lists as JSON, the summary as CSV."""
+    """Results, importances and the comparison as JSON, the summary as CSV, and the feature map.
+
+    ``features`` holds one JSON object ``{table: [features]}``, which ``load_feature_map`` reads.
+    """
     write_json(runs.results, f"{out}/results")
-    write_json(runs.dictionary(), f"{out}/features")
+    write_json(runs.importances, f"{out}/importances")
+    write_json(compare_models(runs.results.where(F.col("status") == "done")),
+               f"{out}/comparison")
     write_csv(runs.summary(), f"{out}/summary")
+    # One row per table.
+    found = {r["table"]: list(r["features"]) for r in runs.dictionary().collect()}
+    text = runs.results.sparkSession.createDataFrame([(json.dumps(found),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(f"{out}/features")

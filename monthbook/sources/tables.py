@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StructField, StructType
 
@@ -88,9 +89,17 @@ def _lag_keys(row: Row) -> FeatureKeys:
     return FeatureKeys(name, doc, month, parse_lag(lag), doc_type, month_type)
 
 
+def resolve_keys(df: DataFrame, keys: FeatureKeys) -> FeatureKeys:
+    """``keys`` with the columns as ``df`` writes them: names of control tables ignore case."""
+    known = {c.lower(): c for c in df.columns}
+    def name(c: str) -> str:
+        return c if c in df.columns else known.get(c.lower(), c)
+    return replace(keys, doc=name(keys.doc), month=name(keys.month))
+
+
 def load_feature_map(spark: SparkSession, source: Mapping[str, Sequence[str]] | str
                      ) -> dict[str, list[str]]:
-    """``{table: [columns]}`` from a dict or a JSON file."""
+    """``{table: [columns]}`` from a dict, or from a file or folder that holds one JSON object."""
     if not isinstance(source, str):
         return {t: list(c) for t, c in source.items()}
     text = "\n".join(r.value for r in spark.read.text(source, wholetext=True).collect())
@@ -135,6 +144,36 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
 
 
+def _files(spark: SparkSession, path: str, by: str, values: Sequence[str]) -> dict[str, set[str]]:
+    """Files of some partitions of a written output, by value; empty if nothing is there."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException:
+        return {}
+    if by not in rows.columns:
+        return {}
+    found = (rows.where(F.col(by).cast("string").isin(list(values)))
+             .groupBy(F.col(by).cast("string").alias("v"))
+             .agg(F.collect_set("_metadata.file_path").alias("files")).collect())
+    return {r["v"]: set(r["files"]) for r in found}
+
+
+def replace_partitions(df: DataFrame, path: str, by: str, values: Sequence[str]) -> None:
+    """Like :func:`write_partitions`; of ``values``, those without a row lose their old partition."""
+    spark = df.sparkSession
+    before = _files(spark, path, by, values)
+    write_partitions(df, path, by)
+    if not before:
+        return
+    after = _files(spark, path, by, values)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for value in before:
+        if before[value] & after.get(value, set()):  # its files were not replaced
+            folder = hadoop(f"{path}/{by}={value}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
+
+
 def create_empty_table(spark: SparkSession, name: str, schema: StructType, by: str,
                        path: str | None = None) -> DataFrame:
     """A partitioned catalogue table that has columns but no rows; kept if it exists."""

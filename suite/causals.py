@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.functions.scalars import (
-    approval_score, default_score, logistic, loan_economics)
+    linear_score, loan_economics, logistic)
 from monthbook.operators import bins, causal as c, effects as e
 from monthbook.plans.causal_report import causal_report
 from suite import fixtures as fx
@@ -311,46 +311,37 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- score formulas ---------------------------------------------------------------------
 
-_FINANCED = "(price * (1 - down_payment))"
-_APPROVAL = f"""2.5 + (score - 500) * 0.008 - rate * 0.25 + ln(income / 1000) * 0.4
-  - ({_FINANCED} / income - 30) * 0.03 + ln(savings / 1000 + 1) * 0.1 - debt_ratio * 2
-  + (down_payment - 0.1) * 3 - 0.01 * (rate - 8) * (rate - 8)
-  + 0.005 * (score - 700) * (rate - 8)"""
-_DEFAULT = f"""-4 + rate * 0.35 - (score - 500) * 0.012 + ({_FINANCED} / income - 30) * 0.08
-  - down_payment * 4 + debt_ratio * 3 - ln(savings / 1000 + 1) * 0.15
-  + CASE WHEN score < 600 THEN rate * 0.1 ELSE 0 END"""
+_SCORE = "-1.5 + rate * 0.2 + down_payment * -3.0 + base_rate * 0.1 + ln(abs(balance) + 1) * 0.05"
 LOAN = f"WITH {fx.LOANS}"
 
 
-def _scores(rows: DataFrame) -> DataFrame:
-    columns = [F.col(x) for x in ("score", "rate", "income")]
-    financed = F.col("price") * (1 - F.col("down_payment"))
-    rest = [F.col(x) for x in ("savings", "debt_ratio", "down_payment")]
-    return rows.withColumns({
-        "approval": logistic(approval_score(*columns, financed, *rest)),
-        "default_rate": logistic(default_score(*columns, financed, *rest))})
+def _scored(rows: DataFrame) -> DataFrame:
+    score = linear_score(-1.5, {"rate": 0.2, "down_payment": -3.0, "base_rate": 0.1},
+                         F.log(F.abs("balance") + 1) * 0.05)
+    return rows.withColumn("chance", logistic(score))
 
 
-@query("logistic_score", LOAN + f" SELECT id, round(1 / (1 + exp(-({_APPROVAL}))), 8) AS approval, "
-       f"round(1 / (1 + exp(-({_DEFAULT}))), 8) AS default_rate FROM loans")
+@query("logistic_score",
+       LOAN + f" SELECT id, round(1 / (1 + exp(-({_SCORE}))), 8) AS chance FROM loans")
 def logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return plain(_scores(fx.loans(spark, sf)).select("id", "approval", "default_rate"), 8,
-                 ("approval", "default_rate"))
+    return plain(_scored(fx.loans(spark, sf)).select("id", "chance"), 8, ("chance",))
 
 
 @query("loan_npv", LOAN + f"""
-, s AS (SELECT *, {_FINANCED} AS financed, 1 / (1 + exp(-({_DEFAULT}))) AS d FROM loans)
+, s AS (SELECT *, price * (1 - down_payment) AS financed,
+  1 / (1 + exp(-({_SCORE}))) AS d FROM loans)
 , n AS (SELECT id, financed, financed * rate / 100 * months / 12 AS interest_income,
   financed * d * 0.5 AS expected_loss, financed * base_rate / 100 * months / 12 AS capital_cost
   FROM s)
-SELECT id, financed, interest_income, round(expected_loss, 3) AS expected_loss, capital_cost,
+SELECT id, round(financed, 3) AS financed, round(interest_income, 3) AS interest_income,
+  round(expected_loss, 3) AS expected_loss, round(capital_cost, 3) AS capital_cost,
   round(interest_income - expected_loss - capital_cost, 3) AS npv FROM n""")
 def npv(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _scores(fx.loans(spark, sf))
+    rows = _scored(fx.loans(spark, sf))
     made = loan_economics(F.col("price"), F.col("down_payment"), F.col("rate"),
-                          F.col("base_rate"), F.col("months"), F.col("default_rate"))
+                          F.col("base_rate"), F.col("months"), F.col("chance"))
     table = rows.select("id", *[v.alias(k) for k, v in made.items()])
-    return plain(table, 3, ("expected_loss", "npv"))
+    return plain(table, 3, tuple(made))
 
 
 # --- tree-based estimators (rows only) --------------------------------------------------

@@ -265,16 +265,12 @@ EFFECTS = CAUSAL + """, effects AS (SELECT *,
 
 
 def loans(spark: SparkSession, sf: str) -> DataFrame:
-    """The causal table in the units of a housing loan."""
+    """Orders as loans: price, part paid, rate and length from the order's own columns."""
     return causal(spark, sf).select(
-        "id", (F.col("balance") / 20 + 350).alias("score"), (F.col("t") + 3.5).alias("rate"),
-        (F.col("y") * 20 + 2000).alias("income"), (F.col("y") * 1000 + 80000).alias("price"),
-        (F.col("y2") * 5 + 0.05).alias("down_payment"), (F.col("lines") * 50).alias("savings"),
-        (F.col("y2") * 7).alias("debt_ratio"), (F.col("quantity") + 60).alias("months"),
-        (F.col("lines") / 10 + 4).alias("base_rate"))
+        "id", (F.col("y") * 1000).alias("price"), F.col("y2").alias("down_payment"),
+        F.col("t").alias("rate"), F.col("lines").alias("base_rate"),
+        F.col("quantity").alias("months"), "balance")
 
 
-LOANS = CAUSAL + """, loans AS (SELECT id, balance / 20 + 350 AS score, t + 3.5::DOUBLE AS rate,
-  y * 20 + 2000 AS income, y * 1000 + 80000 AS price, y2 * 5 + 0.05::DOUBLE AS down_payment,
-  lines * 50 AS savings, y2 * 7 AS debt_ratio, quantity + 60 AS months,
-  lines / 10 + 4 AS base_rate FROM causal)"""
+LOANS = CAUSAL + """, loans AS (SELECT id, y * 1000 AS price, y2 AS down_payment, t AS rate,
+  lines AS base_rate, quantity AS months, balance FROM causal)"""

@@ -62,6 +62,24 @@ def encode(spark: SparkSession, sf: str) -> DataFrame:
         "price_is_null"))
 
 
+_MANY = """WITH rows_ AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL
+  ELSE 'c' || (o_custkey * 7 % 331) END AS c FROM orders)"""
+
+
+@query("encode_many_categories", _MANY + """, ranked AS (
+  SELECT c, row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS i FROM rows_
+  WHERE c IS NOT NULL GROUP BY c), size AS (SELECT least(count(*), 256) AS n FROM ranked)
+SELECT o_orderkey, CAST(CASE WHEN r.c IS NULL THEN n WHEN i < 256 THEN i ELSE n + 1 END AS DOUBLE)
+  AS c_index FROM rows_ r LEFT JOIN ranked k ON r.c = k.c CROSS JOIN size""")
+def encode_many(spark: SparkSession, sf: str) -> DataFrame:
+    """More categories than bins, and missing ones: the commonest keep an index of their own."""
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.concat(
+            F.lit("c"), (F.col("o_custkey") * 7 % 331).cast("string"))).alias("c"))
+    fitted = prep.fit_encoding(rows, prep.ModelColumns(("c",), ("c",), (), ()))
+    return plain(fitted.transform(rows).select("o_orderkey", "c_index"))
+
+
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 

@@ -30,15 +30,15 @@ def hot(spark):
 
 def test_hot_keys_are_found(hot):
     _, right = hot
-    assert hot_keys(right, ["doc", "mon"], share=0.1, min_rows=100) == [("hot", "m1")]
-    assert hot_keys(right, ["doc", "mon"], share=0.1) == []
+    assert list(hot_keys(right, ["doc", "mon"], min_rows=100)) == [("hot", "m1")]
+    assert hot_keys(right, ["doc", "mon"]) == {}
 
 
-@pytest.mark.parametrize("salts", [1, 7, 64])
-def test_salted_left_join_equals_plain_one(hot, salts):
+@pytest.mark.parametrize("min_rows", [10, 33, 100])
+def test_salted_left_join_equals_plain_one(hot, min_rows):
     left, right = hot
     plain = left.join(right, ["doc", "mon"], "left").select("doc", "mon", "l", "r")
-    salted = left_join(left, right, ["doc", "mon"], share=0.1, min_rows=100, salts=salts)
+    salted = left_join(left, right, ["doc", "mon"], min_rows=min_rows)
     assert "__copies" in salted._jdf.queryExecution().toString()
     assert _rows(salted.select("doc", "mon", "l", "r")) == _rows(plain)
 
@@ -109,7 +109,7 @@ def test_hot_documents_on_both_sides(world, spark):
     args = dict(doc="document_id", month="date_yyyymm")
     feature_map = {"ft1": ["score", "cat"], "ft2": ["level"]}
     plain = master_table(many, tables, keys, feature_map, **args)
-    salted = master_table(many, tables, keys, feature_map, share=0.2, min_rows=100, **args)
+    salted = master_table(many, tables, keys, feature_map, min_rows=100, **args)
     assert "__copies" in salted._jdf.queryExecution().toString()
     assert plain.count() == 301 * 152 + 3
     assert plain.exceptAll(salted).count() == 0 == salted.exceptAll(plain).count()

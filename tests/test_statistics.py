@@ -12,6 +12,7 @@ from monthbook.operators.ranks import (
 from monthbook.operators.training import BoosterSettings
 from monthbook.plans.causal_report import causal_report
 from monthbook.plans.model_pipeline import run_models, save_runs
+from monthbook.sources.tables import load_feature_map
 
 
 def _skewed(n=4000, seed=3):
@@ -136,12 +137,16 @@ def test_encoding_handles_unseen_missing_and_many_values(spark):
                                   + [("b", "v1", None)], "s string, many string, x double")
     cols = prep.ModelColumns(("s", "many", "x"), ("s", "many"), (), ())
     fitted = prep.fit_encoding(train, cols, max_bins=32)
-    assert fitted.categorical == ("s",) and fitted.hashed == ("many",)
+    assert fitted.categorical == ("s", "many")
     other = spark.createDataFrame([("zz", "new", float("nan")), (None, None, 1.0)], train.schema)
     got = fitted.transform(other).collect()
-    assert [r.s_index for r in got] == [2.0, 2.0]
+    assert [r.s_index for r in got] == [3.0, 2.0]  # unseen; missing
     assert [(r.x_filled, r.x_is_null) for r in got] == [(prep.MISSING, 1.0), (1.0, 0.0)]
-    assert all(0 <= r.many_index < 32 for r in got)
+    assert [r.many_index for r in got] == [33.0, 32.0]
+    seen = {r.many: r.many_index for r in fitted.transform(train).collect()}
+    assert seen["v1"] == 0.0 and sorted(set(seen.values())) == [*range(32), 33]
+    kind = fitted.transform(train).schema["many_index"].metadata["ml_attr"]["type"]
+    assert kind == "nominal"
 
 
 def test_standardise_constant_and_one_hot(spark):
@@ -208,9 +213,40 @@ def test_model_pipeline_learns_and_isolates_failures(spark, tmp_path):
     assert runs.importances.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     save_runs(runs, str(tmp_path))
     assert spark.read.json(str(tmp_path / "results")).count() == 2
+    assert load_feature_map(spark, str(tmp_path / "features")) == {"good": ["x", "s"], "bad": []}
+    assert spark.read.json(str(tmp_path / "importances")).count() == 3
     assert runs.summary().first().top_feature_1 == "x"
 
 
+def test_models_from_paths_report_what_cannot_be_read(spark, tmp_path):
+    rows = [(202311 if i % 3 else 202401, i % 2, float(i % 2) + i % 5 / 9) for i in range(400)]
+    path = str(tmp_path / "good.parquet")
+    spark.createDataFrame(rows, "month int, target int, x double").write.parquet(path)
+    runs = run_models(spark, [path, str(tmp_path / "gone.parquet"), "odd.txt"], target="target",
+                      month="month", cutoff=202312, settings=BoosterSettings(trees=2, depth=2))
+    got = {r.table: r for r in runs.results.collect()}
+    assert {k: r.status for k, r in got.items()} == {
+        "good": "done", "gone": "failed", "odd": "failed"}
+    assert "unsupported" in got["odd"].error
+
+
+def test_rows_without_a_time_are_kept(spark):
+    rows = [(1, 20.0), (2, None), (3, 10.0), (4, 30.0), (5, None)]
+    df = spark.createDataFrame(rows, "id long, t double")
+    got = {r.id: r.row_index for r in row_index(df, "t", "id").collect()}
+    assert got == {3: 0, 1: 1, 4: 2, 2: None, 5: None}
+    blocks = {r.id: r.block for r in bins.temporal_index(df, "t", "id", 3).collect()}
+    assert blocks == {3: 0, 1: 1, 4: 2, 2: None, 5: None}
+
+
+def test_charts_of_an_empty_column(spark):
+    df = spark.createDataFrame([(None, "a")], "v double, g string")
+    assert [(r.bin, r.lower, r.n_rows) for r in bins.histogram(df, "v", 2).collect()] == [
+        (0, None, 0), (1, None, 0)]
+    assert bins.density_2d(df, "v", "v").collect() == []
+    assert bins.box_stats(df, "v", "g").collect() == []
+
+
 # --- causal -----------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -298,7 +334,8 @@ def test_causal_report_is_complete(trial):
     spec = replace(SPEC, trees=4, treatment_depth=3)
     report = causal_report(trial, spec, "x1", "y2", replicates=20)
     assert {r.model for r in report.comparison.collect()} == {
-        "linear_dml", "forest_dml", "kernel_dml", "s_learner", "t_learner", "x_learner"}
+        "linear_dml", "forest_dml", "kernel_dml", "dr_learner", "s_learner", "t_learner",
+        "x_learner"}
     summary = report.summary.first()
     assert summary.main_driver == "x1" and summary.significant
     assert report.scenarios.count() == 9 and report.policy.count() == 3000
