@@ -14,7 +14,8 @@ as little-endian unsigned numbers of ``width`` bytes; rule k is symbol ``FIRST +
 the number of ids that each rule stands for (4 bytes each).  Summing lengths over ``symbols`` finds
 any position, and only the symbols around it need to be expanded (:func:`decode_range`).
 
-Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call.
+Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call;
+the cache lives as long as the process and is emptied when it holds ``CACHED_WORDS`` words.
 
 Defined results: null and empty texts are the end id alone; a null doc_id comes first; rows that
 share a doc_id follow by a hash of the text; an empty table gives no shards; other columns are
@@ -24,10 +25,10 @@ ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,20 @@ ROUNDS = 4
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
 MOST_RULES = (1 << 16) - FIRST  # so that symbols fit into two bytes
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_000_000
 _SLOTS = 1 << 20
-_WHITE = re.compile(r"\s")
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
          "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary")
 
 
+def _odd(word: str) -> bool:
+    """Whether a word was cut out where the pattern would not cut."""
+    bare = word.lstrip("\0")
+    return word not in ("\n", "\0") and (
+        not bare or bare[0].isspace() or bare[-1].isspace())
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, with a bounded cache of words.
 
@@ -63,8 +70,6 @@ class Encoder:
     library encodes the whole text.
     """
 
-    _newline = 198  # the id of a newline; it separates words that are encoded together
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -82,38 +87,24 @@ class Encoder:
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.index)
-        while self.used + len(ids) > len(self.ids):
+    def _learn(self, words: list[str]) -> None:
+        """Encodes new words, all in one call."""
+        found = self._batch([w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
+                             for w in words])
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        n, m, more = len(self.index), len(words), int(lengths.sum())
+        while self.used + more > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(words) + 1 > len(self.begins):
+        while n + m + 1 > len(self.begins):
             self.begins, self.uncut, self.closed = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.uncut, self.closed))
-        self.ids[self.used: self.used + len(ids)] = ids
-        self.begins[n + 1: n + len(words) + 1] = self.used + np.cumsum(lengths)
-        self.used += len(ids)
-        bare = [w.lstrip("\0") for w in words]
-        self.uncut[n: n + len(words)] = [
-            w != "\n" and w != "\0" and (not b or b[0].isspace() or b[-1].isspace())
-            for w, b in zip(words, bare)]
-        self.closed[n: n + len(words)] = [b[-1:].isalnum() for b in bare]
-        self.index.update(zip(words, range(n, n + len(words))))
-
-    def _learn(self, words: list[str]) -> None:
-        """Encodes new words, most of them in one call with newlines between."""
-        plain = [w for w in words if w and w[0] != "\0" and not _WHITE.search(w)]
-        simple = set(plain)
-        odd = [w for w in words if w not in simple]
-        for at in range(0, len(plain), 1024):
-            part = plain[at: at + 1024]
-            ids = np.array(self._batch(["".join(f" {w}\n" for w in part)])[0], np.uint32)
-            cuts = np.flatnonzero(ids == self._newline)
-            self._add(part, np.delete(ids, cuts), np.diff(cuts, prepend=-1) - 1)
-        if odd:
-            found = self._batch([w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
-                                 for w in odd])
-            self._add(odd, np.array([x for ids in found for x in ids], np.uint32),
-                      np.array([len(ids) for ids in found]))
+        self.ids[self.used: self.used + more] = np.fromiter(chain.from_iterable(found), np.uint32,
+                                                            more)
+        self.begins[n + 1: n + m + 1] = self.used + np.cumsum(lengths)
+        self.used += more
+        self.closed[n: n + m] = [w[-1:].isalnum() for w in words]
+        self.uncut[n: n + m] = [not w.isalpha() and _odd(w) for w in words]
+        self.index.update(zip(words, range(n, n + m)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, each with the end id, and their numbers."""
@@ -133,7 +124,7 @@ class Encoder:
         new = np.flatnonzero(picked < 0)
         if len(new):
             missing = [words[k] for k in new.tolist()]
-            self._learn(sorted(set(missing)))
+            self._learn(list(dict.fromkeys(missing)))
             picked[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
         wrong = self.uncut[picked]
         mark = (picked == self.index["\0,"]) | (picked == self.index["\0."])
@@ -162,6 +153,12 @@ class Encoder:
         return out, sizes
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One encoder per process: its words serve all tasks that run there."""
+    return Encoder(path)
+
+
 def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS
            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The compressed sequence, the rules (n, 2) and the number of ids each rule stands for.
@@ -261,10 +258,10 @@ def _rows(ids: list[np.ndarray], docs: list, sizes: list, shard: int, block: int
 def shards(docs: DataFrame, vocabulary: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Compressed shard rows of all documents, in the order of doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encode, shard, block = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
         ids, names, sizes, total = [], [], [], 0
         for batch in slices(batches, 2 << 20):
-            found, lengths = encoder.encode(batch.column(1).to_pylist())
+            found, lengths = encode(batch.column(1).to_pylist())
             ids.append(found)
             names += batch.column(0).to_pylist()
             sizes += lengths.tolist()
