@@ -10,6 +10,7 @@ All rows stay on the executors; effects are a column of the input rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -18,11 +19,9 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.scalars import clip, safe_divide
@@ -193,81 +192,132 @@ def linear_dml(residuals: DataFrame, spec: CausalSpec, final: str = "constant",
                replicates: int = 0) -> Estimate:
     """Effect that is constant, ``linear`` in the features, or a sparse (``lasso``) one.
 
-    With ``replicates`` a bootstrap interval of the mean effect is added (constant form).
+    With ``replicates`` a bootstrap interval of the mean effect is added, in every form.
     """
-    if final == "lasso":
-        return _lasso_dml(residuals, spec)
-    on = list(spec.features) if final == "linear" else []
-    t = F.col("t_res")
-    terms = [t, *[t * F.col(c) for c in on], F.col("y_res")]
-    matrix = gram(residuals, terms)[()]
-    theta = solve(matrix, range(len(on) + 1), len(on) + 1)
+    if final not in ("constant", "linear", "lasso"):
+        raise ValueError(f"unknown final stage {final!r}")
+    on = [] if final == "constant" else list(spec.features)
+    # t and t * x explain y; 1 and x are there for the mean effect of a replicate.
+    t, one = F.col("t_res"), F.lit(1.0)
+    terms = [t, *[t * F.col(c) for c in on], F.col("y_res"), one, *[F.col(c) for c in on]]
+    k = len(on) + 1
+    parts = gram(residuals.withColumn("__block", block_number(spec)), terms, ["fold", "__block"])
+    sums = {f: sum(m for key, m in parts.items() if key[0] == f) for f, _ in parts}
+    whole = sum(sums.values(), np.zeros((len(terms),) * 2))
+    penalty = _choose_penalty(sums, k) if final == "lasso" else 0.0
+    theta = _final_stage(whole, k, penalty)
     effect = F.lit(float(theta[0]))
     for c, b in zip(on, theta[1:]):
         effect = effect + F.col(c).cast("double") * F.lit(float(b))
-    rows = residuals.withColumn("effect", effect)
-    predict = lambda other: other.withColumn("effect", effect)
-    if final == "linear":
-        return _mean_effect("linear_dml", rows, predict=predict)
+
+    def mean_effect(matrix: np.ndarray) -> float:
+        return float(_final_stage(matrix, k, penalty) @ matrix[k + 1, k + 1:] / matrix[k + 1, k + 1])
+
     low = high = None
-    if replicates:
-        row = bootstrap_ci(residuals, spec, replicates).first()
-        low, high = row.low, row.high
-    return Estimate("linear_dml", rows, float(theta[0]), low, high, predict=predict)
-
-
-def _lasso_dml(residuals: DataFrame, spec: CausalSpec) -> Estimate:
-    """Final stage on ``t_res`` times the features with an L1 penalty chosen by 5 folds."""
-    def crossed(df: DataFrame, t: Column) -> DataFrame:
-        names = [f"__x{i}" for i in range(len(spec.features) + 1)]
-        cols = [t, *[t * F.col(c) for c in spec.features]]
-        return _vector(df.withColumns(dict(zip(names, cols))), names).drop(*names)
-
-    lasso = LinearRegression(featuresCol=_VECTOR, labelCol="y_res", fitIntercept=False,
-                             elasticNetParam=1.0, predictionCol="__prediction")
-    grid = ParamGridBuilder().addGrid(lasso.regParam, [0.0, 0.001, 0.01, 0.1]).build()
-    judge = RegressionEvaluator(labelCol="y_res", predictionCol="__prediction")
-    fitted = CrossValidator(estimator=lasso, estimatorParamMaps=grid, evaluator=judge,
-                            numFolds=5, seed=spec.seed).fit(
-        crossed(residuals, F.col("t_res")).select(_VECTOR, "y_res")).bestModel
-    weights = [float(b) for b in fitted.coefficients]
-    effect = F.lit(weights[0])
-    for c, b in zip(spec.features, weights[1:]):
-        effect = effect + F.col(c).cast("double") * F.lit(b)
-    return _mean_effect("linear_dml", residuals.withColumn("effect", effect),
-                        predict=lambda other: other.withColumn("effect", effect))
-
-
-# Cumulative probabilities of a Poisson count with mean 1.
-_POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-            0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
+    if replicates and parts:
+        low, high = _interval(parts, mean_effect, replicates, spec.seed)
+    return Estimate("linear_dml", residuals.withColumn("effect", effect), mean_effect(whole)
+                    if whole[k + 1, k + 1] else float(theta[0]), low, high,
+                    predict=lambda other: other.withColumn("effect", effect))
+
+
+def _final_stage(matrix: np.ndarray, k: int, penalty: float) -> np.ndarray:
+    """Coefficients of y on the first ``k`` terms, from their sums of products.
+
+    With a penalty: coordinate descent for the lasso on terms of unit length; the penalty is a
+    share of the one that leaves no term.
+    """
+    if not penalty:
+        return solve(matrix, range(k), k)
+    scale = np.sqrt(np.maximum(matrix.diagonal()[:k], 1e-300))
+    g, c = matrix[:k, :k] / np.outer(scale, scale), matrix[:k, k] / scale
+    limit, beta = penalty * np.abs(c).max(), np.zeros(k)
+    for _ in range(1000):
+        before = beta.copy()
+        for j in range(k):
+            rest = c[j] - g[j] @ beta + g[j, j] * beta[j]
+            beta[j] = np.sign(rest) * max(abs(rest) - limit, 0.0) / g[j, j]
+        if np.abs(beta - before).max() < 1e-12 * max(1.0, np.abs(beta).max()):
+            break
+    return beta / scale
+
+
+#: Penalties tried, as shares of the one that leaves no term.
+_PENALTIES = (0.0, 0.001, 0.01, 0.1)
+
+
+def _choose_penalty(sums: dict[int, np.ndarray], k: int) -> float:
+    """The penalty with the least squared error on folds that were left out."""
+    whole = sum(sums.values())
+    def miss(penalty: float) -> float:
+        total = 0.0
+        for own in sums.values():
+            v = np.zeros(len(own))
+            v[:k], v[k] = -_final_stage(whole - own, k, penalty), 1.0
+            total += v @ own @ v
+        return total
+    return min(_PENALTIES, key=miss)
+
+
+#: Blocks of rows that are drawn together.
+BLOCKS = 256
+
+
+def block_number(spec: CausalSpec) -> Column:
+    """The block of a row: the first two hex digits of the md5 of its id."""
+    return F.conv(F.substring(F.md5(F.col(spec.id).cast("string")), 1, 2), 16, 10).cast("int")
+
+
+def _poisson(limit: int = 14) -> list[float]:
+    """P(count <= k) of a Poisson count with mean 1, until nothing is left at 32 bits."""
+    out, p, total = [], float(np.exp(-1.0)), 0.0
+    for k in range(limit):
+        total += p
+        out.append(total)
+        p /= k + 1
+    return out
+
+
+def _weight(block: int, replicate: int, seed: int, steps: list[float]) -> int:
+    text = f"{block}-{replicate}-{seed}"
+    u = int(hashlib.md5(text.encode()).hexdigest()[:8], 16) / 2.0 ** 32
+    return sum(u > p for p in steps)
+
+
+def _interval(parts: dict[tuple, np.ndarray], value: Callable[[np.ndarray], float],
+              replicates: int, seed: int, alpha: float = 0.05) -> tuple[float, float]:
+    """Percentile interval of a value of sums of products over redrawn blocks."""
+    blocks: dict[int, np.ndarray] = {}
+    for key, matrix in parts.items():
+        blocks[key[-1]] = blocks.get(key[-1], 0.0) + matrix
+    numbers, steps = sorted(blocks), _poisson()
+    stack = np.stack([blocks[b] for b in numbers])
+    found = []
+    for r in range(1, replicates + 1):
+        weights = np.array([_weight(b, r, seed, steps) for b in numbers], float)
+        if weights.any():
+            found.append(value(np.tensordot(weights, stack, 1)))
+    low, high = np.quantile(found, [alpha / 2, 1 - alpha / 2])
+    return float(low), float(high)
 
 
 def bootstrap_ci(residuals: DataFrame, spec: CausalSpec, replicates: int = 100,
                  alpha: float = 0.05) -> DataFrame:
     """Percentile interval of the constant effect: ``ate, low, high, replicates``.
 
-    Each row gets a Poisson weight per replicate from a hash of its id, so replicates are
-    repeatable and reduce to two sums per task before any shuffle.
+    Rows fall into ``BLOCKS`` blocks by a hash of their id, and each block gets a Poisson
+    weight per replicate: the table is read once, no row is copied, and a rerun draws alike.
     """
-    draws = residuals.select(
-        F.col(spec.id), (F.col("y_res") * F.col("t_res")).alias("a"),
-        (F.col("t_res") * F.col("t_res")).alias("b"),
-        F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
-    u = F.pmod(F.xxhash64(spec.id, F.col("r"), F.lit(spec.seed)), F.lit(1 << 40)) / F.lit(
-        float(1 << 40))
-    drawn = draws.withColumn("u", u)
-    weight = reduce(lambda x, y: x + y, [(F.col("u") > p).cast("double") for p in _POISSON])
-    thetas = drawn.groupBy("r").agg(
-        safe_divide(F.sum(weight * F.col("a")), F.sum(weight * F.col("b"))).alias("theta"))
-    whole = residuals.agg(safe_divide(F.sum(F.col("y_res") * F.col("t_res")),
-                                      F.sum(F.col("t_res") * F.col("t_res"))).alias("v"))
-    ate = whole.first().v
-    # One row per replicate is left here.
-    return thetas.agg(F.lit(ate).alias("ate"),
-                      F.percentile("theta", alpha / 2).alias("low"),
-                      F.percentile("theta", 1 - alpha / 2).alias("high"),
-                      F.count("theta").alias("replicates"))
+    products = gram(residuals.withColumn("__block", block_number(spec)),
+                    [F.col("t_res"), F.col("y_res")], ["__block"])
+    def ratio(m: np.ndarray) -> float:
+        return float(m[0, 1] / m[0, 0]) if m[0, 0] else float("nan")
+    row: tuple = (None, None, None, replicates)
+    if products:
+        row = (ratio(sum(products.values())),
+               *_interval(products, ratio, replicates, spec.seed, alpha), replicates)
+    return residuals.sparkSession.createDataFrame(
+        [row], "ate double, low double, high double, replicates bigint")
 
 
 def forest_dml(residuals: DataFrame, spec: CausalSpec) -> Estimate:

@@ -14,8 +14,9 @@ from monthbook.operators.bins import temporal_index
 from monthbook.operators.causal import (
     CausalSpec, Estimate, complete_rows, crossfit_residuals, linear_dml)
 from monthbook.operators.linear import Scaling, gram, solve
-from monthbook.operators.ranks import quantile_values
+from monthbook.operators.ranks import quantiles
 from monthbook.operators.reports import union_rows
+from monthbook.session import cut_lineage
 
 # Shape of the explaining trees, scenario rates and confounding factors.
 TREE_DEPTH = 5
@@ -59,7 +60,10 @@ def scenarios(estimate: Estimate, spec: CausalSpec,
     The effect per unit at the median features, times the distance to the mean treatment.
     """
     rows = estimate.rows
-    centre = [quantile_values(rows, c, [0.5])[0] for c in spec.features]
+    long = rows.select(*[F.col(c).cast("double").alias(c) for c in spec.features]).unpivot(
+        [], list(spec.features), "name", "v")
+    medians = {r["name"]: r["q0"] for r in quantiles(long, "v", [0.5], by=["name"]).collect()}
+    centre = [medians.get(c) for c in spec.features]
     base = rows.agg(F.avg(spec.outcome).alias("y"), F.avg(spec.treatment).alias("t")).first()
     frame = rows.sparkSession.createDataFrame(
         [(float(r), *centre) for r in rates],
@@ -85,7 +89,9 @@ def temporal_ate(df: DataFrame, spec: CausalSpec, time: str, folds: int = 5) ->
     With linear nuisance models all folds come from one aggregate per (block, fold).
     """
     indexed = temporal_index(complete_rows(df, spec), time, spec.id, folds)
-    indexed = indexed.where(F.col("block").isNotNull()).withColumn("fold", spec.fold_number())
+    # Sorted once: every later step reads what is written here.
+    indexed = cut_lineage(indexed.where(F.col("block").isNotNull())
+                          .withColumn("fold", spec.fold_number()))
     if spec.nuisance == "linear":
         ates = _temporal_linear(indexed, spec, folds)
     else:

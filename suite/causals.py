@@ -355,14 +355,31 @@ def tree_residuals(spark: SparkSession, sf: str) -> DataFrame:
     return _tree_residuals(spark, sf).select("id", "fold", "y_res", "t_res")
 
 
-@query("bootstrap_ci")
+_STEPS = ", ".join(f"{p!r}::DOUBLE" for p in c._poisson())
+
+
+@query("bootstrap_ci", BASE + _residual_sql() + f"""
+, blocks AS (SELECT CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 2) AS BIGINT) AS b,
+    sum(y_res * t_res) AS p, sum(t_res * t_res) AS q FROM res GROUP BY 1)
+, drawn AS (SELECT r, p, q, CAST('0x' || substr(md5(b || '-' || r || '-{LINEAR.seed}'), 1, 8)
+    AS BIGINT) / 4294967296.0::DOUBLE AS u FROM blocks, (SELECT unnest(range(1, 101)) AS r))
+, thetas AS (SELECT r, sum(w * p) / sum(w * q) AS theta FROM (
+    SELECT r, p, q, len(list_filter([{_STEPS}], lambda x: u > x)) AS w FROM drawn) GROUP BY r)
+SELECT (SELECT round(sum(p) / sum(q), 6) FROM blocks) AS ate,
+  round(quantile_cont(theta, 0.025), 6) AS low, round(quantile_cont(theta, 0.975), 6) AS high,
+  count(*) AS replicates FROM thetas""")
 def interval(spark: SparkSession, sf: str) -> DataFrame:
-    return c.bootstrap_ci(c.crossfit_residuals(fx.causal(spark, sf), LINEAR), LINEAR)
+    found = c.bootstrap_ci(c.crossfit_residuals(fx.causal(spark, sf), LINEAR), LINEAR)
+    return plain(found, 6, ("ate", "low", "high"))
 
 
-@query("forest_dml")
+# What trees say has no counterpart in SQL; who is scored, and into which arm a row falls, has.
+_KNOWN = "(effect IS NOT NULL AND NOT isnan(effect)) AS known"
+
+
+@query("forest_dml", BASE + " SELECT id, true AS known FROM causal")
 def forest(spark: SparkSession, sf: str) -> DataFrame:
-    return c.forest_dml(_tree_residuals(spark, sf), TREES).rows.select("id", "effect")
+    return c.forest_dml(_tree_residuals(spark, sf), TREES).rows.selectExpr("id", _KNOWN)
 
 
 @query("kernel_dml")
@@ -379,9 +396,10 @@ def lasso(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _register_learner(key: str, learner) -> None:
-    @query(key)
+    @query(key, BASE + " SELECT id, CAST(t > (SELECT quantile_cont(t, 0.5) FROM causal) AS BIGINT) "
+           "AS treated, true AS known FROM causal")
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return learner(fx.causal(spark, sf), TREES).rows.select("id", "treated", "effect")
+        return plain(learner(fx.causal(spark, sf), TREES).rows.selectExpr("id", "treated", _KNOWN))
 
 
 for _key, _learner in (("s_learner", c.s_learner), ("t_learner_forest", c.t_learner),

@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from monthbook.operators import metrics as m
 from monthbook.operators import prep, reports
 from monthbook.operators.training import BoosterSettings, feature_importance, score, train
-from monthbook.plans.model_pipeline import ModelRuns, run_models
+from monthbook.operators.joins import master_table
+from monthbook.plans.model_pipeline import ModelRuns, run_models, save_runs
+from monthbook.session import scratch_path
+from monthbook.sources.tables import FeatureKeys, load_feature_map
 from suite import fixtures as fx
 from suite.registry import plain, query
 
@@ -296,11 +299,26 @@ def largest(spark: SparkSession, sf: str) -> DataFrame:
 SMALL = BoosterSettings(trees=5, depth=3, max_bins=64)
 
 
-@query("train_gbt")
+# What the trees find has no counterpart in SQL.  The parts around it have: rows, classes,
+# features, failures, and scores that add up.
+_SIZES = f"""count(*) FILTER (month <= {fx.CUTOFF}) AS train_samples,
+  count(*) FILTER (month > {fx.CUTOFF}) AS test_samples"""
+
+
+def _judged(results: DataFrame) -> DataFrame:
+    inside = " AND ".join(f"{m} BETWEEN 0 AND 1" for m in ("accuracy", "f1", "roc_auc"))
+    return plain(results.selectExpr(
+        "table", "status", "n_classes", "train_samples", "test_samples", "total_features",
+        f"CASE WHEN status = 'done' THEN {inside} END AS plausible"))
+
+
+@query("train_gbt", MODEL + f"""SELECT 'orders' AS "table", 'done' AS status,
+  CAST(2 AS BIGINT) AS n_classes, {_SIZES}, CAST(6 AS BIGINT) AS total_features,
+  true AS plausible FROM model_table""")
 def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     runs = run_models(spark, {"orders": fx.model_table(spark, sf)}, target="target",
                       month="month", cutoff=fx.CUTOFF, settings=SMALL)
-    return runs.results.select("table", "status", "n_classes", "accuracy", "roc_auc", "test_ks")
+    return _judged(runs.results)
 
 
 def _three_classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -311,25 +329,38 @@ def _three_classes(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(2).alias("target"), "o_totalprice", "o_orderpriority")
 
 
-@query("train_multiclass")
+@query("train_multiclass", f"""SELECT 'orders' AS "table", 'done' AS status,
+  CAST(3 AS BIGINT) AS n_classes, {_SIZES}, CAST(2 AS BIGINT) AS total_features,
+  true AS plausible
+FROM (SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month FROM orders)""")
 def train_multiclass(spark: SparkSession, sf: str) -> DataFrame:
     runs = run_models(spark, {"orders": _three_classes(spark, sf)}, target="target",
                       month="month", cutoff=fx.CUTOFF,
                       settings=BoosterSettings(trees=3, depth=3, max_bins=64))
-    return runs.results.select("table", "status", "n_classes", "accuracy", "f1", "roc_auc")
+    return _judged(runs.results)
 
 
-@query("score_table")
+@query("score_table", MODEL + f"""SELECT CAST(month AS BIGINT) AS month,
+  CAST(target AS BIGINT) AS target, count(*) AS n, CAST(count(*) AS DOUBLE) AS total,
+  count(*) AS of_a_class FROM model_table WHERE month > {fx.CUTOFF} GROUP BY month, target""")
 def score_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Every later row gets a class and scores that add up to one."""
     early, late = prep.split_by_date(fx.model_table(spark, sf), "month", fx.CUTOFF)
-    return score(late, train(early, "target", "month", SMALL), "month")
+    scored = score(late, train(early, "target", "month", SMALL), "month")
+    return plain(scored.groupBy("month", "target").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("score_0") + F.col("score_1")), 4)
+        .alias("total"), F.count_if(F.col("prediction").isin(0, 1)).alias("of_a_class")))
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT CAST(6 AS BIGINT) AS features, 1.0::DOUBLE AS total, "
+       "true AS positive")
 def importance(spark: SparkSession, sf: str) -> DataFrame:
     early, _ = prep.split_by_date(fx.model_table(spark, sf), "month", fx.CUTOFF)
     rows = feature_importance(train(early, "target", "month", SMALL))
-    return spark.createDataFrame(rows, "feature string, importance double")
+    found = spark.createDataFrame(rows, "feature string, importance double")
+    return found.agg(F.countDistinct("feature").alias("features"),
+                     F.round(F.sum("importance"), 6).alias("total"),
+                     F.bool_and(F.col("importance") >= 0).alias("positive"))
 
 
 def _runs(spark: SparkSession, sf: str) -> ModelRuns:
@@ -340,11 +371,43 @@ def _runs(spark: SparkSession, sf: str) -> ModelRuns:
                       settings=SMALL)
 
 
-@query("run_models")
+@query("run_models", MODEL + f""", sizes AS (SELECT {_SIZES} FROM model_table)
+SELECT t AS "table", s AS status, CAST(c AS BIGINT) AS n_classes,
+  CASE WHEN s = 'done' THEN train_samples END AS train_samples,
+  CASE WHEN s = 'done' THEN test_samples END AS test_samples,
+  CAST(f AS BIGINT) AS total_features, CASE WHEN s = 'done' THEN true END AS plausible
+FROM sizes CROSS JOIN (VALUES ('orders', 'done', 2, 6), ('prices', 'done', 2, 1),
+                              ('broken', 'failed', NULL, NULL)) v(t, s, c, f)""")
 def models(spark: SparkSession, sf: str) -> DataFrame:
-    return _runs(spark, sf).results
+    return _judged(_runs(spark, sf).results)
 
 
-@query("summary_report")
+@query("summary_report", """SELECT t AS "table", f AS top_features FROM (VALUES
+  ('orders', CAST(3 AS BIGINT)), ('prices', CAST(1 AS BIGINT))) v(t, f)""")
 def summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _runs(spark, sf).summary()
+    """The tables that worked, with as many best features as they have, up to three."""
+    made = _runs(spark, sf).summary()
+    named = sum((F.col(f"top_feature_{i}").isNotNull().cast("bigint") for i in (1, 2, 3)),
+                F.lit(0).cast("bigint"))
+    return made.select("table", named.alias("top_features"))
+
+
+@query("model_chain", f"""WITH {fx.MAIN_DOCUMENTS}, {fx.FEATURE_TABLE_1}
+SELECT m.document_id, CAST(m.y AS BIGINT) AS y, m.date_yyyymm,
+  CAST(f.score AS DOUBLE) AS ft_score, f.amount AS ft_amount
+FROM main_documents m LEFT JOIN feature_table_1 f ON f.doc = m.document_id
+  AND f.mes = strftime(strptime(m.date_yyyymm, '%Y%m') - INTERVAL 1 MONTH, '%Y%m')""")
+def chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Trains on a feature table, saves the best features, loads them, builds a master table."""
+    features = fx.feature_table_1(spark, sf)
+    ready = features.select(F.col("mes").cast("int").alias("month"), F.col("flag").alias("target"),
+                            F.col("score").cast("double").alias("score"), "amount")
+    runs = run_models(spark, {"ft": ready}, target="target", month="month", cutoff=fx.CUTOFF,
+                      settings=SMALL)
+    out = scratch_path(spark, "runs")
+    save_runs(runs, out)
+    table = master_table(
+        fx.main_documents(spark, sf), {"ft": features},
+        [FeatureKeys("ft", "doc", "mes", 1, unique=True)],
+        load_feature_map(spark, f"{out}/features"), doc="document_id", month="date_yyyymm")
+    return plain(table)
