@@ -10,7 +10,7 @@ from monthbook.llm.mixing import mixing_query
 from monthbook.llm.pii import pii_query
 from monthbook.llm.simhash import simhash_query
 from monthbook.llm.sketches import fingerprint_query
-from monthbook.llm.suffixes import suffix_query
+from monthbook.llm.suffixes import SUFFIX_SQL, suffix_query
 from monthbook.llm.tokens import tokens_query
 
 QUERIES = {
@@ -26,4 +26,8 @@ QUERIES = {
     "op10_line_dedup": line_query,
 }
 
-ORACLES = {"op7_chat_format": CHAT_SQL, "op10_line_dedup": LINE_SQL}
+ORACLES = {
+    "op2_suffix_dedup": SUFFIX_SQL,
+    "op7_chat_format": CHAT_SQL,
+    "op10_line_dedup": LINE_SQL,
+}

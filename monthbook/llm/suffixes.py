@@ -577,3 +577,25 @@ def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("bigint").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SUFFIX_SQL = f"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - {LENGTH - 1}, 0))) AS i
+  FROM docs),
+strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * LENGTH}) AS s FROM starts),
+least AS (SELECT s, min(doc_id) AS first_doc FROM strings GROUP BY s),
+gone AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+  FROM strings JOIN least USING (s) WHERE doc_id > first_doc),
+runs AS (SELECT doc_id, i, count(*) FILTER (before IS NULL OR i > before + {LENGTH})
+  OVER (PARTITION BY doc_id ORDER BY i) AS run FROM gone),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + {LENGTH} AS b FROM runs GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS after FROM spans
+  UNION ALL SELECT doc_id, length(h) // 2, NULL, coalesce((SELECT max(b) FROM spans s
+    WHERE s.doc_id = d.doc_id), 0) FROM docs d),
+kept AS (SELECT c.doc_id, string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a, b)
+    AS h, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(b) AS n_spans
+  FROM cuts c JOIN docs d ON c.doc_id = d.doc_id GROUP BY c.doc_id)
+SELECT doc_id, length(d.h) // 2 AS n_bytes, n_removed, n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM kept k JOIN docs d USING (doc_id)
+"""
