@@ -157,9 +157,12 @@ class LanguageModel:
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     """A model from rows (doc_id, text, lang) without null lang; None if there are none."""
     rows = labelled.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    rate = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"))
-    picked = rows.join(counts, "lang").where(share("doc_id") < rate).select("lang", "text")
+    # One number per language, like the model; so the rows need no join and no shuffle.
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return None
+    rates = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, sample / n)])
+    picked = rows.where(share("doc_id") < F.element_at(rates, F.col("lang"))).select("lang", "text")
     sums = (picked.mapInArrow(_count, "lang string, docs bigint, counts binary")
             .select("lang", "counts").repartition("lang").mapInArrow(_add, "lang string, counts binary"))
     per_lang = {r["lang"]: np.frombuffer(r["counts"]) for r in sums.collect()}
