@@ -65,6 +65,9 @@ HEADLINE = ("feature_book", "book_nunique", "book_breaks", "book_extra_agg", "ri
             "master_table", "lagged_join_fanout", "root_join", "validation_report_all",
             "duplicate_keys", "roc_auc", "roc_auc_ovr", "classification_metrics",
             "quantile_bins", "linear_dml", "dr_learner", "temporal_ate", "normalize_text")
+#: Tree models and the other slow ones; timed after the headline and not part of its total.
+TREES = ("train_gbt", "run_models", "forest_dml", "x_learner", "lasso_dml", "bootstrap_ci",
+         "causal_report")
 
 
 def main() -> None:
@@ -77,14 +80,21 @@ def main() -> None:
     known = all_queries()
     jobs = {**wide_books(), **{name: known[name] for name in HEADLINE}}
     spark.read.parquet(f"{sf}/orders.parquet").groupBy("o_orderstatus").count().collect()
-    times = {}
-    for name, run in jobs.items():
-        start = time.perf_counter()
-        run(spark, sf).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
-        print(name, times[name], file=sys.stderr, flush=True)
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf.rstrip("/").rsplit("sf", 1)[-1]}))
+
+    def timed(names: dict) -> dict[str, float]:
+        times = {}
+        for name, run in names.items():
+            start = time.perf_counter()
+            run(spark, sf).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - start, 3)
+            print(name, times[name], file=sys.stderr, flush=True)
+        return times
+
+    first, again = timed(jobs), timed(jobs)
+    trees = timed({name: known[name] for name in TREES})
+    print(json.dumps({"metric": "headline_total", "value": round(sum(first.values()), 3),
+                      "unit": "sec", "queries": first, "again": again, "trees": trees,
+                      "sf": sf.rstrip("/").rsplit("sf", 1)[-1]}))
     spark.stop()
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from monthbook.operators.joins import lagged_join, master_table, numeric_feature_join
 from monthbook.operators.quality import master_validation
 from monthbook.sources.tables import (
-    FeatureKeys, numeric_columns, read_written, replace_partitions, resolve_keys,
-    write_partitions)
+    FeatureKeys, numeric_columns, read_written, replace_partitions, resolve_keys)
 
 
 def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
@@ -23,7 +22,7 @@ def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
         joined = lagged_join(population, features[k.table], k, doc=doc, month=month,
                              months=months)
         made[k.table] = f"{out}/{prefix}_{k.table}_joined"
-        write_partitions(joined, made[k.table], month)
+        replace_partitions(joined, made[k.table], month, months)
     return made
 
 
@@ -34,7 +33,7 @@ def master_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
     """Writes the master table; returns it, read back, with its validation row."""
     joined = master_table(population, features, keys, feature_map, doc=doc, month=month,
                           months=months)
-    write_partitions(joined, out, month)
+    replace_partitions(joined, out, month, months)
     written = read_written(population.sparkSession, out, joined.schema)
     return written, master_validation(written, month)
 
@@ -106,7 +105,7 @@ def _write_months(population: DataFrame, features: DataFrame, k: FeatureKeys,
                   month: str) -> DataFrame:
     joined = numeric_feature_join(population, features, k, doc=doc, target=target,
                                   month=month, months=months)
-    replace_partitions(joined, path, month, [str(m) for m in months])
+    replace_partitions(joined, path, month, months)
     spark = population.sparkSession
     counted = (read_written(spark, path, joined.schema)
                .where(F.col(month).cast("string").isin([str(m) for m in months]))

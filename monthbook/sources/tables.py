@@ -144,22 +144,28 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
 
 
-def _files(spark: SparkSession, path: str, by: str, values: Sequence[str]) -> dict[str, set[str]]:
-    """Files of some partitions of a written output, by value; empty if nothing is there."""
+def _files(spark: SparkSession, path: str, by: str,
+           values: Sequence[str] | None) -> dict[str, set[str]]:
+    """Files of some (or all) partitions of an output, by value; empty if nothing is there."""
     try:
         rows = spark.read.parquet(path)
     except AnalysisException:
         return {}
     if by not in rows.columns:
         return {}
-    found = (rows.where(F.col(by).cast("string").isin(list(values)))
-             .groupBy(F.col(by).cast("string").alias("v"))
-             .agg(F.collect_set("_metadata.file_path").alias("files")).collect())
+    wanted = F.lit(True) if values is None else F.col(by).cast("string").isin(list(values))
+    found = (rows.where(wanted).groupBy(F.col(by).cast("string").alias("v"))
+             .agg(F.collect_set("_metadata.file_path").alias("files")).collect())  # file names
     return {r["v"]: set(r["files"]) for r in found}
 
 
-def replace_partitions(df: DataFrame, path: str, by: str, values: Sequence[str]) -> None:
-    """Like :func:`write_partitions`; of ``values``, those without a row lose their old partition."""
+def replace_partitions(df: DataFrame, path: str, by: str,
+                       values: Sequence[str | int] | None = None) -> None:
+    """Like :func:`write_partitions`; of ``values``, those without a row lose their old partition.
+
+    Without ``values`` that holds for all partitions of the output.
+    """
+    values = None if values is None else [str(v) for v in values]
     spark = df.sparkSession
     before = _files(spark, path, by, values)
     write_partitions(df, path, by)

@@ -6,8 +6,6 @@ import __spark_entry__ as contract
 from tests.compare import compare
 from tests.conftest import SMALL
 
-SLOW = {"causal_report", "lasso_dml", "run_models", "summary_report", "train_multiclass"}
-
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(name, spark, con):
@@ -15,7 +13,7 @@ def test_query_equals_sql(name, spark, con):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
+    "name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_query_runs(name, spark):
     assert contract.queries()[name](spark, SMALL).count() > 0
 

@@ -345,3 +345,14 @@ def test_causal_report_is_complete(trial):
 def test_roles(spark):
     df = spark.createDataFrame([(1, 2, 3, 4, 5)], "id int, t int, y int, a int, b int")
     assert c.choose_roles(df, "t", ["y"], ["b", "zz"], drop=["id"]) == (["a", "b"], ["b"])
+
+
+def test_lasso_and_linear_find_the_effect(trial):
+    residuals = c.crossfit_residuals(trial, SPEC)
+    for final in ("linear", "lasso"):
+        found = c.linear_dml(residuals, SPEC, final=final, replicates=50)
+        assert found.low < found.ate < found.high and found.high - found.low < 0.5
+        row = found.rows.agg(F.avg("effect").alias("m"), F.corr("effect", "x1").alias("r")).first()
+        assert row.m == pytest.approx(found.ate, abs=1e-6) and row.r > 0.95
+    strong = c._final_stage(np.array([[4.0, 0, 8.0], [0, 9.0, 0.9], [8.0, 0.9, 20.0]]), 2, 0.2)
+    assert strong[1] == 0.0 and 0 < strong[0] < 2.0  # soft thresholds: the weak term goes
