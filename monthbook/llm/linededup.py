@@ -82,12 +82,15 @@ def repeated_windows(docs: DataFrame, gram: int = GRAM, guarantee: int = GUARANT
     marks = rows.groupBy("fp").agg(
         F.min(F.struct("doc_id", "version", "place")).alias("least"),
         F.max(F.struct("doc_id", "version", "place")).alias("most"))
-    repeated = marks.where(~F.col("least").eqNullSafe(F.col("most"))).select("fp")
+    # Both lists are written: a join of two shuffled sides can split a very common line.
+    repeated = saved(marks.where(~F.col("least").eqNullSafe(F.col("most"))).select("fp"),
+                     "repeated-lines")
     near = rows.join(repeated, "fp", "left_semi")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "start")
     first = near.groupBy("key", "key2").agg(F.min(place).alias("first"),
                                             F.max(place).alias("last"))
-    first = first.where(~F.col("first").eqNullSafe(F.col("last"))).select("key", "key2", "first")
+    first = saved(first.where(~F.col("first").eqNullSafe(F.col("last")))
+                  .select("key", "key2", "first"), "first-runs")
     met = near.join(first, ["key", "key2"])
     here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
         F.col("version") == F.col("first.version"))
