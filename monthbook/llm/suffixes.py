@@ -49,9 +49,9 @@ from monthbook.session import scratch_path
 
 LENGTH = 50
 GRAM = 16  # bytes of an anchor: two words of eight
-PACK = 4 << 20
+PACK = 2 << 20
 RANGE_BYTES = 8 << 20  # of text per hash range
-_SLICE = 1 << 19
+_SLICE = 1 << 18
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -418,39 +418,45 @@ def least_documents(common: np.ndarray, left: np.ndarray, jlo: np.ndarray, jhi:
     """
     found = []
     hashed = np.zeros(len(docs), np.uint64)
+    none = np.full(len(docs), _LAST)
+    before, since = none, np.zeros(len(docs), np.int16)  # the open range of each record
+
+    def close(now: np.ndarray, j: int) -> None:
+        """Ends the ranges whose answer is another one from ``j`` on, and opens the new ones."""
+        changed = now != before
+        ended = np.flatnonzero(changed & (before != _LAST))
+        found.append((ended, since[ended], np.full(len(ended), j - 1, np.int16), before[ended]))
+        since[changed] = j
+
     for j in range(LEFT + 1):
         if j:
             hashed = (hashed ^ (left[:, j - 1].astype(np.uint64) + np.uint64(1))) * _C[0]
             hashed ^= hashed >> np.uint64(32)
         # Equal to the right: neighbours with a common prefix of LENGTH - j bytes.
-        group = np.cumsum(common < LENGTH - j)
+        group = np.cumsum(common < LENGTH - j, dtype=np.int32)
         part = np.flatnonzero((jlo <= j) & (j <= jhi))
         g = group[part]
         near = np.zeros(len(part), bool)
         near[1:] = g[1:] == g[:-1]
         near[:-1] |= near[1:]
         part, g = part[near], g[near]
-        if not len(part):
-            continue
-        order = np.lexsort((hashed[part], g))
-        part, g, h = part[order], g[order], hashed[part][order]
-        new = np.ones(len(part), bool)
-        new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
-        first = np.flatnonzero(new)
-        least = np.repeat(np.minimum.reduceat(docs[part], first),
-                          np.diff(np.append(first, len(part))))
-        lower = least < docs[part]
-        found.append((part[lower], np.full(int(lower.sum()), j, np.int16), least[lower]))
-    if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    record, j, least = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(record, kind="stable")  # by record; j ascends within it
-    record, j, least = record[order], j[order], least[order]
-    new = np.ones(len(record), bool)
-    new[1:] = (record[1:] != record[:-1]) | (j[1:] != j[:-1] + 1) | (least[1:] != least[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(record)) - 1
-    return record[first], j[first], j[last], least[first]
+        now = none
+        if len(part):
+            order = np.lexsort((hashed[part], g))
+            part, g, h = part[order], g[order], hashed[part][order]
+            new = np.ones(len(part), bool)
+            new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
+            first = np.flatnonzero(new)
+            least = np.repeat(np.minimum.reduceat(docs[part], first),
+                              np.diff(np.append(first, len(part))))
+            lower = least < docs[part]
+            now = none.copy()
+            now[part[lower]] = least[lower]
+        close(now, j)
+        before = now
+    close(none, LEFT + 1)
+    record, jlo, jhi, least = (np.concatenate(x) for x in zip(*found))
+    return record, jlo, jhi, least
 
 
 ANSWERS = "run bigint, found binary"
