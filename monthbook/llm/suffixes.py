@@ -49,7 +49,7 @@ from monthbook.session import scratch_path
 
 LENGTH = 50
 GRAM = 16  # bytes of an anchor: two words of eight
-PACK = 2 << 20
+PACK = 4 << 20
 RANGE_BYTES = 8 << 20  # of text per hash range
 _SLICE = 1 << 18
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
@@ -132,6 +132,10 @@ class Pack:
         if not found:
             found = [tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (np.uint64,))]
         self.at, self.lo, self.hi, self.doc, hashed = (np.concatenate(x) for x in zip(*found))
+        # Anchors have small hashes, being minima: mixed again, they fill the ranges evenly.
+        hashed = hashed * _C[1]
+        hashed ^= hashed >> np.uint64(32)
+        hashed *= _C[0]
         where = ((hashed >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)
         self.key = (where << np.uint64(48)) | (hashed & _LOW48)
         order = np.argsort(self.key, kind="stable")
