@@ -41,12 +41,16 @@ from monthbook.session import scratch_path
 END = 2
 FIRST = 50_257  # the vocabulary's size: the first nonterminal
 BLOCK_TOKENS = 2_000_000
-ROUNDS = 4
+ROUNDS = 3
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
 MOST_RULES = (1 << 16) - FIRST  # so that symbols fit into two bytes
-CACHED_WORDS = 1_000_000
-_SLOTS = 1 << 20
+CACHED_WORDS = 1_400_000
+#: The words that come first are the commonest; they are looked up in a table that stays small.
+HOT_WORDS = 1 << 15
+_SLOT_BITS = 19
+_SLOTS = 1 << _SLOT_BITS
+_A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
          "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary")
@@ -79,6 +83,7 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.hot: dict[str, int] = {}
         self.ids, self.begins = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
         self.uncut, self.closed = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
         self.used = 0
@@ -105,6 +110,8 @@ class Encoder:
         self.closed[n: n + m] = [w[-1:].isalnum() for w in words]
         self.uncut[n: n + m] = [not w.isalpha() and _odd(w) for w in words]
         self.index.update(zip(words, range(n, n + m)))
+        if n < HOT_WORDS:
+            self.hot.update(zip(words, range(n, min(n + m, HOT_WORDS))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, each with the end id, and their numbers."""
@@ -120,12 +127,16 @@ class Encoder:
                          .replace(". ", " \0. ").split(" "))
                 words += parts
                 counts[k] = len(parts)
-        picked = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(picked < 0)
+        picked = np.fromiter(map(self.hot.get, words, repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(picked < 0)
+        others = [words[k] for k in rare.tolist()]
+        found = np.fromiter(map(self.index.get, others, repeat(-1)), np.int64, len(others))
+        new = np.flatnonzero(found < 0)
         if len(new):
-            missing = [words[k] for k in new.tolist()]
+            missing = [others[k] for k in new.tolist()]
             self._learn(list(dict.fromkeys(missing)))
-            picked[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
+            found[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
+        picked[rare] = found
         wrong = self.uncut[picked]
         mark = (picked == self.index["\0,"]) | (picked == self.index["\0."])
         wrong[1:] |= mark[1:] & ~self.closed[picked[:-1]]
@@ -141,14 +152,14 @@ class Encoder:
         taken = np.diff(sums)
         sizes = taken.copy()
         order = sorted(whole)
-        others = dict(zip(order, self._batch([texts[k] for k in order])))
-        for k, ids in others.items():
+        entire = dict(zip(order, self._batch([texts[k] for k in order])))
+        for k, ids in entire.items():
             sizes[k] = len(ids)
         sizes += 1
         ends = np.cumsum(sizes)
         out = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint32)
         out[ragged(ends - sizes, taken)] = cut_ids
-        for k, ids in others.items():
+        for k, ids in entire.items():
             out[ends[k] - sizes[k]: ends[k] - 1] = ids
         return out, sizes
 
@@ -166,17 +177,17 @@ def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS
     Pairs are counted in hashed slots; in each round a slot works for the one pair it last saw, and
     another pair of that slot has to wait for a later round.
     """
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     lengths = np.ones(FIRST, np.int64)
     for _ in range(rounds):
         made = len(lengths) - FIRST
         if len(seq) < 2 or made >= MOST_RULES:
             break
-        pairs = (seq[:-1] << 17) | seq[1:]
-        slot = (pairs * 0x9E3779B97F4A7C1 >> 30) & (_SLOTS - 1)
+        slot = (seq[:-1] * _A + seq[1:] * _B) >> np.uint32(32 - _SLOT_BITS)
         at = np.flatnonzero((np.bincount(slot, minlength=_SLOTS) >= least)[slot])
-        pairs, slot = pairs[at], slot[at]
+        slot = slot[at]
+        pairs = (seq[at].astype(np.int64) << 17) | seq[at + 1]
         owner = np.zeros(_SLOTS, np.int64)
         owner[slot] = pairs
         mine = owner[slot] == pairs
@@ -200,7 +211,7 @@ def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-    return (seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[FIRST:])
+    return (seq.astype(np.int64), np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[FIRST:])
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
