@@ -243,24 +243,36 @@ def _stamps(spec: BookSpec, ref: str) -> list[Column]:
     return stamps
 
 
-def _medians(rows: DataFrame, spec: BookSpec, ref: str) -> DataFrame:
+def _medians(rows: DataFrame, spec: BookSpec, windows: list[_Window]) -> DataFrame:
     """Exact medians per key, one row per key.
 
-    Ranks come from bucketed running counts, so the values of one key are never held
-    together in one task.
+    Values are counted once per (key, column, value), with one count per window: the windows
+    are nested, so no row is copied for them.  Ranks come from bucketed running counts, so the
+    values of one key are never held together in one task.
     """
-    from monthbook.operators.ranks import quantiles
-
-    dtype = rows.schema[spec.month].dataType
-    cells = [F.struct(F.lit(feature_name(var, "median", n)).alias("__name"),
-                      F.when(F.col(spec.month) >= month_literal(window_start(ref, n), dtype),
-                             F.col(var).cast("double")).alias("__value"))
-             for var in spec.numeric for n in spec.windows]
-    long = rows.select(spec.key, F.inline(F.array(*cells)))
-    names = [feature_name(var, "median", n) for var in spec.numeric for n in spec.windows]
-    medians = quantiles(long, "__value", [0.5], by=[spec.key, "__name"])
-    return medians.groupBy(spec.key).agg(
-        *[F.max(F.when(F.col("__name") == c, F.col("q0"))).alias(c) for c in names])
+    from monthbook.operators.ranks import cut_points, running_sums
+
+    cells = [F.struct(F.lit(i).alias("__which"), F.col(v).cast("double").alias("__value"))
+             for i, v in enumerate(spec.numeric)]
+    long = (rows.select(spec.key, spec.month, F.inline(F.array(*cells)))
+            .where(F.col("__value").isNotNull()))
+    counted = long.groupBy(spec.key, "__which", "__value").agg(
+        *[F.count(F.when(w.inside, 1)).alias(f"__n{w.months}") for w in windows])
+    ranked = running_sums(counted, "__value", {f"__u{w.months}": f"__n{w.months}" for w in windows},
+                          [spec.key, "__which"], cut_points(long, "__value"))
+    picked, made = [], []
+    for i, v in enumerate(spec.numeric):
+        for w in windows:
+            upto, n = F.col(f"__u{w.months}"), F.col(f"__n{w.months}")
+            middle = (F.col(f"__u{w.months}_total") - 1) / 2
+            ends = []
+            for rank in (F.floor(middle), F.ceil(middle)):
+                name = f"__p{len(picked)}"
+                hit = (F.col("__which") == i) & (upto - n <= rank) & (rank < upto)
+                picked.append(F.max(F.when(hit, F.col("__value"))).alias(name))
+                ends.append(F.col(name))
+            made.append(((ends[0] + ends[1]) / 2).alias(feature_name(v, "median", w.months)))
+    return ranked.groupBy(spec.key).agg(*picked).select(spec.key, *made)
 
 
 def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -> DataFrame:
@@ -277,7 +289,7 @@ def feature_book(df: DataFrame, spec: BookSpec, ref: str, flags: bool = False) -
     else:
         book = _book_from_rows(rows, spec, windows, flags, ref)
     if "median" in spec.aggregations:
-        medians = _medians(rows, spec, ref).withColumnRenamed(spec.key, "__key")
+        medians = _medians(rows, spec, windows).withColumnRenamed(spec.key, "__key")
         same = F.col(spec.key).eqNullSafe(F.col("__key"))
         book = book.join(medians, same, "left").drop("__key")
     made = [F.col(c) for c in book.columns if c != spec.key]
