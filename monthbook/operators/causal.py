@@ -60,8 +60,9 @@ class CausalSpec:
         return list(dict.fromkeys([*self.features, *self.controls]))
 
     def fold_number(self) -> Column:
+        """The fold of a row: ``fold`` modulo ``folds``, so no more than ``folds`` of them."""
         if self.fold is not None:
-            return F.expr(self.fold).cast("int")
+            return F.pmod(F.expr(self.fold).cast("int"), F.lit(self.folds)).cast("int")
         return F.pmod(F.xxhash64(self.id), F.lit(self.folds)).cast("int")
 
 

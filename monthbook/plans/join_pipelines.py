@@ -9,19 +9,28 @@ from pyspark.sql import DataFrame, functions as F
 from monthbook.operators.joins import lagged_join, master_table, numeric_feature_join
 from monthbook.operators.quality import master_validation
 from monthbook.sources.tables import (
-    FeatureKeys, numeric_columns, read_written, replace_partitions, resolve_keys)
+    FeatureKeys, numeric_columns, read_written, replace_partitions, resolve_keys, store)
 
 
 def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
                   keys: Sequence[FeatureKeys], *, doc: str, month: str,
                   months: Sequence[str | int] | None, out: str,
-                  prefix: str = "ft") -> dict[str, str]:
-    """One month-partitioned output per feature table: ``{table: path}``."""
+                  prefix: str = "ft", database: str | None = None) -> dict[str, str]:
+    """One month-partitioned output per feature table: ``{table: path}``.
+
+    With a ``database`` the outputs are tables of the catalogue, with their files below ``out``,
+    and their names are returned.
+    """
     made = {}
     for k in keys:
         joined = lagged_join(population, features[k.table], k, doc=doc, month=month,
                              months=months)
-        made[k.table] = f"{out}/{prefix}_{k.table}_joined"
+        name = f"{prefix}_{k.table}_joined"
+        if database is not None:
+            made[k.table] = f"{database}.{name}"
+            store(joined, made[k.table], month, f"{out}/{name}")
+            continue
+        made[k.table] = f"{out}/{name}"
         replace_partitions(joined, made[k.table], month, months)
     return made
 
@@ -29,10 +38,16 @@ def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
 def master_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
                     keys: Sequence[FeatureKeys], feature_map: Mapping[str, Sequence[str]], *,
                     doc: str, month: str, months: Sequence[str | int] | None,
-                    out: str) -> tuple[DataFrame, DataFrame]:
-    """Writes the master table; returns it, read back, with its validation row."""
+                    out: str, table: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Writes the master table; returns it, read back, with its validation row.
+
+    With ``table`` it is a table of the catalogue, with its files in ``out``.
+    """
     joined = master_table(population, features, keys, feature_map, doc=doc, month=month,
                           months=months)
+    if table is not None:
+        written = store(joined, table, month, out)
+        return written, master_validation(written, month)
     replace_partitions(joined, out, month, months)
     written = read_written(population.sparkSession, out, joined.schema)
     return written, master_validation(written, month)

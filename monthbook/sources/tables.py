@@ -190,6 +190,14 @@ def create_empty_table(spark: SparkSession, name: str, schema: StructType, by: s
     return spark.table(name)
 
 
+def store(df: DataFrame, name: str, by: str, path: str | None = None) -> DataFrame:
+    """``df`` in a partitioned catalogue table, made if it is missing; the table."""
+    spark = df.sparkSession
+    create_empty_table(spark, name, df.schema, by, path)
+    insert_partitions(df, name, by)
+    return spark.table(name)
+
+
 def insert_partitions(df: DataFrame, name: str, by: str) -> None:
     """Overwrite, in a catalogue table, just the partitions present in ``df``."""
     target = df.sparkSession.table(name)

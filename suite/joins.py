@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.operators.joins import (
@@ -104,6 +106,20 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return table_counts({t: spark.read.parquet(p) for t, p in paths.items()})
 
 
+@query("join_pipeline_tables", _with(fx.MAIN_DOCUMENTS, fx.FEATURE_TABLE_1, fx.FEATURE_TABLE_2) + f"""
+, rows1 AS ({_LAGGED1} WHERE {_IN_MONTHS}), rows2 AS ({_LAGGED2} WHERE {_IN_MONTHS})
+SELECT 'feature_table_1' AS table_name, count(*) AS row_count FROM rows1
+UNION ALL SELECT 'feature_table_2', count(*) FROM rows2""".replace(") \n,", "),"))
+def pipeline_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The same into tables of the catalogue, twice: the second run replaces the first."""
+    prefix, out = "t" + uuid.uuid4().hex[:8], scratch_path(spark, "catalogue")
+    for _ in range(2):
+        names = join_pipeline(fx.main_documents(spark, sf), _features(spark, sf),
+                              feature_keys(_lag_metadata(spark)), doc=DOC, month=MONTH,
+                              months=MONTHS, out=out, prefix=prefix, database="default")
+    return table_counts({t: spark.table(n) for t, n in names.items()})
+
+
 @query("table_counts", "SELECT 'orders' AS table_name, count(*) AS row_count FROM orders "
        "UNION ALL SELECT 'lineitem', count(*) FROM lineitem "
        "UNION ALL SELECT 'documents', count(*) FROM documents")
