@@ -567,6 +567,7 @@ def remove_repeats(docs: DataFrame, pack: int = PACK, range_bytes: int = RANGE_B
     (texts.mapInArrow(_pack(pack), PACKS).write.bucketBy(int(max(1, total // pack)), "run")
      .option("path", path).saveAsTable(name))
     packs = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files, in the shared folder, stay
     repeats = (packs.mapInArrow(_send_hashes(ranges), HASHES).groupBy("range")
                .applyInArrow(_repeated, REPEATS))
     repeats = saved(repeats, "repeats").groupBy("run").agg(
