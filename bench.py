@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.functions.months import month_of
 from monthbook.operators.book import BookSpec, category_book, feature_book
-from monthbook.session import build_session
+from monthbook.session import build_session, clear_scratch
 from suite import all_queries
 from suite.fixtures import REF, _lines
 
@@ -88,6 +88,7 @@ def main() -> None:
             run(spark, sf).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
             print(name, times[name], file=sys.stderr, flush=True)
+            clear_scratch(spark)
         return times
 
     first, again = timed(jobs), timed(jobs)

@@ -15,6 +15,7 @@ SETTINGS = {
     # Split a hot population key even when a later join then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Books have thousands of column expressions; do not record where each was written.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -48,9 +49,28 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+#: Scratch paths made by this process and not cleared yet.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes what this process wrote to scratch paths; call it when results have been used.
+
+    Frames that still read those files cannot be used any more.  Checkpoints go by themselves
+    with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    count = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

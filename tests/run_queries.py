@@ -8,7 +8,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from monthbook.session import build_session  # noqa: E402
+from monthbook.session import build_session, clear_scratch  # noqa: E402
 from suite import all_oracles, all_queries  # noqa: E402
 from tests.compare import compare, duck  # noqa: E402
 
@@ -38,6 +38,7 @@ def main() -> int:
         except Exception as error:  # noqa: BLE001 - report and go on
             state, notes = "FAILS", [str(error)[:600]]
         bad += state in ("DIFFERS", "FAILS")
+        clear_scratch(spark)
         print(f"{state:8}{time.time() - start:7.2f}s {name} {notes[:4] if notes else ''}", flush=True)
     return bad
 

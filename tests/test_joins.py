@@ -238,3 +238,13 @@ def test_write_sample_and_partitions(spark, tmp_path):
     read = t.read_written(spark, str(tmp_path / "p"), df.schema)
     assert t.read_partitions(read, "mes", ["202401"], ["id"]).count() == 100
     assert t.read_partitions(read, "mes", ["202402"]).count() == 0
+
+
+def test_scratch_outputs_can_be_cleared(spark):
+    from monthbook.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert clear_scratch(spark) >= 1 and clear_scratch(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
