@@ -61,11 +61,11 @@ def merge(a: Column, b: Column, k: int = K) -> Column:
 def merge_all(parts: DataFrame, by: list[str], column: str = "sketch", k: int = K) -> DataFrame:
     """One sketch per group from the sketches of its parts.
 
-    Hashes are made distinct before and after the shuffle and ranked by count-free minima, so a
-    group of any size passes as rows of one hash; only ``k`` of them per group are gathered.
+    Each task passes on the ``k`` least distinct hashes of a group at most, so a group of any
+    size is no burden.  A group without any hash keeps an empty sketch.
     """
-    hashes = parts.select(*by, F.explode(column).alias("__h")).distinct()
-    rank = Window.partitionBy(*by).orderBy("__h")
+    hashes = parts.select(*by, F.explode_outer(column).alias("__h")).distinct()
+    rank = Window.partitionBy(*by).orderBy(F.col("__h").asc_nulls_last())
     least = hashes.withColumn("__r", F.row_number().over(rank)).where(F.col("__r") <= k)
     return least.groupBy(*by).agg(F.sort_array(F.collect_list("__h")).alias(column))
 

@@ -199,6 +199,8 @@ def test_sketches_estimate_and_merge_over_parts(spark):
         sketches.distinct_shingles(sketches.sketch(F.col("text"))).alias("n")).first()
     assert merged.first()["sketch"] == whole["s"]
     assert abs(whole["n"] / 5996 - 1) < 0.3
+    empty = rows.select("g", sketches.sketch(F.lit(" ")).alias("sketch"))
+    assert sketches.merge_all(empty, ["g"]).first()["sketch"] == []
 
 
 def test_next_text_and_odd_rows(odd, odd_rows, none):
