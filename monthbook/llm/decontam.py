@@ -19,7 +19,7 @@ Defined results: null and empty texts have no windows; repeated rows of a docume
 document, repeated items are represented by the least item_id among those with the same template
 and slots; documents with a null doc_id are reported under null, and told apart by a hash of the
 text; an empty benchmark or table gives no rows; items of
-fewer than ``SHORTEST`` words are not searched for; other columns are ignored.
+fewer than ``SHORTEST`` words, or without an item_id, are not searched for; other columns are ignored.
 """
 
 from __future__ import annotations
