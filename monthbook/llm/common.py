@@ -43,7 +43,7 @@ def doc_texts(docs: DataFrame, text: str = "text") -> DataFrame:
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20,
+def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20,
            column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts record batches into pieces of about ``most`` bytes of text, one row at least.
 

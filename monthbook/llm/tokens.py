@@ -32,6 +32,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -45,9 +46,7 @@ ROUNDS = 3
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
 MOST_RULES = (1 << 16) - FIRST  # so that symbols fit into two bytes
-CACHED_WORDS = 1_400_000
-#: The words that come first are the commonest; they are looked up in a table that stays small.
-HOT_WORDS = 1 << 15
+CACHED_WORDS = 1_100_000
 _SLOT_BITS = 19
 _SLOTS = 1 << _SLOT_BITS
 _A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -83,7 +82,6 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.hot: dict[str, int] = {}
         self.ids, self.begins = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
         self.uncut, self.closed = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
         self.used = 0
@@ -110,49 +108,51 @@ class Encoder:
         self.closed[n: n + m] = [w[-1:].isalnum() for w in words]
         self.uncut[n: n + m] = [not w.isalpha() and _odd(w) for w in words]
         self.index.update(zip(words, range(n, n + m)))
-        if n < HOT_WORDS:
-            self.hot.update(zip(words, range(n, min(n + m, HOT_WORDS))))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts end to end, each with the end id, and their numbers."""
-        if len(self.index) > CACHED_WORDS:
-            self._clear()
-        words: list[str] = []
-        counts, whole = np.zeros(len(texts), np.int64), set()
-        for k, text in enumerate(texts):
-            if "\0" in text or "\n\n\n" in text or "\n\n " in text or text[-2:] == "\n\n":
-                whole.add(k)
-            elif text:
-                parts = (f"\0{text}".replace("\n", " \n \0").replace(", ", " \0, ")
-                         .replace(". ", " \0. ").split(" "))
-                words += parts
-                counts[k] = len(parts)
-        picked = np.fromiter(map(self.hot.get, words, repeat(-1)), np.int64, len(words))
-        rare = np.flatnonzero(picked < 0)
-        others = [words[k] for k in rare.tolist()]
-        found = np.fromiter(map(self.index.get, others, repeat(-1)), np.int64, len(others))
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        """The numbers of some different words; new ones are learnt."""
+        found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(found < 0)
         if len(new):
-            missing = [others[k] for k in new.tolist()]
-            self._learn(list(dict.fromkeys(missing)))
-            found[new] = np.fromiter(map(self.index.__getitem__, missing), np.int64, len(new))
-        picked[rare] = found
+            found[new] = len(self.index) + np.arange(len(new))
+            self._learn([words[k] for k in new.tolist()])
+        return found
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, each with the end id, and their numbers.
+
+        Cutting and counting words are Arrow kernels; Python sees each different word once.
+        """
+        if len(self.index) > CACHED_WORDS:
+            self._clear()
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        cut = pc.binary_join_element_wise("\0", texts, "")
+        for mark, into in (("\n", " \n \0"), (", ", " \0, "), (". ", " \0. ")):
+            cut = pc.replace_substring(cut, mark, into)
+        lists = pc.split_pattern(cut, " ")
+        counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
+        words = lists.flatten().dictionary_encode()
+        picked = self._look_up(words.dictionary.to_pylist())[np.asarray(words.indices)]
         wrong = self.uncut[picked]
         mark = (picked == self.index["\0,"]) | (picked == self.index["\0."])
         wrong[1:] |= mark[1:] & ~self.closed[picked[:-1]]
+        bad = pc.ends_with(texts, "\n\n")
+        for found in ("\0", "\n\n\n", "\n\n "):
+            bad = pc.or_(bad, pc.match_substring(texts, found))
+        bad = np.array(bad, dtype=bool)
         if wrong.any():
             owner = np.repeat(np.arange(len(texts)), counts)
-            bad = np.bincount(owner[wrong], minlength=len(texts)) > 0
-            whole.update(np.flatnonzero(bad).tolist())
-            picked, counts = picked[~bad[owner]], np.where(bad, 0, counts)
+            bad |= np.bincount(owner[wrong], minlength=len(texts)) > 0
+        if bad.any():
+            picked, counts = picked[~np.repeat(bad, counts)], np.where(bad, 0, counts)
         first = self.begins[picked]
         lengths = self.begins[picked + 1] - first
         cut_ids = self.ids[ragged(first, lengths)]
         sums = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         taken = np.diff(sums)
         sizes = taken.copy()
-        order = sorted(whole)
-        entire = dict(zip(order, self._batch([texts[k] for k in order])))
+        whole = np.flatnonzero(bad)
+        entire = dict(zip(whole.tolist(), self._batch(texts.take(pa.array(whole)).to_pylist())))
         for k, ids in entire.items():
             sizes[k] = len(ids)
         sizes += 1
@@ -272,7 +272,7 @@ def shards(docs: DataFrame, vocabulary: str, block_tokens: int = BLOCK_TOKENS) -
         encode, shard, block = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
         ids, names, sizes, total = [], [], [], 0
         for batch in slices(batches, 2 << 20):
-            found, lengths = encode(batch.column(1).to_pylist())
+            found, lengths = encode(batch.column(1))
             ids.append(found)
             names += batch.column(0).to_pylist()
             sizes += lengths.tolist()
