@@ -28,20 +28,21 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from xxhash import xxh3_128_digest
 
 from monthbook.llm.common import doc_texts, partitions, ragged, read, slices
 from monthbook.session import scratch_path
 
 END = 2
 FIRST = 50_257  # the vocabulary's size: the first nonterminal
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_500_000
 ROUNDS = 3
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
@@ -63,7 +64,7 @@ def _odd(word: str) -> bool:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, with a bounded cache of words.
+    """Ids of texts by the tokenizers library, with a bounded, compact cache of words.
 
     A text is cut into words at single blanks; a newline, and a comma or full stop behind a letter
     or digit, are words of their own.  The vocabulary's pattern cuts there too, so the ids of the
@@ -81,11 +82,13 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.begins = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        # Words by a 128-bit hash, sorted by its first half: 20 bytes a word, not a string each.
+        self.keys, self.more = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int32)
+        self.ids, self.begins = np.zeros(1 << 16, np.uint16), np.zeros(1 << 14, np.int32)
         self.uncut, self.closed = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
         self.used = 0
-        self._learn(["\0", "\0,", "\0."])
+        self._look_up([b"\0", b"\0,", b"\0."])  # numbers 0, 1 and 2
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -95,27 +98,37 @@ class Encoder:
         found = self._batch([w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
                              for w in words])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        n, m, more = len(self.index), len(words), int(lengths.sum())
+        n, m, more = len(self.numbers), len(words), int(lengths.sum())
         while self.used + more > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + m + 1 > len(self.begins):
             self.begins, self.uncut, self.closed = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.uncut, self.closed))
-        self.ids[self.used: self.used + more] = np.fromiter(chain.from_iterable(found), np.uint32,
+        self.ids[self.used: self.used + more] = np.fromiter(chain.from_iterable(found), np.uint16,
                                                             more)
         self.begins[n + 1: n + m + 1] = self.used + np.cumsum(lengths)
         self.used += more
         self.closed[n: n + m] = [w[-1:].isalnum() for w in words]
         self.uncut[n: n + m] = [not w.isalpha() and _odd(w) for w in words]
-        self.index.update(zip(words, range(n, n + m)))
 
-    def _look_up(self, words: list[str]) -> np.ndarray:
+    def _look_up(self, words: list[bytes]) -> np.ndarray:
         """The numbers of some different words; new ones are learnt."""
-        found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        digests = np.frombuffer(b"".join(map(xxh3_128_digest, words)), ">u8").astype(np.uint64)
+        key, more = digests[::2], digests[1::2]
+        found = np.full(len(words), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = (self.keys[at] == key) & (self.more[at] == more)
+            found[hit] = self.numbers[at[hit]]
         new = np.flatnonzero(found < 0)
         if len(new):
-            found[new] = len(self.index) + np.arange(len(new))
-            self._learn([words[k] for k in new.tolist()])
+            found[new] = len(self.numbers) + np.arange(len(new))
+            self._learn([words[k].decode() for k in new.tolist()])
+            new = new[np.argsort(key[new])]
+            at = np.searchsorted(self.keys, key[new])
+            self.keys = np.insert(self.keys, at, key[new])
+            self.more = np.insert(self.more, at, more[new])
+            self.numbers = np.insert(self.numbers, at, found[new].astype(np.int32))
         return found
 
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +136,7 @@ class Encoder:
 
         Cutting and counting words are Arrow kernels; Python sees each different word once.
         """
-        if len(self.index) > CACHED_WORDS:
+        if len(self.numbers) > CACHED_WORDS:
             self._clear()
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         cut = pc.binary_join_element_wise("\0", texts, "")
@@ -132,9 +145,10 @@ class Encoder:
         lists = pc.split_pattern(cut, " ")
         counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         words = lists.flatten().dictionary_encode()
-        picked = self._look_up(words.dictionary.to_pylist())[np.asarray(words.indices)]
+        different = words.dictionary.cast(pa.binary()).to_pylist()
+        picked = self._look_up(different)[np.asarray(words.indices)]
         wrong = self.uncut[picked]
-        mark = (picked == self.index["\0,"]) | (picked == self.index["\0."])
+        mark = (picked == 1) | (picked == 2)
         wrong[1:] |= mark[1:] & ~self.closed[picked[:-1]]
         bad = pc.ends_with(texts, "\n\n")
         for found in ("\0", "\n\n\n", "\n\n "):
@@ -145,7 +159,7 @@ class Encoder:
             bad |= np.bincount(owner[wrong], minlength=len(texts)) > 0
         if bad.any():
             picked, counts = picked[~np.repeat(bad, counts)], np.where(bad, 0, counts)
-        first = self.begins[picked]
+        first = self.begins[picked].astype(np.int64)
         lengths = self.begins[picked + 1] - first
         cut_ids = self.ids[ragged(first, lengths)]
         sums = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
