@@ -547,11 +547,16 @@ def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
     names = [(v, agg, w) for v in spec.numeric for w in windows for agg in spec.aggregations]
     items, stems = [F.lit(0)], [""]
     for b, values in known.items():
-        number = F.lit(None).cast("int")
+        numbers = []
+        missing = F.lit(None).cast("int")
         for value in values:
-            number = F.when(F.col(b).eqNullSafe(F.lit(value)), len(stems)).otherwise(number)
+            if value is None:
+                missing = F.when(F.col(b).isNull(), len(stems))
+            else:
+                numbers += [F.lit(value).cast(rows.schema[b].dataType), F.lit(len(stems))]
             stems.append(f"{b}_{normalize_text(value)}_")
-        items.append(number)
+        known_number = F.element_at(F.create_map(*numbers), F.col(b)) if numbers else missing
+        items.append(F.coalesce(known_number, missing))
     tagged = (rows.select("*", F.explode(F.array(*items)).alias("__item"))
               .where(F.col("__item").isNotNull()))
 
