@@ -333,15 +333,15 @@ def logistic_scores(spark: SparkSession, sf: str) -> DataFrame:
 , n AS (SELECT id, financed, financed * rate / 100 * months / 12 AS interest_income,
   financed * d * 0.5 AS expected_loss, financed * base_rate / 100 * months / 12 AS capital_cost
   FROM s)
-SELECT id, round(financed, 1) AS financed, round(interest_income, 1) AS interest_income,
-  round(expected_loss, 1) AS expected_loss, round(capital_cost, 1) AS capital_cost,
-  round(interest_income - expected_loss - capital_cost, 1) AS npv FROM n""")
+SELECT id, round(financed, 6) AS financed, round(interest_income, 6) AS interest_income,
+  round(expected_loss, 6) AS expected_loss, round(capital_cost, 6) AS capital_cost,
+  round(interest_income - expected_loss - capital_cost, 6) AS npv FROM n""")
 def npv(spark: SparkSession, sf: str) -> DataFrame:
     rows = _scored(fx.loans(spark, sf))
     made = loan_economics(F.col("price"), F.col("down_payment"), F.col("rate"),
                           F.col("base_rate"), F.col("months"), F.col("chance"))
     table = rows.select("id", *[v.alias(k) for k, v in made.items()])
-    return plain(table, 1, tuple(made))
+    return plain(table, 6, tuple(made))
 
 
 # --- tree-based estimators (rows only) --------------------------------------------------
