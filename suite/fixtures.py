@@ -267,10 +267,11 @@ EFFECTS = CAUSAL + """, effects AS (SELECT *,
 def loans(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as loans: price, part paid, rate and length from the order's own columns."""
     return causal(spark, sf).select(
-        "id", (F.col("y") * 1000).alias("price"), F.col("y2").alias("down_payment"),
-        F.col("t").alias("rate"), F.col("lines").alias("base_rate"),
+        "id", F.round(F.col("y") * 1000, 2).alias("price"),
+        F.round("y2", 4).alias("down_payment"), F.round("t", 4).alias("rate"), F.col("lines").alias("base_rate"),
         F.col("quantity").alias("months"), "balance")
 
 
-LOANS = CAUSAL + """, loans AS (SELECT id, y * 1000 AS price, y2 AS down_payment, t AS rate,
+LOANS = CAUSAL + """, loans AS (SELECT id, round(y * 1000, 2) AS price,
+  round(y2, 4) AS down_payment, round(t, 4) AS rate,
   lines AS base_rate, quantity AS months, balance FROM causal)"""
