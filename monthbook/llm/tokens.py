@@ -5,14 +5,16 @@ document ends with ``END``.  Documents are dealt out by ranges of doc_id, so the
 order, hold one long sequence of ids in ascending doc_id order.
 
 Each shard row is compressed by itself with Re-Pair: the frequent pairs of neighbouring symbols are
-replaced by new symbols (nonterminals), again and again, until pairs are rare.  One round replaces
-all pairs above the limit at once; where two replacements overlap, the left one is made.
+replaced by new symbols (nonterminals), again and again, until no pair occurs ``LEAST`` times.  One
+round replaces all such pairs at once; which of two overlapping replacements is made depends on the
+pairs close by, so that copies are replaced alike.
 
 File format: Parquet rows ``shard, block, n_tokens, doc_ids, doc_tokens, width, rules, lengths,
 symbols``.  ``symbols`` is the compressed sequence and ``rules`` the two symbols of each nonterminal,
-as little-endian unsigned numbers of ``width`` bytes; rule k is symbol ``FIRST + k``; ``lengths`` is
-the number of ids that each rule stands for (4 bytes each).  Summing lengths over ``symbols`` finds
-any position, and only the symbols around it need to be expanded (:func:`decode_range`).
+as little-endian unsigned numbers of ``width`` bytes (2 to 4, as the rules need); rule k is symbol
+``FIRST + k``; ``lengths`` is the number of ids that each rule stands for (4 bytes each).  Summing
+lengths over ``symbols`` finds any position, and only the symbols around it need to be expanded
+(:func:`decode_range`).
 
 Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call;
 the cache lives as long as the process and is emptied when it holds ``CACHED_WORDS`` words.
@@ -42,15 +44,13 @@ from monthbook.session import scratch_path
 
 END = 2
 FIRST = 50_257  # the vocabulary's size: the first nonterminal
-BLOCK_TOKENS = 1_500_000
-ROUNDS = 3
+BLOCK_TOKENS = 4_000_000
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
-MOST_RULES = (1 << 16) - FIRST  # so that symbols fit into two bytes
+#: Overlapping replacements are told apart by so many pairs on either side.
+NEAR = 8
 CACHED_WORDS = 1_100_000
-_SLOT_BITS = 19
-_SLOTS = 1 << _SLOT_BITS
-_A, _B = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
          "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary")
@@ -184,48 +184,94 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS
-           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _matches(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which matches are made, of those that overlap.
+
+    ``at`` are the places of the matches and ``rank`` their pairs, the commonest first.  Every second
+    match is made, counted from the start of a row of matches and anew from each one that is commoner
+    than the ``NEAR`` before and behind it.  So the copies of a passage are replaced alike, whatever
+    stands around them.
+    """
+    start = np.diff(at, prepend=-2) != 1
+    least = np.ones(len(at), bool)
+    for k in range(1, NEAR + 1):
+        least[k:] &= rank[k:] < rank[:-k]
+        least[:-k] &= rank[:-k] <= rank[k:]
+    first = np.flatnonzero(start | least)
+    nth = np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at)))
+    yields = np.append(least[1:] & ~start[1:], False)  # the next one overlaps it and counts anew
+    return (nth % 2 == 0) & ~yields
+
+
+def _find(found: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``pairs`` are among the different, sorted ``found``, and where there.
+
+    A hashed table answers for the one pair that owns a slot; the others are searched for.
+    """
+    shift = np.uint64(64 - max(12, len(found).bit_length() + 4))
+    slot = ((found * _MIX) >> shift).astype(np.int64)
+    table = np.zeros(1 << (64 - int(shift)), np.int32)
+    table[slot] = np.arange(len(found))
+    lost = np.flatnonzero(table[slot] != np.arange(len(found)))
+    at = ((pairs * _MIX) >> shift).astype(np.int32)
+    place = table[at]
+    same = found[place] == pairs
+    if len(lost):
+        shared = np.zeros(len(table), bool)
+        shared[slot[lost]] = True
+        rest = np.flatnonzero(shared[at] & ~same)
+        where = lost[np.minimum(np.searchsorted(found[lost], pairs[rest]), len(lost) - 1)]
+        right = found[where] == pairs[rest]
+        place[rest[right]] = where[right]
+        same[rest[right]] = True
+    hit = np.flatnonzero(same)
+    return hit, place[hit]
+
+
+def repair(ids: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The compressed sequence, the rules (n, 2) and the number of ids each rule stands for.
 
-    Pairs are counted in hashed slots; in each round a slot works for the one pair it last saw, and
-    another pair of that slot has to wait for a later round.
+    Rounds go on until no pair occurs ``least`` times; counts are exact.  A round leaves no match of
+    a pair that it replaces: of two that overlap, the one made takes a symbol of the other.  So only
+    pairs with a symbol of the last round can be frequent in the next one.
     """
     seq = ids.astype(np.uint32)
-    rules: list[np.ndarray] = []
+    rules: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
     lengths = np.ones(FIRST, np.int64)
-    for _ in range(rounds):
-        made = len(lengths) - FIRST
-        if len(seq) < 2 or made >= MOST_RULES:
-            break
-        slot = (seq[:-1] * _A + seq[1:] * _B) >> np.uint32(32 - _SLOT_BITS)
-        at = np.flatnonzero((np.bincount(slot, minlength=_SLOTS) >= least)[slot])
-        slot = slot[at]
-        pairs = (seq[at].astype(np.int64) << 17) | seq[at + 1]
-        owner = np.zeros(_SLOTS, np.int64)
-        owner[slot] = pairs
-        mine = owner[slot] == pairs
-        at, slot = at[mine], slot[mine]
-        often = np.bincount(slot, minlength=_SLOTS)
+    last = 0  # symbols from here on are new
+    while len(seq) > 1:
+        pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        at = None  # all places
+        if last:
+            fresh = seq >= last
+            at = np.flatnonzero(fresh[:-1] | fresh[1:])
+            pairs = pairs[at]
+        ordered = np.sort(pairs)
+        begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
+        often = np.diff(begin, append=len(ordered))
         chosen = np.flatnonzero(often >= least)
-        chosen = chosen[np.argsort(-often[chosen], kind="stable")][: MOST_RULES - made]
-        if not len(chosen):
+        found = ordered[begin[chosen]]
+        if not len(found):
             break
-        symbol = np.full(_SLOTS, -1, np.int64)
-        symbol[chosen] = len(lengths) + np.arange(len(chosen))
-        new = symbol[slot]
-        at, new = at[new >= 0], new[new >= 0]
-        run = np.flatnonzero(np.diff(at, prepend=-2) != 1)  # matches that follow each other
-        place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-        at, new = at[place % 2 == 0], new[place % 2 == 0]
-        fresh = np.stack([owner[chosen] >> 17, owner[chosen] & ((1 << 17) - 1)], axis=1)
-        lengths = np.concatenate([lengths, lengths[fresh].sum(axis=1)])
-        rules.append(fresh)
-        seq[at] = new
+        del ordered, begin
+        order = np.argsort(-often[chosen], kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        hit, place = _find(found, pairs)
+        at, new = hit if at is None else at[hit], rank[place]
+        del pairs, hit, place
+        made = _matches(at, new)
+        at, new = at[made], new[made]
+        used = np.bincount(new, minlength=len(order)) > 0
+        last = len(lengths)
+        fresh = found[order[used]]
+        rules.append(np.ascontiguousarray(fresh).view("<u4").reshape(-1, 2)[:, ::-1].astype(np.int64))
+        lengths = np.concatenate([lengths, lengths[rules[-1]].sum(axis=1)])
+        seq[at] = (last - 1 + np.cumsum(used))[new]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-    return (seq.astype(np.int64), np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[FIRST:])
+    return seq.astype(np.int64), np.concatenate(rules), lengths[FIRST:]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -248,10 +294,19 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[ragged(begin[symbols], size[symbols])]
 
 
+def _to_bytes(numbers: np.ndarray, width: int) -> bytes:
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _from_bytes(data: bytes, width: int) -> np.ndarray:
+    whole = np.zeros((len(data) // width, 4), np.uint8)
+    whole[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return whole.view("<u4").ravel()
+
+
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kind = f"<u{row['width']}"
-    return (np.frombuffer(row["symbols"], kind),
-            np.frombuffer(row["rules"], kind).reshape(-1, 2).astype(np.int64),
+    return (_from_bytes(row["symbols"], row["width"]),
+            _from_bytes(row["rules"], row["width"]).reshape(-1, 2).astype(np.int64),
             np.frombuffer(row["lengths"], "<u4").astype(np.int64))
 
 
@@ -271,9 +326,9 @@ def decode_range(row: dict, start: int, stop: int) -> np.ndarray:
 def _rows(ids: list[np.ndarray], docs: list, sizes: list, shard: int, block: int) -> pa.RecordBatch:
     whole = np.concatenate(ids)
     symbols, rules, lengths = repair(whole)
-    kind = "<u2" if FIRST + len(rules) <= 1 << 16 else "<u4"
-    values = [shard, block, len(whole), docs, sizes, int(kind[-1]), rules.astype(kind).tobytes(),
-              lengths.astype("<u4").tobytes(), symbols.astype(kind).tobytes()]
+    width = max(2, ((FIRST + len(rules) - 1).bit_length() + 7) // 8)
+    values = [shard, block, len(whole), docs, sizes, width, _to_bytes(rules, width),
+              lengths.astype("<u4").tobytes(), _to_bytes(symbols, width)]
     kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2 + [pa.int32()] + [pa.binary()] * 3
     return pa.RecordBatch.from_arrays(
         [pa.array([v], k) for v, k in zip(values, kinds)],

@@ -240,6 +240,24 @@ def test_repair_round_trip_and_random_access():
     assert len(tokens.repair(np.full(1000, 7, np.uint32), least=8)[0]) < 200
 
 
+def test_repair_goes_on_until_pairs_are_rare():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, tokens.FIRST, 500).astype(np.uint32)
+    common = rng.integers(0, 300, 600_000).astype(np.uint32)
+    for ids, least in ((np.tile(passage, 100), 64), (common, 3)):
+        symbols, rules, lengths = tokens.repair(ids, least=least)
+        assert np.array_equal(tokens.expand(symbols, rules, lengths), ids)
+        pairs = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)[1]
+        assert pairs.max() < least
+        width = 2 if len(rules) < (1 << 16) - tokens.FIRST else 3
+        row = tokens._rows([ids], [1], [len(ids)], 0, 0).to_pylist()[0]
+        assert np.array_equal(tokens.decode_range(row, 100, 900), ids[100:900])
+        assert np.array_equal(tokens._from_bytes(tokens._to_bytes(rules, width), width),
+                              rules.ravel())
+    assert len(rules) > (1 << 16) - tokens.FIRST
+    assert len(tokens.repair(np.tile(passage, 100))[0]) < 500
+
+
 def test_token_index_of_odd_rows(odd, odd_rows, none):
     tok = tokens.Encoder(tokens.vocabulary_path()).tok
     got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"])
