@@ -4,7 +4,9 @@ Words are lower-cased and lose their outer punctuation.  Numbers, names and unit
 placeholders, their values the slots: a number is anything that starts with a digit (after a sign
 or a currency mark) and holds digits and number punctuation only, a unit is a word of ``UNITS``
 behind a number, or behind digits within the word, and a name is a capitalised word that does not
-begin a sentence.  The result is the template of a text.
+begin a sentence.  The result is the template of a text.  A name or a unit is told by the word before
+it, and the first word of an item has none: so a window of a document that begins with a name or a
+unit is also taken with that word as it is.
 
 Every window of ``window`` template words with enough plain words among them is hashed; an item
 shorter than that is one window.  A Bloom filter of fixed size over all windows of the benchmark
@@ -94,7 +96,8 @@ class Template:
     """The template words of some texts.
 
     ``hashes`` has the hash of each template word, ``slot`` whether it is a placeholder, ``owner``
-    the text it is of, and ``value(k)`` the word itself.
+    the text it is of, and ``value(k)`` the word itself; ``own`` has the hash of the word itself, and
+    ``loose`` whether it is a placeholder only because of the word before it.
     """
 
     def __init__(self, texts: list[str]) -> None:
@@ -141,7 +144,8 @@ class Template:
                     unit.append(k + 1)
             elif (m := _MEASURE.match(word)) and m[2].lower() in UNITS:
                 both.append(k)
-        self.slot = name
+        self.slot, self.own, self.loose = name, hashes.copy(), name.copy()
+        self.loose[unit] = True
         hashes[name] = _hash(NAME)
         for found, what in ((number, NUMBER), (unit, UNIT), (both, NUMBER + UNIT)):
             hashes[found] = _hash(what)
@@ -152,21 +156,35 @@ class Template:
         return self.whole[self.first[k]: self.last[k]]
 
 
-def windows(hashes: np.ndarray, slot: np.ndarray, owner: np.ndarray, size: int
-            ) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every full window within one text that has enough plain words."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _fold(parts: Iterator[np.ndarray], n: int) -> np.ndarray:
+    """One hash of the hashes that stand at the same place of each part."""
     total = np.zeros(n, np.uint64)
-    for k in range(size):
-        total = (total ^ hashes[k: k + n]) * _MIX
+    for part in parts:
+        total = (total ^ part) * _MIX
         total ^= total >> np.uint64(31)
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    good = (owner[size - 1:] == owner[:n]) & (
-        slots[size:] - slots[:n] <= size - int(np.ceil(PLAIN * size)))
-    at = np.flatnonzero(good)
-    return at, total[at]
+    return total
+
+
+def windows(words: Template, size: int, both: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and hash of every full window within one text that has enough plain words.
+
+    With ``both``, those that begin with a loose placeholder come once more with the word itself; the
+    third array says which these are.
+    """
+    n = len(words.hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+    total = _fold((words.hashes[k: k + n] for k in range(size)), n)
+    slots = np.concatenate([[0], np.cumsum(words.slot)])
+    most = size - int(np.ceil(PLAIN * size))
+    inside = words.owner[size - 1:] == words.owner[:n]
+    at = np.flatnonzero(inside & (slots[size:] - slots[:n] <= most))
+    if not both:
+        return at, total[at], np.zeros(len(at), bool)
+    more = np.flatnonzero(inside & words.loose[:n] & (slots[size:] - slots[:n] - 1 <= most))
+    again = _fold(((words.hashes if k else words.own)[more + k] for k in range(size)), len(more))
+    return (np.concatenate([at, more]), np.concatenate([total[at], again]),
+            np.repeat([False, True], [len(at), len(more)]))
 
 
 ROWS = "doc_id bigint, version bigint, at bigint, hash bigint, size int, slots array<string>"
@@ -184,17 +202,17 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
             begin = np.cumsum(length) - length
             out = []
             for n in sizes:
-                at, found = windows(words.hashes, slot, owner, n)
+                at, found, bare = windows(words, n, bits is not None)
                 if bits is None and n != size:  # a short item is one window
                     whole = length[owner[at]] == n
-                    at, found = at[whole], found[whole]
+                    at, found, bare = at[whole], found[whole], bare[whole]
                 if bits is not None:
                     for place in range(2):
                         may = _test(bits, found, place)
-                        at, found = at[may], found[may]
-                for k, h in zip(at.tolist(), found.view(np.int64).tolist()):
+                        at, found, bare = at[may], found[may], bare[may]
+                for k, h, b in zip(at.tolist(), found.view(np.int64).tolist(), bare.tolist()):
                     who = owner[k]
-                    values = [words.value(j) for j in range(k, k + n) if slot[j]]
+                    values = [words.value(j) for j in range(k + b, k + n) if slot[j]]
                     out.append((ids[who], versions[who], int(k - begin[who]), h, n, values))
             kinds = [*[pa.int64()] * 4, pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(

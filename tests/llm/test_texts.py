@@ -299,6 +299,20 @@ def test_templates_and_slots(spark, table, none):
     assert decontam.contaminated(docs, bench.limit(0)).collect() == []
 
 
+def test_short_items_in_the_middle_of_a_line(spark, table):
+    bench = spark.createDataFrame(
+        [(1, "What is the capital of France"), (2, "Ann Lee has 12 apples and eats 5 of them today"),
+         (3, "Minutes are long when you wait for 3 buses")], "item_id bigint, text string")
+    texts = ["Quiz\nWhat is the capital of France and more", "Q) What is the capital of France",
+             "we ask What is the capital of Spain", "Who is the capital of France",
+             "so Ann Lee has 30 apples and eats 7 of them today", "Here. What is the capital of France",
+             "in 5 Minutes are long when you wait for 3 buses", "so What are the capital of France"]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in
+           decontam.contaminated(table(texts), bench).collect()}
+    assert got == {(0, 1): "verbatim", (1, 1): "verbatim", (2, 1): "reparameterised",
+                   (4, 2): "reparameterised", (5, 1): "verbatim", (6, 3): "verbatim"}
+
+
 def test_decontamination_of_a_table(spark, con):
     got = {(r["doc_id"], r["item_id"]) for r in
            decontam.decontamination_query(spark, SMALL).collect()}
