@@ -9,9 +9,11 @@ it, and the first word of an item has none: so a window of a document that begin
 unit is also taken with that word as it is.
 
 Every window of ``window`` template words with enough plain words among them is hashed; an item
-shorter than that is one window.  A Bloom filter of fixed size over all windows of the benchmark
-keeps the windows of documents that cannot match from being shuffled; the rest meet the benchmark's
-in a hash join.  Windows of one document and one item that lie on one diagonal (the same shift) are
+shorter than that is one window.  An item without such a window, or of fewer than ``SHORTEST`` words,
+is searched for as it is: its windows are those of its own words, in lower case, values included.
+A Bloom filter of fixed size over all windows of the benchmark keeps the windows of documents that
+cannot match from being shuffled; the rest meet the benchmark's in a hash join.  Windows of one
+document and one item that lie on one diagonal (the same shift) are
 one occurrence.  An occurrence counts if it has ``least`` windows (all, if the item has fewer) and
 its slots are consistent: within the occurrence, a value of the item always became the same value of
 the document, and two values never became one.  If no value changed it is ``verbatim``, else
@@ -20,8 +22,8 @@ the document, and two values never became one.  If no value changed it is ``verb
 Defined results: null and empty texts have no windows; repeated rows of a document count as one
 document, repeated items are represented by the least item_id among those with the same template
 and slots; documents with a null doc_id are reported under null, and told apart by a hash of the
-text; an empty benchmark or table gives no rows; items of
-fewer than ``SHORTEST`` words, or without an item_id, are not searched for; other columns are ignored.
+text; an empty benchmark or table gives no rows; items without a word or an item_id are not searched
+for; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ LEAST = 6
 #: At least this share of a window's words must be plain.
 PLAIN = 0.5
 FILTER_BITS = 1 << 23
-#: Items of fewer template words tell nothing and are not searched for.
+#: Templates of fewer words tell nothing: such items are searched for as they are.
 SHORTEST = 5
 
 #: Units of measurement and money.
@@ -165,8 +167,10 @@ def _fold(parts: Iterator[np.ndarray], n: int) -> np.ndarray:
     return total
 
 
-def windows(words: Template, size: int, both: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and hash of every full window within one text that has enough plain words.
+def windows(words: Template, size: int, exact: bool, both: bool
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and hash of every full window within one text: of its own words if ``exact``, else of
+    its template where that has enough plain words.
 
     With ``both``, those that begin with a loose placeholder come once more with the word itself; the
     third array says which these are.
@@ -174,12 +178,12 @@ def windows(words: Template, size: int, both: bool) -> tuple[np.ndarray, np.ndar
     n = len(words.hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
-    total = _fold((words.hashes[k: k + n] for k in range(size)), n)
+    total = _fold(((words.own if exact else words.hashes)[k: k + n] for k in range(size)), n)
     slots = np.concatenate([[0], np.cumsum(words.slot)])
     most = size - int(np.ceil(PLAIN * size))
     inside = words.owner[size - 1:] == words.owner[:n]
-    at = np.flatnonzero(inside & (slots[size:] - slots[:n] <= most))
-    if not both:
+    at = np.flatnonzero(inside & (exact | (slots[size:] - slots[:n] <= most)))
+    if exact or not both:
         return at, total[at], np.zeros(len(at), bool)
     more = np.flatnonzero(inside & words.loose[:n] & (slots[size:] - slots[:n] - 1 <= most))
     again = _fold(((words.hashes if k else words.own)[more + k] for k in range(size)), len(more))
@@ -187,10 +191,11 @@ def windows(words: Template, size: int, both: bool) -> tuple[np.ndarray, np.ndar
             np.repeat([False, True], [len(at), len(more)]))
 
 
-ROWS = "doc_id bigint, version bigint, at bigint, hash bigint, size int, slots array<string>"
+ROWS = ("doc_id bigint, version bigint, at bigint, hash bigint, size int, exact boolean, "
+        "slots array<string>")
 
 
-def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
+def _windows(size: int, filter_: bytes | None, forms: list[tuple[int, bool]]):
     """Windows of texts (doc_id, version, text) as rows; with a filter, only those that may match."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filter_ is None else np.frombuffer(filter_, np.uint8)
@@ -201,8 +206,8 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
             length = np.bincount(owner, minlength=len(ids))
             begin = np.cumsum(length) - length
             out = []
-            for n in sizes:
-                at, found, bare = windows(words, n, bits is not None)
+            for n, exact in forms:
+                at, found, bare = windows(words, n, exact, bits is not None)
                 if bits is None and n != size:  # a short item is one window
                     whole = length[owner[at]] == n
                     at, found, bare = at[whole], found[whole], bare[whole]
@@ -212,12 +217,13 @@ def _windows(size: int, filter_: bytes | None, sizes: tuple[int, ...]):
                         at, found, bare = at[may], found[may], bare[may]
                 for k, h, b in zip(at.tolist(), found.view(np.int64).tolist(), bare.tolist()):
                     who = owner[k]
-                    values = [words.value(j) for j in range(k + b, k + n) if slot[j]]
-                    out.append((ids[who], versions[who], int(k - begin[who]), h, n, values))
-            kinds = [*[pa.int64()] * 4, pa.int32(), pa.list_(pa.string())]
+                    values = [] if exact else [
+                        words.value(j) for j in range(k + b, k + n) if slot[j]]
+                    out.append((ids[who], versions[who], int(k - begin[who]), h, n, exact, values))
+            kinds = [*[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)],
-                names=["doc_id", "version", "at", "hash", "size", "slots"])
+                names=["doc_id", "version", "at", "hash", "size", "exact", "slots"])
     return run
 
 
@@ -252,27 +258,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     # Items that are the same text are one; short items are windows of their own length.
     items = items.groupBy(F.xxhash64("text").alias("h"), "text").agg(
         F.min("doc_id").alias("doc_id")).select("doc_id", F.col("h").alias("version"), "text")
-    sizes = tuple(range(min(SHORTEST, window), window + 1))
-    all_windows = saved(items.mapInArrow(_windows(window, None, sizes), ROWS), "items")
-    # A window of a long item is of full size; of a short item the whole is taken.
-    parts = saved(all_windows.groupBy("doc_id").agg(F.max("size").alias("size"))
-                  .join(all_windows, ["doc_id", "size"]), "item-windows")
+    forms = [(n, exact) for exact in (False, True)
+             for n in range(1 if exact else min(SHORTEST, window), window + 1)]
+    all_windows = saved(items.mapInArrow(_windows(window, None, forms), ROWS), "items")
+    # A window of a long item is of full size; of a short item the whole is taken.  Own words count
+    # where there is no template.
+    best = all_windows.groupBy("doc_id").agg(F.max(F.struct(~F.col("exact"), "size")).alias("b"))
+    best = best.select("doc_id", (~F.col("b").getField("col1")).alias("exact"), "b.size")
+    parts = saved(best.join(all_windows, ["doc_id", "exact", "size"]), "item-windows")
     same = parts.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "hash", "slots")))).alias("form"))
     heads = same.withColumn("item_id", F.min("doc_id").over(Window.partitionBy("form")))
     heads = heads.where("doc_id = item_id").select("doc_id", "n")
     known = parts.join(heads, "doc_id").select(
-        F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "n",
+        F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "exact", "n",
         F.col("slots").alias("item_slots"))
     known = saved(known, "known")
     blobs = [r["bits"] for r in known.select("hash").coalesce(8)
              .mapInArrow(_bloom, "bits binary").collect()]  # at most eight filters of fixed size
     bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in blobs]).tobytes()
-    used = tuple(r["size"] for r in known.select("size").distinct().collect())  # `window` at most
+    used = sorted(tuple(r) for r in  # twice `window` at most
+                  known.select("size", "exact").distinct().collect())
     texts = doc_texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
     found = texts.mapInArrow(_windows(window, bits, used), ROWS)
-    met = found.join(known, ["hash", "size"]).select(
+    met = found.join(known, ["hash", "size", "exact"]).select(
         "doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "n",
         F.arrays_zip("item_slots", "slots").alias("pairs"))
     # Repeated rows of a document give equal windows: distinct ones count.

@@ -313,6 +313,19 @@ def test_short_items_in_the_middle_of_a_line(spark, table):
                    (4, 2): "reparameterised", (5, 1): "verbatim", (6, 3): "verbatim"}
 
 
+def test_items_without_a_template(spark, table):
+    sums = "Add " + " + ".join(map(str, range(100, 130)))
+    bench = spark.createDataFrame(
+        [(1, "Compute 12 + 34 + 56 + 78 and 90"), (2, "7 + 5 ="), (3, sums), (4, "..."), (5, ""),
+         (6, "one plain item of just seven words")], "item_id bigint, text string")
+    texts = ["now Compute 12 + 34 + 56 + 78 and 90 !", "Compute 12 + 34 + 56 + 78 and 91",
+             "is 7 + 5 = 12", "7 + 6 =", "x " + sums + " end", "x " + sums.replace("1", "2"), "...",
+             "say one plain item of just seven words again"]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in
+           decontam.contaminated(table(texts), bench).collect()}
+    assert got == {(0, 1): "verbatim", (2, 2): "verbatim", (4, 3): "verbatim", (7, 6): "verbatim"}
+
+
 def test_decontamination_of_a_table(spark, con):
     got = {(r["doc_id"], r["item_id"]) for r in
            decontam.decontamination_query(spark, SMALL).collect()}
