@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -205,6 +206,33 @@ def test_trees_add_what_looks_alike(spark):
     assert all(r["n_added"] <= 2 for r in got)
 
 
+def test_trees_add_what_the_base_does_not_hold(spark):
+    rng = random.Random(8)
+    texts, want = [], []
+    for k in range(300):
+        mail = f"user{k} (at) host{k}.example.com"
+        phone = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        six = ":".join(f"{rng.randint(1, 65535):x}" for _ in range(8))
+        text = (f"write to {mail} or to a{k}@b{k}.org, from {six} of 10.0.0.{k % 256}, ring {phone} "
+                f"by 2024-{k % 12 + 1:02d}-11, order {rng.randint(10**9, 10**10)}, time 12:30:45:{k % 60:02d}")
+        texts.append(text)
+        want.append([f"{kind}:{text.index(x)}:{text.index(x) + len(x)}" for kind, x in
+                     (("email", mail), ("phone", phone), ("ip", six))])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.find(docs).collect()}
+    for which in range(3):
+        assert sum(w[which] in got[k]["spans"].split(",") for k, w in enumerate(want)) > 280
+    assert sum(r["n_added"] for r in got.values()) <= 920
+
+
+def test_personal_data_that_is_only_proposed():
+    for text, kind in (("mail john ( at ) example dot", "email"), ("bob {AT} example.com", "email"),
+                       ("key " + "aB3" * 70, "secret")):
+        assert kind in [c[0] for c in pii.candidates(text, [])], text
+    batch = pa.record_batch({"doc_id": [1], "text": ["bob {at} example.com"]})
+    assert len(next(pii._scan(iter([batch]))).column(2)[0]) == 1
+
+
 def test_personal_data_of_odd_rows(odd, odd_rows, none):
     assert len(pii.find(odd).collect()) == len(odd_rows)
     assert pii.find(none).collect() == []
