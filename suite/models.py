@@ -296,7 +296,7 @@ def largest(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- training (rows only) ---------------------------------------------------------------
 
-SMALL = BoosterSettings(trees=5, depth=3, max_bins=64)
+FULL = BoosterSettings()
 
 
 # What the trees find has no counterpart in SQL.  The parts around it have: rows, classes,
@@ -317,7 +317,7 @@ def _judged(results: DataFrame) -> DataFrame:
   true AS plausible FROM model_table""")
 def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     runs = run_models(spark, {"orders": fx.model_table(spark, sf)}, target="target",
-                      month="month", cutoff=fx.CUTOFF, settings=SMALL)
+                      month="month", cutoff=fx.CUTOFF, settings=FULL)
     return _judged(runs.results)
 
 
@@ -336,7 +336,7 @@ FROM (SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month FROM orders
 def train_multiclass(spark: SparkSession, sf: str) -> DataFrame:
     runs = run_models(spark, {"orders": _three_classes(spark, sf)}, target="target",
                       month="month", cutoff=fx.CUTOFF,
-                      settings=BoosterSettings(trees=3, depth=3, max_bins=64))
+                      settings=FULL)
     return _judged(runs.results)
 
 
@@ -346,7 +346,7 @@ def train_multiclass(spark: SparkSession, sf: str) -> DataFrame:
 def score_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every later row gets a class and scores that add up to one."""
     early, late = prep.split_by_date(fx.model_table(spark, sf), "month", fx.CUTOFF)
-    scored = score(late, train(early, "target", "month", SMALL), "month")
+    scored = score(late, train(early, "target", "month", FULL), "month")
     return plain(scored.groupBy("month", "target").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("score_0") + F.col("score_1")), 4)
         .alias("total"), F.count_if(F.col("prediction").isin(0, 1)).alias("of_a_class")))
@@ -356,7 +356,7 @@ def score_table(spark: SparkSession, sf: str) -> DataFrame:
        "true AS positive")
 def importance(spark: SparkSession, sf: str) -> DataFrame:
     early, _ = prep.split_by_date(fx.model_table(spark, sf), "month", fx.CUTOFF)
-    rows = feature_importance(train(early, "target", "month", SMALL))
+    rows = feature_importance(train(early, "target", "month", FULL))
     found = spark.createDataFrame(rows, "feature string, importance double")
     return found.agg(F.countDistinct("feature").alias("features"),
                      F.round(F.sum("importance"), 6).alias("total"),
@@ -368,7 +368,7 @@ def _runs(spark: SparkSession, sf: str) -> ModelRuns:
               "prices": fx.model_table(spark, sf).select("month", "target", "price"),
               "broken": fx.model_table(spark, sf).select("month", "price")}
     return run_models(spark, tables, target="target", month="month", cutoff=fx.CUTOFF,
-                      settings=SMALL)
+                      settings=FULL)
 
 
 @query("run_models", MODEL + f""", sizes AS (SELECT {_SIZES} FROM model_table)
@@ -403,7 +403,7 @@ def chain(spark: SparkSession, sf: str) -> DataFrame:
     ready = features.select(F.col("mes").cast("int").alias("month"), F.col("flag").alias("target"),
                             F.col("score").cast("double").alias("score"), "amount")
     runs = run_models(spark, {"ft": ready}, target="target", month="month", cutoff=fx.CUTOFF,
-                      settings=SMALL)
+                      settings=FULL)
     out = scratch_path(spark, "runs")
     save_runs(runs, out)
     table = master_table(
