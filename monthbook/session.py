@@ -73,9 +73,20 @@ def clear_scratch(spark: SparkSession) -> int:
     return count
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Lets Spark (and its iterative models) checkpoint to the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder; later reads survive the loss of executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    allow_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a scratch path and read back; cuts the lineage as well."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("books", "joins", "quality", "models", "causals", "wide", "edges")
+MODULES = ("books", "state", "joins", "quality", "models", "causals", "wide", "edges")
 
 
 def _load():
