@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.scalars import clip, safe_divide
 from monthbook.operators.linear import fit_groups, gram, per_group, solve
+from monthbook.operators.parallel import MOST, side_by_side, training_rows
 from monthbook.operators.ranks import quantile_values
-from monthbook.session import cut_lineage
+from monthbook.session import written
 
 _VECTOR = "__features"
 
@@ -54,6 +55,8 @@ class CausalSpec:
     treatment_depth: int = 10
     leaf: int = 10
     seed: int = 42
+    #: Models fitted at the same time; each keeps a binned copy of its rows while it is fitted.
+    at_once: int = MOST
 
     @property
     def inputs(self) -> list[str]:
@@ -76,6 +79,8 @@ class Estimate:
     low: float | None = None
     high: float | None = None
     importances: tuple[tuple[str, float], ...] = ()
+    #: Mean of ``effect``; ``ate`` may be that of a corrected score instead.
+    mean: float | None = None
     #: Adds ``effect`` to other rows that have the features.
     predict: Callable[[DataFrame], DataFrame] | None = None
 
@@ -159,13 +164,20 @@ def _crossfit_trees(rows: DataFrame, spec: CausalSpec, models: list) -> DataFram
 
     ``models`` holds (name, estimator, condition on the training rows).
     """
-    ready = cut_lineage(_vector(rows, spec.inputs))
+    # Written once and held: all models read their rows from there.
+    ready = training_rows(written(_vector(rows, spec.inputs), "crossfit"))
+
+    def fit(estimator, k: int, condition: Column | None) -> Callable[[], Model]:
+        known = ready.where(F.col("fold") != k)
+        return lambda: estimator.fit(known if condition is None else known.where(condition))
+
+    fitted = _fit_all(rows, spec, {f"{name}-{k}": fit(estimator, k, condition)
+                                   for k in range(spec.folds) for name, estimator, condition in models})
     parts = []
     for k in range(spec.folds):
-        other, own = ready.where(F.col("fold") != k), ready.where(F.col("fold") == k)
-        for name, estimator, condition in models:
-            known = other if condition is None else other.where(condition)
-            scored = estimator.fit(known).transform(own)
+        own = ready.where(F.col("fold") == k)
+        for name, _, _ in models:
+            scored = fitted[f"{name}-{k}"].transform(own)
             if "probability" in scored.columns:
                 scored = scored.withColumn(
                     name, vector_to_array("probability")[1]).drop("probability", "rawPrediction")
@@ -173,18 +185,25 @@ def _crossfit_trees(rows: DataFrame, spec: CausalSpec, models: list) -> DataFram
             else:
                 own = scored.withColumnRenamed("__prediction", name)
         parts.append(own.drop(_VECTOR))
-    return reduce(DataFrame.unionByName, parts)
+    # Scored once, and read from there by every later step.
+    scored = written(reduce(DataFrame.unionByName, parts), "out-of-fold")
+    ready.unpersist()
+    return scored
+
+
+def _fit_all(df: DataFrame, spec: CausalSpec, work: dict[str, Callable[[], Model]]) -> dict[str, Model]:
+    return side_by_side(df.sparkSession, work, spec.at_once)
 
 
 def _mean_effect(name: str, rows: DataFrame, score: Column | None = None, **more) -> Estimate:
     """Mean effect; with per-row ``score`` also the interval of its mean."""
     value = score if score is not None else F.col("effect")
     row = rows.agg(F.avg(value).alias("m"), F.stddev_samp(value).alias("s"),
-                   F.count(value).alias("n")).first()
+                   F.count(value).alias("n"), F.avg("effect").alias("e")).first()
     if score is None or not row.n:
-        return Estimate(name, rows, row.m, **more)
+        return Estimate(name, rows, row.m, mean=row.e, **more)
     reach = 1.959964 * (row.s or 0.0) / np.sqrt(row.n)
-    return Estimate(name, rows, row.m, row.m - reach, row.m + reach, **more)
+    return Estimate(name, rows, row.m, row.m - reach, row.m + reach, mean=row.e, **more)
 
 
 # --- residual-on-residual estimators ----------------------------------------------------
@@ -327,14 +346,15 @@ def forest_dml(residuals: DataFrame, spec: CausalSpec) -> Estimate:
     The interval comes from the effects corrected by what they leave unexplained.
     """
     ready = _vector(residuals, spec.features)
-    usable = ready.where(F.abs("t_res") > 1e-9).select(
+    usable = training_rows(ready.where(F.abs("t_res") > 1e-9).select(
         _VECTOR, (F.col("y_res") / F.col("t_res")).alias("__ratio"),
-        (F.col("t_res") * F.col("t_res")).alias("__weight"))
+        (F.col("t_res") * F.col("t_res")).alias("__weight")))
     model = _forest(spec, "__ratio", weight="__weight").fit(usable)
+    usable.unpersist()
     def predict(other: DataFrame) -> DataFrame:
         return (model.transform(_vector(other, spec.features))
                 .withColumnRenamed("__prediction", "effect").drop(_VECTOR))
-    rows = predict(residuals)
+    rows = written(predict(residuals), "forest-effects")
     spread = residuals.agg(F.avg(F.col("t_res") * F.col("t_res"))).first()[0]
     left = F.col("y_res") - F.col("effect") * F.col("t_res")
     score = F.col("effect") + left * F.col("t_res") / F.lit(spread)
@@ -442,13 +462,14 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
     if not final:
         return _mean_effect("dr_learner", scored.withColumn("effect", F.col("dr_score")),
                             F.col("dr_score"))
-    model = _forest(spec, "dr_score").fit(
-        _vector(scored, spec.features).where(F.col("dr_score").isNotNull())
-        .select(_VECTOR, "dr_score"))
+    known = training_rows(_vector(scored, spec.features).where(F.col("dr_score").isNotNull())
+                          .select(_VECTOR, "dr_score"))
+    model = _forest(spec, "dr_score").fit(known)
+    known.unpersist()
     def predict(other: DataFrame) -> DataFrame:
         return (model.transform(_vector(other, spec.features))
                 .withColumnRenamed("__prediction", "effect").drop(_VECTOR))
-    return _mean_effect("dr_learner", predict(scored), F.col("dr_score"), predict=predict,
+    return _mean_effect("dr_learner", written(predict(scored), "dr-effects"), F.col("dr_score"), predict=predict,
                         importances=_importances(model, spec.features))
 
 
@@ -456,7 +477,9 @@ def s_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -
     """One forest on features and treatment; effect is the change when treated flips."""
     inputs = [*spec.features, "treated"]
     rows = binarise(complete_rows(df, spec), spec, threshold)
-    model = _forest(spec, spec.outcome).fit(_vector(rows, inputs))
+    ready = training_rows(_vector(rows, inputs))
+    model = _forest(spec, spec.outcome).fit(ready)
+    ready.unpersist()
     def predict(other: DataFrame) -> DataFrame:
         kept = other.columns
         for arm in (1, 0):
@@ -464,7 +487,7 @@ def s_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -
             scored = model.transform(_vector(flipped, [*spec.features, "__t"]))
             other = scored.withColumnRenamed("__prediction", f"__y{arm}").drop(_VECTOR, "__t")
         return other.select(*kept, (F.col("__y1") - F.col("__y0")).alias("effect"))
-    return _mean_effect("s_learner", predict(rows), predict=predict)
+    return _mean_effect("s_learner", written(predict(rows), "s-effects"), predict=predict)
 
 
 def t_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
@@ -477,14 +500,22 @@ def t_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
         def predict(other: DataFrame) -> DataFrame:
             return other.withColumn("effect", effect)
     else:
-        ready = _vector(rows, spec.features)
-        models = {arm: _forest(spec, spec.outcome).fit(ready.where(F.col("treated") == arm))
-                  for arm in (0, 1)}
+        ready = training_rows(_vector(rows, spec.features))
+        models = _fit_all(rows, spec, _outcome_models(ready, spec))
+        ready.unpersist()
         def predict(other: DataFrame) -> DataFrame:
-            return _difference(other, spec, models[1], models[0])
+            return _difference(other, spec, models["1"], models["0"])
+        return _mean_effect("t_learner", written(predict(rows), "t-effects"), predict=predict)
     return _mean_effect("t_learner", predict(rows), predict=predict)
 
 
+def _outcome_models(ready: DataFrame, spec: CausalSpec) -> dict[str, Callable[[], Model]]:
+    """One forest for the outcome of each arm, by the name of the arm."""
+    def fit(arm: int) -> Callable[[], Model]:
+        return lambda: _forest(spec, spec.outcome).fit(ready.where(F.col("treated") == arm))
+    return {str(arm): fit(arm) for arm in (0, 1)}
+
+
 def _difference(df: DataFrame, spec: CausalSpec, first, second) -> DataFrame:
     out = first.transform(_vector(df, spec.features)).withColumnRenamed("__prediction", "__a")
     out = second.transform(out).withColumnRenamed("__prediction", "__b")
@@ -494,22 +525,24 @@ def _difference(df: DataFrame, spec: CausalSpec, first, second) -> DataFrame:
 def x_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -> Estimate:
     """Effects imputed from the other arm's model, mixed by the chance of treatment."""
     rows = binarise(complete_rows(df, spec), spec, threshold)
-    ready = _vector(rows, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
-    outcome = {arm: _forest(spec, spec.outcome).fit(ready.where(F.col("treated") == arm))
-               for arm in (0, 1)}
-    imputed = {}
-    for arm in (0, 1):
-        crossed = outcome[1 - arm].transform(ready.where(F.col("treated") == arm))
-        gain = F.col(spec.outcome) - F.col("__prediction")
-        crossed = crossed.withColumn("__gain", gain if arm else -gain).drop("__prediction")
-        imputed[arm] = _forest(spec, "__gain").fit(crossed)
+    ready = training_rows(_vector(rows, spec.features))
     half = replace(spec, trees=max(1, spec.trees // 2))
-    chance = _forest(half, "treated").fit(ready)
+    first = _fit_all(rows, spec, _outcome_models(ready, spec) | {
+        "chance": lambda: _forest(half, "treated").fit(ready)})
+
+    def gains(arm: int) -> Callable[[], Model]:
+        crossed = first[str(1 - arm)].transform(ready.where(F.col("treated") == arm))
+        gain = F.col(spec.outcome) - F.col("__prediction")
+        known = crossed.withColumn("__gain", gain if arm else -gain).drop("__prediction")
+        return lambda: _forest(spec, "__gain").fit(known)
+
+    imputed = _fit_all(rows, spec, {str(arm): gains(arm) for arm in (0, 1)})
     ready.unpersist()
     def predict(other: DataFrame) -> DataFrame:
         out = _vector(other, spec.features)
-        for model, name in ((imputed[0], "__e0"), (imputed[1], "__e1"), (chance, "__p")):
+        for model, name in ((imputed["0"], "__e0"), (imputed["1"], "__e1"),
+                            (first["chance"], "__p")):
             out = model.transform(out).withColumnRenamed("__prediction", name)
         mixed = F.col("__p") * F.col("__e0") + (1 - F.col("__p")) * F.col("__e1")
         return out.select(*other.columns, mixed.alias("effect"))
-    return _mean_effect("x_learner", predict(rows), predict=predict)
+    return _mean_effect("x_learner", written(predict(rows), "x-effects"), predict=predict)

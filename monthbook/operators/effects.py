@@ -15,7 +15,6 @@ from monthbook.operators.causal import (
     CausalSpec, Estimate, complete_rows, crossfit_residuals, linear_dml)
 from monthbook.operators.linear import Scaling, gram, solve
 from monthbook.operators.ranks import quantiles
-from monthbook.operators.reports import union_rows
 from monthbook.session import cut_lineage
 
 # Shape of the explaining trees, scenario rates and confounding factors.
@@ -132,9 +131,11 @@ def stability(ates: DataFrame) -> DataFrame:
 
 
 def compare_ate(estimates: Sequence[Estimate]) -> DataFrame:
-    """Mean of the effects of every model."""
-    return union_rows([e.rows.agg(F.avg("effect").alias("ate"))
-                       .select(F.lit(e.name).alias("model"), "ate") for e in estimates])
+    """Mean of the effects of every model.  Rows are only read where it is not known yet."""
+    spark = estimates[0].rows.sparkSession
+    means = [(e.name, e.mean if e.mean is not None else
+              e.rows.agg(F.avg("effect")).first()[0]) for e in estimates]
+    return spark.createDataFrame(means, "model string, ate double")
 
 
 def effect_summary(by_bin: DataFrame, drivers: DataFrame, ate: float, low: float | None,
