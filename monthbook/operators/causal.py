@@ -212,7 +212,8 @@ def linear_dml(residuals: DataFrame, spec: CausalSpec, final: str = "constant",
                replicates: int = 0) -> Estimate:
     """Effect that is constant, ``linear`` in the features, or a sparse (``lasso``) one.
 
-    With ``replicates`` a bootstrap interval of the mean effect is added, in every form.
+    With ``replicates`` a bootstrap interval of the mean effect is added, in every form, and
+    the 95 % interval of each row's effect as ``effect_low`` and ``effect_high``.
     """
     if final not in ("constant", "linear", "lasso"):
         raise ValueError(f"unknown final stage {final!r}")
@@ -234,11 +235,30 @@ def linear_dml(residuals: DataFrame, spec: CausalSpec, final: str = "constant",
         return float(_final_stage(matrix, k, penalty) @ matrix[k + 1, k + 1:] / matrix[k + 1, k + 1])
 
     low = high = None
+    band: dict[str, Column] = {}
     if replicates and parts:
-        low, high = _interval(parts, mean_effect, replicates, spec.seed)
-    return Estimate("linear_dml", residuals.withColumn("effect", effect), mean_effect(whole)
-                    if whole[k + 1, k + 1] else float(theta[0]), low, high,
-                    predict=lambda other: other.withColumn("effect", effect))
+        drawn = _redrawn(parts, replicates, spec.seed)
+        low, high = _percentiles([mean_effect(m) for m in drawn])
+        # The spread of the redrawn coefficients is a quadratic form of a row's features.
+        thetas = np.array([_final_stage(m, k, penalty) for m in drawn])
+        reach = F.lit(1.959964) * F.sqrt(_quadratic(np.cov(thetas.T).reshape(k, k), on))
+        band = {"effect_low": effect - reach, "effect_high": effect + reach}
+
+    def predict(other: DataFrame) -> DataFrame:
+        return other.withColumns({"effect": effect, **band})
+
+    return Estimate("linear_dml", predict(residuals), mean_effect(whole)
+                    if whole[k + 1, k + 1] else float(theta[0]), low, high, predict=predict)
+
+
+def _quadratic(matrix: np.ndarray, features: Sequence[str]) -> Column:
+    """``z' M z`` of every row, where ``z`` is 1 and the features; not below 0."""
+    z = [F.lit(1.0), *[F.col(c).cast("double") for c in features]]
+    total = F.lit(0.0)
+    for i in range(len(z)):
+        for j in range(i, len(z)):
+            total = total + F.lit(float(matrix[i, j]) * (1 if i == j else 2)) * z[i] * z[j]
+    return F.greatest(total, F.lit(0.0))
 
 
 def _final_stage(matrix: np.ndarray, k: int, penalty: float) -> np.ndarray:
@@ -304,9 +324,8 @@ def _weight(block: int, replicate: int, seed: int, steps: list[float]) -> int:
     return sum(u > p for p in steps)
 
 
-def _interval(parts: dict[tuple, np.ndarray], value: Callable[[np.ndarray], float],
-              replicates: int, seed: int, alpha: float = 0.05) -> tuple[float, float]:
-    """Percentile interval of a value of sums of products over redrawn blocks."""
+def _redrawn(parts: dict[tuple, np.ndarray], replicates: int, seed: int) -> list[np.ndarray]:
+    """Sums of products over redrawn blocks; ``parts`` are by fold or arm and block."""
     blocks: dict[int, np.ndarray] = {}
     for key, matrix in parts.items():
         blocks[key[-1]] = blocks.get(key[-1], 0.0) + matrix
@@ -316,8 +335,12 @@ def _interval(parts: dict[tuple, np.ndarray], value: Callable[[np.ndarray], floa
     for r in range(1, replicates + 1):
         weights = np.array([_weight(b, r, seed, steps) for b in numbers], float)
         if weights.any():
-            found.append(value(np.tensordot(weights, stack, 1)))
-    low, high = np.quantile(found, [alpha / 2, 1 - alpha / 2])
+            found.append(np.tensordot(weights, stack, 1))
+    return found
+
+
+def _percentiles(values: Sequence[float], alpha: float = 0.05) -> tuple[float, float]:
+    low, high = np.quantile(values, [alpha / 2, 1 - alpha / 2])
     return float(low), float(high)
 
 
@@ -335,7 +358,8 @@ def bootstrap_ci(residuals: DataFrame, spec: CausalSpec, replicates: int = 100,
     row: tuple = (None, None, None, replicates)
     if products:
         row = (ratio(sum(products.values())),
-               *_interval(products, ratio, replicates, spec.seed, alpha), replicates)
+               *_percentiles([ratio(m) for m in _redrawn(products, replicates, spec.seed)], alpha),
+               replicates)
     return residuals.sparkSession.createDataFrame(
         [row], "ate double, low double, high double, replicates bigint")
 

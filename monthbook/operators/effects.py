@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthbook.operators.bins import temporal_index
 from monthbook.operators.causal import (
@@ -20,6 +22,7 @@ from monthbook.session import cut_lineage
 # Shape of the explaining trees, scenario rates and confounding factors.
 TREE_DEPTH = 5
 TREE_LEAF = 50
+POLICY_BINS = 32
 SCENARIO_RATES = (4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0, 11.0, 12.0)
 GAMMAS = (0.8, 1.0, 1.2, 1.5)
 TREATMENT_COST = 0.01
@@ -35,21 +38,114 @@ def effect_drivers(rows: DataFrame, features: Sequence[str]) -> DataFrame:
         pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def policy_tree(rows: DataFrame, features: Sequence[str],
-                cost: float = TREATMENT_COST) -> tuple[DataFrame, str]:
-    """Adds ``treat``, the choice of a tree that weighs rows by what a wrong choice costs.
+@dataclass
+class _Node:
+    """A group of rows: what treating them all gains, and how the group is cut."""
 
-    Also returns the tree as text.
+    gain: float
+    rows: int
+    feature: int | None = None
+    cut: int | None = None
+
+
+def policy_tree(rows: DataFrame, features: Sequence[str], cost: float = TREATMENT_COST,
+                depth: int = TREE_DEPTH, leaf: int = TREE_LEAF,
+                bins: int = POLICY_BINS) -> tuple[DataFrame, str]:
+    """Adds ``treat``, the choice of the tree with the most welfare, and returns the tree as text.
+
+    Welfare is the sum of ``effect - cost`` over the rows that are treated.  Features are cut at
+    quantiles; one aggregate per level sums the gains of every (group, feature, bin), and each
+    group is cut where treating one side, both or none gains most, if that is more than before.
+    The first feature and the lowest cut win a tie.  A missing feature counts as above every cut.
     """
     gain = F.col("effect") - F.lit(cost)
-    ready = VectorAssembler(inputCols=list(features), outputCol="__x").transform(
-        rows.withColumns({"__best": (gain > 0).cast("double"), "__weight": F.abs(gain)}))
-    tree = DecisionTreeClassifier(
-        featuresCol="__x", labelCol="__best", weightCol="__weight", maxDepth=TREE_DEPTH,
-        minInstancesPerNode=TREE_LEAF, predictionCol="treat").fit(
-            ready.where(F.col("__weight") > 0))
-    chosen = tree.transform(ready).select(*rows.columns, F.col("treat").cast("int"))
-    return chosen, tree.toDebugString
+    edges = _edges(rows, features, bins)
+    places = [F.coalesce(sum(((F.col(c) > F.lit(e)).cast("int") for e in edges[c]), F.lit(0)),
+                         F.lit(len(edges[c]))) for c in features]
+    held = rows.select(gain.alias("gain"), *[p.alias(f"b{i}") for i, p in enumerate(places)])
+    held = held.where("gain IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
+    tree: dict[int, _Node] = {}
+    try:
+        for level in range(depth + 1):
+            cells = [F.struct(F.lit(i).alias("f"), F.col(f"b{i}").alias("b")) for i in range(len(features))]
+            sums = held.select(_group(tree, [F.col(f"b{i}") for i in range(len(features))]).alias("node"),
+                               "gain", F.inline(F.array(*cells)))
+            found = sums.where(F.col("node") >= 2 ** level - 1).groupBy("node", "f", "b").agg(
+                F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("n")).collect()  # groups x bins
+            if not _grow(tree, found, level < depth, leaf):
+                break
+    finally:
+        held.unpersist()
+    chosen = F.lit(False)
+    at = _group(tree, places)
+    for number, node in tree.items():
+        if node.feature is None and node.gain > 0:
+            chosen = chosen | (at == number)
+    return rows.withColumn("treat", chosen.cast("int")), _written(tree, features, edges)
+
+
+def _edges(rows: DataFrame, features: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Distinct inner quantiles of each feature."""
+    long = rows.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        [], list(features), "name", "v")
+    marks = [i / bins for i in range(1, bins)]
+    found = {r["name"]: r for r in quantiles(long, "v", marks, by=["name"]).collect()}
+    return {c: sorted({float(found[c][f"q{i}"]) for i in range(len(marks))}) if c in found else []
+            for c in features}
+
+
+def _group(tree: dict[int, _Node], places: Sequence[Column]) -> Column:
+    """The number of the group a row is in: 0, and 2 n + 1 and 2 n + 2 below group n."""
+    def below(number: int) -> Column:
+        node = tree.get(number)
+        if node is None or node.feature is None:
+            return F.lit(number)
+        return F.when(places[node.feature] <= node.cut, below(2 * number + 1)).otherwise(
+            below(2 * number + 2))
+    return below(0)
+
+
+def _grow(tree: dict[int, _Node], found: Sequence, may_cut: bool, leaf: int) -> bool:
+    """Adds the groups of a level and cuts them; whether any was cut."""
+    cells: dict[int, dict[int, dict[int, tuple[float, int]]]] = {}
+    for r in found:
+        cells.setdefault(r["node"], {}).setdefault(r["f"], {})[r["b"]] = (r["gain"], r["n"])
+    cut = False
+    for number in sorted(cells):
+        by_feature = cells[number]
+        first = by_feature[min(by_feature)].values()
+        whole = _Node(math.fsum(g for g, _ in first), sum(n for _, n in first))
+        tree[number] = whole
+        best = max(whole.gain, 0.0)
+        for f in sorted(by_feature if may_cut else ()):
+            left, size = 0.0, 0
+            for b in sorted(by_feature[f]):
+                left, size = left + by_feature[f][b][0], size + by_feature[f][b][1]
+                welfare = max(left, 0.0) + max(whole.gain - left, 0.0)
+                if (min(size, whole.rows - size) >= max(leaf, 1)
+                        and welfare > best + 1e-9 * max(1.0, abs(best))):
+                    best, whole.feature, whole.cut = welfare, f, b
+        cut |= whole.feature is not None
+    return cut
+
+
+def _written(tree: dict[int, _Node], features: Sequence[str], edges: dict[str, list[float]]) -> str:
+    lines = []
+
+    def write(number: int, indent: str) -> None:
+        node = tree.get(number)
+        if node is None or node.feature is None:
+            gain, rows = (node.gain, node.rows) if node else (0.0, 0)
+            lines.append(f"{indent}{'treat' if gain > 0 else 'leave'}: {rows} rows, gain {gain:.6g}")
+            return
+        name = features[node.feature]
+        lines.append(f"{indent}{name} <= {edges[name][node.cut]:.6g}")
+        write(2 * number + 1, indent + "  ")
+        lines.append(f"{indent}{name} > {edges[name][node.cut]:.6g}")
+        write(2 * number + 2, indent + "  ")
+
+    write(0, "")
+    return "\n".join(lines)
 
 
 def scenarios(estimate: Estimate, spec: CausalSpec,

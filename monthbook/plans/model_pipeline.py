@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.operators.metrics import GAP_LIMITS, overfit_gap
+from monthbook.operators.parallel import side_by_side
 from monthbook.operators.prep import model_columns, split_by_date
 from monthbook.operators.reports import (
     compare_models, feature_dictionary, summary_report, topk_features)
@@ -42,23 +43,33 @@ class ModelRuns:
 
 def run_models(spark: SparkSession, tables: Mapping[str, DataFrame] | Sequence[str], *,
                target: str, month: str, cutoff: int, top_k: int = 10,
-               settings: BoosterSettings = BoosterSettings()) -> ModelRuns:
+               settings: BoosterSettings = BoosterSettings(), at_once: int = 4,
+               seconds: float | None = None) -> ModelRuns:
     """Trains and judges a model per table; a failing table is reported, not raised.
 
+    ``at_once`` tables are trained side by side, each with its own scheduler pool and job group.
+    A table that takes longer than ``seconds`` is cancelled and reported as failed.
+
     ``tables`` are DataFrames by name, or paths (CSV or Parquet) that are named by their file
     and read here, so that a file that cannot be read is reported too.  Only metrics and importances come back to the driver: a few numbers per table.
     """
     rows, importances = [], []
     named = (tables if isinstance(tables, Mapping)
              else {table_stem(path): path for path in tables})
-    for name, source in named.items():
-        try:
-            df = read_table(spark, source) if isinstance(source, str) else source
-            row, found = _run_one(df, target, month, cutoff, settings)
-            rows.append({"table": name, "status": "done", "error": None, **row})
-            importances += [(name, feature, value) for feature, value in found]
-        except Exception as error:  # noqa: BLE001 - one table must not stop the rest
-            rows.append({"table": name, "status": "failed", "error": str(error)})
+
+    def run(source: DataFrame | str) -> tuple[dict, list[tuple[str, float]]]:
+        df = read_table(spark, source) if isinstance(source, str) else source
+        return _run_one(df, target, month, cutoff, settings)
+
+    done = side_by_side(spark, {name: (lambda source=source: run(source))
+                                for name, source in named.items()}, at_once, seconds, isolate=True)
+    for name, result in done.items():
+        if isinstance(result, Exception):  # one table must not stop the rest
+            rows.append({"table": name, "status": "failed", "error": str(result)})
+            continue
+        row, found = result
+        rows.append({"table": name, "status": "done", "error": None, **row})
+        importances += [(name, feature, value) for feature, value in found]
     names = [part.split()[0] for part in _RESULTS.split(", ")]
     results = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], _RESULTS)
     for metric in ("roc_auc", "ks"):

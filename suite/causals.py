@@ -84,6 +84,39 @@ def dml_effects(spark: SparkSession, sf: str) -> DataFrame:
     return plain(rows.select("id", "effect"), 6, ("effect",))
 
 
+_STEPS = ", ".join(f"{p!r}::DOUBLE" for p in c._poisson())
+
+
+# The normal equations of each block of rows, redrawn 100 times.
+_BANDS = _HETERO + f"""
+, blocks AS (SELECT CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 2) AS BIGINT) AS blk,
+    sum(t_res * t_res) AS a, sum(t_res * t_res * balance) AS b,
+    sum(t_res * t_res * balance * balance) AS d, sum(y_res * t_res) AS p,
+    sum(y_res * t_res * balance) AS q FROM res GROUP BY 1)
+, weighted AS (SELECT blocks.*, r, CAST('0x' || substr(md5(blk || '-' || r || '-{LINEAR.seed}'), 1, 8)
+    AS BIGINT) / 4294967296.0::DOUBLE AS u FROM blocks, (SELECT unnest(range(1, 101)) AS r))
+, redrawn AS (SELECT r, sum(w * a) AS a, sum(w * b) AS b, sum(w * d) AS d, sum(w * p) AS p,
+    sum(w * q) AS q FROM (SELECT *, len(list_filter([{_STEPS}], lambda x: u > x)) AS w
+    FROM weighted) GROUP BY r)
+, spread AS (SELECT var_samp(c0) AS v0, var_samp(c1) AS v1, covar_samp(c0, c1) AS v01
+  FROM (SELECT (p * d - q * b) / (a * d - b * b) AS c0,
+    (a * q - b * p) / (a * d - b * b) AS c1 FROM redrawn))"""
+
+
+@query("linear_dml_bands", BASE + _BANDS + """
+, bands AS (SELECT id, c0 + c1 * balance AS effect,
+    1.959964 * sqrt(greatest(v0 + 2 * v01 * balance + v1 * balance * balance, 0)) AS reach
+  FROM causal, theta, spread)
+SELECT id, round(effect, 6) AS effect, round(effect - reach, 5) AS effect_low,
+  round(effect + reach, 5) AS effect_high FROM bands""")
+def dml_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """The effect of every row with its 95 % interval."""
+    residual = c.crossfit_residuals(fx.causal(spark, sf), LINEAR)
+    rows = c.linear_dml(residual, LINEAR, final="linear", replicates=100).rows
+    rows = plain(rows.select("id", "effect", "effect_low", "effect_high"), 6, ("effect",))
+    return plain(rows, 5, ("effect_low", "effect_high"))
+
+
 _RATES = ", ".join(f"({r}::DOUBLE)" for r in e.SCENARIO_RATES)
 
 
@@ -357,9 +390,6 @@ def tree_residuals(spark: SparkSession, sf: str) -> DataFrame:
         "known"), F.col("t_hat").between(low, high).alias("in_range"))
 
 
-_STEPS = ", ".join(f"{p!r}::DOUBLE" for p in c._poisson())
-
-
 @query("bootstrap_ci", BASE + _residual_sql() + f"""
 , blocks AS (SELECT CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 2) AS BIGINT) AS b,
     sum(y_res * t_res) AS p, sum(t_res * t_res) AS q FROM res GROUP BY 1)
@@ -438,6 +468,46 @@ def policy(spark: SparkSession, sf: str) -> DataFrame:
                  6, ("mean_effect",))
 
 
+_CUTS = ", ".join(repr(i / e.POLICY_BINS) for i in range(1, e.POLICY_BINS))
+_POLICY = EFF + f"""
+, gains AS (SELECT id, balance, quantity, lines, effect - {e.TREATMENT_COST!r} AS gain FROM effects)
+, cuts AS (SELECT DISTINCT f, cut FROM (
+    SELECT 0 AS f, unnest(quantile_cont(balance, [{_CUTS}])) AS cut FROM gains UNION ALL
+    SELECT 1, unnest(quantile_cont(quantity, [{_CUTS}])) FROM gains UNION ALL
+    SELECT 2, unnest(quantile_cont(lines, [{_CUTS}])) FROM gains))
+, level0 AS (SELECT id, gain, [balance, quantity, lines] AS x, 0 AS node FROM gains)"""
+
+
+def _level_sql(k: int) -> str:
+    """The best cut of each group of level ``k``, and the groups below it."""
+    return f"""
+, split{k} AS (SELECT node, f, cut, sum(gain) FILTER (x[f + 1] <= cut) AS l,
+    sum(gain) FILTER (x[f + 1] > cut) AS r FROM level{k}, cuts GROUP BY node, f, cut
+  HAVING count(*) FILTER (x[f + 1] <= cut) >= {e.TREE_LEAF}
+    AND count(*) FILTER (x[f + 1] > cut) >= {e.TREE_LEAF})
+, best{k} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY
+    greatest(l, 0) + greatest(r, 0) DESC, f, cut) AS place FROM split{k})
+  WHERE place = 1 AND greatest(l, 0) + greatest(r, 0) > greatest(l + r, 0)
+    + 1e-9 * greatest(1, greatest(l + r, 0)))
+, level{k + 1} AS (SELECT id, gain, x, CASE WHEN f IS NULL THEN a.node
+    WHEN x[f + 1] <= cut THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node
+  FROM level{k} a LEFT JOIN best{k} b ON a.node = b.node)"""
+
+
+def _register_policy(depth: int) -> None:
+    levels = "".join(_level_sql(k) for k in range(depth))
+
+    @query(f"policy_tree_{depth}", _POLICY + levels + f"""
+SELECT id, CAST(sum(gain) OVER (PARTITION BY node) > 0 AS BIGINT) AS treat FROM level{depth}""")
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        chosen, _ = e.policy_tree(fx.effects(spark, sf), ["balance", "quantity", "lines"], depth=depth)
+        return plain(chosen.select("id", "treat"))
+
+
+_register_policy(1)
+_register_policy(2)
+
+
 @query("causal_report", """SELECT m AS model, true AS known FROM (VALUES ('linear_dml'),
   ('forest_dml'), ('kernel_dml'), ('dr_learner'), ('s_learner'), ('t_learner'), ('x_learner')) v(m)""")
 def report(spark: SparkSession, sf: str) -> DataFrame:
