@@ -11,19 +11,23 @@ unit is also taken with that word as it is.
 Every window of ``window`` template words with enough plain words among them is hashed; an item
 shorter than that is one window.  An item without such a window, or of fewer than ``SHORTEST`` words,
 is searched for as it is: its windows are those of its own words, in lower case, values included.
-A Bloom filter of fixed size over all windows of the benchmark keeps the windows of documents that
-cannot match from being shuffled; the rest meet the benchmark's in a hash join.  Windows of one
-document and one item that lie on one diagonal (the same shift) are
-one occurrence.  An occurrence counts if it has ``least`` windows (all, if the item has fewer) and
-its slots are consistent: within the occurrence, a value of the item always became the same value of
-the document, and two values never became one.  If no value changed it is ``verbatim``, else
-``reparameterised``.
+A Bloom filter over all windows of the benchmark, sized by their number, keeps the windows of
+documents that cannot match from being shuffled; the rest meet the benchmark's in a hash join.
+Windows of one document and one item that lie on one diagonal (the same shift) are one occurrence.
+An occurrence counts if it has ``least`` windows (all, if the item has fewer) and its slots are
+consistent: within the occurrence, a value of the item always became the same value of the document
+(two values may become one).  If no value changed it is ``verbatim``, else ``reparameterised``.
+
+Items with one template whose slots repeat in the same places ask for the same documents, so they are
+one class, represented by its least item_id: a document is listed once for it, however many items
+it has.  :func:`item_classes` tells the members.  An occurrence is verbatim if its values are those of
+any member (of the representative, where it holds only a part of the values).
 
 Defined results: null and empty texts have no windows; repeated rows of a document count as one
-document, repeated items are represented by the least item_id among those with the same template
-and slots; documents with a null doc_id are reported under null, and told apart by a hash of the
-text; an empty benchmark or table gives no rows; items without a word or an item_id are not searched
-for; other columns are ignored.
+document; items are told apart by their text, so several may share an item_id, and items without an
+item_id are searched for and reported under null; documents with a null doc_id are reported under
+null, and told apart by a hash of the text; an empty benchmark or table gives no rows; items without
+a word are not searched for; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthbook.llm.common import doc_texts, read, saved, slices
 
@@ -43,7 +47,9 @@ WINDOW = 8
 LEAST = 6
 #: At least this share of a window's words must be plain.
 PLAIN = 0.5
-FILTER_BITS = 1 << 23
+#: Bits of the filter: 16 to 32 per window of the benchmark, within these limits.  Beyond the upper one
+#: (a benchmark of eight million windows) it lets more windows through to the join.
+FILTER_BITS = (1 << 16, 1 << 27)
 #: Templates of fewer words tell nothing: such items are searched for as they are.
 SHORTEST = 5
 
@@ -192,11 +198,14 @@ def windows(words: Template, size: int, exact: bool, both: bool
 
 
 ROWS = ("doc_id bigint, version bigint, at bigint, hash bigint, size int, exact boolean, "
-        "slots array<string>")
+        "slots array<string>, codes array<int>")
 
 
 def _windows(size: int, filter_: bytes | None, forms: list[tuple[int, bool]]):
-    """Windows of texts (doc_id, version, text) as rows; with a filter, only those that may match."""
+    """Windows of texts (doc_id, version, text) as rows; with a filter, only those that may match.
+
+    Without a filter (items) ``codes`` number the values of a text in the order they first occur.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if filter_ is None else np.frombuffer(filter_, np.uint8)
         for batch in slices(batches, 1 << 19):
@@ -206,6 +215,9 @@ def _windows(size: int, filter_: bytes | None, forms: list[tuple[int, bool]]):
             length = np.bincount(owner, minlength=len(ids))
             begin = np.cumsum(length) - length
             out = []
+            codes: list[dict[str, int]] = [{} for _ in ids]
+            for j in np.flatnonzero(slot).tolist() if bits is None else ():
+                codes[owner[j]].setdefault(words.value(j), len(codes[owner[j]]))
             for n, exact in forms:
                 at, found, bare = windows(words, n, exact, bits is not None)
                 if bits is None and n != size:  # a short item is one window
@@ -219,83 +231,125 @@ def _windows(size: int, filter_: bytes | None, forms: list[tuple[int, bool]]):
                     who = owner[k]
                     values = [] if exact else [
                         words.value(j) for j in range(k + b, k + n) if slot[j]]
-                    out.append((ids[who], versions[who], int(k - begin[who]), h, n, exact, values))
-            kinds = [*[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.list_(pa.string())]
+                    out.append((ids[who], versions[who], int(k - begin[who]), h, n, exact, values,
+                                [codes[who][v] for v in values] if bits is None else []))
+            kinds = [*[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.list_(pa.string()),
+                     pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)],
-                names=["doc_id", "version", "at", "hash", "size", "exact", "slots"])
+                names=["doc_id", "version", "at", "hash", "size", "exact", "slots", "codes"])
     return run
 
 
-def _places(hashes: np.ndarray, place: int) -> np.ndarray:
-    """One of two bit numbers of the filter for each hash."""
-    return ((hashes >> np.uint64((7, 33)[place])) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _places(hashes: np.ndarray, place: int, bits: int) -> np.ndarray:
+    """One of two bit numbers of a filter of ``bits`` (a power of two) for each hash."""
+    return ((hashes >> np.uint64((7, 33)[place])) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def _test(bits: np.ndarray, hashes: np.ndarray, place: int) -> np.ndarray:
-    at = _places(hashes, place)
+    at = _places(hashes, place, 8 * len(bits))
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _bloom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(FILTER_BITS, bool)
-    for batch in batches:
-        hashes = np.asarray(batch.column(0), dtype=np.int64).view(np.uint64)
-        for place in range(2):
-            bits[_places(hashes, place)] = True
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+def _bloom(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, bool)
+        for batch in batches:
+            hashes = np.asarray(batch.column(0), dtype=np.int64).view(np.uint64)
+            for place in range(2):
+                bits[_places(hashes, place, size)] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+    return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                 least: int = LEAST) -> DataFrame:
-    """doc_id, version, item_id, windows, kind for each document that holds an item.
+def _filter(known: DataFrame) -> bytes:
+    """The Bloom filter of all windows of the benchmark."""
+    least, most = FILTER_BITS
+    windows = known.count()
+    size = min(most, max(least, 1 << (16 * windows).bit_length()))
+    blobs = [r["bits"] for r in known.select("hash").coalesce(4)
+             .mapInArrow(_bloom(size), "bits binary").collect()]  # four filters of bounded size at most
+    parts = [np.frombuffer(b, np.uint8) for b in blobs] or [np.zeros(size // 8, np.uint8)]
+    return np.bitwise_or.reduce(parts).tobytes()
+
+
+def _forms(window: int) -> list[tuple[int, bool]]:
+    return [(n, exact) for exact in (False, True)
+            for n in range(1 if exact else min(SHORTEST, window), window + 1)]
+
+
+def _known(benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The windows that each text of the benchmark is searched by, and the texts with their class.
 
-    ``version`` is a hash of the text: it tells rows with one doc_id apart.
+    The second has version, doc_id (the item's), n, form (of the class), map (code and value of every
+    slot).
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("doc_id"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # Items that are the same text are one; short items are windows of their own length.
-    items = items.groupBy(F.xxhash64("text").alias("h"), "text").agg(
-        F.min("doc_id").alias("doc_id")).select("doc_id", F.col("h").alias("version"), "text")
-    forms = [(n, exact) for exact in (False, True)
-             for n in range(1 if exact else min(SHORTEST, window), window + 1)]
-    all_windows = saved(items.mapInArrow(_windows(window, None, forms), ROWS), "items")
+    items = items.groupBy("text").agg(F.min("doc_id").alias("doc_id")).select(
+        "doc_id", F.xxhash64("text").alias("version"), "text")
+    all_windows = saved(items.mapInArrow(_windows(window, None, _forms(window)), ROWS), "items")
     # A window of a long item is of full size; of a short item the whole is taken.  Own words count
     # where there is no template.
-    best = all_windows.groupBy("doc_id").agg(F.max(F.struct(~F.col("exact"), "size")).alias("b"))
-    best = best.select("doc_id", (~F.col("b").getField("col1")).alias("exact"), "b.size")
-    parts = saved(best.join(all_windows, ["doc_id", "exact", "size"]), "item-windows")
-    same = parts.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "hash", "slots")))).alias("form"))
-    heads = same.withColumn("item_id", F.min("doc_id").over(Window.partitionBy("form")))
-    heads = heads.where("doc_id = item_id").select("doc_id", "n")
-    known = parts.join(heads, "doc_id").select(
-        F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "hash", "size", "exact", "n",
-        F.col("slots").alias("item_slots"))
-    known = saved(known, "known")
-    blobs = [r["bits"] for r in known.select("hash").coalesce(8)
-             .mapInArrow(_bloom, "bits binary").collect()]  # at most eight filters of fixed size
-    bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in blobs]).tobytes()
+    best = all_windows.groupBy("version").agg(F.max(F.struct(~F.col("exact"), "size")).alias("b"))
+    best = best.select("version", (~F.col("b").getField("col1")).alias("exact"), "b.size")
+    parts = saved(best.join(all_windows, ["version", "exact", "size"]), "item-windows")
+    pairs = F.arrays_zip("codes", "slots")
+    texts = parts.groupBy("version").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"),
+        F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "hash", "size", "codes")))).alias("form"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list(pairs)))).alias("map"))
+    return parts, saved(texts, "item-texts")
+
+
+def _representatives(texts: DataFrame) -> DataFrame:
+    """form, version and item_id of the least item of each class."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version"))
+    return texts.groupBy("form").agg(least.alias("r")).select(
+        "form", F.col("r.version").alias("version"), F.col("r.doc_id").alias("item_id"))
+
+
+def item_classes(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item_id and the item_id that represents it; a row per text that is searched for."""
+    _, texts = _known(benchmark, window)
+    heads = _representatives(texts).select("form", F.col("item_id").alias("represented_by"))
+    return texts.join(heads, "form").select(F.col("doc_id").alias("item_id"), "represented_by")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                 least: int = LEAST) -> DataFrame:
+    """doc_id, version, item_id, windows, kind for each document that holds an item of a class.
+
+    ``version`` is a hash of the text: it tells rows with one doc_id apart.  ``item_id`` is that of
+    the class's representative.
+    """
+    parts, members = _known(benchmark, window)
+    heads = _representatives(members)
+    known = saved(parts.drop("doc_id").join(heads, "version").join(
+        members.select("version", "n"), "version").select(
+            "form", "item_id", F.col("at").alias("item_at"), "hash", "size", "exact", "n", "codes"), "known")
     used = sorted(tuple(r) for r in  # twice `window` at most
                   known.select("size", "exact").distinct().collect())
     texts = doc_texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
-    found = texts.mapInArrow(_windows(window, bits, used), ROWS)
+    found = texts.mapInArrow(_windows(window, _filter(known), used), ROWS).drop("codes")
     met = found.join(known, ["hash", "size", "exact"]).select(
-        "doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "n",
-        F.arrays_zip("item_slots", "slots").alias("pairs"))
+        "doc_id", "version", "form", "item_id", (F.col("at") - F.col("item_at")).alias("shift"),
+        "item_at", "n", F.arrays_zip("codes", "slots").alias("pairs"))
     # Repeated rows of a document give equal windows: distinct ones count.
-    each = met.groupBy("doc_id", "version", "item_id", "shift").agg(
+    each = met.groupBy("doc_id", "version", "form", "item_id", "shift").agg(
         F.countDistinct("item_at").alias("windows"), F.max("n").alias("n"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    one_to_one = ((F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")))
-                  & (F.size("pairs") == F.size(F.array_distinct("pairs.slots"))))
-    same_values = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    good = each.where((F.col("windows") >= F.least(F.lit(least), F.col("n"))) & one_to_one)
-    return good.groupBy("doc_id", "version", "item_id").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("pairs")))).alias("map"))
+    one_value = F.size("map") == F.size(F.array_distinct("map.codes"))
+    good = each.where((F.col("windows") >= F.least(F.lit(least), F.col("n"))) & one_value)
+    same = members.select("form", "map").distinct().withColumn("member", F.lit(True))
+    whole = members.join(heads, ["form", "version"]).select("form", F.col("map").alias("whole"))
+    judged = good.join(same, ["form", "map"], "left").join(whole, "form")
+    verbatim = F.coalesce("member", F.forall("map", lambda p: F.array_contains("whole", p)))
+    return judged.groupBy("doc_id", "version", "form", "item_id").agg(
         F.max("windows").alias("windows"),
-        F.when(F.max(same_values), "verbatim").otherwise("reparameterised").alias("kind"))
+        F.when(F.max(verbatim), "verbatim").otherwise("reparameterised").alias("kind")).drop("form")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
