@@ -7,15 +7,15 @@ inside the null space of the balancing constraints (number of documents, number
 all but a few of its entries are 0 or 1, so that the drawn totals equal the expected ones.
 
 The flight is a stream: with two constraints three undecided documents are enough for a move,
-and each move decides at least one of them.  A task reads its blocks (a hash of doc_id within the
-source) in order and holds three documents.  The two or fewer that a block leaves undecided go, in
+and each move decides at least one of them.  A task reads its blocks (a hash of doc_id and text within
+the source) in order and holds three documents.  The two or fewer that a block leaves undecided go, in
 a second flight, with those of the other blocks of the source; a thousand blocks become one, until
 one is left.  Of that one the last ``LAND`` documents stay out of the flight; with the undecided ones they
 are the landing problem, and that outcome is taken whose words come nearest to the target.
 
 Defined results: a null text or one without words has size 0 and takes part in the count only; a
-null source is a source and comes last; rows that share a doc_id share a block and are drawn one
-by one, in the order of size; an empty table gives no rows.  Draws depend on source, block and the
+null source is a source and comes last; rows that share a doc_id and a text share a block and are
+drawn one by one; an empty table gives no rows.  Draws depend on source, block and the
 seed alone, so a rerun or a retried task draws the same.
 """
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from monthbook.llm.common import WORD, partitions, read, saved, unit
 
@@ -38,10 +38,14 @@ BLOCK = 4096
 LAND = 12
 
 
+def _version() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size: the number of words."""
+    """doc_id, version (a hash of the text), source and size: the number of words."""
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), _version().alias("version"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0))
         .cast("bigint").alias("size"))
@@ -89,7 +93,7 @@ class _Flight:
         if prob <= 1e-12 or prob >= 1 - 1e-12:
             yield row, int(prob > 0.5)
             return
-        self.free.append([row, prob, row[2]])
+        self.free.append([row, prob, row[3]])
         if len(self.free) == 3:
             yield from self.move(self._plane())
 
@@ -141,11 +145,11 @@ def _fly(seed: object):
 
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
-            for doc_id, source, size, prob, blocks, block in zip(*cols):
+            for doc_id, version, source, size, prob, blocks, block in zip(*cols):
                 if key != (source, block, blocks):
                     close()
                     key, flight = (source, block, blocks), _Flight((seed, source, block, blocks))
-                row = (doc_id, source, size)
+                row = (doc_id, version, source, size)
                 if blocks == 1 and 0 < prob < 1:  # the last flight of the source
                     held.append([row, prob, size])
                     if len(held) <= LAND:
@@ -161,36 +165,41 @@ def _fly(seed: object):
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-        names=["doc_id", "source", "size", "extra", "prob"])
+        names=["doc_id", "version", "source", "size", "extra", "prob"])
 
 
 def cube_sample(units: DataFrame, block: int = BLOCK, seed: int = 1) -> DataFrame:
-    """doc_id, source, size, extra (0 or 1) for units (doc_id, source, size, prob).
+    """doc_id, version, source, size, extra (0 or 1) for units (the same with ``prob``).
+
+    Without a ``version`` rows are told apart by doc_id alone.
 
     Within each source the number of chosen units and their words come as near to what ``prob``
     makes expect as one undecided unit allows.
     """
+    if "version" not in units.columns:
+        units = units.withColumn("version", F.lit(0).cast("bigint"))
     counts = units.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     here = units.alias("u").join(counts.alias("c"), F.expr("u.source <=> c.source")).select(
-        "u.doc_id", "u.source", "u.size", "u.prob",
+        "u.doc_id", "u.version", "u.source", "u.size", "u.prob",
         F.ceil(F.col("n") / block).cast("bigint").alias("blocks"))
     decided = None
     spread = 1
     while True:
         # the block of the first flight, of which the later ones join `block / 4` at a time
-        at = F.floor(F.pmod(F.xxhash64("doc_id"), F.col("blocks")) / spread)
+        at = F.floor(F.pmod(F.xxhash64("doc_id", "version"), F.col("blocks")) / spread)
         blocks = F.ceil(F.col("blocks") / spread)
-        flown = (here.select("doc_id", "source", "size", "prob", blocks.alias("now"),
+        flown = (here.select("doc_id", "version", "source", "size", "prob", blocks.alias("now"),
                              at.cast("bigint").alias("block"))
                  .repartition(partitions(units.sparkSession), "source", "block")
-                 .sortWithinPartitions("source", "block", "doc_id", "size")
-                 .select("doc_id", "source", "size", "prob",
+                 .sortWithinPartitions("source", "block", "doc_id", "version")
+                 .select("doc_id", "version", "source", "size", "prob",
                          F.col("now").cast("bigint").alias("blocks"), "block")
                  .mapInArrow(_fly((seed, spread)),
-                             "doc_id bigint, source string, size bigint, extra bigint, prob double"))
+                             "doc_id bigint, version bigint, source string, size bigint, extra bigint, "
+                             "prob double"))
         flown = saved(flown, "flight")
         done = flown.where("extra IS NOT NULL").drop("prob")
         decided = done if decided is None else decided.union(done)
@@ -198,25 +207,25 @@ def cube_sample(units: DataFrame, block: int = BLOCK, seed: int = 1) -> DataFram
         if rest.isEmpty():
             return decided
         here = rest.alias("u").join(counts.alias("c"), F.expr("u.source <=> c.source")).select(
-            "u.doc_id", "u.source", "u.size", "u.prob",
+            "u.doc_id", "u.version", "u.source", "u.size", "u.prob",
             F.ceil(F.col("n") / block).cast("bigint").alias("blocks"))
         spread *= max(2, block // 4)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, factor: float = FACTOR,
         most: float = MOST_COPIES, block: int = BLOCK, seed: int = 1) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: one row per document."""
+    """doc_id, version, source, size, source_size, target, copies, taken: a row per document."""
     sized = saved(sizes(docs), "sizes")
     goals = source_targets(sized, weights, factor, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = saved(goals.withColumn("whole", F.floor(ratio).cast("bigint"))
                   .withColumn("prob", ratio - F.floor(ratio)), "targets")
     units = sized.alias("s").join(goals.alias("g"), F.expr("s.source <=> g.source")).select(
-        "s.doc_id", "s.source", "s.size", "g.prob")
+        "s.doc_id", "s.version", "s.source", "s.size", "g.prob")
     drawn = cube_sample(units, block, seed)
     out = drawn.alias("d").join(goals.alias("g"), F.expr("d.source <=> g.source"))
     copies = F.col("g.whole") + F.col("d.extra")
-    return out.select("d.doc_id", "d.source", "d.size", "g.source_size", "g.target",
+    return out.select("d.doc_id", "d.version", "d.source", "d.size", "g.source_size", "g.target",
                       copies.alias("copies"), (copies * F.col("d.size")).alias("taken"))
 
 
@@ -229,11 +238,26 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns.
 
-    Documents are matched by doc_id; where several rows share one, each is repeated as often as
-    the first of them is taken (by size), and a null doc_id is matched too.
+    Rows are matched by doc_id, text and source.  Rows that share all three are one document given
+    several times: each stays as often as they are taken on average, rounded down, and what
+    is left over is taken from one of them, so that the mix holds the words that were drawn.
     """
-    copies = mix(docs, **options).groupBy("doc_id").agg(F.min_by("copies", "size").alias("copies"))
-    taken = docs.alias("d").join(copies.where("copies > 0").alias("c"),
-                                 F.expr("d.doc_id <=> c.doc_id"))
-    times = F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))
-    return taken.select("d.*", times.alias("__time")).drop("__time")
+    key = ["doc_id", "version", "source"]
+    copies = saved(mix(docs, **options).groupBy(*key).agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n")).where("copies > 0"), "copies")
+    rows = docs.alias("d").join(copies.alias("c"), (
+        F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("c.doc_id"))
+        & (F.xxhash64(F.coalesce(F.col("d.text").cast("string"), F.lit(""))) == F.col("c.version"))
+        & F.col("d.source").cast("string").eqNullSafe(F.col("c.source"))))
+
+    def times(number: Column) -> Column:
+        return F.explode(F.sequence(F.lit(1), number.cast("int")))
+
+    each = F.floor(F.col("c.copies") / F.col("c.n"))
+    out = rows.where(each > 0).select("d.*", times(each).alias("__time")).drop("__time")
+    left = copies.where("copies % n > 0")
+    if left.isEmpty():
+        return out
+    one = rows.where("c.copies % c.n > 0").groupBy("c.doc_id", "c.version", "c.source").agg(
+        F.any_value(F.struct("d.*")).alias("row"), F.max(F.expr("c.copies % c.n")).alias("more"))
+    return out.unionByName(one.select("row", times(F.col("more")).alias("__time")).select("row.*"))
