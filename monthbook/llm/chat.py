@@ -7,11 +7,11 @@ A conversation's rows become one training text.  Every turn is written as
 
 (without the blanks around ``\n``).  Texts and roles are escaped so that none of the control
 strings below occurs inside them: a backslash is doubled, and one is put behind the first
-character of a control string.  ``unescape`` takes both back, so the format is reversible.
+character of a control string; a newline in a role becomes a backslash and an ``n``.  ``unescape`` takes both back, so the format is reversible.
 
 Rows are dealt out by ranges of (conversation, turn), so a conversation of any length spreads over
 tasks and comes out as several parts, in order.  Inside a task all lengths, offsets and scatter
-indices are computed in numpy, and headers and contents are copied into one buffer per batch.
+indices are computed in numpy, and headers and contents are copied into one buffer per slice of rows.
 
 Defined results: a null role or text is empty; a null turn sorts first; rows that share
 conversation and turn follow by role and text; null conversation ids form one conversation;
@@ -30,12 +30,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from monthbook.llm.common import large_binary, partitions, ragged, read, saved, utf8
+from monthbook.llm.common import large_binary, partitions, ragged, read, saved, slices, utf8
 
 #: The control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 ASSISTANT = "assistant"
 
+#: Bytes of text that are assembled at once, one row at least.
+SLICE = 1 << 22
+
 PARTS = ("conv_id bigint, part bigint, n_turns bigint, formatted string, "
          "loss_start array<bigint>, loss_end array<bigint>")
 
@@ -48,6 +51,16 @@ def escape(column: pa.Array) -> pa.Array:
     return column
 
 
+def escape_role(column: pa.Array) -> pa.Array:
+    """Roles end at the first newline, so theirs become a backslash and an ``n``."""
+    return pc.replace_substring(escape(column), "\n", "\\n")
+
+
+def unescape_role(role: str) -> str:
+    """The role as it was before :func:`escape_role`; no control string begins with an ``n``."""
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role, flags=re.S)
+
+
 def unescape(text: str) -> str:
     """The text as it was before :func:`escape`."""
     return re.sub(r"\\(.)", r"\1", text, flags=re.S) if "\\" in text else text
@@ -63,7 +76,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     """The bytes of all turns, the offsets of the turns, and where each text lies in them."""
     said = np.asarray(pc.equal(roles, ASSISTANT).fill_null(False), dtype=np.int64)
     heads, tails = _table([b"<s>[INST] ", b"<s>"]), _table([b" [/INST]</s>", b"</s>"])
-    role, text = (utf8(escape(x).cast(pa.large_string())) for x in (roles, texts))
+    role, text = (utf8(x.cast(pa.large_string())) for x in (escape_role(roles), escape(texts)))
     newline = _table([b"\n"])
     nothing = np.zeros(len(said), np.int64)
     # Five segments a turn: which buffer, which entry of it.
@@ -81,9 +94,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, SLICE):
         conv, role, text = (batch.column(batch.schema.get_field_index(c))
                             for c in ("conv_id", "role", "text"))
         out, turns, spans = assemble(role, text)
@@ -118,9 +129,10 @@ def format_chats(rows: DataFrame) -> DataFrame:
                         F.col("turn").cast("bigint").alias("turn"),
                         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
                           for c in ("role", "text")])
-    order = ["conv_id", "turn", "role", "text"]
-    dealt = clean.repartitionByRange(partitions(rows.sparkSession), *order)
-    return dealt.sortWithinPartitions(*order).mapInArrow(_format, PARTS)
+    # Ranges are made of a sample of their keys, on the driver: texts are no part of them.
+    key = ["conv_id", "turn", "role"]
+    dealt = clean.repartitionByRange(partitions(rows.sparkSession), *key)
+    return dealt.sortWithinPartitions(*key, "text").mapInArrow(_format, PARTS)
 
 
 TURN = re.compile(r"<s>(\[INST\] )?(.*?)(?: \[/INST\])?</s>", re.S)
@@ -130,7 +142,7 @@ def parse(formatted: str) -> Iterator[tuple[str, str]]:
     """The (role, text) of every turn of a formatted text."""
     for found in TURN.finditer(formatted):
         role, _, text = found[2].partition("\n")
-        yield unescape(role), unescape(text)
+        yield unescape_role(role), unescape(text)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
