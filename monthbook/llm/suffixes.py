@@ -51,6 +51,7 @@ LENGTH = 50
 GRAM = 16  # bytes of an anchor: two words of eight
 PACK = 4 << 20
 RANGE_BYTES = 8 << 20  # of text per hash range
+BUCKETS = 50_000  # Spark takes 100,000 at most
 _SLICE = 1 << 18
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
@@ -556,15 +557,19 @@ def _cut(ranges: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, pack: int = PACK, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """doc_id, n_bytes, kept (the bytes that stay), spans (start, stop of the bytes that go)."""
+def remove_repeats(docs: DataFrame, pack: int = PACK, range_bytes: int = RANGE_BYTES,
+                   buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, n_bytes, kept (the bytes that stay), spans (start, stop of the bytes that go).
+
+    With more packs than ``buckets`` a bucket holds several; they are read one after the other.
+    """
     spark = docs.sparkSession
     texts = doc_texts(docs)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = min(65_000, max(partitions(spark), total // range_bytes))
     name, path = f"packs_{uuid.uuid4().hex}", scratch_path(spark, "packs")
     # Bucketed by run: the answers come to the packs, which are never shuffled.
-    (texts.mapInArrow(_pack(pack), PACKS).write.bucketBy(int(max(1, total // pack)), "run")
+    (texts.mapInArrow(_pack(pack), PACKS).write.bucketBy(int(min(buckets, max(1, total // pack))), "run")
      .option("path", path).saveAsTable(name))
     packs = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the name: the files, in the shared folder, stay
