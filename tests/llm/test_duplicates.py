@@ -232,8 +232,9 @@ def test_fingerprint_query(spark, con):
         assert abs(row["near_edited"] - len(a & b) / len(a | b)) < 0.2
 
 
-def _brute_lines(rows, run):
-    """Removed lines by the definition: windows of ``run`` non-blank lines seen earlier."""
+def _brute_lines(rows, run, long):
+    """Removed lines by the definition: windows of ``run`` non-blank lines, and single lines of
+    ``long`` code points, seen earlier."""
     docs = sorted({(r[0] is None, r[0] or 0, r[1] or "") for r in rows},
                   key=lambda d: (d[0], d[1], _version(d[2])))
     first, out = {}, {}
@@ -242,6 +243,8 @@ def _brute_lines(rows, run):
         seen = [k for k, x in enumerate(lines) if x.strip(" ")]
         for p in range(len(seen) - run + 1):
             first.setdefault(tuple(lines[k] for k in seen[p:p + run]), (d, p))
+        for p, k in enumerate(seen):
+            first.setdefault(lines[k], (d, p))
     for d in docs:
         lines = d[2].split("\n")
         seen = [k for k, x in enumerate(lines) if x.strip(" ")]
@@ -250,6 +253,8 @@ def _brute_lines(rows, run):
             at, q = first[tuple(lines[k] for k in seen[p:p + run])]
             if at != d or p >= q + run:
                 gone |= set(seen[p:p + run])
+        gone |= {k for p, k in enumerate(seen)
+                 if len(lines[k]) >= long and first[lines[k]] != (d, p)}
         out[d] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return sorted((r[0] is None, r[0] or 0, *out[(r[0] is None, r[0] or 0, r[1] or "")])
                   for r in rows)
@@ -266,9 +271,22 @@ def test_lines_of_odd_rows_and_longer_guarantees(odd, odd_rows, table, none):
         rng.randint(0, 12))) for _ in range(60)]
     ids = [rng.randint(0, 40) for _ in texts]
     mine = [(i, t) for i, t in zip(ids, texts)]
-    for gram, run, df, rows in ((1, 2, odd, odd_rows), (1, 2, table(texts, ids=ids), mine),
-                                (2, 3, table(texts, ids=ids), mine)):
+    for gram, run, long, df, rows in (
+            (1, 2, 40, odd, odd_rows), (1, 2, 40, table(texts, ids=ids), mine),
+            (1, 2, 9, table(texts, ids=ids), mine), (1, 3, 9, table(texts, ids=ids), mine),
+            (2, 3, 40, table(texts, ids=ids), mine), (1, 1, 40, table(texts, ids=ids), mine)):
         got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_lines"], r["n_removed"], r["kept"])
-                     for r in linededup.remove_repeats(df, gram, run).collect())
-        assert got == _brute_lines(rows, run)
+                     for r in linededup.remove_repeats(df, gram, run, long).collect())
+        assert got == _brute_lines(rows, run, long)
     assert linededup.remove_repeats(none).collect() == []
+
+
+def test_a_passage_on_one_line_is_found_between_any_neighbours(table):
+    passage = " ".join(f"w{k}" for k in range(60))
+    texts = [f"intro {k}\n{passage}\nmenu\nend {k}" for k in range(6)]
+    got = {r["doc_id"]: r["kept"] for r in linededup.remove_repeats(table(texts)).collect()}
+    # The line after the passage goes with it, as a run of two; it stays where it is alone.
+    assert got == {0: texts[0], **{k: f"intro {k}\nend {k}" for k in range(1, 6)}}
+    texts = [f"intro {k}\nmenu\nend {k}\n{passage}" for k in range(6)]
+    got = {r["doc_id"]: r["kept"] for r in linededup.remove_repeats(table(texts)).collect()}
+    assert got == {0: texts[0], **{k: f"intro {k}\nmenu\nend {k}" for k in range(1, 6)}}
