@@ -18,8 +18,10 @@ def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
                   prefix: str = "ft", database: str | None = None) -> dict[str, str]:
     """One month-partitioned output per feature table: ``{table: path}``.
 
-    With a ``database`` the outputs are tables of the catalogue, with their files below ``out``,
-    and their names are returned.
+    The months of a table are replaced at once; a month that comes out empty loses what an earlier
+    run wrote.  With a ``database`` the outputs are tables of the catalogue, with their files below
+    ``out``, and their names are returned; new features become new columns.  Paths are read with
+    ``mergeSchema`` if features were added between runs.
     """
     made = {}
     for k in keys:
@@ -28,7 +30,7 @@ def join_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
         name = f"{prefix}_{k.table}_joined"
         if database is not None:
             made[k.table] = f"{database}.{name}"
-            store(joined, made[k.table], month, f"{out}/{name}")
+            store(joined, made[k.table], month, f"{out}/{name}", months)
             continue
         made[k.table] = f"{out}/{name}"
         replace_partitions(joined, made[k.table], month, months)
@@ -46,7 +48,7 @@ def master_pipeline(population: DataFrame, features: Mapping[str, DataFrame],
     joined = master_table(population, features, keys, feature_map, doc=doc, month=month,
                           months=months)
     if table is not None:
-        written = store(joined, table, month, out)
+        written = store(joined, table, month, out, months)
         return written, master_validation(written, month)
     replace_partitions(joined, out, month, months)
     written = read_written(population.sparkSession, out, joined.schema)

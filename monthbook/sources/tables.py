@@ -6,11 +6,11 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StructField, StructType
 
 from monthbook.functions.months import month_literal, parse_lag
+from monthbook.sources.swap import settle, swap_partitions
 
 # Columns of the two forms of the control table.
 LAG_METADATA = ("table_name", "doc_column_name", "doc_column_type", "date_column_name",
@@ -144,40 +144,14 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
 
 
-def _files(spark: SparkSession, path: str, by: str,
-           values: Sequence[str] | None) -> dict[str, set[str]]:
-    """Files of some (or all) partitions of an output, by value; empty if nothing is there."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException:
-        return {}
-    if by not in rows.columns:
-        return {}
-    wanted = F.lit(True) if values is None else F.col(by).cast("string").isin(list(values))
-    found = (rows.where(wanted).groupBy(F.col(by).cast("string").alias("v"))
-             .agg(F.collect_set("_metadata.file_path").alias("files")).collect())  # file names
-    return {r["v"]: set(r["files"]) for r in found}
-
-
 def replace_partitions(df: DataFrame, path: str, by: str,
                        values: Sequence[str | int] | None = None) -> None:
     """Like :func:`write_partitions`; of ``values``, those without a row lose their old partition.
 
-    Without ``values`` that holds for all partitions of the output.
+    Without ``values`` that holds for all partitions of the output.  All of it happens at once, and a
+    run that fails leaves the output as it was (:mod:`monthbook.sources.swap`).
     """
-    values = None if values is None else [str(v) for v in values]
-    spark = df.sparkSession
-    before = _files(spark, path, by, values)
-    write_partitions(df, path, by)
-    if not before:
-        return
-    after = _files(spark, path, by, values)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for value in before:
-        if before[value] & after.get(value, set()):  # its files were not replaced
-            folder = hadoop(f"{path}/{by}={value}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    spark.catalog.refreshByPath(path)
+    swap_partitions(df, path, by, write_partitions, values)
 
 
 def create_empty_table(spark: SparkSession, name: str, schema: StructType, by: str,
@@ -190,14 +164,41 @@ def create_empty_table(spark: SparkSession, name: str, schema: StructType, by: s
     return spark.table(name)
 
 
-def store(df: DataFrame, name: str, by: str, path: str | None = None) -> DataFrame:
-    """``df`` in a partitioned catalogue table, made if it is missing; the table."""
+def store(df: DataFrame, name: str, by: str, path: str | None = None,
+          values: Sequence[str | int] | None = None) -> DataFrame:
+    """``df`` in a partitioned catalogue table, made if it is missing; the table.
+
+    Partitions are replaced as by :func:`replace_partitions`.  Columns that the table lacks are added,
+    null in older partitions; columns of the table that ``df`` lacks become null.
+    """
     spark = df.sparkSession
     create_empty_table(spark, name, df.schema, by, path)
-    insert_partitions(df, name, by)
+    add_columns(spark, name, df.schema)
+    mine = {c.lower() for c in df.columns}
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name.lower() in mine else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in spark.table(name).schema.fields])
+    replace_partitions(rows, table_location(spark, name), by, values)
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def add_columns(spark: SparkSession, name: str, schema: StructType) -> list[str]:
+    """Add the columns of ``schema`` that a catalogue table lacks; their names."""
+    known = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in schema.fields if f.name.lower() not in known]
+    if new:
+        columns = StructType([StructField(f.name, f.dataType) for f in new]).toDDL()
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    return [f.name for f in new]
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder of a catalogue table."""
+    facts = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+    return facts.first()["data_type"]
+
+
 def insert_partitions(df: DataFrame, name: str, by: str) -> None:
     """Overwrite, in a catalogue table, just the partitions present in ``df``."""
     target = df.sparkSession.table(name)
@@ -206,7 +207,11 @@ def insert_partitions(df: DataFrame, name: str, by: str) -> None:
 
 
 def read_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A partitioned output with the types it was written with (months stay text)."""
+    """A partitioned output with the types it was written with (months stay text).
+
+    Partitions that were written without one of the columns have nulls there.
+    """
+    settle(spark, path)
     fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
     return spark.read.schema(StructType(fields)).parquet(path)
 

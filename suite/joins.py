@@ -120,6 +120,29 @@ def pipeline_tables(spark: SparkSession, sf: str) -> DataFrame:
     return table_counts({t: spark.table(n) for t, n in names.items()})
 
 
+@query("join_pipeline_evolving", _with(fx.MAIN_DOCUMENTS, fx.FEATURE_TABLE_1) + f"""
+, rows1 AS ({_LAGGED1})
+SELECT document_id, y, date_yyyymm, feature_table_1_score, feature_table_1_flag,
+  CASE WHEN substr(date_yyyymm, 5) > '06' THEN feature_table_1_amount END AS feature_table_1_amount,
+  CASE WHEN substr(date_yyyymm, 5) > '06' THEN feature_table_1_category END
+    AS feature_table_1_category
+FROM rows1 WHERE substr(date_yyyymm, 5) <> '03'""")
+def evolving(spark: SparkSession, sf: str) -> DataFrame:
+    """All months with two features; then, with four, the second half of every year again, while March
+    is asked for and comes out empty."""
+    population, features = fx.main_documents(spark, sf), fx.feature_table_1(spark, sf)
+    part = F.substring(MONTH, 5, 2)
+    args = dict(doc=DOC, month=MONTH, out=scratch_path(spark, "evolving"),
+                prefix="e" + uuid.uuid4().hex[:8], database="default")
+    join_pipeline(population, {FT1.table: features.drop("amount", "category")}, [FT1],
+                  months=None, **args)
+    again = [r[0] for r in population.select(MONTH).distinct()
+             .where((part > "06") | (part == "03")).collect()]  # a few months
+    names = join_pipeline(population.where(part != "03"), {FT1.table: features}, [FT1],
+                          months=again, **args)
+    return plain(spark.table(names[FT1.table]))
+
+
 @query("table_counts", "SELECT 'orders' AS table_name, count(*) AS row_count FROM orders "
        "UNION ALL SELECT 'lineitem', count(*) FROM lineitem "
        "UNION ALL SELECT 'documents', count(*) FROM documents")

@@ -248,3 +248,71 @@ def test_scratch_outputs_can_be_cleared(spark):
     assert clear_scratch(spark) >= 1 and clear_scratch(spark) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def _months(spark, path):
+    return {(r.mes, r.k) for r in t.read_written(
+        spark, path, t.StructType().add("k", "long").add("mes", "string")).collect()}
+
+
+def test_a_failed_run_leaves_the_months_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "202401"), (2, "202402")], "k long, mes string")
+    t.replace_partitions(df, path, "mes")
+    broken = df.select(F.when(F.col("k") == 2, F.raise_error(F.lit("no")).cast("long"))
+                       .otherwise(F.col("k") + 10).alias("k"), "mes")
+    with pytest.raises(Exception, match="no"):
+        t.replace_partitions(broken, path, "mes")
+    assert _months(spark, path) == {("202401", 1), ("202402", 2)}
+    assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("steps", range(4))
+def test_a_swap_that_was_decided_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch, steps):
+    """The driver is lost after some of the renames."""
+    from monthbook.sources import swap
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "202401"), (2, "202402"), (3, "202403"), (9, None)],
+                               "k long, mes string")
+    t.replace_partitions(df, path, "mes")
+    real, left = swap._rename, [steps + 1]  # the manifest itself is the first
+
+    def rename(*args):
+        if not left[0]:
+            raise KeyboardInterrupt
+        left[0] -= 1
+        real(*args)
+
+    monkeypatch.setattr(swap, "_rename", rename)
+    new = df.where("k < 3").withColumn("k", F.col("k") + 10)
+    if steps < 2:
+        with pytest.raises(KeyboardInterrupt):
+            t.replace_partitions(new, path, "mes", ["202401", "202402", "202403"])
+    else:
+        t.replace_partitions(new, path, "mes", ["202401", "202402", "202403"])
+    monkeypatch.undo()
+    assert _months(spark, path) == {("202401", 11), ("202402", 12), (None, 9)}
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_catalogue_outputs_lose_empty_months_and_gain_columns(world, spark, tmp_path):
+    pop, tables, keys = world
+    args = dict(doc="document_id", month="date_yyyymm", out=str(tmp_path), database="default",
+                prefix="evolve")
+    name = join_pipeline(pop, tables, keys[:1], months=None, **args)["ft1"]
+    try:
+        assert {r[0] for r in spark.table(name).select("date_yyyymm").collect()} == {
+            "202401", "202402"}
+        more = {"ft1": tables["ft1"].withColumn("extra", F.lit(7))}
+        join_pipeline(pop.where("date_yyyymm = '202402'"), more, keys[:1],
+                      months=["202401", "202402"], **args)
+        got = spark.table(name)
+        assert got.columns == ["document_id", "y", "ft1_score", "ft1_cat", "ft1_extra",
+                               "date_yyyymm"]
+        assert {(r.document_id, r.date_yyyymm, r.ft1_extra) for r in got.collect()} == {
+            ("1", "202402", 7), ("9", "202402", None)}
+        join_pipeline(pop, tables, keys[:1], months=["202401"], **args)  # without the new column
+        assert {(r.date_yyyymm, r.ft1_extra) for r in spark.table(name).collect()} == {
+            ("202401", None), ("202402", 7), ("202402", None)}
+    finally:
+        spark.sql(f"DROP TABLE {name}")
