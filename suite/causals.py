@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from monthbook.functions.scalars import (
     linear_score, loan_economics, logistic)
 from monthbook.operators import bins, causal as c, effects as e
+from monthbook.operators.honest import honest_forest
 from monthbook.plans.causal_report import causal_report
 from suite import fixtures as fx
 from suite.registry import plain, query
@@ -417,6 +418,14 @@ def forest(spark: SparkSession, sf: str) -> DataFrame:
 THREE = replace(LINEAR, features=("balance", "quantity", "lines"))
 
 
+@query("forest_intervals")
+def forest_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row's effect and its interval, on linear residuals; trees have no SQL."""
+    residual = c.crossfit_residuals(fx.causal(spark, sf), THREE)
+    found = honest_forest(residual, replace(TREES, nuisance="linear"))
+    return found.rows.select("id", "effect", "effect_low", "effect_high")
+
+
 @query("kernel_dml", BASE + " SELECT id, true AS known FROM causal")
 def kernel(spark: SparkSession, sf: str) -> DataFrame:
     residual = c.crossfit_residuals(fx.causal(spark, sf), THREE)
