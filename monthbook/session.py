@@ -21,6 +21,10 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: For sessions that join tables of :func:`~monthbook.sources.tables.store_by_document`: a join on document
+#: and month may stay where equal documents already are.
+COLOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 
 def build_session(app: str = "monthbook", master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`SETTINGS`; ``conf`` uses ``__`` in place of dots."""

@@ -183,6 +183,36 @@ def store(df: DataFrame, name: str, by: str, path: str | None = None,
     return spark.table(name)
 
 
+def store_by_document(df: DataFrame, name: str, doc: str, by: str, buckets: int,
+                      path: str | None = None) -> DataFrame:
+    """``df`` in a catalogue table by month, each month in ``buckets`` by document; the table.
+
+    Population and feature tables that are stored with equally many buckets are joined without a
+    shuffle (:data:`~monthbook.session.COLOCATED` must be set): the one shuffle is paid here, once for
+    each new month.  Documents and months become text, so that all tables have keys of one type.
+    Months present in ``df`` replace stored ones; new columns are added.  Rows without a document are
+    spread over the writing tasks.  A document with millions of rows is one bucket, so one task: such
+    tables are better stored by :func:`store`, whose joins split it.
+    """
+    spark = df.sparkSession
+    rows = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in (doc, by)})
+    if not spark.catalog.tableExists(name):
+        fields = [f for f in rows.schema.fields if f.name != by] + [rows.schema[by]]
+        writer = (spark.createDataFrame([], StructType(fields)).write.format("parquet")
+                  .partitionBy(by).bucketBy(buckets, doc).sortBy(doc))
+        (writer.option("path", path) if path else writer).saveAsTable(name)
+    add_columns(spark, name, rows.schema)
+    mine = {c.lower() for c in rows.columns}
+    whole = rows.select(*[(F.col(f"`{f.name}`") if f.name.lower() in mine else F.lit(None))
+                          .cast(f.dataType).alias(f.name)
+                          for f in spark.table(name).schema.fields])
+    # The hash of repartition is the hash of buckets: a task writes one file a month.
+    missing = whole.where(F.col(doc).isNull()).hint("rebalance", F.col(by))
+    placed = whole.where(F.col(doc).isNotNull()).repartition(buckets, doc).unionByName(missing)
+    (placed.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True))
+    return spark.table(name)
+
+
 def add_columns(spark: SparkSession, name: str, schema: StructType) -> list[str]:
     """Add the columns of ``schema`` that a catalogue table lacks; their names."""
     known = {c.lower() for c in spark.table(name).columns}

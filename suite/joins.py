@@ -15,7 +15,7 @@ from monthbook.plans.join_pipelines import (
 from monthbook.session import scratch_path
 from monthbook.sources.tables import (
     LAG_METADATA, ROOT_METADATA, FeatureKeys, feature_keys, load_feature_map,
-    numeric_columns, read_output, read_partitions, read_written, write_partitions)
+    numeric_columns, read_output, read_partitions, read_written, store_by_document, write_partitions)
 from suite import fixtures as fx
 from suite.registry import plain, query
 
@@ -89,6 +89,24 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
                               load_feature_map(spark, FEATURE_MAP), doc=DOC, month=MONTH))
 
 
+@query("master_table_bucketed",
+       _with(fx.MAIN_DOCUMENTS, fx.FEATURE_TABLE_1, fx.FEATURE_TABLE_2) + _MASTER)
+def master_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The master table of tables that are stored by document: no shuffle with ``COLOCATED``."""
+    prefix, out = "b" + uuid.uuid4().hex[:8], scratch_path(spark, "by-document")
+
+    def stored(df: DataFrame, keys: FeatureKeys) -> DataFrame:
+        return store_by_document(df, f"default.{prefix}_{keys.table}", keys.doc, keys.month, 8,
+                                 f"{out}/{keys.table}")
+
+    population = FeatureKeys("population", DOC, MONTH)
+    features = _features(spark, sf)
+    return plain(master_table(
+        stored(fx.main_documents(spark, sf), population),
+        {k.table: stored(features[k.table], k) for k in (FT1, FT2)}, [FT1, FT2],
+        load_feature_map(spark, FEATURE_MAP), doc=DOC, month=MONTH))
+
+
 def _lag_metadata(spark: SparkSession) -> DataFrame:
     rows = [("feature_table_1", "doc", "string", "mes", "string", "m-1"),
             ("feature_table_2", "id_cliente", "bigint", "safra", "int", "m-2")]

@@ -9,6 +9,7 @@ from monthbook.operators.joins import lagged_join, master_table, numeric_feature
 from monthbook.operators.skew import hot_keys, left_join
 from monthbook.plans.join_pipelines import (
     join_pipeline, master_pipeline, numeric_join_pipeline, output_name)
+from monthbook.session import COLOCATED
 from monthbook.sources import tables as t
 
 
@@ -316,3 +317,34 @@ def test_catalogue_outputs_lose_empty_months_and_gain_columns(world, spark, tmp_
             ("202401", None), ("202402", 7), ("202402", None)}
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_tables_stored_by_document_join_without_a_shuffle(world, spark):
+    pop, tables, keys = world
+    lost = pop.union(spark.createDataFrame([(None, "202401", 1)] * 3, pop.schema))
+    names = {"pop": "by_doc_pop", "ft1": "by_doc_ft1", "ft2": "by_doc_ft2"}
+    unique = [t.replace(k, unique=True) for k in keys]
+    args = dict(doc="document_id", month="date_yyyymm")
+    feature_map = {"ft1": ["score", "cat"], "ft2": ["level"]}
+    settings = {**COLOCATED, "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    try:
+        for _ in range(2):  # a second run replaces the months it has
+            stored = t.store_by_document(lost, names["pop"], "document_id", "date_yyyymm", 4)
+        made = {k.table: t.store_by_document(tables[k.table], names[k.table], k.doc, k.month, 4)
+                for k in keys}
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = master_table(stored, made, unique, feature_map, **args)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        rows = _rows(got)
+        more = tables["ft2"].withColumn("extra", F.lit(1))
+        wide = t.store_by_document(more, names["ft2"], keys[1].doc, keys[1].month, 4)
+        assert {r.extra for r in wide.collect()} == {1}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    want = master_table(lost, tables, keys, feature_map, **args)
+    assert rows == _rows(want)
