@@ -2,13 +2,14 @@
 
 Every language gets a codeword of bits; one binary classifier per bit tells, from hashed character
 trigrams, which half of the languages a text belongs to.  A text gets the language whose codeword
-is nearest to the classifiers' margins, where a classifier's loss counts by how well it did on its
-training documents.  A text whose two nearest codewords are about as near is flagged ambiguous.
+is nearest to the classifiers' margins, where a classifier's loss counts by its expected log odds: how
+far apart it puts the two halves it was made for.  A text whose two nearest codewords are about as near is flagged ambiguous.
 
 Learning: trigram counts per language over a sample of the labelled rows, about ``SAMPLE`` per
 language and chosen by a hash of doc_id (``SAMPLE`` is the documented bound; a language with fewer
-rows uses them all).  The model is a table of ``2**BUCKET_BITS`` x code length floats, of fixed
-size.  Prediction reads the whole text and nothing but the text.
+rows uses them all).  The ``LANGUAGES`` labels with most documents are learnt (ties: by name); rows
+of other labels, as in a column of free text, count as rows without a label.  So the model, a table of
+``2**BUCKET_BITS`` x code length floats, and the counts on the driver are of bounded size.  Prediction reads the whole text and nothing but the text.
 
 Defined results: null text, empty text and text without a letter give ``und`` with score 0; with
 no labelled rows at all every text gives ``und``; rows with null doc_id or null lang are not learnt
@@ -29,6 +30,7 @@ from monthbook.llm.common import read, share, slices
 
 UNKNOWN = "und"
 SAMPLE = 3000
+LANGUAGES = 256
 BUCKET_BITS = 15
 HELD_OUT_EVERY = 5
 #: The nearest and second nearest codeword differ by less than this part of the mean loss.
@@ -154,15 +156,22 @@ class LanguageModel:
         return order[:, 0], 1 / odds.sum(axis=1), second - near < CLOSE * loss.mean(axis=1)
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
-    """A model from rows (doc_id, text, lang) without null lang; None if there are none."""
+def learn(labelled: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES
+          ) -> LanguageModel | None:
+    """A model from rows (doc_id, text, lang) without null lang; None if there are none.
+
+    It knows the ``languages`` labels with most documents.
+    """
     rows = labelled.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     # One number per language, like the model; so the rows need no join and no shuffle.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    sizes = {r["lang"]: r["count"] for r in common.collect()}
     if not sizes:
         return None
     rates = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, sample / n)])
-    picked = rows.where(share("doc_id") < F.element_at(rates, F.col("lang"))).select("lang", "text")
+    # An unknown label has no rate and is left out.
+    picked = rows.where(share("doc_id") < F.try_element_at(rates, F.col("lang"))
+                        ).select("lang", "text")
     sums = (picked.mapInArrow(_count, "lang string, docs bigint, counts binary")
             .select("lang", "counts").repartition("lang").mapInArrow(_add, "lang string, counts binary"))
     per_lang = {r["lang"]: np.frombuffer(r["counts"]) for r in sums.collect()}

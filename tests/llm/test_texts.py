@@ -109,6 +109,18 @@ def _targets(sizes, weights=(3, 1, 2), factor=1.5, most=2.0):
     return out
 
 
+def test_the_commonest_labels_are_learnt(table):
+    texts = [f"the cat and the dog {k}" for k in range(20)] + [f"der hund und die katze {k}" for k in range(12)]
+    texts += [f"free text {k}" for k in range(30)]
+    langs = ["en"] * 20 + ["de"] * 12 + [f"note {k}" for k in range(30)]
+    docs = table(texts, langs=langs)
+    model = langid.learn(docs, languages=2)
+    assert model.langs == ("de", "en")
+    got = {r["lang"]: r["l"] for r in langid.identify(docs, model, ("l", "s", "a")).collect()}
+    assert got["en"] == "en" and got["de"] == "de" and set(got.values()) == {"en", "de"}
+    assert len(langid.learn(docs, languages=5).langs) == 5
+
+
 def test_mix_meets_targets(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     once = sorted(map(tuple, mixing.mixing_query(spark, SMALL).collect()))
