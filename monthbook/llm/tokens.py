@@ -10,11 +10,12 @@ round replaces all such pairs at once; which of two overlapping replacements is
 pairs close by, so that copies are replaced alike.
 
 File format: Parquet rows ``shard, block, n_tokens, doc_ids, doc_tokens, width, rules, lengths,
-symbols``.  ``symbols`` is the compressed sequence and ``rules`` the two symbols of each nonterminal,
+symbols, offsets``.  ``symbols`` is the compressed sequence and ``rules`` the two symbols of each nonterminal,
 as little-endian unsigned numbers of ``width`` bytes (2 to 4, as the rules need); rule k is symbol
-``FIRST + k``; ``lengths`` is the number of ids that each rule stands for (4 bytes each).  Summing
-lengths over ``symbols`` finds any position, and only the symbols around it need to be expanded
-(:func:`decode_range`).
+``FIRST + k``; ``lengths`` is the number of ids that each rule stands for (4 bytes each), ``offsets``
+the number of ids before every ``STEP``-th symbol (8 bytes each).  A search in the offsets and the
+lengths of at most ``STEP`` symbols find a position; from there on only symbols that reach into the
+wanted range are expanded, and of their rules only the halves that do (:func:`decode_range`).
 
 Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call;
 the cache lives as long as the process and is emptied when it holds ``CACHED_WORDS`` words.
@@ -47,13 +48,16 @@ FIRST = 50_257  # the vocabulary's size: the first nonterminal
 BLOCK_TOKENS = 4_000_000
 #: A pair is replaced while it occurs at least this often in the shard row.
 LEAST = 64
+#: Symbols between two known positions of a shard row.
+STEP = 1024
 #: Overlapping replacements are told apart by so many pairs on either side.
 NEAR = 8
 CACHED_WORDS = 1_100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
-         "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary")
+         "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary, "
+         "offsets binary")
 
 
 def _odd(word: str) -> bool:
@@ -310,17 +314,59 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.frombuffer(row["lengths"], "<u4").astype(np.int64))
 
 
-def decode_range(row: dict, start: int, stop: int) -> np.ndarray:
-    """Ids ``start .. stop`` of a shard row, expanding only the symbols that hold them."""
-    symbols, rules, lengths = _unpack(row)
+def _sizes(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The number of ids that each symbol stands for."""
     size = np.ones(len(symbols), np.int64)
     grown = symbols >= FIRST
     size[grown] = lengths[symbols[grown].astype(np.int64) - FIRST]
-    ends = np.cumsum(size)
-    a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
-    ids = expand(symbols[a:b], rules, lengths)
-    skip = start - (int(ends[a - 1]) if a else 0)
-    return ids[skip: skip + stop - start]
+    return size
+
+
+def _offsets(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids before every ``STEP``-th symbol."""
+    size = _sizes(symbols, lengths)
+    return (np.cumsum(size) - size)[::STEP]
+
+
+def decode_range(row: dict, start: int, stop: int) -> np.ndarray:
+    """Ids ``start .. stop`` of a shard row.
+
+    The work grows with the ids asked for and the depth of their rules, not with the shard row.  Of a
+    row without ``offsets`` the lengths of all symbols are summed.
+    """
+    width = row["width"]
+    raw = np.frombuffer(row["symbols"], np.uint8).reshape(-1, width)
+    pairs = np.frombuffer(row["rules"], np.uint8).reshape(-1, 2, width)
+    lengths = np.frombuffer(row["lengths"], "<u4")
+
+    def numbers(part: np.ndarray) -> np.ndarray:
+        return _from_bytes(part.tobytes(), width).astype(np.int64)
+
+    if start >= stop:
+        return np.zeros(0, np.uint32)
+    first, last, begin = 0, len(raw), 0
+    if row.get("offsets") is not None:
+        known = np.frombuffer(row["offsets"], "<i8")
+        k = int(np.searchsorted(known, start, "right")) - 1
+        first, begin = k * STEP, int(known[k])
+        last = min(last, int(np.searchsorted(known, stop, "left")) * STEP)
+    symbols = numbers(raw[first:last])
+    while True:
+        ends = begin + np.cumsum(_sizes(symbols, lengths))
+        a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
+        begin = int(ends[a - 1]) if a else begin
+        symbols = symbols[a:b]
+        grown = np.flatnonzero(symbols >= FIRST)
+        if not len(grown):
+            return symbols.astype(np.uint32)
+        # Every rule becomes its two symbols; those outside the range go in the next round.
+        width_of = np.ones(len(symbols), np.int64)
+        width_of[grown] = 2
+        at = np.cumsum(width_of) - width_of
+        wider = np.repeat(symbols, width_of)
+        two = numbers(pairs[symbols[grown] - FIRST]).reshape(-1, 2)
+        wider[at[grown]], wider[at[grown] + 1] = two[:, 0], two[:, 1]
+        symbols = wider
 
 
 def _rows(ids: list[np.ndarray], docs: list, sizes: list, shard: int, block: int) -> pa.RecordBatch:
@@ -328,8 +374,9 @@ def _rows(ids: list[np.ndarray], docs: list, sizes: list, shard: int, block: int
     symbols, rules, lengths = repair(whole)
     width = max(2, ((FIRST + len(rules) - 1).bit_length() + 7) // 8)
     values = [shard, block, len(whole), docs, sizes, width, _to_bytes(rules, width),
-              lengths.astype("<u4").tobytes(), _to_bytes(symbols, width)]
-    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2 + [pa.int32()] + [pa.binary()] * 3
+              lengths.astype("<u4").tobytes(), _to_bytes(symbols, width),
+              _offsets(symbols, lengths).astype("<i8").tobytes()]
+    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2 + [pa.int32()] + [pa.binary()] * 4
     return pa.RecordBatch.from_arrays(
         [pa.array([v], k) for v, k in zip(values, kinds)],
         names=[c.split()[0] for c in SHARD.split(", ")])

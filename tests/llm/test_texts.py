@@ -298,6 +298,29 @@ def test_repair_goes_on_until_pairs_are_rare():
     assert len(tokens.repair(np.tile(passage, 100))[0]) < 500
 
 
+def test_random_access_reads_little_of_a_shard():
+    rng = np.random.default_rng(7)
+    passage = rng.integers(0, tokens.FIRST, 3000).astype(np.uint32)
+    parts = [p for k in range(70) for p in (passage, rng.integers(0, 200, 2000 + k).astype(np.uint32))]
+    ids = np.concatenate(parts)
+    row = tokens._rows([ids], [1], [len(ids)], 0, 0).to_pylist()[0]
+    assert len(np.frombuffer(row["offsets"], "<i8")) > 3
+    old = {k: v for k, v in row.items() if k != "offsets"}
+    for _ in range(200):
+        a = int(rng.integers(0, len(ids)))
+        b = min(len(ids), a + int(rng.integers(0, 5000)))
+        assert np.array_equal(tokens.decode_range(row, a, b), ids[a:b])
+    assert np.array_equal(tokens.decode_range(old, 5000, 9000), ids[5000:9000])
+    assert np.array_equal(tokens.decode_range(row, 0, len(ids)), ids)
+    # What lies elsewhere is not looked at: broken lengths and symbols change nothing.
+    known = np.frombuffer(row["offsets"], "<i8")
+    start = int(known[2])
+    symbols = np.frombuffer(row["symbols"], np.uint8).copy()
+    symbols[:2 * tokens.STEP * row["width"]] = 0
+    broken = {**row, "symbols": symbols.tobytes()}
+    assert np.array_equal(tokens.decode_range(broken, start, start + 10), ids[start:start + 10])
+
+
 def test_token_index_of_odd_rows(odd, odd_rows, none):
     tok = tokens.Encoder(tokens.vocabulary_path()).tok
     got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"])
