@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from monthbook.functions.months import month_literal, shift_month, shift_month_col
 from monthbook.operators.skew import (
-    MIN_ROWS, each_copy, is_one_of, left_join, level, look, repeat_rows, salts_of, spread_rows)
+    MIN_ROWS, each_copy, left_join, level, look, repeat_rows, spread_rows)
 from monthbook.sources.tables import FeatureKeys, numeric_columns, resolve_keys
 
 _KEYS = ["__doc", "__month"]
@@ -82,22 +82,16 @@ def _join_sides(left: DataFrame, sides: Sequence[tuple[DataFrame, bool]],
         missing = F.col("__doc").isNull() | F.col("__month").isNull()
         lost = left.where(missing).select(*[c for c in out if c in left.columns])
         left = left.where(~missing)
-    if not seen.hot:
+    if not seen:
         joined = _chain(left, sides, _KEYS, skew).select(*out)
     else:
         # Hot documents of the population go their own way, shared out over salts.
-        hot, (salt, copies) = list(seen.hot), level(_KEYS)
-        def parts(df: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
-            return (df.where(~is_one_of(df, _KEYS, hot)), df.where(is_one_of(df, _KEYS, hot)),
-                    salts_of(df, _KEYS, seen.hot, min_rows))
-        cold_left, warm_left, salts = parts(left)
+        salt, copies = level(_KEYS)
+        cold_left, warm_left = seen.split(left, _KEYS, min_rows)
         cold = _chain(cold_left, sides, _KEYS, skew)
-        warm_sides = []
-        for side, unique in sides:
-            _, rows, of = parts(side)
-            warm_sides.append((repeat_rows(rows, of, salt), unique))
-        warm = _chain(spread_rows(warm_left, salts, salt, copies), warm_sides,
-                      [*_KEYS, salt], skew)
+        warm_sides = [(repeat_rows(seen.split(side, _KEYS, min_rows)[1], salt), unique)
+                      for side, unique in sides]
+        warm = _chain(spread_rows(warm_left, salt, copies), warm_sides, [*_KEYS, salt], skew)
         joined = cold.select(*out).unionByName(each_copy(warm, out, copies))
     return joined if lost is None else joined.unionByName(lost, allowMissingColumns=True)
 

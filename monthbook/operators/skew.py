@@ -1,10 +1,13 @@
 """Left joins that survive a hot key.
 
-Hot keys are few, and are found before the join.  They get a join of their own: on the side
+Hot keys are found before the join.  They get a join of their own: on the side
 that is hot, equal rows are counted and each count is shared out over salts; the rows of
 those keys on the other side are repeated once per salt.  A key gets as many salts as its
 rows need, so that no salt holds many more than ``min_rows``.  No row is lost and none is
 doubled, and salts depend on nothing but the row, so a retried task makes the same ones.
+
+A few hot keys are written into the plan as values; many are a table that both sides are marked
+from.
 """
 
 from __future__ import annotations
@@ -15,26 +18,55 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType, StructType
 
+from monthbook.session import written
+
 #: Fewer rows than this are no burden for one task.
 MIN_ROWS = 1_000_000
-#: How many of the commonest keys are looked at: rarer ones have under 1 / TRACKED of all rows.
+#: How many hot keys are written into a plan, and how many a sketch of frequent keys names.
 TRACKED = 4096
+#: A key with a smaller part of all rows than one in so many is never hot.
+MOST_HOT = 1_000_000
+#: The table of hot keys is broadcast up to this many bytes of keys.
+BROADCAST_BYTES = 128 << 20
 
 
 @dataclass(frozen=True)
 class Look:
-    """What one pass over the keys of a table found."""
+    """What one pass over the keys of a table found.
+
+    ``hot`` holds the rows of each hot key; where there are more than ``TRACKED``, it is empty
+    and ``many`` is a table of the keys and ``__n``, their rows.
+    """
 
     rows: int
     without_key: int
     hot: Mapping[tuple, int]
+    many: DataFrame | None = None
+
+    def __bool__(self) -> bool:
+        return bool(self.hot) or self.many is not None
+
+    def split(self, df: DataFrame, keys: Sequence[str], min_rows: int
+              ) -> tuple[DataFrame, DataFrame]:
+        """The rows of all other keys, and those of hot keys with ``__salts``."""
+        if self.many is None:
+            hit = is_one_of(df, keys, list(self.hot))
+            return df.where(~hit), df.where(hit).withColumn(
+                "__salts", salts_of(df, keys, self.hot, min_rows))
+        salts = F.greatest(F.lit(2), F.ceil(F.col("__n") / F.lit(min_rows))).cast("int")
+        marked = df.join(self.many.select(*keys, salts.alias("__salts")), list(keys), "left")
+        marked = marked.select(*df.columns, "__salts")
+        return (marked.where(F.col("__salts").isNull()).drop("__salts"),
+                marked.where(F.col("__salts").isNotNull()))
 
 
 def look(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> Look:
     """Rows, rows with a NULL in their key, and the keys with at least ``min_rows`` rows.
 
-    One aggregate gives both numbers and a bounded sketch of frequent keys that misses none of
-    the ``TRACKED`` commonest.  Only if the sketch names candidates are they counted.
+    One aggregate gives both numbers and a bounded sketch of frequent keys.  The sketch errs by
+    less than a 16,000th of the rows and names ``TRACKED`` keys, so it misses none with twice a
+    ``TRACKED``-th of them.  If ``min_rows`` is less than that, all keys are counted, with partial
+    counts in every task; else only the candidates, if there are any.
     """
     missing = F.lit(False)
     for k in keys:
@@ -43,17 +75,34 @@ def look(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> Look:
     found = hashed.agg(
         F.count(F.lit(1)).alias("n"), F.count("__h").alias("with_key"),
         F.expr(f"approx_top_k(__h, {TRACKED}, {8 * TRACKED})").alias("top")).first()
-    often = [r["item"] for r in found["top"] if r["item"] is not None and r["count"] >= min_rows]
-    hot: dict[tuple, int] = {}
-    if often:
-        counted = (hashed.where(F.col("__h").isin(often)).groupBy(*keys)
-                   .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_rows))
-        hot = {tuple(r[k] for k in keys): r["__n"] for r in counted.collect()}  # TRACKED at most
-    return Look(found["n"], found["n"] - found["with_key"], hot)
+    sizes = found["n"], found["n"] - found["with_key"]
+    if found["with_key"] // min_rows <= TRACKED // 2:
+        often = [r["item"] for r in found["top"]
+                 if r["item"] is not None and r["count"] >= min_rows]
+        if not often:
+            return Look(*sizes, {})
+        return Look(*sizes, _values(_counts(hashed.where(F.col("__h").isin(often)), keys, min_rows),
+                                    keys))
+    least = max(min_rows, found["n"] // MOST_HOT)
+    many = written(_counts(hashed.where(F.col("__h").isNotNull()), keys, least), "hot-keys")
+    size = many.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(
+        (F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(16))).alias("b")).first()
+    if size["n"] <= TRACKED:
+        return Look(*sizes, _values(many, keys))
+    return Look(*sizes, {}, F.broadcast(many) if size["b"] <= BROADCAST_BYTES else many)
+
+
+def _counts(rows: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
+    return (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") >= least))
+
+
+def _values(counted: DataFrame, keys: Sequence[str]) -> dict[tuple, int]:
+    return {tuple(r[k] for k in keys): r["__n"] for r in counted.collect()}  # TRACKED at most
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS) -> dict[tuple, int]:
-    """Keys with at least ``min_rows`` rows, and how many they have."""
+    """Keys with at least ``min_rows`` rows, and how many they have; for up to ``TRACKED``."""
     return dict(look(df, keys, min_rows).hot)
 
 
@@ -89,41 +138,41 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     A hot key does exist on the right, so its part is an inner join.
     """
     keys = list(keys)
-    hot = {} if right_unique else hot_keys(right, keys, min_rows)
-    if not hot:
+    seen = None if right_unique else look(right, keys, min_rows)
+    if not seen:
         return left.join(right, keys, "left")
-    values, (salt, copies) = list(hot), level(keys)
+    salt, copies = level(keys)
     payload = [c for c in right.columns if c not in keys]
     columns = [*left.columns, *payload]
-    cold = (left.where(~is_one_of(left, keys, values))
-            .join(right.where(~is_one_of(right, keys, values)), keys, "left"))
-    mine, other = (df.where(is_one_of(df, keys, values)) for df in (left, right))
-    warm = repeat_rows(mine, salts_of(mine, keys, hot, min_rows), salt).join(
-        spread_rows(other, salts_of(other, keys, hot, min_rows), salt, copies), [*keys, salt])
+    cold_left, mine = seen.split(left, keys, min_rows)
+    cold_right, other = seen.split(right, keys, min_rows)
+    cold = cold_left.join(cold_right, keys, "left")
+    warm = repeat_rows(mine, salt).join(spread_rows(other, salt, copies), [*keys, salt])
     return cold.select(*columns).unionByName(each_copy(warm, columns, copies))
 
 
-def repeat_rows(df: DataFrame, salts: Column, salt: str) -> DataFrame:
-    """Every row once per salt."""
-    return df.select("*", F.explode(F.sequence(F.lit(0), salts - 1)).alias(salt))
+def repeat_rows(df: DataFrame, salt: str) -> DataFrame:
+    """Every row once for each of its ``__salts``."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias(salt)).drop(
+        "__salts")
 
 
-def spread_rows(df: DataFrame, salts: Column, salt: str, copies: str) -> DataFrame:
-    """Rows shared out over salts.
+def spread_rows(df: DataFrame, salt: str, copies: str) -> DataFrame:
+    """Rows shared out over their ``__salts``.
 
     ``n`` equal rows become up to ``salts`` rows that stand for ``n // salts`` copies, or
     one more.  The salts depend on nothing but the row.  Maps, which cannot be compared, are
     compared as sorted lists of their entries.
     """
+    columns = [c for c in df.columns if c != "__salts"]
     maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
     flat = df.withColumns({c: F.array_sort(F.map_entries(c)) for c in maps}) if maps else df
-    counted = (flat.withColumn("__salts", salts).groupBy(*df.columns, "__salts")
-               .agg(F.count(F.lit(1)).alias("__n")))
+    counted = flat.groupBy(*columns, "__salts").agg(F.count(F.lit(1)).alias("__n"))
     share = F.floor(F.col("__n") / F.col("__salts")) + F.when(
         F.col("__s") < F.col("__n") % F.col("__salts"), 1).otherwise(0)
     out = (counted.select("*", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__s"))
-           .select(*df.columns, share.alias(copies),
-                   F.pmod(F.xxhash64(*df.columns) + F.col("__s"), F.col("__salts"))
+           .select(*columns, share.alias(copies),
+                   F.pmod(F.xxhash64(*columns) + F.col("__s"), F.col("__salts"))
                    .cast("int").alias(salt))
            .where(F.col(copies) > 0))
     return out.withColumns({c: F.map_from_entries(c) for c in maps}) if maps else out

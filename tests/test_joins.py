@@ -348,3 +348,37 @@ def test_tables_stored_by_document_join_without_a_shuffle(world, spark):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
     want = master_table(lost, tables, keys, feature_map, **args)
     assert rows == _rows(want)
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 0])
+def test_more_hot_keys_than_a_plan_holds_are_a_table(spark, hot, monkeypatch, most_bytes):
+    """Ninety hot keys where two are written into a plan: counted, and split by a join."""
+    from monthbook.operators import skew
+    monkeypatch.setattr(skew, "TRACKED", 2)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", most_bytes)
+    left, right = hot
+    more = spark.range(1800).selectExpr("concat('k', id % 90) AS doc", "'m1' AS mon",
+                                        "CAST(id % 7 AS INT) AS r")
+    right = right.unionByName(more)
+    left = left.unionByName(spark.range(95).selectExpr("concat('k', id) AS doc", "'m1' AS mon",
+                                                       "CAST(id AS INT) AS l"))
+    seen = skew.look(right, ["doc", "mon"], 10)
+    assert not seen.hot and seen.without_key == 8
+    assert {r["doc"]: r["__n"] for r in seen.many.collect()} == {
+        "hot": 400, **{f"k{i}": 21 for i in range(90)}}
+    salted = left_join(left, right, ["doc", "mon"], min_rows=10)
+    plain = left.join(right, ["doc", "mon"], "left").select("doc", "mon", "l", "r")
+    assert _rows(salted.select("doc", "mon", "l", "r")) == _rows(plain)
+
+
+def test_many_hot_documents_on_both_sides_of_a_lagged_join(spark, monkeypatch):
+    from monthbook.operators import skew
+    population = spark.range(600).selectExpr(
+        "concat('d', id % 40) AS doc", "'202402' AS mes", "CAST(id % 3 AS INT) AS y")
+    features = spark.range(400).selectExpr(
+        "concat('d', id % 50) AS doc", "'202401' AS safra", "CAST(id % 4 AS INT) AS v")
+    keys = t.FeatureKeys("f", "doc", "safra", 1)
+    plain = lagged_join(population, features, keys, doc="doc", month="mes")
+    monkeypatch.setattr(skew, "TRACKED", 2)
+    split = lagged_join(population, features, keys, doc="doc", month="mes", min_rows=5)
+    assert _rows(split) == _rows(plain)
