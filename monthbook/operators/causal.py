@@ -25,7 +25,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.scalars import clip, safe_divide
-from monthbook.operators.linear import fit_groups, gram, per_group, solve
+from monthbook.operators.linear import (
+    Scaling, fit_groups, fits_of, gram, per_group, scaled_gram, solve)
 from monthbook.operators.parallel import MOST, side_by_side, training_rows
 from monthbook.operators.ranks import quantile_values
 from monthbook.session import written
@@ -251,6 +252,68 @@ def linear_dml(residuals: DataFrame, spec: CausalSpec, final: str = "constant",
                     if whole[k + 1, k + 1] else float(theta[0]), low, high, predict=predict)
 
 
+def linear_effects(df: DataFrame, spec: CausalSpec, outcomes: Sequence[str],
+                   replicates: int = 0) -> dict[str, Estimate]:
+    """:func:`linear_dml` with a constant effect on linear residuals, for many outcomes at once.
+
+    One pass over the rows: residuals are linear in the columns, so their sums of products
+    follow from those of the columns, per fold and, with ``replicates``, block.  A row without a
+    value of some outcome counts for the others.
+    """
+    rows = df.dropna(subset=[spec.treatment, *spec.inputs]).withColumn("fold", spec.fold_number())
+    known = sum((F.when(F.col(y).isNotNull(), 1 << i).otherwise(0) for i, y in enumerate(outcomes)),
+                F.lit(0))
+    drawn = block_number(spec) if replicates else F.lit(0)
+    parts, scaling = scaled_gram(rows.withColumns({"__known": known, "__block": drawn}),
+                                 [*spec.inputs, spec.treatment, *outcomes],
+                                 ["fold", "__known", "__block"])
+    xs, at = list(spec.inputs), list(range(len(spec.inputs) + 1))
+    return {y: _effect_from_sums(
+        {key: m[np.ix_(*[[*at, at[-1] + 1, at[-1] + 2 + i]] * 2)] for key, m in parts.items()
+         if key[1] >> i & 1},
+        scaling, rows, replace(spec, outcome=y), xs, replicates) for i, y in enumerate(outcomes)}
+
+
+def _effect_from_sums(parts: dict[tuple, np.ndarray], scaling: Scaling, rows: DataFrame,
+                      spec: CausalSpec, xs: list[str], replicates: int) -> Estimate:
+    """``parts`` by (fold, ..., block): products of 1, ``xs``, treatment and outcome."""
+    p, ys = len(xs) + 1, [spec.treatment, spec.outcome]
+    sums = _by_fold(parts, p + 2)
+    total = sum(sums.values(), np.zeros((p + 2,) * 2))
+    residual: dict[tuple, np.ndarray] = {}  # products of the two residuals
+    for key, matrix in parts.items():
+        used = total - sums[key[:1]]
+        v = np.zeros((p + 2, 2))
+        for k in (0, 1):
+            v[:p, k], v[p + k, k] = -solve(used, range(p), p + k), 1.0
+        v *= [scaling.scale[c] for c in ys]
+        place = (key[0], key[-1])
+        residual[place] = residual.get(place, np.zeros((2, 2))) + v.T @ matrix @ v
+
+    def theta(m: np.ndarray) -> float:
+        return float(m[0, 1] / m[0, 0]) if m[0, 0] else 0.0
+
+    ate = theta(sum(residual.values(), np.zeros((2, 2))))
+    low = high = None
+    if replicates and residual:
+        low, high = _percentiles([theta(m) for m in _redrawn(residual, replicates, spec.seed)])
+    fits = fits_of(sums, scaling, xs, ys, True)
+    hats = {name: per_group({g: f[c] for g, f in fits.items()}, "fold") if fits else F.lit(None)
+            for name, c in (("t_hat", spec.treatment), ("y_hat", spec.outcome))}
+    scored = rows.dropna(subset=[spec.outcome]).withColumns(hats).withColumns({
+        "y_res": F.col(spec.outcome).cast("double") - F.col("y_hat"),
+        "t_res": F.col(spec.treatment).cast("double") - F.col("t_hat"), "effect": F.lit(ate)})
+    return Estimate("linear_dml", scored, ate, low, high, mean=ate,
+                    predict=lambda other: other.withColumn("effect", F.lit(ate)))
+
+
+def _by_fold(parts: dict[tuple, np.ndarray], size: int) -> dict[tuple, np.ndarray]:
+    out: dict[tuple, np.ndarray] = {}
+    for key, matrix in parts.items():
+        out[key[:1]] = out.get(key[:1], np.zeros((size, size))) + matrix
+    return out
+
+
 def _quadratic(matrix: np.ndarray, features: Sequence[str]) -> Column:
     """``z' M z`` of every row, where ``z`` is 1 and the features; not below 0."""
     z = [F.lit(1.0), *[F.col(c).cast("double") for c in features]]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from monthbook.operators.bins import temporal_index
 from monthbook.operators.causal import (
     CausalSpec, Estimate, complete_rows, crossfit_residuals, linear_dml)
-from monthbook.operators.linear import Scaling, gram, solve
+from monthbook.operators.linear import scaled_gram, solve
 from monthbook.operators.ranks import quantiles
 from monthbook.session import cut_lineage
 
@@ -198,8 +198,7 @@ def temporal_ate(df: DataFrame, spec: CausalSpec, time: str, folds: int = 5) ->
 
 def _temporal_linear(indexed: DataFrame, spec: CausalSpec, folds: int) -> list[float]:
     columns = [*spec.inputs, spec.treatment, spec.outcome]
-    scaling = Scaling.of(indexed, columns)
-    sums = gram(indexed, [F.lit(1.0), *[scaling.term(c) for c in columns]], ["block", "fold"])
+    sums, scaling = scaled_gram(indexed, columns, ["block", "fold"])
     xs = list(range(len(spec.inputs) + 1))
     t, y = len(xs), len(xs) + 1
     out = []

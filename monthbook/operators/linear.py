@@ -12,8 +12,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from monthbook.operators.prep import moments
-
 #: Aggregates per job; more terms take more passes, not wider ones.
 _PER_PASS = 300
 
@@ -48,15 +46,41 @@ class Scaling:
     centre: dict[str, float]
     scale: dict[str, float]
 
-    @staticmethod
-    def of(df: DataFrame, columns: Sequence[str]) -> Scaling:
-        known = moments(df, columns)
-        return Scaling({c: m or 0.0 for c, (m, _) in known.items()},
-                       {c: s or 1.0 for c, (_, s) in known.items()})
 
-    def term(self, column: str) -> Column:
-        return (F.col(column).cast("double") - F.lit(self.centre[column])) / F.lit(
-            self.scale[column])
+def scaled_gram(df: DataFrame, columns: Sequence[str], by: Sequence[str]
+                ) -> tuple[dict[tuple, np.ndarray], Scaling]:
+    """``{group: sums of products of 1 and the scaled columns}``, and the scaling.
+
+    One pass: each group gives its means and its products about them, which lose no digits
+    however far a column lies from 0; both are moved to the common mean on the driver.
+    """
+    by, size = list(by), len(columns)
+    rows = df.select(*by, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    found: dict[tuple, tuple[int, np.ndarray, np.ndarray]] = {}
+    for at in range(0, max(len(pairs), 1), _PER_PASS):
+        part = pairs[at:at + _PER_PASS]
+        made = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in range(size)],
+            *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in part])
+        for row in made.collect():
+            mean = np.array([row[f"m{i}"] or 0.0 for i in range(size)])
+            n, mean, about = found.setdefault(tuple(row[c] for c in by),
+                                              (row["n"], mean, np.zeros((size, size))))
+            for i, j in part:
+                about[i, j] = about[j, i] = n * (row[f"c{i}_{j}"] or 0.0)
+    total = sum(n for n, _, _ in found.values()) or 1
+    centre = sum((n * mean for n, mean, _ in found.values()), np.zeros(size)) / total
+    whole = sum((about + n * np.outer(mean - centre, mean - centre)
+                 for n, mean, about in found.values()), np.zeros((size, size)))
+    scale = np.sqrt(np.maximum(whole.diagonal() / total, 0.0))
+    scale[scale == 0] = 1.0
+    out = {}
+    for group, (n, mean, about) in found.items():
+        off = np.concatenate([[1.0], (mean - centre) / scale])
+        out[group] = n * np.outer(off, off)
+        out[group][1:, 1:] += about / np.outer(scale, scale)
+    return out, Scaling(dict(zip(columns, centre.tolist())), dict(zip(columns, scale.tolist())))
 
 
 @dataclass(frozen=True)
@@ -84,9 +108,12 @@ def _unscale(beta: np.ndarray, scaling: Scaling, xs: Sequence[str], y: str) -> L
 def fit_groups(df: DataFrame, xs: Sequence[str], ys: Sequence[str], by: str,
                leave_out: bool = False) -> dict[tuple, dict[str, LinearFit]]:
     """Fits of each ``y`` on ``xs`` per group, or on all other groups with ``leave_out``."""
-    scaling = Scaling.of(df, [*xs, *ys])
-    terms = [F.lit(1.0), *[scaling.term(c) for c in [*xs, *ys]]]
-    sums = gram(df, terms, [by])
+    return fits_of(*scaled_gram(df, [*xs, *ys], [by]), xs, ys, leave_out)
+
+
+def fits_of(sums: dict[tuple, np.ndarray], scaling: Scaling, xs: Sequence[str], ys: Sequence[str],
+            leave_out: bool) -> dict[tuple, dict[str, LinearFit]]:
+    """The same from sums that are there: of 1, ``xs`` and ``ys``, in this order."""
     total = sum(sums.values())
     at = list(range(len(xs) + 1))
     out = {}

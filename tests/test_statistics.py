@@ -1,5 +1,7 @@
 """Ranks, metrics, bins, preparation, training and causal estimates."""
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -356,3 +358,45 @@ def test_lasso_and_linear_find_the_effect(trial):
         assert row.m == pytest.approx(found.ate, abs=1e-6) and row.r > 0.95
     strong = c._final_stage(np.array([[4.0, 0, 8.0], [0, 9.0, 0.9], [8.0, 0.9, 20.0]]), 2, 0.2)
     assert strong[1] == 0.0 and 0 < strong[0] < 2.0  # soft thresholds: the weak term goes
+
+
+def _outcomes(spark):
+    rng = np.random.default_rng(11)
+    n = 3000
+    x, z = rng.normal(1e6, 1.0, n), rng.normal(size=n)  # one column far from 0
+    t = 0.5 * (x - 1e6) + z + rng.normal(size=n)
+    y = 2.0 * t + (x - 1e6) + rng.normal(size=n)
+    pdf = pd.DataFrame({"id": range(n), "x": x, "z": z, "t": t, "y": y, "y2": -t + z})
+    rows = spark.createDataFrame(pdf)
+    return rows.withColumn("y2", F.when(F.col("id") % 3 != 0, F.col("y2")))
+
+
+def test_many_outcomes_from_one_pass_equal_one_by_one(spark):
+    """A missing outcome, a column far from 0, and the interval of redrawn blocks."""
+    rows = _outcomes(spark)
+    spec = c.CausalSpec(id="id", outcome="y", treatment="t", features=("x", "z"), nuisance="linear")
+    together = c.linear_effects(rows, spec, ["y", "y2"], replicates=50)
+    for outcome, truth, size in (("y", 2.0, 3000), ("y2", -1.0, 2000)):
+        own = replace(spec, outcome=outcome)
+        alone = c.linear_dml(c.crossfit_residuals(rows, own), own, replicates=50)
+        made = together[outcome]
+        assert made.ate == pytest.approx(alone.ate, abs=1e-6) == pytest.approx(truth, abs=0.1)
+        assert (made.low, made.high) == pytest.approx((alone.low, alone.high), abs=1e-6)
+        sums = made.rows.selectExpr("count(*) AS n", "sum(y_res * t_res) / sum(t_res * t_res) AS b"
+                                    ).first()
+        assert sums.n == size and sums.b == pytest.approx(made.ate, abs=1e-6)
+    assert c.linear_effects(rows.limit(0), spec, ["y"])["y"].rows.count() == 0
+
+
+def test_linear_effects_read_their_rows_once(spark):
+    rows = _outcomes(spark).repartition(3).cache()
+    rows.count()
+    spec = c.CausalSpec(id="id", outcome="y", treatment="t", features=("x", "z"), nuisance="linear")
+    spark.sparkContext.setJobGroup("linear-effects", "")
+    try:
+        c.linear_effects(rows, spec, ["y", "y2"])
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("linear-effects")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        rows.unpersist()
+    assert 1 <= len(jobs) < 5
