@@ -12,12 +12,15 @@ are a range of j.
 Steps, each on *runs* (packs of whole documents, written once, bucketed by run):
 
 1. Duplicate detection on prefixes: each run sends the sorted hashes of its anchors' GRAM bytes, by
-   ranges of the hash; what comes back is one bit per hash: does another document have it?
+   ranges of the hash; what comes back is one bit per hash: does another document have it?  And
+   one more: is it hot, that is, are there ``HOT`` different surroundings of it or more?
 2. Runs sort the suffixes at the anchors that remain.  Equal ones are one record with the least
    doc_id, so a passage that fills the corpus is one record per run.  A suffix is LENGTH bytes to
    the right and, for windows that begin earlier, up to LENGTH - GRAM bytes to the left.  Sorted
    runs are front-coded (the common prefix with the string before, and the rest), compressed and
-   dealt out by the hash range of their first GRAM bytes, where all equal windows meet.
+   dealt out by the hash range of their first GRAM bytes, where all equal windows meet.  A hot
+   anchor (the constant start of a log line, say) would bring a record of every place it occurs at
+   to one range: it is split into one record per window, dealt out by the hash of the window.
 3. Each range merges its sorted runs with a loser tree over common prefix lengths: two strings with
    different common prefixes with the last winner need no look at their bytes, others are compared
    behind the common prefix only.  The merge gives the common prefixes of neighbours in the whole
@@ -26,7 +29,8 @@ Steps, each on *runs* (packs of whole documents, written once, bucketed by run):
    goes back to the runs that have a greater one.
 4. Runs turn the answers into byte ranges and cut them out.
 
-Memory: a task holds one pack, or one hash range of all runs; ranges grow in number with the input.
+Memory: a task holds one pack, or one hash range of all runs; ranges grow in number with the input,
+and no anchor brings more than ``HOT`` records to one, nor a window more than one per run.
 
 Defined results: null and empty texts have no bytes; documents with a null doc_id come after all
 others and take nothing from each other, like rows that share a doc_id; an empty table gives no
@@ -52,6 +56,7 @@ GRAM = 16  # bytes of an anchor: two words of eight
 PACK = 4 << 20
 RANGE_BYTES = 8 << 20  # of text per hash range
 BUCKETS = 50_000  # Spark takes 100,000 at most
+HOT = 1 << 17  # records of one anchor
 _SLICE = 1 << 18
 _LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
@@ -149,13 +154,46 @@ class Pack:
         docs = self.ids[self.doc][self.order]
         return np.minimum.reduceat(docs, self.new) != np.maximum.reduceat(docs, self.new)
 
-    def keep(self, repeated: np.ndarray) -> None:
-        """Drops the anchors whose hash is not repeated, and makes the sorted records."""
-        wanted = np.zeros(len(self.at), bool)
+    def surroundings(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes with several different records, and (by hashes) how many: not too few."""
+        counts = np.diff(np.append(self.new, len(self.at)))
+        group = np.repeat(np.arange(len(counts)), counts)
+        often = np.repeat(counts > 1, counts)
+        anchor, group = self.order[often], group[often]
+        # Of all bytes that a record may hold, and of its windows.
+        padded = np.concatenate([np.zeros(LENGTH, np.uint8), self.data, np.zeros(2 * LENGTH, np.uint8)])
+        words = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+        at = self.at[anchor]
+        mixed = ((at - self.lo[anchor]) * LENGTH + at - self.hi[anchor]).astype(np.uint64)
+        for k in range(-LEFT, LENGTH, 8):
+            mixed = (mixed ^ words[at + (LENGTH + k)]) * _C[0]
+            mixed ^= mixed >> np.uint64(31)
+        order = np.lexsort((mixed, group))
+        group, mixed = group[order], mixed[order]
+        new = np.ones(len(group), bool)
+        new[1:] = (group[1:] != group[:-1]) | (mixed[1:] != mixed[:-1])
+        found = np.bincount(group[new], minlength=len(counts))
+        several = np.flatnonzero(found > 1)
+        return several, found[several]
+
+    def keep(self, repeated: np.ndarray, hot: np.ndarray) -> None:
+        """Drops the anchors whose hash is not repeated, and makes the sorted records.
+
+        A hot anchor becomes one for each of its windows.
+        """
+        wanted, split = np.zeros((2, len(self.at)), bool)
         counts = np.diff(np.append(self.new, len(self.at)))
         wanted[self.order[np.repeat(repeated, counts)]] = True
-        self.at, self.lo, self.hi, self.doc, self.key = (
-            x[wanted] for x in (self.at, self.lo, self.hi, self.doc, self.key))
+        split[self.order[np.repeat(hot, counts)]] = True
+        self.at, self.lo, self.hi, self.doc, self.key, split = (
+            x[wanted] for x in (self.at, self.lo, self.hi, self.doc, self.key, split))
+        if split.any():
+            many = np.where(split, self.hi - self.lo + 1, 1)
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            self.at, self.lo, self.hi, self.doc, self.key, split = (
+                np.repeat(x, many) for x in (self.at, self.lo, self.hi, self.doc, self.key, split))
+            self.lo = self.lo + place
+            self.hi = np.where(split, self.lo, self.hi)
         before, after = self.at - self.lo, LENGTH - (self.at - self.hi)
         self.jhi, self.jlo = before.astype(np.uint8), (self.at - self.hi).astype(np.uint8)
         rows = np.zeros((len(self.at), WIDTH), np.uint8)
@@ -167,6 +205,8 @@ class Pack:
         rows[:, -2], rows[:, -1] = self.jlo, self.jhi
         order = np.argsort(rows.view(f"S{WIDTH}").ravel(), kind="stable")
         where = (self.key >> np.uint64(48)).astype(np.int64)
+        if split.any():
+            where[split] = _window_ranges(rows[split], self.ranges)
         order = order[np.argsort(where[order], kind="stable")]
         rows = rows[order]
         new = np.ones(len(rows), bool)
@@ -183,6 +223,19 @@ LEFT = LENGTH - GRAM
 WIDTH = LENGTH + LEFT + 2
 
 
+def _window_ranges(rows: np.ndarray, ranges: int) -> np.ndarray:
+    """The hash range of records that are one window each."""
+    padded = np.zeros((len(rows), -(-WIDTH // 8) * 8), np.uint8)
+    padded[:, :WIDTH] = rows
+    hashed = np.zeros(len(rows), np.uint64)
+    for word in padded.view("<u8").T:
+        hashed = (hashed ^ word) * _C[0]
+        hashed ^= hashed >> np.uint64(31)
+    hashed *= _C[1]
+    hashed ^= hashed >> np.uint64(29)
+    return (((hashed >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+
+
 def _anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """Of each anchor: place, first and last window, document, hash of its GRAM bytes.
 
@@ -225,8 +278,8 @@ def _anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 # --- 1: which hashes are repeated ------------------------------------------------------------
 
-HASHES = "range int, run bigint, hashes binary, several binary"
-REPEATS = "run bigint, range int, bits binary"
+HASHES = "range int, run bigint, hashes binary, several binary, places binary, numbers binary"
+REPEATS = "run bigint, range int, bits binary, hot binary"
 
 
 def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
@@ -252,16 +305,24 @@ def _send_hashes(ranges: int):
             where = (pack.keys >> np.uint64(48)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(where, prepend=-1))
             raw = (pack.keys & _LOW48).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            out = [(int(where[a]), pack.run, raw[a:b].tobytes(),
-                    np.packbits(several[a:b]).tobytes())
-                   for a, b in zip(cuts, np.append(cuts[1:], len(where)))]
-            yield _rows(["range", "run", "hashes", "several"],
-                        [pa.int32(), pa.int64(), pa.binary(), pa.binary()], out)
+            places, numbers = pack.surroundings()
+            stops = np.append(cuts[1:], len(where))
+            first, last = np.searchsorted(places, cuts), np.searchsorted(places, stops)
+            out = [(int(where[a]), pack.run, raw[a:b].tobytes(), np.packbits(several[a:b]).tobytes(),
+                    (places[c:d] - a).astype("<u4").tobytes(), numbers[c:d].astype("<u4").tobytes())
+                   for a, b, c, d in zip(cuts, stops, first, last)]
+            yield _rows(["range", "run", "hashes", "several", "places", "numbers"],
+                        [pa.int32(), pa.int64(), *[pa.binary()] * 4], out)
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """One bit per hash of each run: two documents have it, in the run or in two runs."""
+def _repeated(least: int):
+    """``least`` different surroundings make a hash hot."""
+    return lambda table: _repeats_and_hot(table, least)
+
+
+def _repeats_and_hot(table: pa.Table, least: int) -> pa.Table:
+    """Two bits per hash of each run: two documents have it, in the run or in two runs; it is hot."""
     blobs = table.column("hashes").to_pylist()
     sizes = np.array([len(b) // 6 for b in blobs])
     wide = np.zeros((int(sizes.sum()), 8), np.uint8)
@@ -275,12 +336,20 @@ def _repeated(table: pa.Table) -> pa.Table:
     # Runs are packs of whole rows, but a repeated doc_id may lie in two of them: that only keeps
     # a hash that could go.
     many = (counts > 1) | np.logical_or.reduceat(several[order], new)
-    found = np.empty(len(keys), bool)
-    found[order] = np.repeat(many, counts)
     ends = np.cumsum(sizes)
+    number = np.ones(len(keys), np.int64)
+    for begin, place, count in zip(ends - sizes, table.column("places").to_pylist(),
+                                   table.column("numbers").to_pylist()):
+        number[begin + np.frombuffer(place, "<u4").astype(np.int64)] = np.frombuffer(count, "<u4")
+    crowded = np.add.reduceat(number[order], new) >= least
+    found, hot = np.empty((2, len(keys)), bool)
+    found[order], hot[order] = np.repeat(many, counts), np.repeat(many & crowded, counts)
     bits = [np.packbits(found[b - n: b]).tobytes() for b, n in zip(ends, sizes)]
+    # Nothing where no hash of the run is hot.
+    hots = [np.packbits(hot[b - n: b]).tobytes() if hot[b - n: b].any() else b""
+            for b, n in zip(ends, sizes)]
     return pa.table({"run": table.column("run"), "range": table.column("range"),
-                     "bits": pa.array(bits, pa.binary())})
+                     "bits": pa.array(bits, pa.binary()), "hot": pa.array(hots, pa.binary())})
 
 
 # --- 2: sorted, front-coded runs ---------------------------------------------------------------
@@ -314,19 +383,25 @@ def front_decode(prefix: np.ndarray, rest: np.ndarray, width: int) -> np.ndarray
     return out
 
 
-def _repeats_of(pack: Pack, row: dict) -> np.ndarray:
-    """One bit per distinct hash of the pack, from the answers to its ranges in order."""
+def _repeats_of(pack: Pack, row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits per distinct hash of the pack, from the answers to its ranges in order."""
     where = (pack.keys >> np.uint64(48)).astype(np.int64)
     counts = np.bincount(where, minlength=pack.ranges)
-    parts = [np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=counts[x["range"]])
-             for x in row["repeats"] or []]
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint8)).astype(bool)
+    found = [np.zeros((0, 2), bool)]
+    for x in row["repeats"] or []:
+        n = counts[x["range"]]
+        both = np.zeros((n, 2), bool)
+        for k, bits in enumerate((x["bits"], x["hot"])):
+            if bits:
+                both[:, k] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
+        found.append(both)
+    return tuple(np.concatenate(found).T)
 
 
 def _send_runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, row in _packs(batches, ranges):
-            pack.keep(_repeats_of(pack, row))
+            pack.keep(*_repeats_of(pack, row))
             cuts = np.flatnonzero(np.diff(pack.where, prepend=-1))
             out = []
             for a, b in zip(cuts, np.append(cuts[1:], len(pack.where))):
@@ -532,7 +607,7 @@ def _cut(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, row in _packs(batches, ranges):
-            pack.keep(_repeats_of(pack, row))
+            pack.keep(*_repeats_of(pack, row))
             parts = [_unzip(x) for x in row["answers"] or []]
             raw = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
             gone = _covered(pack, np.frombuffer(raw.tobytes(), _ANSWER))
@@ -558,7 +633,7 @@ def _cut(ranges: int):
 
 
 def remove_repeats(docs: DataFrame, pack: int = PACK, range_bytes: int = RANGE_BYTES,
-                   buckets: int = BUCKETS) -> DataFrame:
+                   buckets: int = BUCKETS, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay), spans (start, stop of the bytes that go).
 
     With more packs than ``buckets`` a bucket holds several; they are read one after the other.
@@ -574,9 +649,9 @@ def remove_repeats(docs: DataFrame, pack: int = PACK, range_bytes: int = RANGE_B
     packs = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the name: the files, in the shared folder, stay
     repeats = (packs.mapInArrow(_send_hashes(ranges), HASHES).groupBy("range")
-               .applyInArrow(_repeated, REPEATS))
+               .applyInArrow(_repeated(hot), REPEATS))
     repeats = saved(repeats, "repeats").groupBy("run").agg(
-        F.sort_array(F.collect_list(F.struct("range", "bits"))).alias("repeats"))
+        F.sort_array(F.collect_list(F.struct("range", "bits", "hot"))).alias("repeats"))
     told = packs.join(repeats, "run", "left")
     answers = (told.mapInArrow(_send_runs(ranges), RUNS).groupBy("range")
                .applyInArrow(_merge_range, ANSWERS))

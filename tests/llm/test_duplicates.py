@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -141,6 +142,48 @@ def test_a_document_longer_than_a_slice(table):
     assert got[0][2:] == (long.encode(), []) and got[1][2:] == (b"####", [(2, 1002)])
 
 
+def _lines(rng, number):
+    """Lines with one constant part, different surroundings, and some equal stretches."""
+    tails = ["".join(rng.choice("0123456789abcdef") for _ in range(30)) for _ in range(number // 4)]
+    return [f"{rng.random()} GET https://example.org/static/path/{rng.choice(tails)} {k % 7}"
+            for k in range(number)]
+
+
+@pytest.mark.parametrize("hot", [2, 20, 1 << 17])
+def test_suffixes_behind_a_hot_anchor_are_split_by_window(table, hot):
+    rng = random.Random(5)
+    lines = _lines(rng, 400)
+    texts = ["\n".join(lines[k: k + 4]) for k in range(0, 400, 4)]
+    texts += [texts[3] * 5, texts[3], "", "é" + texts[8]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = _suffixes(table(texts).repartition(4), pack=3000, range_bytes=4000, hot=hot)
+    assert got == _brute_suffixes(rows)
+
+
+def test_a_hot_anchor_reaches_all_ranges():
+    """One range without the split; as many as there are with it, each window in one of them."""
+    import numpy as np
+    rng, ranges = random.Random(6), 16
+    data = "".join(_lines(rng, 3000)).encode()
+    row = {"run": 0, "ids": suffixes._zip(np.array([1], "<i8").tobytes()),
+           "ends": suffixes._zip(np.array([len(data)], "<i8").tobytes()),
+           "bytes": suffixes._zip(data)}
+    sizes = []
+    for split in (False, True):
+        pack = suffixes.Pack(row, ranges)
+        pack.anchors()
+        counts = np.diff(np.append(pack.new, len(pack.at)))
+        common = counts > 1000  # the anchor of the constant part
+        places, numbers = pack.surroundings()
+        assert common.any() and (numbers[np.isin(places, np.flatnonzero(common))] > 900).all()
+        pack.keep(common, common & split)
+        sizes.append(np.bincount(pack.where, minlength=ranges))
+        windows = {bytes(r): w for r, w in zip(pack.rows, pack.where)}
+        assert len(windows) == len(pack.rows)
+    assert (sizes[0] > 0).sum() <= common.sum() and (sizes[1] > 0).all()
+    assert sizes[1].max() < 2 * sizes[1].mean()
+
+
 def test_suffixes_of_nothing(none):
     assert _suffixes(none) == []
 
