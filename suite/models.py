@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthbook.operators import metrics as m
 from monthbook.operators import prep, reports
@@ -363,6 +363,62 @@ def importance(spark: SparkSession, sf: str) -> DataFrame:
                      F.bool_and(F.col("importance") >= 0).alias("positive"))
 
 
+# Where the target is a rule of one column, trees must find exactly that rule: SQL knows the
+# class of every row, the metrics and the feature.
+def _ruled(spark: SparkSession, sf: str, target: Column) -> DataFrame:
+    return fx.table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyyMM").cast("int").alias("month"), target.alias("target"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"))
+
+
+def _rule(spark: SparkSession, sf: str) -> DataFrame:
+    return _ruled(spark, sf, F.col("o_orderpriority").isin("1-URGENT", "4-NOT SPECIFIED").cast("int"))
+
+
+def _confusion(rows: DataFrame) -> DataFrame:
+    early, late = prep.split_by_date(rows, "month", fx.CUTOFF)
+    scored = score(late, train(early, "target", "month", FULL), "month")
+    return plain(scored.groupBy("month", "target", F.col("prediction").cast("int").alias(
+        "prediction")).agg(F.count(F.lit(1)).alias("n")))
+
+
+_RULE = "CAST(o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') AS BIGINT)"
+_THREE = ("CASE o_orderpriority WHEN '3-MEDIUM' THEN 0 WHEN '1-URGENT' THEN 1 "
+          "WHEN '5-LOW' THEN 1 ELSE 2 END")
+
+
+def _confusion_sql(rule: str) -> str:
+    return f"""SELECT month, target, target AS prediction, count(*) AS n FROM (
+  SELECT CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS month, CAST({rule} AS BIGINT) AS target
+  FROM orders) WHERE month > {fx.CUTOFF} GROUP BY month, target"""
+
+
+@query("train_rule", _confusion_sql(_RULE))
+def train_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Trained on a rule, the booster gives every later row its class."""
+    return _confusion(_rule(spark, sf))
+
+
+@query("train_rule_classes", _confusion_sql(_THREE))
+def train_rule_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with three classes."""
+    return _confusion(_ruled(spark, sf, F.expr(_THREE)))
+
+
+@query("run_models_rule", f"""SELECT 'rule' AS "table", CAST(2 AS BIGINT) AS n_classes,
+  count(*) FILTER (month <= {fx.CUTOFF}) AS train_samples,
+  count(*) FILTER (month > {fx.CUTOFF}) AS test_samples, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS f1,
+  1.0::DOUBLE AS roc_auc, 'priority' AS top_feature_1 FROM (
+  SELECT CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS month FROM orders)""")
+def run_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics and the best feature of a model that can be right everywhere."""
+    runs = run_models(spark, {"rule": _rule(spark, sf)}, target="target", month="month",
+                      cutoff=fx.CUTOFF, settings=FULL)
+    return plain(runs.results.join(runs.summary().select("table", "top_feature_1"), "table").select(
+        "table", "n_classes", "train_samples", "test_samples", "accuracy", "f1", "roc_auc",
+        "top_feature_1"), 9, ("accuracy", "f1", "roc_auc"))
+
+
 def _runs(spark: SparkSession, sf: str) -> ModelRuns:
     tables = {"orders": fx.model_table(spark, sf),
               "prices": fx.model_table(spark, sf).select("month", "target", "price"),
