@@ -12,15 +12,18 @@ Learning.  Evidence labels the candidates (:func:`evidence`): base spans are pos
 the rules of its kind confirm (a valid IPv6 address, a mailbox spelled out with a top-level domain, a
 13-digit card with a right check digit, a usual grouping of a local phone number, a key of a known
 format) or a key word before it; what the rules exclude is negative, and the rest has no label: it
-teaches nothing, but is scored like the others.  The training rows are ``SAMPLE`` candidates at most,
-in expectation, taken by a hash: half negative, a quarter base spans, a quarter positive without
-being base spans.  A quarter of them is kept from the trees and sets the thresholds: per kind the
-lowest score at which ``PRECISION`` of the candidates above it are positive, base spans (which cannot
-be added) left out.  Candidates at or above it that do not overlap a base span are added, the
-best first where they overlap each other.
+teaches nothing, but is scored like the others.  All labelled candidates teach: each feature is cut
+into ``BINS`` bins at exact quantiles of them, candidates with equal bins become one row with their
+number, and weights make half of all negative, a quarter base spans and a quarter positive without
+being base spans.  A hash of text and place deals the candidates into two halves, and each half is
+scored by trees that learnt from the other one, so a candidate never meets trees that know it, and
+copies of a text are scored alike.  The thresholds come from the scores of all labelled candidates:
+per kind the lowest score at which ``PRECISION`` of the candidates from there on are positive, base
+spans (which cannot be added) left out.  Candidates at or above it that do not overlap a base span
+are added, the best first where they overlap each other.
 
 Defined results: null and empty texts have no spans; repeated rows repeat their result; a table
-without candidates of both labels gets the base spans alone; an empty table gives no rows; other
+without candidates of both labels in each half gets the base spans alone; an empty table gives no rows; other
 columns are ignored.
 """
 
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import ipaddress
+import math
 import re
 from collections.abc import Iterator
 
@@ -35,15 +39,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthbook.llm.common import doc_texts, read, saved, share, slices
+from monthbook.operators.parallel import ROWS_PER_TASK, side_by_side
+from monthbook.operators.ranks import running_sums
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
-SAMPLE = 20_000
 PRECISION = 0.98
-TREES, DEPTH = 20, 4
+TREES, DEPTH, BINS = 20, 4, 32
+#: The library looks for cuts in ``maxBins ** 2`` rows; this is the most it takes.  The bins that
+#: are made are those of the features, ``BINS`` at most.
+_ALL_ROWS = 46_340
 
 # The base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -238,65 +246,127 @@ def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans", "n_added"])
 
 
-def _score(rows: DataFrame, model) -> DataFrame:
-    return model.transform(rows).withColumn(
-        "score", vector_to_array("probability")[1]).drop("probability", "rawPrediction",
-                                                         "prediction", "vector")
+def _score(rows: DataFrame, models: list) -> DataFrame:
+    """Adds the score of each row by the trees that did not learn from its half."""
+    rows = rows.withColumn("vector", array_to_vector("bins"))
+    for half, model in enumerate(models):
+        rows = model.transform(rows).withColumn(
+            f"score{half}", vector_to_array("probability")[1]).drop(
+            "probability", "rawPrediction", "prediction")
+    return rows.withColumn("score", F.when(F.col("half") == 0, F.col("score0")).otherwise(
+        F.col("score1"))).drop("vector", "score0", "score1")
 
 
-def train(cands: DataFrame, sample: int = SAMPLE):
-    """The trees and the threshold of each kind; None where there is nothing to tell apart."""
+#: (label, base span) of the labelled candidates.
+_CLASSES = ((0, False), (1, False), (1, True))
+
+
+def _is_class(k: int) -> Column:
+    label, strict = _CLASSES[k]
+    return (F.col("label") == label) & (F.col("strict") == strict)
+
+
+def _bin_ends(cands: DataFrame, parts: dict[int, float]) -> list[list[float]]:
+    """Per feature the last value of each bin but the last, increasing.
+
+    A feature of no more than ``BINS`` values has a bin for each.  Others are cut at exact quantiles of
+    all candidates, in which each class counts by its part.
+    """
+    long = cands.select("label", "strict", F.posexplode("features").alias("feature", "value"))
+    counted = saved(long.groupBy("feature", "value").agg(
+        F.lit(1).alias("one"), *[F.count_if(_is_class(k)).alias(f"n{k}") for k in parts]), "pii-values")
+    ranked = running_sums(counted, "value", {"rank": "one", **{f"upto{k}": f"n{k}" for k in parts}},
+                          ["feature"])
+    at = sum((F.col(f"upto{k}") / F.col(f"upto{k}_total") * part for k, part in parts.items()), F.lit(0.0))
+    place = F.when(F.col("rank_total") <= BINS, F.col("rank")).otherwise(
+        F.least(F.ceil(at * BINS), F.lit(BINS)))
+    ends: dict[int, list[float]] = {}
+    for row in ranked.groupBy("feature", place.alias("bin")).agg(  # `BINS` rows a feature at most
+            F.max("value").alias("last")).collect():
+        ends.setdefault(row["feature"], []).append(row["last"])
+    return [sorted(ends[f])[:-1] for f in sorted(ends)]
+
+
+def _bins(ends: list[list[float]]) -> Column:
+    """The numbers of the bins of ``features``."""
+    known = F.array(*[F.array(*map(F.lit, e)).cast("array<double>") for e in ends])
+    return F.zip_with("features", known, lambda v, e: F.size(
+        F.filter(e, lambda x: x < v)).cast("double"))
+
+
+def _fit(table: DataFrame, half: int):
+    """Trees from all rows of the other half; None if those have one label."""
+    known = table.where(F.col("half") != half)
+    labels, rows = known.agg(F.count_distinct("label"), F.count(F.lit(1))).first()
+    if labels < 2:
+        return None
+    # The same rows in the same order whatever the partitioning of the documents, in as few tasks as
+    # they need: every level of every tree is a job over them.
+    tasks = math.ceil(rows / ROWS_PER_TASK)
+    known = saved(known.orderBy("bins", "kind", "label", "strict").coalesce(tasks),
+                  "pii-known").coalesce(tasks)
+    return GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES,
+                         maxDepth=DEPTH, maxBins=_ALL_ROWS, seed=1, subsamplingRate=1.0,
+                         stepSize=0.2).fit(known.withColumn("vector", array_to_vector("bins")))
+
+
+def train(cands: DataFrame, sample: int | None = None):
+    """The trees of both halves, the threshold of each kind and the ends of the bins; None where there
+    is nothing to tell apart.  All labelled candidates are used, unless the caller asks for a ``sample``.
+    """
     cands = cands.where("label IS NOT NULL")
     sizes = {(r["label"], r["strict"]): r["n"] for r in cands.groupBy("label", "strict").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # three rows
     if {label for label, _ in sizes} != {0, 1}:
         return None
-    rate = F.lit(0.0)
-    for (label, strict), n in sizes.items():
-        part = sample / 2 if len([k for k in sizes if k[0] == label]) == 1 else sample / 4
-        rate = F.when((F.col("label") == label) & (F.col("strict") == strict), part / n).otherwise(rate)
-    # Drawn by what a candidate is, not by where its row lies: any partitioning draws the same.
-    mark = share("doc_id", "version", "kind", "start", "stop")
-    part = share("stop", "version", "doc_id", "start", "kind")
-    picked = cands.where(mark < rate).select(
-        "kind", "label", "strict", array_to_vector("features").alias("vector"), (part < 0.25).alias("kept"),
-        mark.alias("mark"))
-    # The sample is bounded: one partition, in a fixed order, makes the same trees in every run.
-    picked = saved(picked.orderBy("mark", "kind", "label").coalesce(1), "pii-sample").coalesce(1)
-    fitted = picked.where("NOT kept")
-    if fitted.select("label").distinct().count() < 2:
+    parts = {k: 0.5 if len([c for c in sizes if c[0] == one[0]]) == 1 else 0.25
+             for k, one in enumerate(_CLASSES) if one in sizes}
+    rate, weight = F.lit(0.0), F.lit(0.0)
+    for k, part in parts.items():
+        n = sizes[_CLASSES[k]]
+        rate = F.when(_is_class(k), (sample or 0) * part / n).otherwise(rate)
+        weight = F.when(_is_class(k), F.col("n") * (part * sum(sizes.values()) / n)).otherwise(weight)
+    if sample is not None:
+        # Drawn by what a candidate is, not by where its row lies: any partitioning draws the same.
+        cands = cands.where(share("doc_id", "version", "kind", "start", "stop") < rate)
+    ends = _bin_ends(cands, parts)
+    if not ends:
+        return None
+    table = saved(cands.groupBy("half", "kind", "label", "strict", _bins(ends).alias("bins")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("weight", weight), "pii-labelled")
+    fitted = side_by_side(table.sparkSession, {str(h): lambda h=h: _fit(table, h) for h in (0, 1)})
+    models = [fitted["0"], fitted["1"]]
+    if None in models:
         return None
-    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH,
-                          seed=1, subsamplingRate=1.0, stepSize=0.2).fit(fitted)
-    scored = _score(picked.where("kept AND NOT strict"), model)
     # From the highest score down: how many so far, how many of them positive.
-    marks = scored.select("kind", "label", "score").toPandas().sort_values(  # `sample` rows at most
-        ["kind", "score"], ascending=[True, False])
-    limits = {}
-    for kind, rows in marks.groupby("kind"):
-        right = rows["label"].cumsum() / range(1, len(rows) + 1)
-        good = rows["score"][(right >= PRECISION) & (rows["score"] > 0.5)]
-        if len(good):
-            limits[kind] = float(good.iloc[-1])
-    return model, limits
-
-
-def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    marks = saved(_score(table.where("NOT strict"), models).groupBy(
+        "kind", (-F.col("score")).alias("down")).agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right")), "pii-marks")
+    good = running_sums(marks, "down", {"of": "n", "hits": "right"}, ["kind"]).where(
+        (F.col("hits") / F.col("of") >= PRECISION) & (F.col("down") < -0.5))
+    limits = {r["kind"]: -r["down"] for r in good.groupBy("kind").agg(  # a row per kind
+        F.max("down").alias("down")).collect()}
+    return models, limits, ends
+
+
+def find(docs: DataFrame, sample: int | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added: a row per document."""
     scanned = saved(doc_texts(docs).mapInArrow(_scan, SCANNED)
                     .withColumn("row", F.monotonically_increasing_id()), "pii")
     cands = scanned.select("row", "doc_id", "version", F.explode("cands").alias("c")).select(
         "row", "doc_id", "version", "c.*")
+    half = F.when(share("version", "kind", "start", "stop") < 0.5, 0).otherwise(1)
+    cands = cands.withColumn("half", half)
     trained = train(cands, sample)
     none = F.lit(None).cast("array<struct<score:double,kind:string,start:bigint,stop:bigint>>")
     if trained is None:
         chosen = scanned.select("doc_id", "base", none.alias("chosen"))
     else:
-        model, limits = trained
+        models, limits, ends = trained
         limit = F.lit(2.0)
         for kind, value in limits.items():
             limit = F.when(F.col("kind") == kind, value).otherwise(limit)
-        scored = _score(cands.withColumn("vector", array_to_vector("features")), model)
+        scored = _score(cands.withColumn("bins", _bins(ends)), models)
         best = (scored.where(F.col("score") >= limit).groupBy("row").agg(
             F.collect_list(F.struct("score", "kind", "start", "stop")).alias("chosen")))
         chosen = scanned.select("row", "doc_id", "base").join(best, "row", "left").select(

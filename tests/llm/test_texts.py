@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from monthbook.llm import chat, decontam, langid, mixing, pii, tokens
@@ -237,6 +238,41 @@ def test_trees_add_what_the_base_does_not_hold(spark):
     assert sum(r["n_added"] for r in got.values()) <= 920
 
 
+def test_trees_and_thresholds_know_all_candidates(spark):
+    # 30,000 candidates; a kind of secret that is one in a thousand must be learnt and counted.
+    rng = random.Random(6)
+    rows = []
+    for k in range(30_000):
+        rare = k % 1000 == 0
+        one = [0.0] * 30
+        one[0], one[1], one[2] = 4.0, 40.0 + rng.randint(0, 400), 900.0 if rare else float(rng.randint(0, 300))
+        label = 1 if rare else 0
+        rows.append((k, k, "secret", 0, 40, label, False, one, k // 1000 % 2))
+    cands = spark.createDataFrame(rows, "doc_id bigint, version bigint, kind string, start bigint, stop bigint, "
+                                  "label int, strict boolean, features array<double>, half int")
+    seen, made = [], pii._score
+    try:
+        pii._score = lambda rows, models: seen.append(rows.agg(F.sum("n")).first()[0]) or made(rows, models)
+        models, limits, ends = pii.train(cands)
+    finally:
+        pii._score = made
+    assert seen == [30_000]  # all of them set the thresholds
+    assert len(ends[2]) <= pii.BINS and 0.5 < limits["secret"] <= 1
+    scored = pii._score(cands.withColumn("bins", pii._bins(ends)), models)
+    found = scored.where(F.col("score") >= limits["secret"])
+    assert found.count() == found.where("label = 1").count() == 30
+
+
+def test_personal_data_of_copies_is_the_same(spark):
+    rng = random.Random(12)
+    texts = [f"key {rng.getrandbits(160):040x} or order {rng.randint(10**9, 10**11)}" for _ in range(60)]
+    docs = spark.createDataFrame([(k, texts[k % 60]) for k in range(180)], "doc_id bigint, text string")
+    spans = {}
+    for r in pii.find(docs).collect():
+        spans.setdefault(r["doc_id"] % 60, set()).add(r["spans"])
+    assert all(len(s) == 1 for s in spans.values())
+
+
 def test_personal_data_that_is_only_proposed():
     for text, kind in (("mail john ( at ) example dot", "email"), ("bob {AT} example.com", "email"),
                        ("key " + "aB3" * 70, "secret")):
