@@ -11,7 +11,7 @@ All rows stay on the executors; effects are a column of the input rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -20,8 +20,8 @@ import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.scalars import clip, safe_divide
@@ -29,7 +29,7 @@ from monthbook.operators.linear import (
     Scaling, fit_groups, fits_of, gram, per_group, scaled_gram, solve)
 from monthbook.operators.parallel import MOST, side_by_side, training_rows
 from monthbook.operators.ranks import quantile_values
-from monthbook.session import written
+from monthbook.session import is_written, written
 
 _VECTOR = "__features"
 
@@ -100,6 +100,15 @@ def complete_rows(df: DataFrame, spec: CausalSpec) -> DataFrame:
     return df.dropna(subset=needed + ([spec.strata] if spec.strata else []))
 
 
+def _held(df: DataFrame, spec: CausalSpec) -> DataFrame:
+    """:func:`complete_rows`, made once: estimators pass over them several times.
+
+    Rows that are :func:`~monthbook.session.written` already are read from there.
+    """
+    rows = complete_rows(df, spec)
+    return rows if is_written(df) else written(rows, "causal")
+
+
 def _vector(df: DataFrame, columns: Sequence[str], name: str = _VECTOR) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=name).transform(df)
 
@@ -123,7 +132,8 @@ def _booster(spec: CausalSpec, label: str) -> GBTRegressor:
 
 def crossfit_residuals(df: DataFrame, spec: CausalSpec) -> DataFrame:
     """Adds ``fold``, out-of-fold predictions ``y_hat``, ``t_hat`` and residuals."""
-    rows = complete_rows(df, spec).withColumn("fold", spec.fold_number())
+    trees = spec.nuisance == "gbt"  # these write their rows with the vector of features
+    rows = (complete_rows if trees else _held)(df, spec).withColumn("fold", spec.fold_number())
     if spec.nuisance == "linear":
         fits = fit_groups(rows, spec.inputs, [spec.outcome, spec.treatment], "fold",
                           leave_out=True)
@@ -467,8 +477,8 @@ def kernel_dml(residuals: DataFrame, spec: CausalSpec, size: int = 100,
                ridge: float = 1e-3) -> Estimate:
     """Effect as a smooth function of the features: random Fourier features, ridge fit.
 
-    Features of the kernel are made batch by batch; the normal equations are summed up in
-    one pass.
+    Features of the kernel are made batch by batch.  The normal equations, and what the mean effect
+    needs, are summed up in one pass, inside the tasks.
     """
     width = silverman_bandwidth(residuals, spec.features)
     rng = np.random.default_rng(spec.seed)
@@ -481,16 +491,31 @@ def kernel_dml(residuals: DataFrame, spec: CausalSpec, size: int = 100,
         waves = np.cos(x @ direction + phase) * np.sqrt(2.0 / size)
         return np.column_stack([np.ones(len(x)), waves])
 
-    @F.pandas_udf("array<double>")
-    def crossed(t: pd.Series, *columns: pd.Series) -> pd.Series:
-        return pd.Series(list(basis(columns) * t.to_numpy()[:, None]))
-
     inputs = [F.col(c).cast("double") for c in spec.features]
-    model = LinearRegression(
-        featuresCol=_VECTOR, labelCol="y_res", fitIntercept=False, standardization=False,
-        regParam=ridge, solver="normal").fit(residuals.select(
-            array_to_vector(crossed(F.col("t_res"), *inputs)).alias(_VECTOR), "y_res"))
-    weights = model.coefficients.toArray()
+    k = size + 1  # terms: basis times t, then y and 1
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((k + 2, 2 * k + 2))
+        for batch in batches:
+            t, y, *columns = (batch[c] for c in batch.columns)
+            waves = basis(tuple(columns))
+            ones = np.ones(len(batch))
+            terms = np.column_stack([waves * t.to_numpy()[:, None], y, ones])
+            total += terms.T @ np.column_stack([terms, waves])
+        yield pd.DataFrame({"place": np.arange(total.size, dtype=np.int32), "value": total.ravel()})
+
+    # As many rows as the fit has sums, whatever the table.
+    sums = residuals.select(F.col("t_res"), F.col("y_res"), *[
+        c.alias(f"x{i}") for i, c in enumerate(inputs)]).mapInPandas(
+            products, "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
+    whole = np.zeros((k + 2) * (2 * k + 2))
+    whole[[r["place"] for r in sums]] = [r["value"] for r in sums]
+    whole = whole.reshape(k + 2, 2 * k + 2)
+    n, matrix = whole[k + 1, k + 1], whole[:, :k + 2] / (whole[k + 1, k + 1] or 1.0)
+    # The penalty is relative to the spread of the outcome, as in Spark's linear regression.
+    spread = float(np.sqrt(max(matrix[k, k] - matrix[k, k + 1] ** 2, 0.0)))
+    weights = solve(matrix, range(k), k, ridge / (spread or 1.0))
+    mean = float(whole[k + 1, k + 2:] @ weights / n) if n else None
 
     @F.pandas_udf("double")
     def effect(*columns: pd.Series) -> pd.Series:
@@ -498,7 +523,7 @@ def kernel_dml(residuals: DataFrame, spec: CausalSpec, size: int = 100,
 
     def predict(other: DataFrame) -> DataFrame:
         return other.withColumn("effect", effect(*inputs))
-    return _mean_effect("kernel_dml", predict(residuals), predict=predict)
+    return Estimate("kernel_dml", predict(residuals), mean, mean=mean, predict=predict)
 
 
 # --- learners for a two-valued treatment ------------------------------------------------
@@ -517,7 +542,7 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
     The mean effect and its interval are those of the scores.  ``final`` fits a forest to
     them for the effect per row; without it ``effect`` is the score itself.
     """
-    rows = binarise(complete_rows(df, spec), spec, threshold).withColumn(
+    rows = binarise(_held(df, spec), spec, threshold).withColumn(
         "fold", spec.fold_number())
     arm = F.col("treated") == 1
     if spec.nuisance == "linear":
@@ -563,7 +588,7 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
 def s_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -> Estimate:
     """One forest on features and treatment; effect is the change when treated flips."""
     inputs = [*spec.features, "treated"]
-    rows = binarise(complete_rows(df, spec), spec, threshold)
+    rows = binarise(_held(df, spec), spec, threshold)
     ready = training_rows(_vector(rows, inputs))
     model = _forest(spec, spec.outcome).fit(ready)
     ready.unpersist()
@@ -580,7 +605,7 @@ def s_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -
 def t_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
               learner: str = "forest") -> Estimate:
     """One model per arm; effect is the difference of their predictions."""
-    rows = binarise(complete_rows(df, spec), spec, threshold)
+    rows = binarise(_held(df, spec), spec, threshold)
     if learner == "linear":
         fits = fit_groups(rows, list(spec.features), [spec.outcome], "treated")
         effect = fits[(1,)][spec.outcome].column() - fits[(0,)][spec.outcome].column()
@@ -611,7 +636,7 @@ def _difference(df: DataFrame, spec: CausalSpec, first, second) -> DataFrame:
 
 def x_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -> Estimate:
     """Effects imputed from the other arm's model, mixed by the chance of treatment."""
-    rows = binarise(complete_rows(df, spec), spec, threshold)
+    rows = binarise(_held(df, spec), spec, threshold)
     ready = training_rows(_vector(rows, spec.features))
     half = replace(spec, trees=max(1, spec.trees // 2))
     first = _fit_all(rows, spec, _outcome_models(ready, spec) | {

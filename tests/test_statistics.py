@@ -400,3 +400,61 @@ def test_linear_effects_read_their_rows_once(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         rows.unpersist()
     assert 1 <= len(jobs) < 5
+
+
+def _counted(spark, n=3000):
+    """A causal table, and how many of its rows have been made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def noise(ids: pd.Series) -> pd.Series:
+        made.add(len(ids))
+        return pd.Series(np.sin(ids * 12.9898) * 43758.5453 % 1.0)
+
+    a, b, t = noise.asNondeterministic()(F.col("id")), (F.col("id") * 7919 % 1000) / 500.0, (F.col("id") * 104729 % 997) / 997.0
+    rows = spark.range(n).select("id", a.alias("x1"), b.alias("x2")).withColumn(
+        "t", t + F.col("x1") * 0.5).withColumn("y", F.col("t") * (1 + F.col("x2")) + F.col("x1"))
+    return rows.withColumn("s", F.col("id") % 3), made
+
+
+COUNTED = c.CausalSpec(id="id", outcome="y", treatment="t", features=("x1", "x2"), nuisance="linear", strata="s")
+
+
+def test_kernel_effects_make_their_rows_once(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+
+    rows, made = _counted(spark)
+    residual = c.crossfit_residuals(rows, COUNTED)
+    found = c.kernel_dml(residual, COUNTED, size=20)
+    got = found.rows.select("id", "effect").toPandas().sort_values("id")
+    assert made.value == 3000
+    # The same coefficients as the library's normal equations.
+    known = residual.select("id", "t_res", "y_res", "x1", "x2").toPandas().sort_values("id")
+    width = c.silverman_bandwidth(residual, COUNTED.features)
+    rng = np.random.default_rng(COUNTED.seed)
+    direction = (rng.normal(size=(20, 2)) / np.array([width["x1"], width["x2"]])).T
+    waves = np.cos(known[["x1", "x2"]].to_numpy() @ direction + rng.uniform(0.0, 2 * np.pi, 20))
+    basis = np.column_stack([np.ones(len(known)), waves * np.sqrt(2.0 / 20)])
+    table = spark.createDataFrame(
+        [((basis[i] * t).tolist(), float(y)) for i, (t, y) in enumerate(zip(known.t_res, known.y_res))],
+        "z array<double>, y_res double").select(array_to_vector("z").alias("z"), "y_res")
+    model = LinearRegression(featuresCol="z", labelCol="y_res", fitIntercept=False, standardization=False,
+                             regParam=1e-3, solver="normal").fit(table)
+    assert np.allclose(got.effect, basis @ model.coefficients.toArray(), atol=1e-8)
+    assert found.ate == pytest.approx(got.effect.mean(), abs=1e-9)
+
+
+def test_compared_models_make_their_rows_once(spark):
+    from monthbook.session import written
+
+    for estimate in (lambda df: c.t_learner(df, COUNTED, learner="linear"),
+                     lambda df: c.dr_learner(df, replace(COUNTED, nuisance="strata"), final=False)):
+        rows, made = _counted(spark)
+        estimate(rows).rows.write.format("noop").mode("overwrite").save()
+        assert made.value == 3000
+    rows, made = _counted(spark)
+    once = written(rows, "causal")
+    found = [c.linear_dml(c.crossfit_residuals(once, COUNTED), COUNTED, final="linear"),
+             c.t_learner(once, COUNTED, learner="linear")]
+    assert e.compare_ate(found).count() == 2 and made.value == 3000
