@@ -3,7 +3,7 @@
 All windows end at the reference month, so they are nested and one filtered scan serves
 them all.  Up to about a hundred features a book is one ``groupBy(key).agg(...)``.  Wider
 aggregates fall out of generated code and shuffle wide partial rows, so they are made in two
-steps:
+steps, and so are exact distinct counts in several windows:
 
 1. a rollup to one row per (key, month) with the few parts every feature is made of: sums,
    counts, extremes, centred squares, hits of counted values.  Partial aggregates reduce
@@ -66,7 +66,7 @@ class BookSpec:
     #: Distinct counts from HyperLogLog sketches of ``2 ** DISTINCT_BITS`` registers.
     approx_distinct: bool = False
     stamp_time: bool = True
-    #: Whether to roll rows up by month first; by default only for wide books.
+    #: Whether to roll rows up by month first; by default for wide books and for distinct counts.
     by_month: bool | None = None
 
 
@@ -247,7 +247,13 @@ def _smallest(windows: list[_Window]) -> Column:
 
 
 def _exploded(rows: DataFrame, spec: BookSpec, mark: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """The items of all rows; value items have only the key, the columns ``keep`` and their mark."""
+    """The items of all rows; value items have only the key, the columns ``keep`` and their mark.
+
+    A row becomes several items, so what a task may read without harm can be too much once it is
+    items: the rows are dealt out first, over all shuffle partitions.  Rows of a key that lie together
+    stay together, and a hot key is spread as widely as it was.
+    """
+    rows = rows.repartition(_tasks(rows), F.col(spec.key), F.spark_partition_id())
     numbers = F.array(*[F.lit(i) for i in range(-1, len(spec.categorical))])
     which = F.col(_WHICH)
     value = F.lit(None).cast("string")
@@ -260,6 +266,11 @@ def _exploded(rows: DataFrame, spec: BookSpec, mark: Column, keep: Sequence[str]
             .where((which < 0) | F.col("__value").isNotNull()))
 
 
+def _tasks(df: DataFrame) -> int:
+    """The cluster's number of shuffle partitions; a number that is asked for is not cut down again."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _starts(windows: list[_Window], ref: str, dtype: DataType) -> Column:
     """The first month of the window that ``__w`` numbers."""
     sizes = sorted(w.months for w in windows)
@@ -332,7 +343,9 @@ WIDE = 100
 
 def _use_months(spec: BookSpec, width: int) -> bool:
     """Whether a book of ``width`` features should be, and can be, made from months."""
-    wanted = spec.by_month if spec.by_month is not None else width > WIDE
+    # A value's item has room for all that is summed up: parts take less than features per window.
+    costly = _counts_values(spec) and len(spec.windows) > 1
+    wanted = spec.by_month if spec.by_month is not None else width > WIDE or costly
     return wanted and set(spec.aggregations) <= {*_FROM_MONTHS, "median"}
 
 

@@ -1,6 +1,7 @@
 """Feature books: edge cases that the big queries do not reach."""
 
 import datetime as dt
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -228,3 +229,11 @@ def test_wide_books_shuffle_narrow_rows(many):
     narrow = feature_book(many, BookSpec(numeric=["v"], windows=(1, 3)), "202312")
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_distinct_counts_are_made_of_months_from_rows_dealt_out(many):
+    spec = BookSpec(numeric=["v"], categorical=["c"], aggregations=("sum", "std"), windows=(1, 12), stamp_time=False)
+    book = feature_book(many, spec, "202312")
+    plan = book._jdf.queryExecution().toString()
+    assert "__centre_0" in plan and "SPARK_PARTITION_ID" in plan
+    _close(book, feature_book(many, replace(spec, by_month=False), "202312"))
