@@ -17,7 +17,7 @@ the number of ids before every ``STEP``-th symbol (8 bytes each).  A search in t
 lengths of at most ``STEP`` symbols find a position; from there on only symbols that reach into the
 wanted range are expanded, and of their rules only the halves that do (:func:`decode_range`).
 
-Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a call;
+Encoding is cached by word (:class:`Encoder`): new words are encoded by the library, many in a text;
 the cache lives as long as the process and is emptied when it holds ``CACHED_WORDS`` words.
 
 Defined results: null and empty texts are the end id alone; a null doc_id comes first; rows that
@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh3_128_digest
 
-from monthbook.llm.common import doc_texts, partitions, ragged, read, slices
+from monthbook.llm.common import doc_texts, partitions, ragged, read, slices, utf8
 from monthbook.session import scratch_path
 
 END = 2
@@ -53,7 +53,18 @@ STEP = 1024
 #: Overlapping replacements are told apart by so many pairs on either side.
 NEAR = 8
 CACHED_WORDS = 1_100_000
+#: New words in one text for the library.
+JOINED = 256
+#: How the vocabulary writes a blank.
+BLANK = "\u0120"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.array([0x7FB5D329728EA185, 0x81DADEF4BC2DD44D], np.uint64)
+#: The first 0 to 8 bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+OTHER, MARK, ALNUM = 0, 1, 2
+#: What an ASCII character at a word's edge is; white space, ``\0`` and other characters are OTHER.
+_KINDS = np.array([ALNUM if chr(b).isalnum() else OTHER if chr(b).isspace() or not b else MARK
+                   for b in range(128)] + [OTHER] * 128, np.uint8)
 
 SHARD = ("shard bigint, block bigint, n_tokens bigint, doc_ids array<bigint>, "
          "doc_tokens array<bigint>, width int, rules binary, lengths binary, symbols binary, "
@@ -67,6 +78,35 @@ def _odd(word: str) -> bool:
         not bare or bare[0].isspace() or bare[-1].isspace())
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread over all 64-bit numbers, one to one."""
+    for times in _SPREAD:
+        x = (x ^ (x >> np.uint64(31))) * times
+    return x ^ (x >> np.uint64(32))
+
+
+def _keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers for each word, the first one spread evenly.
+
+    Up to 15 bytes they are the word itself and its length, so equal only for equal words; longer
+    words have 120 bits of a hash.
+    """
+    data, ends = utf8(words)
+    begin, lengths = ends[:-1], np.diff(ends)
+    data = np.append(data, np.zeros(16, np.uint8))
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from every byte on
+    low = eight[begin] & _FIRST_BYTES[np.minimum(lengths, 8)]
+    high = eight[begin + 8] & _FIRST_BYTES[np.clip(lengths - 8, 0, 7)]
+    high |= np.minimum(lengths, 255).astype(np.uint64) << np.uint64(56)
+    long = np.flatnonzero(lengths > 15)
+    if len(long):
+        digests = np.frombuffer(b"".join(
+            xxh3_128_digest(w) for w in words.take(pa.array(long)).to_pylist()), "<u8")
+        low[long] = digests[::2]
+        high[long] = digests[1::2] | np.uint64(255 << 56)
+    return _mixed(low ^ _mixed(high)), high
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, with a bounded, compact cache of words.
 
@@ -76,6 +116,9 @@ class Encoder:
     without a blank before it.  Where a cut would not be one of the pattern's (two blanks, other
     white space at a word's edge, more than two newlines, a comma behind other punctuation), the
     library encodes the whole text.
+
+    New words with a blank before them are encoded ``JOINED`` at a time, as one text; the ids of each
+    begin at the one token that begins with a blank.
     """
 
     def __init__(self, path: str) -> None:
@@ -83,42 +126,70 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tok.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[k for token, k in vocabulary.items() if token[0] == BLANK]] = True
         self._clear()
 
     def _clear(self) -> None:
-        # Words by a 128-bit hash, sorted by its first half: 20 bytes a word, not a string each.
+        # Words by two numbers, sorted by the first: 20 bytes a word, not a string each.
         self.keys, self.more = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.numbers = np.zeros(0, np.int32)
         self.ids, self.begins = np.zeros(1 << 16, np.uint16), np.zeros(1 << 14, np.int32)
         self.uncut, self.closed = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
         self.used = 0
-        self._look_up([b"\0", b"\0,", b"\0."])  # numbers 0, 1 and 2
+        self._look_up(pa.array(["\0", "\0,", "\0."]))  # numbers 0, 1 and 2
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _encode_words(self, words: pa.Array, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words end to end and their numbers; those ``alone`` are texts of their own."""
+        texts = [w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
+                 for w in words.filter(pa.array(alone)).to_pylist()]
+        rest = words.filter(pa.array(~alone))
+        offsets = np.append(np.arange(0, len(rest), JOINED), len(rest)).astype(np.int32)
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), rest), " ")
+        texts += pc.binary_join_element_wise("", lines, " ").to_pylist()
+        found = self._batch(texts)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))
+        ends = np.cumsum(sizes[:len(words) - len(rest)])
+        begin = int(ends[-1]) if len(ends) else 0
+        first, lengths = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        first[alone], lengths[alone] = ends - sizes[:len(ends)], sizes[:len(ends)]
+        first[~alone] = begin + np.flatnonzero(self.blank[ids[begin:]])
+        lengths[~alone] = np.diff(first[~alone], append=len(ids))
+        return ids[ragged(first, lengths)], lengths
+
+    def _learn(self, words: pa.Array) -> None:
         """Encodes new words, all in one call."""
-        found = self._batch([w[1:] if w[:1] == "\0" else w if w == "\n" else f" {w}"
-                             for w in words])
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        n, m, more = len(self.numbers), len(words), int(lengths.sum())
+        data, ends = utf8(words)
+        data = np.append(data, np.uint8(0))
+        marked = (data[ends[:-1]] == 0) & (ends[:-1] < ends[1:])
+        # Words that begin and end in ASCII are judged by these bytes, others one by one.
+        begins, last = _KINDS[data[ends[:-1] + marked]], _KINDS[data[ends[1:] - 1]]
+        look = np.flatnonzero((begins == OTHER) | (last == OTHER) | (ends[:-1] + marked == ends[1:]))
+        seen = words.take(pa.array(look)).to_pylist()
+        closed, uncut = last == ALNUM, np.zeros(len(words), bool)
+        closed[look] = [w[-1:].isalnum() for w in seen]
+        uncut[look] = [not w.isalpha() and _odd(w) for w in seen]
+        found, lengths = self._encode_words(
+            words, marked | uncut | np.asarray(pc.equal(words, "\n")))
+        n, m, more = len(self.numbers), len(words), len(found)
         while self.used + more > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + m + 1 > len(self.begins):
             self.begins, self.uncut, self.closed = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.uncut, self.closed))
-        self.ids[self.used: self.used + more] = np.fromiter(chain.from_iterable(found), np.uint16,
-                                                            more)
+        self.ids[self.used: self.used + more] = found
         self.begins[n + 1: n + m + 1] = self.used + np.cumsum(lengths)
         self.used += more
-        self.closed[n: n + m] = [w[-1:].isalnum() for w in words]
-        self.uncut[n: n + m] = [not w.isalpha() and _odd(w) for w in words]
+        self.closed[n: n + m], self.uncut[n: n + m] = closed, uncut
 
-    def _look_up(self, words: list[bytes]) -> np.ndarray:
+    def _look_up(self, words: pa.Array) -> np.ndarray:
         """The numbers of some different words; new ones are learnt."""
-        digests = np.frombuffer(b"".join(map(xxh3_128_digest, words)), ">u8").astype(np.uint64)
-        key, more = digests[::2], digests[1::2]
+        key, more = _keys(words)
         found = np.full(len(words), -1, np.int64)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -127,7 +198,7 @@ class Encoder:
         new = np.flatnonzero(found < 0)
         if len(new):
             found[new] = len(self.numbers) + np.arange(len(new))
-            self._learn([words[k].decode() for k in new.tolist()])
+            self._learn(words.take(pa.array(new)))
             new = new[np.argsort(key[new])]
             at = np.searchsorted(self.keys, key[new])
             self.keys = np.insert(self.keys, at, key[new])
@@ -149,8 +220,7 @@ class Encoder:
         lists = pc.split_pattern(cut, " ")
         counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         words = lists.flatten().dictionary_encode()
-        different = words.dictionary.cast(pa.binary()).to_pylist()
-        picked = self._look_up(different)[np.asarray(words.indices)]
+        picked = self._look_up(words.dictionary)[np.asarray(words.indices)]
         wrong = self.uncut[picked]
         mark = (picked == 1) | (picked == 2)
         wrong[1:] |= mark[1:] & ~self.closed[picked[:-1]]

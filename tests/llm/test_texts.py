@@ -302,6 +302,49 @@ def test_cached_words_give_the_library_s_ids():
         assert ids[a:b].tolist() == _ids(encoder.tok, text), repr(text)
 
 
+class _Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tok):
+        self.tok, self.texts = tok, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tok.encode_batch_fast(texts, **options)
+
+
+def test_new_words_are_encoded_many_in_a_text():
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    encoder.tok = counted = _Counted(encoder.tok)
+    rng = random.Random(5)
+    letters = ["a", "b", "th", "ing", "é", "ж", "漢", "'", "-", "_", "\t", "\xa0", "7", "."]
+    words = sorted({"x" + "".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) + "y"
+                    for _ in range(20_000)})
+    texts = [" ".join(words[k:k + 50]) for k in range(0, len(words), 50)]
+    for _ in range(2):  # learnt, then known
+        ids, sizes = encoder.encode(texts)
+        ends = np.cumsum(sizes)
+        for text, a, b in zip(texts, ends - sizes, ends):
+            assert ids[a:b].tolist() == _ids(counted.tok, text)
+    # The first word of each text has no blank before it and is a text of its own.
+    assert counted.texts < len(texts) + len(words) / 100
+
+
+def test_words_are_told_apart_by_all_their_bytes():
+    words = sorted({c * n + end for c in "aé\0" for n in range(40) for end in ("", "a", "b", "\0", "\0\0")})
+    first, second = tokens._keys(pa.array(words))
+    assert len(set(zip(first.tolist(), second.tolist()))) == len(set(first.tolist())) == len(words)
+    again = tokens._keys(pa.array(["x", *words]).slice(1))
+    assert np.array_equal(again[0], first) and np.array_equal(again[1], second)
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    texts = [f"say {w} {w}{w}, twice. {w}" for w in words]
+    for part in (texts, texts[::-1]):
+        ids, sizes = encoder.encode(part)
+        ends = np.cumsum(sizes)
+        for text, a, b in zip(part, ends - sizes, ends):
+            assert ids[a:b].tolist() == _ids(encoder.tok, text), repr(text)
+
+
 def test_repair_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     for ids in (np.zeros(0, np.uint32), np.full(1000, 7, np.uint32),
