@@ -6,6 +6,9 @@ doubly robust learner (Kennedy 2023), random Fourier features (Rahimi and Recht
 
 Nuisance models: ``linear`` (least squares), ``strata`` (group means) or ``gbt`` (trees).
 All rows stay on the executors; effects are a column of the input rows.
+
+Trees grow on sums per cell of the binned features (:mod:`~monthbook.operators.cells`), made in one or
+two passes for all models; with too many features for that, each model is MLlib's, trained on rows.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthbook.functions.scalars import clip, safe_divide
+from monthbook.operators.cells import (
+    BLOCK, Booster, Cells, Forest, Grown, cell_sums, find_cells, grow_boosters, grow_forests, plain_sums)
 from monthbook.operators.linear import (
     Scaling, fit_groups, fits_of, gram, per_group, scaled_gram, solve)
 from monthbook.operators.parallel import MOST, side_by_side, training_rows
@@ -128,12 +133,48 @@ def _booster(spec: CausalSpec, label: str) -> GBTRegressor:
                         seed=spec.seed, maxMemoryInMB=512)
 
 
+def _sums(rows: DataFrame, cells: Cells, spec: CausalSpec, values: Sequence[Column],
+          group: Column | None = None) -> DataFrame:
+    """What the trees of forests need of the rows, per cell (and group)."""
+    key = [spec.id] if spec.id in rows.columns else []
+    return cell_sums(rows, cells, values, -(-spec.trees // BLOCK), spec.seed, group, key)
+
+
+def _grown(sums: DataFrame, cells: Cells, spec: CausalSpec, jobs: dict[str, Forest], values: int = 1,
+           groups: int = 1) -> dict[str, Grown]:
+    return grow_forests(sums, cells, jobs, values, groups, spec.treatment_depth, spec.leaf, spec.seed)
+
+
+def _by_cell(cells: Cells, effect: np.ndarray) -> Callable[[DataFrame], DataFrame]:
+    def predict(other: DataFrame) -> DataFrame:
+        return cells.add(other, {"effect": effect})
+    return predict
+
+
+def _effect_forest(df: DataFrame, spec: CausalSpec, label: Column, weight: Column | None = None
+                   ) -> tuple[Callable[[DataFrame], DataFrame], tuple[tuple[str, float], ...]]:
+    """A forest for the effect: how to add ``effect`` to rows, and the importances."""
+    cells = find_cells(df, spec.features)
+    if cells is not None:
+        values = [label] if weight is None else [weight, label * weight]
+        made = _grown(_sums(df, cells, spec, values), cells, spec, {
+            "effect": Forest((0,), len(values), spec.trees, len(values) - 1)}, len(values))["effect"]
+        return _by_cell(cells, made.cell), _ranked(spec.features, made.importance)
+    known = training_rows(_vector(df, spec.features).select(
+        _VECTOR, label.alias("__label"), *([] if weight is None else [weight.alias("__weight")])))
+    model = _forest(spec, "__label", weight=None if weight is None else "__weight").fit(known)
+    known.unpersist()
+    def predict(other: DataFrame) -> DataFrame:
+        return (model.transform(_vector(other, spec.features))
+                .withColumnRenamed("__prediction", "effect").drop(_VECTOR))
+    return predict, _ranked(spec.features, model.featureImportances.toArray())
+
+
 # --- residuals --------------------------------------------------------------------------
 
 def crossfit_residuals(df: DataFrame, spec: CausalSpec) -> DataFrame:
     """Adds ``fold``, out-of-fold predictions ``y_hat``, ``t_hat`` and residuals."""
-    trees = spec.nuisance == "gbt"  # these write their rows with the vector of features
-    rows = (complete_rows if trees else _held)(df, spec).withColumn("fold", spec.fold_number())
+    rows = _held(df, spec).withColumn("fold", spec.fold_number())
     if spec.nuisance == "linear":
         fits = fit_groups(rows, spec.inputs, [spec.outcome, spec.treatment], "fold",
                           leave_out=True)
@@ -146,8 +187,7 @@ def crossfit_residuals(df: DataFrame, spec: CausalSpec) -> DataFrame:
             "t_hat": (F.col(spec.treatment), F.lit(True))})
     elif spec.nuisance == "gbt":
         fitted = _crossfit_trees(rows, spec, [
-            ("y_hat", _booster(spec, spec.outcome), None),
-            ("t_hat", _forest(spec, spec.treatment), None)])
+            ("y_hat", "boosted", spec.outcome, None), ("t_hat", "forest", spec.treatment, None)])
     else:
         raise ValueError(f"unknown nuisance {spec.nuisance!r}")
     return fitted.withColumns({
@@ -170,24 +210,62 @@ def _out_of_fold_means(rows: DataFrame, spec: CausalSpec,
     return rows.join(left_out, [spec.strata, "fold"])
 
 
-def _crossfit_trees(rows: DataFrame, spec: CausalSpec, models: list) -> DataFrame:
-    """Adds out-of-fold predictions of several models; each row is scored once per model.
-
-    ``models`` holds (name, estimator, condition on the training rows).
-    """
+#: Name, kind (``boosted``, ``forest`` or ``chance``), label, and the arm it is trained on.
+_Model = tuple[str, str, str, int | None]
+
+
+def _crossfit_trees(rows: DataFrame, spec: CausalSpec, models: Sequence[_Model]) -> DataFrame:
+    """Adds out-of-fold predictions of several models; each row is scored once per model."""
+    cells = find_cells(rows, spec.inputs)
+    return _crossfit_rows(rows, spec, models) if cells is None else _crossfit_cells(
+        rows, spec, models, cells)
+
+
+def _crossfit_cells(rows: DataFrame, spec: CausalSpec, models: Sequence[_Model], cells: Cells) -> DataFrame:
+    """One pass sums up rows per fold, arm and cell: a fold is left out by not adding its sums."""
+    folds = range(spec.folds)
+    arms = 2 if "treated" in rows.columns else 1
+    group = F.col("fold") * arms + (F.col("treated") if arms > 1 else F.lit(0))
+    def used(k: int, arm: int | None) -> list[int]:
+        return [f * arms + a for f in folds if f != k for a in range(arms) if arm in (None, a)]
+
+    boosted = [m for m in models if m[1] != "forest"]
+    labels = list(dict.fromkeys(m[2] for m in boosted))
+    sums = plain_sums(rows, cells, [F.col(c) for c in labels], spec.folds * arms, group)
+    found = grow_boosters(rows.sparkSession, cells, {
+        f"{name}-{k}": Booster(sums[0, used(k, arm)].sum(axis=0),
+                               sums[1 + labels.index(label), used(k, arm)].sum(axis=0), kind == "chance")
+        for name, kind, label, arm in boosted for k in folds}, spec.trees, spec.outcome_depth)
+    forests = [m for m in models if m[1] == "forest"]
+    if forests:
+        labels = list(dict.fromkeys(m[2] for m in forests))
+        drawn = _sums(rows, cells, spec, [F.col(c) for c in labels], group)
+        made = _grown(drawn, cells, spec, {
+            f"{name}-{k}": Forest(tuple(used(k, arm)), 1 + labels.index(label), spec.trees)
+            for name, _, label, arm in forests for k in folds}, len(labels), spec.folds * arms)
+        found |= {name: grown.cell for name, grown in made.items()}
+    return cells.add(rows, {m[0]: np.stack([found[f"{m[0]}-{k}"] for k in folds]) for m in models}, "fold")
+
+
+def _crossfit_rows(rows: DataFrame, spec: CausalSpec, models: Sequence[_Model]) -> DataFrame:
     # Written once and held: all models read their rows from there.
     ready = training_rows(written(_vector(rows, spec.inputs), "crossfit"))
+    chance = GBTClassifier(featuresCol=_VECTOR, seed=spec.seed, predictionCol="__prediction",
+                           maxIter=spec.trees, maxDepth=spec.outcome_depth)
+    makers = {"boosted": partial(_booster, spec), "forest": partial(_forest, spec),
+              "chance": chance.setLabelCol}
 
-    def fit(estimator, k: int, condition: Column | None) -> Callable[[], Model]:
+    def fit(kind: str, label: str, k: int, arm: int | None) -> Callable[[], Model]:
         known = ready.where(F.col("fold") != k)
-        return lambda: estimator.fit(known if condition is None else known.where(condition))
+        estimator = makers[kind](label)
+        return lambda: estimator.fit(known if arm is None else known.where(F.col("treated") == arm))
 
-    fitted = _fit_all(rows, spec, {f"{name}-{k}": fit(estimator, k, condition)
-                                   for k in range(spec.folds) for name, estimator, condition in models})
+    fitted = _fit_all(rows, spec, {f"{name}-{k}": fit(kind, label, k, arm) for k in range(spec.folds)
+                                   for name, kind, label, arm in models})
     parts = []
     for k in range(spec.folds):
         own = ready.where(F.col("fold") == k)
-        for name, _, _ in models:
+        for name, *_ in models:
             scored = fitted[f"{name}-{k}"].transform(own)
             if "probability" in scored.columns:
                 scored = scored.withColumn(
@@ -442,26 +520,18 @@ def forest_dml(residuals: DataFrame, spec: CausalSpec) -> Estimate:
 
     The interval comes from the effects corrected by what they leave unexplained.
     """
-    ready = _vector(residuals, spec.features)
-    usable = training_rows(ready.where(F.abs("t_res") > 1e-9).select(
-        _VECTOR, (F.col("y_res") / F.col("t_res")).alias("__ratio"),
-        (F.col("t_res") * F.col("t_res")).alias("__weight")))
-    model = _forest(spec, "__ratio", weight="__weight").fit(usable)
-    usable.unpersist()
-    def predict(other: DataFrame) -> DataFrame:
-        return (model.transform(_vector(other, spec.features))
-                .withColumnRenamed("__prediction", "effect").drop(_VECTOR))
+    t, y = F.col("t_res"), F.col("y_res")
+    predict, importances = _effect_forest(residuals.where(F.abs("t_res") > 1e-9), spec, y / t, t * t)
     rows = written(predict(residuals), "forest-effects")
     spread = residuals.agg(F.avg(F.col("t_res") * F.col("t_res"))).first()[0]
     left = F.col("y_res") - F.col("effect") * F.col("t_res")
     score = F.col("effect") + left * F.col("t_res") / F.lit(spread)
-    return _mean_effect("forest_dml", rows, score, predict=predict,
-                        importances=_importances(model, spec.features))
+    return _mean_effect("forest_dml", rows, score, predict=predict, importances=importances)
 
 
-def _importances(model, features: Sequence[str]) -> tuple[tuple[str, float], ...]:
-    pairs = zip(features, (float(v) for v in model.featureImportances.toArray()))
-    return tuple(sorted(pairs, key=lambda p: (-p[1], p[0])))
+def _ranked(features: Sequence[str], weight: np.ndarray) -> tuple[tuple[str, float], ...]:
+    """Features with their importance, the greatest first."""
+    return tuple(sorted(zip(features, np.asarray(weight).tolist()), key=lambda p: (-p[1], p[0])))
 
 
 def silverman_bandwidth(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
@@ -558,12 +628,9 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
             "p_hat": (F.col("treated"), F.lit(True)),
             "y1_hat": (F.col(spec.outcome), arm), "y0_hat": (F.col(spec.outcome), ~arm)})
     elif spec.nuisance == "gbt":
-        chance = GBTClassifier(featuresCol=_VECTOR, labelCol="treated", seed=spec.seed,
-                               predictionCol="__prediction", maxIter=spec.trees,
-                               maxDepth=spec.outcome_depth)
         fitted = _crossfit_trees(rows, spec, [
-            ("y1_hat", _booster(spec, spec.outcome), arm),
-            ("y0_hat", _booster(spec, spec.outcome), ~arm), ("p_hat", chance, None)])
+            ("y1_hat", "boosted", spec.outcome, 1), ("y0_hat", "boosted", spec.outcome, 0),
+            ("p_hat", "chance", "treated", None)])
     else:
         raise ValueError(f"unknown nuisance {spec.nuisance!r}")
     p, y = clip(F.col("p_hat"), trim, 1 - trim), F.col(spec.outcome)
@@ -574,21 +641,24 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
     if not final:
         return _mean_effect("dr_learner", scored.withColumn("effect", F.col("dr_score")),
                             F.col("dr_score"))
-    known = training_rows(_vector(scored, spec.features).where(F.col("dr_score").isNotNull())
-                          .select(_VECTOR, "dr_score"))
-    model = _forest(spec, "dr_score").fit(known)
-    known.unpersist()
-    def predict(other: DataFrame) -> DataFrame:
-        return (model.transform(_vector(other, spec.features))
-                .withColumnRenamed("__prediction", "effect").drop(_VECTOR))
-    return _mean_effect("dr_learner", written(predict(scored), "dr-effects"), F.col("dr_score"), predict=predict,
-                        importances=_importances(model, spec.features))
+    predict, importances = _effect_forest(
+        scored.where(F.col("dr_score").isNotNull()), spec, F.col("dr_score"))
+    return _mean_effect("dr_learner", written(predict(scored), "dr-effects"), F.col("dr_score"),
+                        predict=predict, importances=importances)
 
 
 def s_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -> Estimate:
     """One forest on features and treatment; effect is the change when treated flips."""
     inputs = [*spec.features, "treated"]
     rows = binarise(_held(df, spec), spec, threshold)
+    cells = find_cells(rows, inputs)
+    if cells is not None:
+        made = _grown(_sums(rows, cells, spec, [F.col(spec.outcome)]), cells, spec,
+                      {"outcome": Forest((0,), 1, spec.trees)})["outcome"]
+        by_arm = made.cell.reshape(-1, cells.sizes[-1])  # the last feature is the treatment
+        predict = _by_cell(Cells(cells.features[:-1], cells.cuts[:-1], cells.rows),
+                           by_arm[:, -1] - by_arm[:, 0])
+        return _mean_effect("s_learner", written(predict(rows), "s-effects"), predict=predict)
     ready = training_rows(_vector(rows, inputs))
     model = _forest(spec, spec.outcome).fit(ready)
     ready.unpersist()
@@ -611,18 +681,28 @@ def t_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
         effect = fits[(1,)][spec.outcome].column() - fits[(0,)][spec.outcome].column()
         def predict(other: DataFrame) -> DataFrame:
             return other.withColumn("effect", effect)
+        return _mean_effect("t_learner", predict(rows), predict=predict)
+    cells = find_cells(rows, spec.features)
+    if cells is not None:
+        sums = _sums(rows, cells, spec, [F.col(spec.outcome)], F.col("treated"))
+        made = _grown(sums, cells, spec, _outcome_forests(spec), groups=2)
+        predict = _by_cell(cells, made["1"].cell - made["0"].cell)
     else:
         ready = training_rows(_vector(rows, spec.features))
         models = _fit_all(rows, spec, _outcome_models(ready, spec))
         ready.unpersist()
         def predict(other: DataFrame) -> DataFrame:
             return _difference(other, spec, models["1"], models["0"])
-        return _mean_effect("t_learner", written(predict(rows), "t-effects"), predict=predict)
-    return _mean_effect("t_learner", predict(rows), predict=predict)
+    return _mean_effect("t_learner", written(predict(rows), "t-effects"), predict=predict)
 
 
-def _outcome_models(ready: DataFrame, spec: CausalSpec) -> dict[str, Callable[[], Model]]:
+def _outcome_forests(spec: CausalSpec) -> dict[str, Forest]:
     """One forest for the outcome of each arm, by the name of the arm."""
+    return {str(arm): Forest((arm,), 1, spec.trees) for arm in (0, 1)}
+
+
+def _outcome_models(ready: DataFrame, spec: CausalSpec) -> dict[str, Callable[[], Model]]:
+    """The same as MLlib's models, trained on rows."""
     def fit(arm: int) -> Callable[[], Model]:
         return lambda: _forest(spec, spec.outcome).fit(ready.where(F.col("treated") == arm))
     return {str(arm): fit(arm) for arm in (0, 1)}
@@ -637,6 +717,10 @@ def _difference(df: DataFrame, spec: CausalSpec, first, second) -> DataFrame:
 def x_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -> Estimate:
     """Effects imputed from the other arm's model, mixed by the chance of treatment."""
     rows = binarise(_held(df, spec), spec, threshold)
+    cells = find_cells(rows, spec.features)
+    if cells is not None:
+        predict = _by_cell(cells, _x_effect(rows, spec, cells))
+        return _mean_effect("x_learner", written(predict(rows), "x-effects"), predict=predict)
     ready = training_rows(_vector(rows, spec.features))
     half = replace(spec, trees=max(1, spec.trees // 2))
     first = _fit_all(rows, spec, _outcome_models(ready, spec) | {
@@ -658,3 +742,16 @@ def x_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None) -
         mixed = F.col("__p") * F.col("__e0") + (1 - F.col("__p")) * F.col("__e1")
         return out.select(*other.columns, mixed.alias("effect"))
     return _mean_effect("x_learner", written(predict(rows), "x-effects"), predict=predict)
+
+
+def _x_effect(rows: DataFrame, spec: CausalSpec, cells: Cells) -> np.ndarray:
+    """The effect in each cell.  What the other arm's model says is the same for all rows of a cell."""
+    arm = F.col("treated")
+    sums = written(_sums(rows, cells, spec, [F.col(spec.outcome), arm], arm), "x-sums")
+    first = _grown(sums, cells, spec, _outcome_forests(spec) | {
+        "chance": Forest((0, 1), 2, max(1, spec.trees // 2))}, 2, 2)
+    gains = _grown(sums, cells, spec, {
+        "1": Forest((1,), 1, spec.trees, less=first["0"].cell),
+        "0": Forest((0,), 1, spec.trees, less=first["1"].cell, sign=-1.0)}, 2, 2)
+    chance = first["chance"].cell
+    return chance * gains["0"].cell + (1 - chance) * gains["1"].cell
