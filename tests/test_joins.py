@@ -382,3 +382,32 @@ def test_many_hot_documents_on_both_sides_of_a_lagged_join(spark, monkeypatch):
     monkeypatch.setattr(skew, "TRACKED", 2)
     split = lagged_join(population, features, keys, doc="doc", month="mes", min_rows=5)
     assert _rows(split) == _rows(plain)
+
+
+def test_keys_hot_on_both_sides_meet_packed(spark):
+    """Equal rows with a map, different ones, a left document without a match, and few salts."""
+    from monthbook.operators import skew
+    salts = skew.most_salts(spark.range(1))
+    assert salts == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one = spark.range(10_000).select(F.lit("a").alias("doc"), F.create_map(F.lit("k"), F.lit(1)).alias("m"))
+    packed = skew.pack_rows(one, "__copies").collect()
+    assert sorted(r["__copies"] for r in packed) == [1808, 4096, 4096] and packed[0].m == {"k": 1}
+    spread = skew.spread_rows(one.drop("m").withColumn("id", F.monotonically_increasing_id())
+                              .withColumn("__salts", F.lit(salts)), "__salt", "__copies")
+    assert spread.count() == 10_000 and spread.agg(F.countDistinct("__salt")).first()[0] == salts
+    population = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "none").when(F.col("id") % 3 == 1, "hot").otherwise("both").alias("doc"),
+        F.lit("202002").alias("mes"), "id")
+    features = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise("both").alias("DOC"), F.lit("202001").alias("SAFRA"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 8).otherwise(F.col("id")).alias("v"),
+        F.create_map(F.lit("k"), F.col("id") % 2).alias("m"))
+    keys = t.FeatureKeys("f", "DOC", "SAFRA", 1)
+    for min_rows in (5, 50, 200):
+        got = lagged_join(population, features, keys, doc="doc", month="mes", min_rows=min_rows)
+        plain = lagged_join(population, features, keys, doc="doc", month="mes", min_rows=10 ** 9)
+        assert got.columns == plain.columns and got.schema["f_m"].dataType == plain.schema["f_m"].dataType
+        def counted(df):
+            return {tuple(r[:-1]): r.n for r in df.groupBy(
+                "doc", "id", "f_v", F.col("f_m")["k"].alias("k"), "mes").agg(F.count("*").alias("n")).collect()}
+        assert counted(got) == counted(plain) and sum(counted(got).values()) == 300 + 2 * 300 * 200
