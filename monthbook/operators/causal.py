@@ -641,6 +641,8 @@ def dr_learner(df: DataFrame, spec: CausalSpec, threshold: float | None = None,
     if not final:
         return _mean_effect("dr_learner", scored.withColumn("effect", F.col("dr_score")),
                             F.col("dr_score"))
+    # Long formulas (of every fold, arm and model): once, not in each pass of the forest.
+    scored = written(scored, "dr-scores")
     predict, importances = _effect_forest(
         scored.where(F.col("dr_score").isNotNull()), spec, F.col("dr_score"))
     return _mean_effect("dr_learner", written(predict(scored), "dr-effects"), F.col("dr_score"),

@@ -54,24 +54,27 @@ def policy_tree(rows: DataFrame, features: Sequence[str], cost: float = TREATMEN
     """Adds ``treat``, the choice of the tree with the most welfare, and returns the tree as text.
 
     Welfare is the sum of ``effect - cost`` over the rows that are treated.  Features are cut at
-    quantiles; one aggregate per level sums the gains of every (group, feature, bin), and each
-    group is cut where treating one side, both or none gains most, if that is more than before.
+    quantiles; one aggregate sums the gains of rows with the same bins, one per level those of every
+    (group, feature, bin), and each group is cut where treating one side, both or none gains most, if that is more than before.
     The first feature and the lowest cut win a tie.  A missing feature counts as above every cut.
     """
     gain = F.col("effect") - F.lit(cost)
     edges = _edges(rows, features, bins)
     places = [F.coalesce(sum(((F.col(c) > F.lit(e)).cast("int") for e in edges[c]), F.lit(0)),
                          F.lit(len(edges[c]))) for c in features]
-    held = rows.select(gain.alias("gain"), *[p.alias(f"b{i}") for i, p in enumerate(places)])
-    held = held.where("gain IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
+    names = [f"b{i}" for i in range(len(features))]
+    held = rows.select(gain.alias("gain"), *[p.alias(b) for b, p in zip(names, places)])
+    # Rows with the same bins stay together: their sums are all that the levels need.
+    held = held.where("gain IS NOT NULL").groupBy(*names).agg(
+        F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
     tree: dict[int, _Node] = {}
     try:
         for level in range(depth + 1):
             cells = [F.struct(F.lit(i).alias("f"), F.col(f"b{i}").alias("b")) for i in range(len(features))]
             sums = held.select(_group(tree, [F.col(f"b{i}") for i in range(len(features))]).alias("node"),
-                               "gain", F.inline(F.array(*cells)))
+                               "gain", "n", F.inline(F.array(*cells)))
             found = sums.where(F.col("node") >= 2 ** level - 1).groupBy("node", "f", "b").agg(
-                F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("n")).collect()  # groups x bins
+                F.sum("gain").alias("gain"), F.sum("n").alias("n")).collect()  # groups x bins
             if not _grow(tree, found, level < depth, leaf):
                 break
     finally:

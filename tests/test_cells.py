@@ -11,7 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
-from monthbook.operators import causal as c, cells as ce
+from monthbook.operators import causal as c, cells as ce, effects as e
+from monthbook.plans.causal_report import causal_report
 
 SPEC = c.CausalSpec(id="id", outcome="y", treatment="t", features=("x1", "x2", "x3"), folds=3,
                     trees=20, outcome_depth=4, treatment_depth=6)
@@ -145,3 +146,24 @@ def test_cuts_are_quantiles(spark):
     cuts = np.array(ce.find_cells(rows.repartition(4), ["x"]).cuts[0])
     assert len(cuts) == 31
     np.testing.assert_allclose(cuts, np.arange(1, 32) * 100_000 / 32, atol=100)
+
+
+def test_a_causal_report_takes_few_jobs(spark):
+    """All seven estimators, bins, drivers and policy: thousands of jobs when forests grew on rows."""
+    rows = spark.createDataFrame(_pandas()).withColumn("y2", F.col("y") * 2)
+    spec = replace(SPEC, nuisance="linear", trees=100, treatment_depth=10, folds=5)
+    found, jobs = _jobs(spark, lambda: causal_report(rows, spec, "x1", "y2"))
+    assert found.comparison.where("ate IS NOT NULL").count() == 7
+    assert jobs < 200
+
+
+def test_policy_levels_read_sums_not_rows(spark):
+    """A million rows of six kinds: the same choice, and the text has all rows."""
+    rows = spark.range(1_000_000).select(
+        (F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"),
+        F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.when(F.col("id") % 2 == 0, 0.5).otherwise(-1.0))
+        .alias("effect"))
+    chosen, text = e.policy_tree(rows, ["a", "b"], cost=0.0, depth=2)
+    sums = chosen.groupBy("effect").agg(F.min("treat").alias("a"), F.max("treat").alias("b")).collect()
+    assert all(r.a == r.b == int(r.effect > 0) for r in sums)
+    assert sum(int(line.split(": ")[1].split(" rows")[0]) for line in text.splitlines() if ": " in line) == 1_000_000
