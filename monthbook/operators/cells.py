@@ -108,6 +108,17 @@ def find_cells(df: DataFrame, features: Sequence[str], bins: int = BINS) -> Cell
     A feature with up to ``bins`` values is cut between all of them, any other at quantiles (to a
     4,096th of the rows of each task).
     """
+    found = drawn_cells(df, features, [None], bins)
+    return found and found[0]
+
+
+def drawn_cells(df: DataFrame, features: Sequence[str], draws: Sequence[np.random.Generator | None],
+                bins: int = BINS, share: float = 1.0) -> list[Cells] | None:
+    """:func:`find_cells` several times, each with the quantiles of another sample of the rows.
+
+    Quantiles lie as those of up to 10,000 rows do (the sample from which MLlib takes cuts), or of a
+    ``share`` of the rows if these are fewer; None stands for all rows.
+    """
     named = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(features)])
     found = named.mapInArrow(_summaries, "feature int, n bigint, kept binary, counts binary").collect()
     cuts, rows = [], 0
@@ -116,9 +127,10 @@ def find_cells(df: DataFrame, features: Sequence[str], bins: int = BINS) -> Cell
         rows = max(rows, sum(r["n"] for r in own))
         values = np.concatenate([np.frombuffer(r["kept"]) for r in own] or [np.zeros(0)])
         counts = np.concatenate([np.frombuffer(r["counts"]) for r in own] or [np.zeros(0)])
-        cuts.append(_cuts(values, counts, bins))
-    made = Cells(tuple(features), tuple(cuts), rows)
-    return made if made.count <= CELLS else None
+        sample = max(bins, min(10_000, int(rows * share)))
+        cuts.append([_cuts(values, counts, bins, _ranks(bins, rng, sample)) for rng in draws])
+    made = [Cells(tuple(features), tuple(c[k] for c in cuts), rows) for k in range(len(draws))]
+    return made if all(m.count <= CELLS for m in made) else None
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,22 +161,24 @@ def _summary(held: list[pa.RecordBatch]) -> pa.RecordBatch:
          pa.array(counts, pa.binary())], ["feature", "n", "kept", "counts"])
 
 
-def _cuts(values: np.ndarray, counts: np.ndarray, bins: int) -> tuple[float, ...]:
-    """Middles between values: all of them, or those nearest to equal shares of the rows."""
+def _ranks(bins: int, rng: np.random.Generator | None, sample: int) -> np.ndarray:
+    """Shares of the rows below each cut: even ones, or those of the quantiles of a sample."""
+    even = np.arange(1, bins) / bins
+    return even if rng is None else np.sort(rng.random(sample))[(even * sample).astype(int)]
+
+
+def _cuts(values: np.ndarray, counts: np.ndarray, bins: int, ranks: np.ndarray) -> tuple[float, ...]:
+    """Middles between values: all of them, or those nearest to the given shares of the rows."""
     if not len(values):
         return ()
     known, place = np.unique(values, return_inverse=True)
-    weight = np.bincount(place, counts)
     middle = known[:-1] + (known[1:] - known[:-1]) / 2
     if len(known) <= bins:
         return tuple(middle.tolist())
-    share, below, out = weight.sum() / bins, np.cumsum(weight), []
-    target = share
-    for i in range(1, len(known)):
-        if len(out) < bins - 1 and abs(below[i - 1] - target) < abs(below[i] - target):
-            out.append(float(middle[i - 1]))
-            target += share
-    return tuple(out)
+    below = np.cumsum(np.bincount(place, counts))
+    at = np.searchsorted(below, ranks * below[-1]).clip(1, len(known) - 1)
+    nearer = np.abs(below[at - 1] - ranks * below[-1]) < np.abs(below[at] - ranks * below[-1])
+    return tuple(middle[np.unique((at - nearer).clip(0, len(middle) - 1))].tolist())
 
 
 # --- sums per cell ----------------------------------------------------------------------
@@ -189,7 +203,7 @@ def _mixed(rows: np.ndarray, block: int) -> np.ndarray:
     return x
 
 
-def bootstrap(rows: np.ndarray, block: int, more: Sequence[np.ndarray] = ()) -> np.ndarray:
+def bootstrap(rows: np.ndarray, block: int) -> np.ndarray:
     """Poisson weights of the trees of a block: a line per tree."""
     out = np.empty((BLOCK, len(rows)))
     for at in range(0, len(rows), 1 << 15):  # small enough to stay in the cache
@@ -199,39 +213,36 @@ def bootstrap(rows: np.ndarray, block: int, more: Sequence[np.ndarray] = ()) ->
 
 
 def cell_sums(df: DataFrame, cells: Cells, values: Sequence[Column], blocks: int, seed: int,
-              group: Column | None = None, key: Sequence[str] = (),
-              draw: Callable = bootstrap, more: Sequence[Column] = ()) -> DataFrame:
+              group: Column | None = None, key: Sequence[str] = ()) -> DataFrame:
     """``block, keys, sums``: for each block of trees, sums of weights and of weights times values.
 
     ``keys`` are ``group * cells + cell``; ``sums`` has an array (1 + values) x trees x keys.  Rows
-    are dealt out by key, and those of a frequent key over several tasks.  ``draw`` gives the weights
-    of a block from the hash of a row and the columns ``more``.
+    are dealt out by key, and those of a frequent key over several tasks.
     """
     at = cells.number() if group is None else group * F.lit(cells.count) + cells.number()
     row = F.xxhash64(F.lit(seed), *[F.col(c) for c in [*key, *cells.features]], *values)
     parts = max(1, math.ceil(cells.rows / ROWS_PER_TASK))
     rows = df.select(at.cast("int").alias("__at"), row.alias("__row"),
-                     *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)],
-                     *[c.alias(f"m{i}") for i, c in enumerate(more)])
+                     *[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
     rows = rows.where(F.col("__at").isNotNull()).repartitionByRange(parts, "__at", "__row")
-    return rows.mapInArrow(partial(_summed, values=len(values), blocks=blocks, draw=draw),
+    return rows.mapInArrow(partial(_summed, values=len(values), blocks=blocks),
                            "block int, keys binary, sums binary")
 
 
-def _summed(batches: Iterator[pa.RecordBatch], values: int, blocks: int, draw: Callable
+def _summed(batches: Iterator[pa.RecordBatch], values: int, blocks: int
             ) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.num_rows
         if size >= 4 * ROWS_PER_TASK:
-            yield from _summed_rows(held, values, blocks, draw)
+            yield from _summed_rows(held, values, blocks)
             held, size = [], 0
     if size:
-        yield from _summed_rows(held, values, blocks, draw)
+        yield from _summed_rows(held, values, blocks)
 
 
-def _summed_rows(held: list[pa.RecordBatch], values: int, blocks: int, draw: Callable
+def _summed_rows(held: list[pa.RecordBatch], values: int, blocks: int
                  ) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(held)
     at, row, *rest = (table.column(i).to_numpy() for i in range(table.num_columns))
@@ -241,7 +252,7 @@ def _summed_rows(held: list[pa.RecordBatch], values: int, blocks: int, draw: Cal
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     keys = at[starts].astype(np.int32).tobytes()
     for block in range(blocks):
-        weights = draw(row, block, rest[values:])
+        weights = bootstrap(row, block)
         out = np.empty((1 + values, len(weights), len(starts)))
         for i, weight in enumerate(weights):
             np.add.reduceat(weight, starts, out=out[0, i])
@@ -281,11 +292,12 @@ class Tree:
 
 def grow(bins: Sequence[np.ndarray], sizes: Sequence[int], rows: np.ndarray, weight: np.ndarray,
          label: np.ndarray, depth: int, least: int, per_node: int | None = None,
-         rng: np.random.Generator | None = None) -> Tree:
+         rng: np.random.Generator | None = None, in_turn: bool = False) -> Tree:
     """A regression tree on sums per cell: ``rows``, their weights, and weights times labels.
 
     Each node is cut where the variance falls most, with ``least`` rows on both sides; with
-    ``per_node`` it looks at so many features only, drawn by ``rng``.
+    ``per_node`` it looks at so many features only, drawn by ``rng``; ``in_turn`` draws those first that
+    no node above it has looked at.
     """
     there = np.flatnonzero((rows > 0) & (weight > 0))
     total = weight[there].sum()
@@ -299,12 +311,15 @@ def grow(bins: Sequence[np.ndarray], sizes: Sequence[int], rows: np.ndarray, wei
     importance = np.zeros(len(bins))
     node = np.zeros(len(there), np.int64)  # place among the open nodes, of the cells in them
     open_ = np.array([0])
+    seen = np.zeros((1, len(bins)), bool)
     for _ in range(depth):
         m = len(open_)
         allowed = np.ones((m, len(bins)), bool)
         if per_node is not None and per_node < len(bins):
-            rank = rng.random((m, len(bins))).argsort(axis=1).argsort(axis=1)
+            rank = (rng.random((m, len(bins))) + (seen & in_turn)).argsort(axis=1).argsort(axis=1)
             allowed = rank < per_node
+            seen |= allowed
+            seen[seen.all(axis=1)] = False
         best = np.full(m, least_gain)
         feature, cut = np.full(m, -1), np.zeros(m, np.int64)
         left, right = np.zeros(m), np.zeros(m)
@@ -346,6 +361,7 @@ def grow(bins: Sequence[np.ndarray], sizes: Sequence[int], rows: np.ndarray, wei
             above[mine] = bins[f][hit[mine]] > cut[parted][hit_place[mine]]
         leaf[hit[above]] = fresh[hit_place[above]]
         open_ = np.concatenate([open_[parted], fresh])
+        seen = np.concatenate([seen[parted], seen[parted]])
         back = np.full(len(value), -1)
         back[open_] = np.arange(len(open_))
         node = back[leaf[there]]

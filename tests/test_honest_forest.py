@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from monthbook.operators import causal as c
 from monthbook.operators.honest import _above_zero, effects_of, honest_forest
@@ -68,3 +69,26 @@ def test_odd_numbers_of_groups_and_rows(spark):
         honest_forest(_residuals(spark, np.abs, 50), SPEC, groups=1)
     with pytest.raises(ValueError, match="too few rows"):
         honest_forest(_residuals(spark, np.abs, 1), SPEC, groups=2)
+
+
+def test_intervals_cover_on_average_and_no_model_is_trained_on_rows(spark, monkeypatch):
+    """Over several tables, away from a step; 40 forests of MLlib took some 600 jobs each time."""
+    from monthbook.operators import honest
+
+    def refused(*_, **__):
+        raise AssertionError("trained on rows")
+
+    monkeypatch.setattr(honest, "training_rows", refused)
+    shares = []
+    for seed in (6, 7, 9):
+        found = honest_forest(_residuals(spark, lambda x: np.where(x > 0, 3.0, 1.0), seed=seed), SPEC)
+        share, pdf = _covered(found, lambda p: p.x1.abs() > 0.15)
+        shares.append(share)
+        assert pdf.effect.sub(pdf.truth).pow(2).mean() ** 0.5 < 0.07
+    assert np.mean(shares) > 0.85
+    # A row without a treatment of its own has an effect, too, and a missing feature has none.
+    rows = _residuals(spark, np.abs).withColumn("t_res", F.when(F.col("id") > 9, F.col("t_res")).otherwise(0.0))
+    found = honest_forest(rows, SPEC)
+    assert found.rows.where("effect IS NULL OR effect_low > effect_high").count() == 0
+    other = found.predict(spark.createDataFrame([(0.5, 0.1), (None, 0.1)], "x1 double, x2 double")).collect()
+    assert other[0].effect_low < other[0].effect < other[0].effect_high and other[1].effect is None
