@@ -646,8 +646,8 @@ def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
     """Base and break features side by side.
 
     Each row counts once for the base (item 0) and once per break, under the number of its
-    value.  Features are made per (key, item); a pivot then sets the items of a key, no more
-    than there are values, next to each other.
+    value.  Features are made per (key, item); the items of a key, no more than there are values,
+    are then set next to each other.
     """
     names = [(v, agg, w) for v in spec.numeric for w in windows for agg in spec.aggregations]
     items, stems = [F.lit(0)], [""]
@@ -684,15 +684,19 @@ def _wide_breaks(rows: DataFrame, spec: BookSpec, windows: list[_Window],
     else:
         long = tagged.groupBy(*group).agg(*made)
     columns = [c for c in long.columns if c not in group]
-    # The few items of a key are moved as they are; the wide rows are made in place.
+    # The few items of a key are moved as they are, and only those it has are kept until the wide
+    # row is made: an aggregate as wide as the book would spill every one of its columns.
+    pair = F.struct("__item", F.struct(*columns).alias("made"))
     wide = (long.repartition(F.col(spec.key)).groupBy(spec.key)
-            .pivot("__item", list(range(len(stems))))
-            .agg(*[F.first(c).alias(c) for c in [*columns, "__item"]]))
+            .agg(F.map_from_entries(F.collect_list(pair)).alias("__items")))
+    wide = wide.select(spec.key, F.transform(
+        F.sequence(F.lit(0), F.lit(len(stems) - 1)), lambda j: F.element_at("__items", j)).alias("__items"))
     out = []
     for j, stem in enumerate(stems):
+        item = F.col("__items")[j]
         for i, (v, agg, w) in enumerate(names):
             source = "z" if agg == "sum" and j == 0 else "f"
-            value = F.col(f"`{j}_{source}{i}`")
+            value = item[f"{source}{i}"]
             if agg in ("count", "approx_count_distinct"):
                 value = F.coalesce(value, F.lit(0))
             name = f"{stem}{v}_{agg}_{w.months}m" if stem else feature_name(v, agg, w.months)

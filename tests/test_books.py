@@ -237,3 +237,23 @@ def test_distinct_counts_are_made_of_months_from_rows_dealt_out(many):
     plan = book._jdf.queryExecution().toString()
     assert "__centre_0" in plan and "SPARK_PARTITION_ID" in plan
     _close(book, feature_book(many, replace(spec, by_month=False), "202312"))
+
+
+def test_wide_breaks_keep_only_the_items_of_a_key(spark):
+    """An aggregate as wide as the book spilled every column of every key."""
+    rows = spark.range(600).select((F.col("id") % 40).alias("cpf"), F.lit("202401").alias("anomes"),
+                                   F.when(F.col("id") % 7 > 0, F.concat(F.lit("f"), F.col("id") % 300)).alias("b"),
+                                   F.col("id").cast("double").alias("v"))
+    spec = BookSpec(numeric=["v"], aggregations=("sum", "count"), windows=(1,), stamp_time=False)
+    book = break_books(rows, spec, "202401", ["b"])
+    plan = book._jdf.queryExecution().optimizedPlan().toString()
+    assert "pivotfirst" not in plan.lower() and len(book.columns) > 500
+    pdf = rows.toPandas()
+    found = {r.cpf: r.asDict() for r in book.collect()}
+    assert len(found) == 40
+    for cpf, own in pdf.groupby("cpf"):
+        assert found[cpf]["v_sum_1m"] == own.v.sum() and found[cpf]["v_count_1m"] == len(own)
+        sums = own.dropna(subset=["b"]).groupby("b").v.agg(["sum", "count"])
+        made = {k: v for k, v in found[cpf].items() if k.startswith("b_f") and k.endswith("_sum_1m") and v is not None}
+        assert made == {f"b_{b}_v_sum_1m": s for b, s in sums["sum"].items()}
+        assert sum(v for k, v in found[cpf].items() if k.startswith("b_") and k.endswith("_count_1m")) == len(own)
