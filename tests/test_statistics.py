@@ -458,3 +458,16 @@ def test_compared_models_make_their_rows_once(spark):
     found = [c.linear_dml(c.crossfit_residuals(once, COUNTED), COUNTED, final="linear"),
              c.t_learner(once, COUNTED, learner="linear")]
     assert e.compare_ate(found).count() == 2 and made.value == 3000
+
+
+def test_models_of_classes_are_fitted_side_by_side(spark, monkeypatch):
+    from monthbook.operators import training
+
+    asked = []
+    real = training.side_by_side
+    monkeypatch.setattr(training, "side_by_side", lambda s, work, *a: asked.append(list(work)) or real(s, work, *a))
+    rows = spark.range(900).select(F.lit(202401).alias("month"), (F.col("id") % 3).cast("int").alias("target"),
+                                   (F.col("id") % 3 * 1000 + F.col("id")).cast("double").alias("x"))
+    trained = training.train(rows, "target", "month", BoosterSettings(trees=20))
+    assert asked == [["0", "1", "2"]] and len(trained.model.models) == 3
+    assert training.score(rows, trained, "month").where("prediction != target").count() == 0
